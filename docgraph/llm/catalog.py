@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from . import chat, mixing
+from . import chat, lines, media, minhash, mixing
 
 QUERIES = {
+    "op2_media_columns": media.op2_media_columns,
     "op3_chat_formatting": chat.op3_chat_formatting,
     "op8_mixing": mixing.op8_mixing,
+    "op9_line_dedup": lines.op9_line_dedup,
+    "op10_fingerprints": minhash.op10_fingerprints,
+}
+SQL = {
+    "op3_chat_formatting": chat.OP3_SQL,
+    "op8_mixing": mixing.OP8_SQL,
+    "op9_line_dedup": lines.OP9_SQL,
 }
-SQL = {"op3_chat_formatting": chat.OP3_SQL, "op8_mixing": mixing.OP8_SQL}
