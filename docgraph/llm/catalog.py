@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, lines, media, minhash, mixing
+from . import chat, lines, media, minhash, mixing, simhash
 
 QUERIES = {
     "op2_media_columns": media.op2_media_columns,
     "op3_chat_formatting": chat.op3_chat_formatting,
+    "op6_simhash": simhash.op6_simhash,
     "op8_mixing": mixing.op8_mixing,
     "op9_line_dedup": lines.op9_line_dedup,
     "op10_fingerprints": minhash.op10_fingerprints,
