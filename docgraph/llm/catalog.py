@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat, lines, media, minhash, mixing, quality, simhash, toxicity
+from . import chat, lines, media, minhash, mixing, pieces, quality, simhash, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_media_columns": media.op2_media_columns,
     "op3_chat_formatting": chat.op3_chat_formatting,
+    "op4_sentencepiece": pieces.op4_sentencepiece,
     "op6_simhash": simhash.op6_simhash,
     "op7_quality": quality.op7_quality,
     "op8_mixing": mixing.op8_mixing,
