@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, lines, media, minhash, mixing, pieces, quality, simhash, toxicity
+from . import chat, lines, media, minhash, mixing, pieces, quality, simhash, surrogates, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_media_columns": media.op2_media_columns,
     "op3_chat_formatting": chat.op3_chat_formatting,
     "op4_sentencepiece": pieces.op4_sentencepiece,
+    "op5_pii": surrogates.op5_pii,
     "op6_simhash": simhash.op6_simhash,
     "op7_quality": quality.op7_quality,
     "op8_mixing": mixing.op8_mixing,
