@@ -1,12 +1,50 @@
-"""Corpus pipeline: stages over documents, each written as Parquet and read again as the next one's input."""
+"""Corpus pipeline: stages over documents, each written as Parquet and read again as the next one's input.
+
+Toxic documents go; lines found in ten documents or more stay only where they occur first; one document of each
+group of near copies stays; the sources are mixed to their target weights, so a document may come twice or not at
+all; the texts are encoded as pieces.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from docgraph.llm import lines, mixing, pieces, simhash, toxicity
 from docgraph.llm.common import scratch, table
 
-STAGES: list = []
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    chain = toxicity.train_on(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, chain).where(~F.col("toxic")).select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(docs, keep="first").withColumn("n_chars", F.length("text").cast("long"))
+    return kept.select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed(docs)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = pieces.load()
+    encoded = pieces.encode(docs, model)
+    return encoded.select("doc_id", "text", "ids", F.size("ids").alias("n_tokens"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_repeated_lines),
+    ("SimHash near-dedup", drop_near_copies),
+    ("mixing sources to target weights", mix_sources),
+    ("SentencePiece encoding", encode_pieces),
+]
 ORACLE_SQL = None
 
 

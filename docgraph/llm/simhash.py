@@ -12,18 +12,21 @@ Fingerprints that differ in at most 4 bits are linked. Candidates share a key:
   the codewords nearest to the first two segments on the side where a segment is even, with K where it is odd.
 
 A candidate pair is linked only after its distance is verified.
+
+Copies with edits differ in more bits. `wide_keys` serve a larger distance with good, not full, recall: for each of
+COMBOS fixed selections of bits, EXACT bits as they are with each member of K of 23 others.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, partial
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, table
@@ -126,27 +129,54 @@ def fuzzy_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(rows)
 
 
+COMBOS, EXACT = 24, 10
+WIDE_SHINGLE, WIDE_DISTANCE = 5, 10  # about where the Jaccard similarity of five-word shingles is 0.8
+
+
+def wide_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As fuzzy_keys, for WIDE_DISTANCE."""
+    bits = np.unpackbits(prints.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int64)
+    order = np.random.RandomState(11)
+    keys, rows, number = [], [], np.arange(len(prints))
+    for k in range(COMBOS):
+        chosen = order.permutation(64)[: LENGTH + EXACT]
+        found = codewords(bits[:, chosen[:LENGTH]] @ (1 << np.arange(LENGTH)))
+        same = bits[:, chosen[LENGTH:]] @ (1 << np.arange(EXACT))
+        mask = np.ones(found.shape, bool)
+        mask[:, 1:] = found[:, 1:] != found[:, :1]
+        keys.append(((np.int64(k) << 28) | (same[:, None] << 12) | found)[mask])
+        rows.append(np.broadcast_to(number[:, None], found.shape)[mask])
+    return np.concatenate(keys), np.concatenate(rows)
+
+
 def print_texts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = np.array([fingerprint(x, size) for x in texts(batch)], np.uint64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "node"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(prints.view(np.int64))], ["doc_id", "row", "node"])
 
 
-def emit_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def emit_keys(batches: Iterator[pa.RecordBatch], keys_of) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         nodes = batch.column(0).to_numpy()
         for k in range(0, len(nodes), 4096):
             part = nodes[k : k + 4096]
-            keys, rows = fuzzy_keys(part.view(np.uint64))
+            keys, rows = keys_of(part.view(np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part[rows])], ["key", "node"])
 
 
-def near(nodes: np.ndarray, node: np.int64) -> np.ndarray:
-    return np.bitwise_count((nodes ^ node).view(np.uint64)) <= DISTANCE
+def near(nodes: np.ndarray, node: np.int64, distance: int) -> np.ndarray:
+    return np.bitwise_count((nodes ^ node).view(np.uint64)) <= distance
 
 
-def near_pair(a, b):
-    return F.bit_count(a.bitwiseXOR(b)) <= DISTANCE
+def linked_rows(docs: DataFrame, size: int, distance: int, keys_of) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, row, node), a row per document with its fingerprint as node, and (node, root) for each node."""
+    row = F.xxhash64("doc_id", "text").alias("row")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row, "text")
+    printed = cut(rows.mapInArrow(lambda it: print_texts(it, size), "doc_id long, row long, node long"))
+    nodes = printed.select("node").distinct()
+    keys = nodes.mapInArrow(lambda it: emit_keys(it, keys_of), "key long, node long")
+    links = bucket_links(keys, partial(near, distance=distance), lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= distance)
+    return printed, nodes.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
 def near_groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -157,16 +187,26 @@ def near_groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     however many rows have them; a component whose ids are all null has a null component_id. An empty table gives
     an empty result.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    printed = cut(rows.mapInArrow(lambda it: print_texts(it, size), "doc_id long, node long"))
-    nodes = cut(printed.groupBy("node").agg(F.min("doc_id").alias("least")))
-    keys = nodes.select("node").mapInArrow(emit_keys, "key long, node long")
-    linked = components(bucket_links(keys, near, near_pair))
-    placed = nodes.join(linked, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    printed, roots = linked_rows(docs, size, DISTANCE, fuzzy_keys)
+    placed = cut(roots.join(printed.groupBy("node").agg(F.min("doc_id").alias("least")), "node"))
     leasts = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     of = placed.join(leasts, "root").select("node", "component_id")
     return printed.join(of, "node").select("doc_id", F.lpad(F.lower(F.hex("node")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def keep_one(docs: DataFrame, size: int = WIDE_SHINGLE, distance: int = WIDE_DISTANCE) -> DataFrame:
+    """The documents' columns, for one document of each group of near copies: the first by doc_id, null ids last.
+
+    Of repeated rows one stays. Texts without words are one group. Links are those that wide_keys find.
+    """
+    printed, roots = linked_rows(docs, size, distance, wide_keys)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    ahead = printed.groupBy("node").agg(first).join(roots, "node").groupBy("root").agg(F.min("first").alias("first"))
+    winners = cut(ahead.select(F.col("first.row").alias("__row")))
+    once = Window.partitionBy("__row").orderBy(F.lit(0))
+    kept = docs.withColumn("__row", F.xxhash64("doc_id", "text")).join(winners, "__row", "left_semi")
+    return kept.withColumn("__nth", F.row_number().over(once)).where("__nth = 1").select(*docs.columns)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
