@@ -14,7 +14,7 @@ from ..session import cut
 
 
 def numbered(df: DataFrame, order: list[Column], value: Column | None = None, partitions: int | None = None) -> DataFrame:
-    """The columns of df, seq (from 1, by order) and before (the sum of value over the rows before).
+    """The columns of df but these two: seq (from 1, by order) and before (the sum of value over the rows before).
 
     Rows that tie on order are numbered in any way: end the order with a key. Null values count as 0.
     """
@@ -28,23 +28,23 @@ def numbered(df: DataFrame, order: list[Column], value: Column | None = None, pa
     own = Window.partitionBy("__p").orderBy(*order)
     numbers = placed.withColumn("__k", F.row_number().over(own)).withColumn("__w", F.coalesce(F.sum("__v").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     joined = numbers.join(F.broadcast(starts), "__p")  # as many rows as partitions
-    return joined.select(*df.columns, (F.col("__k") + F.col("__n0")).alias("seq"), (F.col("__w") + F.col("__s0")).alias("before"))
+    return joined.select(*[c for c in df.columns if c not in ("seq", "before")], (F.col("__k") + F.col("__n0")).alias("seq"), (F.col("__w") + F.col("__s0")).alias("before"))
 
 
 def prefix(df: DataFrame, n: int, order: list[Column]) -> tuple[DataFrame, DataFrame]:
     """The first n rows by order, and the others."""
-    all_ = numbered(df, order)
-    return all_.where(F.col("seq") <= n).select(*df.columns), all_.where(F.col("seq") > n).select(*df.columns)
+    all_ = numbered(df.withColumn("__row", F.struct(*df.columns)), order).select("__row.*", F.col("seq").alias("__seq"))
+    return all_.where(F.col("__seq") <= n).drop("__seq"), all_.where(F.col("__seq") > n).drop("__seq")
 
 
 def spaced(df: DataFrame, step: int, most: int, order: list[Column]) -> DataFrame:
     """Every step-th row from the first, at most so many."""
-    all_ = numbered(df, order)
-    return all_.where(((F.col("seq") - 1) % step == 0) & ((F.col("seq") - 1) / step < most)).select(*df.columns)
+    all_ = numbered(df.withColumn("__row", F.struct(*df.columns)), order).select("__row.*", (F.col("seq") - 1).alias("__at"))
+    return all_.where((F.col("__at") % step == 0) & (F.col("__at") / step < most)).drop("__at")
 
 
 def sampled(df: DataFrame, step: int, extra: int, key: str, seed: int = 0) -> DataFrame:
     """Every step-th row by key, and `extra` more, picked by a seeded hash of the key."""
-    regular = numbered(df, [F.col(key)]).where((F.col("seq") - 1) % step == 0).select(*df.columns)
+    regular = spaced(df, step, 1 << 62, [F.col(key)])
     more = df.orderBy(F.xxhash64(F.lit(seed), key), key).limit(extra)
     return regular.unionByName(more).dropDuplicates([key])

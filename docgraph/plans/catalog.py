@@ -1,6 +1,441 @@
-"""Queries over the driver tables, each with its SQL where SQL can express it."""
+"""Queries over the driver tables, each with its SQL where SQL can express it.
+
+They run the library's operators over tables that are no document space: regions, nations, customers and orders
+stand for a tree of documents, an order's line items for its pages, parts and suppliers for a cyclic link graph, and
+addresses, redirects and flags are made from keys. Each query says what it stands in.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import ids
+from ..functions.html import parse_pages
+from ..functions.ids import Space
+from ..operators import attempts, coverage, layout, links, ordered, traverse, tree
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
+
+SITE = Space("en", "https://thther.example.org", ("m.ththth.example.net", "blog.tionsh.example.net"))
+ROOT = Space("root", "https://docs.example.org")
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def read(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+# ---- pages
+
+
+@query()
+def page_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Parsed pages by host: pages, words, links, menu items, longest title. The flagship query."""
+    parsed = parse_pages(read(spark, d, "pages").select("url", "html"), "/").select("url", "page_title", "text", "links", "menu", "parse_error")
+    host = F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host")
+    words = F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", " ")))
+    return parsed.groupBy(host).agg(F.count("*").alias("pages"), F.sum(words).alias("words"), F.sum(F.size("links")).alias("links"), F.sum(F.size("menu")).alias("menu_items"), F.max(F.length("page_title")).alias("longest_title"), F.count("parse_error").alias("errors"))
+
+
+@query()
+def page_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Title, words, characters, images, tables and block counts of each page, from its element tree."""
+    parsed = parse_pages(read(spark, d, "pages").select("page_id", "html"), "/")
+    words = F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", " ")))
+    return parsed.select("page_id", "page_title", words.alias("words"), F.length("text").alias("text_chars"), F.size("images").alias("images"), "tables", F.size("blocks").alias("blocks"), F.size("menu").alias("menu_items"), F.try_element_at("profile", F.lit("elements")).alias("elements"), "notes")
+
+
+@query(r"""
+SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '&lt;', '<', 'g'), '&gt;', '>', 'g'), '&amp;', '&', 'g')) AS title,
+       CAST(len(regexp_extract_all(html, '<a href=')) AS BIGINT) AS n_links FROM pages
+""")
+def page_titles(spark: SparkSession, d: str) -> DataFrame:
+    """The element tree's title and number of links, against what a pattern finds in these plain pages."""
+    parsed = parse_pages(read(spark, d, "pages").select("page_id", "html"), "/")
+    return parsed.select("page_id", F.col("page_title").alias("title"), F.size("links").cast("long").alias("n_links"))
+
+
+FORMS = """SELECT page_id, 0 AS form, url FROM pages
+  UNION ALL SELECT page_id, 1, 'https://thther.example.org/bin/en/a.' || page_id || '/b/' FROM pages
+  UNION ALL SELECT page_id, 2, '/bin/view/en/' || page_id || '/WebHome?x=1#y' FROM pages
+  UNION ALL SELECT page_id, 3, 'http://m.ththth.example.net:8080/xwiki/bin/view/en/p/' || page_id || '/index.html' FROM pages
+  UNION ALL SELECT page_id, 4, '/bin/download/en/' || page_id || '/x.pdf' FROM pages
+  UNION ALL SELECT page_id, 5, 'https://thther.example.org/bin/login/X/Y?a=b&xredirect=%2Fbin%2Fen%2Fq+' || page_id || '%2F' FROM pages"""
+
+
+def address_forms(spark: SparkSession, d: str) -> DataFrame:
+    pages = read(spark, d, "pages").select("page_id", "url")
+    k = F.col("page_id").cast("string")
+    forms = [
+        F.col("url"), F.concat(F.lit("https://thther.example.org/bin/en/a."), k, F.lit("/b/")), F.concat(F.lit("/bin/view/en/"), k, F.lit("/WebHome?x=1#y")),
+        F.concat(F.lit("http://m.ththth.example.net:8080/xwiki/bin/view/en/p/"), k, F.lit("/index.html")), F.concat(F.lit("/bin/download/en/"), k, F.lit("/x.pdf")),
+        F.concat(F.lit("https://thther.example.org/bin/login/X/Y?a=b&xredirect=%2Fbin%2Fen%2Fq+"), k, F.lit("%2F")),
+    ]
+    return pages.select("page_id", F.posexplode(F.array(*forms)).alias("form", "url"))
+
+
+@query(rf"""
+WITH f AS ({FORMS}),
+u AS (SELECT *, CASE WHEN contains(url, 'xredirect=') THEN 'https://thther.example.org' || url_decode(regexp_extract(url, 'xredirect=([^&\s]+)', 1))
+                     WHEN starts_with(url, '/') THEN 'https://thther.example.org' || url ELSE url END AS u FROM f),
+h AS (SELECT *, regexp_replace(lower(regexp_extract(u, '^https?://([^/]+)', 1)), ':\d+$', '') AS host, lower(regexp_extract(u, '^https?://[^/]+/bin/([^/?#]+)', 1)) AS action FROM u),
+r AS (SELECT *, CASE WHEN host NOT IN ('thther.example.org', 'm.ththth.example.net', 'blog.tionsh.example.net') OR action = 'download' THEN NULL
+                     WHEN regexp_matches(u, '^https?://[^/]+/bin/') THEN regexp_replace(u, '^https?://[^/]+/bin/(view/)?', '')
+                     WHEN starts_with(lower(u), 'https://thther.example.org/') THEN regexp_replace(u, '^https?://[^/]+/', '')
+                     WHEN regexp_matches(u, '^https?://[^/]+/xwiki/bin/') THEN regexp_replace(u, '^https?://[^/]+/xwiki/bin/(view/)?', '') END AS rest FROM h),
+t AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(rest, '[?#].*$', ''), '/+$', ''), '/(WebHome|index[.]html)$', '') AS p FROM r)
+SELECT page_id, CAST(form AS BIGINT) AS form, CASE WHEN p = 'en' OR starts_with(p, 'en/') THEN replace(p, '/', '.') END AS doc,
+       lower(regexp_extract(regexp_replace(regexp_replace(url, '[?#].*$', ''), '^[a-z]+://[^/]*', ''), '[^/.][^/]*?(\.[^./]*)$', 1)) AS extension,
+       regexp_replace(url, '[^A-Za-z0-9._-]', '_', 'g') AS slug, substr(sha1(url), 1, 20) AS url_key FROM t
+""")
+def url_canonical(spark: SparkSession, d: str) -> DataFrame:
+    """Ids, extensions, slugs and keys of the pages' addresses and of five other forms of address."""
+    url = F.col("url")
+    return address_forms(spark, d).select("page_id", F.col("form").cast("long").alias("form"), ids.url_to_doc(url, SITE).alias("doc"), ids.extension(url).alias("extension"), ids.slug(url).alias("slug"), ids.url_key(url).alias("url_key"))
+
+
+@query(r"""
+SELECT href, count(*) AS uses, count(DISTINCT page_id) AS pages FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS href FROM pages)
+GROUP BY href ORDER BY uses DESC, href LIMIT 20
+""")
+def href_sweep_topk(spark: SparkSession, d: str) -> DataFrame:
+    """The twenty most used hrefs of the pages' sources: a report."""
+    swept = read(spark, d, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1))).alias("href"))
+    return swept.groupBy("href").agg(F.count("*").alias("uses"), F.countDistinct("page_id").alias("pages")).orderBy(F.col("uses").desc(), "href").limit(20)
+
+
+@query(rf"""
+WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS href FROM pages UNION ALL SELECT page_id, url FROM ({FORMS}) WHERE form IN (1, 4)),
+a AS (SELECT *, CASE WHEN starts_with(href, '/') THEN 'https://thther.example.org' || href ELSE href END AS u FROM l)
+SELECT CASE WHEN regexp_matches(u, '^https://thther.example.org/bin/en/') THEN 'internal'
+            WHEN regexp_matches(u, '^https?://[^/]+/bin/(download|image)/') THEN 'attachment' ELSE 'external' END AS kind,
+       count(*) AS links, count(DISTINCT href) AS hrefs FROM a GROUP BY 1
+""")
+def link_classify(spark: SparkSession, d: str) -> DataFrame:
+    """Links by class, as if all pages stood on one site; in-space and attachment links are made from keys."""
+    pages = read(spark, d, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), F.lit(1))).alias("href"))
+    made = address_forms(spark, d).where("form IN (1, 4)").select("page_id", F.col("url").alias("href"))
+    whole = F.when(F.col("href").startswith("/"), F.concat(F.lit(SITE.base), "href")).otherwise(F.col("href"))
+    told = pages.unionByName(made).withColumn("u", whole)
+    kind = F.when(ids.url_to_doc(F.col("u"), SITE).isNotNull(), "internal").when(ids.is_attachment(F.col("u")), "attachment").otherwise("external")
+    return told.groupBy(kind.alias("kind")).agg(F.count("*").alias("links"), F.countDistinct("href").alias("hrefs"))
+
+
+@query(r"""
+SELECT CASE WHEN page_id % 5 = 4 THEN 'annot_other_action' WHEN page_id % 5 = 3 THEN 'internal_goto'
+            WHEN regexp_extract(lower(url), '^https?://([^/:?#]+)', 1) IN ('thther.example.org', 'm.ththth.example.net', 'blog.tionsh.example.net')
+              THEN CASE WHEN contains(url, 'en') THEN 'inspace_uri_left' ELSE 'other_space_uri' END
+            ELSE 'external_uri' END AS link_class, count(*) AS links FROM pages GROUP BY 1
+""")
+def link_audit(spark: SparkSession, d: str) -> DataFrame:
+    """The five classes of link annotations; pages' addresses are the uris, and keys make gotos and other actions."""
+    return links.link_audit(annotations(spark, d), SITE)[0]
+
+
+@query(r"""
+WITH a AS (SELECT page_id, url, CASE WHEN regexp_extract(lower(url), '^https?://([^/:?#]+)', 1) IN ('thther.example.org', 'm.ththth.example.net', 'blog.tionsh.example.net')
+  AND contains(url, 'en') THEN 'unresolved' ELSE 'external' END AS pool FROM pages WHERE page_id % 5 < 3)
+SELECT pool, page_id AS pdf_page, substr(url, 1, 220) AS uri FROM (SELECT *, row_number() OVER (PARTITION BY pool ORDER BY page_id) AS n FROM a) WHERE n <= 12
+""")
+def link_audit_samples(spark: SparkSession, d: str) -> DataFrame:
+    """The first twelve addresses of each pool: a report."""
+    return links.link_audit(annotations(spark, d), SITE)[1]
+
+
+def annotations(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("page_id") % 5
+    return read(spark, d, "pages").select(F.col("page_id").alias("pdf_page"), F.lit(0).alias("pos"), F.when(k < 3, F.col("url")).alias("uri"), F.when(k == 3, F.lit(1)).alias("dest_page"), (k != 3).alias("has_action"))
+
+
+@query(r"""
+WITH s AS (SELECT doc_id, 'S.' || CASE doc_id % 8 WHEN 0 THEN source WHEN 1 THEN 'FooTemplate.' || source WHEN 2 THEN source || '.FooTemplate' WHEN 3 THEN source || 'Class'
+  WHEN 4 THEN '_inclusionsLibrary.' || source WHEN 5 THEN 'Code.' || source WHEN 6 THEN source || '.WebPreferences' ELSE 'XWiki' || source END AS doc FROM documents)
+SELECT doc_id % 8 AS form, count(*) AS docs, count(*) FILTER (regexp_matches(doc,
+  '(^|\.)_inclusionsLibrary|(^|\.)[A-Za-z0-9_]+\.WebPreferences(\.|$)|(^|\.)WebPreferences(\.|$)|(^|\.)XWiki\.|(^|\.)Code\.|(^|\.)([A-Za-z0-9]+Template|Template)[.$]|(^|\.)[A-Za-z0-9_]+Class(\.|$)', 'i')) AS denied
+FROM s GROUP BY 1
+""")
+def deny_filter_report(spark: SparkSession, d: str) -> DataFrame:
+    """Denied ids, by form; ids are made from documents' sources."""
+    s = F.col("source")
+    forms = [s, F.concat(F.lit("FooTemplate."), s), F.concat(s, F.lit(".FooTemplate")), F.concat(s, F.lit("Class")), F.concat(F.lit("_inclusionsLibrary."), s), F.concat(F.lit("Code."), s), F.concat(s, F.lit(".WebPreferences")), F.concat(F.lit("XWiki"), s)]
+    made = read(spark, d, "documents").select((F.col("doc_id") % 8).alias("form"), F.concat(F.lit("S."), F.element_at(F.array(*forms), (F.col("doc_id") % 8 + 1).cast("int"))).alias("doc"))
+    return made.groupBy("form").agg(F.count("*").alias("docs"), F.count_if(ids.is_denied(F.col("doc"))).alias("denied"))
+
+
+@query(r"""
+WITH s AS (SELECT doc_id, 'root.' || source || '.x' || doc_id AS doc, lower(source) AS top FROM documents)
+SELECT doc_id, (contains(top, 'src1') OR contains('src1', top)) AS crawled,
+       (contains('x' || doc_id, 'src1') OR contains('title-of-' || top, 'src1') OR contains('src1', 'x' || doc_id)) AS in_tree, contains('title-of-' || top, 'src1') AS kept FROM s
+""")
+def section_scopes(spark: SparkSession, d: str) -> DataFrame:
+    """The three scope tests, which differ, for one wanted section; ids and titles are made from sources and keys."""
+    s = read(spark, d, "documents").select("doc_id", F.concat(F.lit("root."), "source", F.lit(".x"), F.col("doc_id").cast("string")).alias("doc"), F.concat(F.lit("Title of "), "source").alias("title"))
+    want = ids.wanted_sections([" SRC1 "])
+    return s.select("doc_id", ids.in_scope(F.col("doc"), ROOT, want).alias("crawled"), ids.section_matches(F.col("doc"), F.col("title"), want).alias("in_tree"), ids.section_kept(F.col("title"), want).alias("kept"))
+
+
+# ---- the tree of regions, nations, customers and orders
+
+TREE = """n0 AS (SELECT 'root' AS doc, 'Home' AS title, CAST(NULL AS VARCHAR) AS parent, 0 AS ord
+  UNION ALL SELECT 'root.r' || r_regionkey, r_name, 'root', r_regionkey FROM region
+  UNION ALL SELECT 'root.n' || n_nationkey, n_name, 'root.r' || n_regionkey, n_nationkey FROM nation
+  UNION ALL SELECT 'root.c' || c_custkey, c_name, 'root.n' || c_nationkey, c_custkey FROM customer
+  UNION ALL SELECT 'root.o' || o_orderkey, o_orderpriority, 'root.c' || o_custkey, o_orderkey FROM orders),
+rk AS (SELECT *, row_number() OVER (PARTITION BY parent ORDER BY ord, lower(title), doc) AS rank FROM n0),
+w AS (SELECT doc, title, parent, 1 AS depth, [rank] AS path, CAST([] AS VARCHAR[]) AS anc FROM rk WHERE parent IS NULL
+  UNION ALL SELECT rk.doc, rk.title, rk.parent, w.depth + 1, list_append(w.path, rk.rank), list_append(w.anc, w.doc) FROM rk JOIN w ON rk.parent = w.doc),
+p AS (SELECT *, row_number() OVER (ORDER BY path) AS seq FROM w)"""
+PAGES = """, q AS (SELECT p.doc, p.seq, count(*) AS pages FROM p JOIN orders ON p.doc = 'root.o' || o_orderkey JOIN lineitem ON l_orderkey = o_orderkey GROUP BY p.doc, p.seq),
+s AS (SELECT doc, row_number() OVER (ORDER BY seq) AS n, pages, CAST(coalesce(sum(pages) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+  + 1 + ceil((SELECT count(*) FROM q) / 64.0) + 1 AS BIGINT) AS first_page FROM q)"""
+
+
+def tree_nodes(spark: SparkSession, d: str) -> DataFrame:
+    key = lambda kind, c: F.concat(F.lit(f"root.{kind}"), F.col(c).cast("string"))
+    row = lambda t, doc, title, parent, ord_: read(spark, d, t).select(doc.alias("doc"), F.col(title).alias("title"), parent.alias("parent"), F.col(ord_).cast("long").alias("nav_order"))
+    home = spark.range(1).select(F.lit("root").alias("doc"), F.lit("Home").alias("title"), F.lit(None).cast("string").alias("parent"), F.lit(0).cast("long").alias("nav_order"))
+    return (
+        home.unionByName(row("region", key("r", "r_regionkey"), "r_name", F.lit("root"), "r_regionkey"))
+        .unionByName(row("nation", key("n", "n_nationkey"), "n_name", key("r", "n_regionkey"), "n_nationkey"))
+        .unionByName(row("customer", key("c", "c_custkey"), "c_name", key("n", "c_nationkey"), "c_custkey"))
+        .unionByName(row("orders", key("o", "o_orderkey"), "o_orderpriority", key("c", "o_custkey"), "o_orderkey"))
+        .withColumn("src", F.lit("nav"))
+    )
+
+
+def walked(spark: SparkSession, d: str) -> DataFrame:
+    return tree.preorder(tree_nodes(spark, d))
+
+
+def structure(spark: SparkSession, d: str) -> DataFrame:
+    """Page ranges of the orders; an order's line items are its pages. Orders without any are left out."""
+    counts = read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").cast("int").alias("pages"))
+    renders = counts.select(F.concat(F.lit("root.o"), F.col("l_orderkey").cast("string")).alias("doc"), F.lit(True).alias("ok"), "pages")
+    metas = spark.createDataFrame([], "doc string, is_redirect boolean")
+    return layout.page_ranges(layout.content_rows(walked(spark, d), renders, metas))
+
+
+@query(f"WITH RECURSIVE {TREE} SELECT depth, count(*) AS pages FROM w GROUP BY depth")
+def tree_depth_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return tree.levels(tree.sibling_ranks(tree_nodes(spark, d))).groupBy("depth").agg(F.count("*").alias("pages"))
+
+
+@query(f"WITH RECURSIVE {TREE} SELECT doc, depth, seq FROM p")
+def preorder_walk(spark: SparkSession, d: str) -> DataFrame:
+    return walked(spark, d).select("doc", "depth", "seq")
+
+
+@query(f"WITH RECURSIVE {TREE} SELECT CAST(sum(n) AS BIGINT) AS pages, CAST(sum(n) AS BIGINT) AS nav_pages, 0 AS out_of_scope, max(depth) AS max_depth FROM (SELECT depth, count(*) AS n FROM w GROUP BY depth)")
+def inventory_stats(spark: SparkSession, d: str) -> DataFrame:
+    nodes = tree_nodes(spark, d).withColumn("out_of_scope", F.lit(False))
+    return tree.inventory_stats(nodes, walked(spark, d)).select("pages", "nav_pages", "out_of_scope", "max_depth")
+
+
+@query(f"""WITH RECURSIVE {TREE}, c AS (SELECT doc, list_append(anc, doc)[-4:] AS ups FROM w),
+u AS (SELECT doc, unnest(ups) AS up, generate_subscripts(ups, 1) AS pos FROM c)
+SELECT u.doc, string_agg(n0.title, ' > ' ORDER BY pos) AS crumbs FROM u JOIN n0 ON n0.doc = u.up GROUP BY u.doc""")
+def breadcrumbs(spark: SparkSession, d: str) -> DataFrame:
+    nodes = tree_nodes(spark, d)
+    return tree.breadcrumbs(walked(spark, d), nodes.select("doc", "title")).select("doc", F.array_join("crumbs", " > ").alias("crumbs"))
+
+
+@query(f"WITH RECURSIVE {TREE} SELECT doc, list_append(anc, doc)[1] AS root, coalesce(list_append(anc, doc)[2], list_append(anc, doc)[1]) AS section FROM w")
+def top_sections(spark: SparkSession, d: str) -> DataFrame:
+    return tree.sections(walked(spark, d))
+
+
+@query(f"WITH RECURSIVE {TREE} SELECT doc FROM w WHERE list_contains(list_append(anc, doc), 'root.r1') OR list_contains(list_append(anc, doc), 'root.n3')")
+def descendants(spark: SparkSession, d: str) -> DataFrame:
+    tops = spark.createDataFrame([("root.r1",), ("root.n3",)], "doc string")
+    return tree.descendants(walked(spark, d), tops)
+
+
+@query(f"WITH RECURSIVE {TREE}, t AS (SELECT doc FROM w WHERE depth = 2 AND contains(lower(title), 'asia')) SELECT doc FROM w WHERE depth = 1 OR EXISTS (SELECT 1 FROM t WHERE list_contains(list_append(anc, w.doc), t.doc))")
+def pruned_sections(spark: SparkSession, d: str) -> DataFrame:
+    nodes = tree_nodes(spark, d)
+    return tree.prune_sections(nodes, walked(spark, d), ["Asia"]).select("doc")
+
+
+@query(f"WITH RECURSIVE {TREE}, i AS (SELECT doc, anc FROM w WHERE doc LIKE 'root.r%' OR doc LIKE 'root.o%') SELECT doc, list_filter(anc, lambda x: x LIKE 'root.r%')[-1] AS anchor FROM i")
+def bookmark_parents(spark: SparkSession, d: str) -> DataFrame:
+    own = walked(spark, d)
+    return tree.nearest_included(own, own.where("doc LIKE 'root.r%' OR doc LIKE 'root.o%'").select("doc"))
+
+
+@query(f"WITH RECURSIVE {TREE}{PAGES} SELECT doc, n, first_page, first_page + pages - 1 AS last_page, pages FROM s")
+def page_ranges(spark: SparkSession, d: str) -> DataFrame:
+    return structure(spark, d)
+
+
+@query(f"WITH RECURSIVE {TREE}{PAGES} SELECT doc, n, (n - 1) // 64 + 2 AS toc_page, (n - 1) % 64 AS slot, first_page AS target_page FROM s")
+def toc_slots(spark: SparkSession, d: str) -> DataFrame:
+    return layout.toc(structure(spark, d))
+
+
+@query(f"""WITH RECURSIVE {TREE}{PAGES}, e AS (SELECT doc, first_page, pages, unnest(range(first_page, first_page + pages)) AS pdf_page FROM s)
+SELECT pdf_page, doc, pdf_page - first_page + 1 AS k, pages AS "of", CASE WHEN pdf_page = first_page THEN (SELECT title FROM n0 WHERE n0.doc = e.doc) END AS title FROM e""")
+def page_stamps(spark: SparkSession, d: str) -> DataFrame:
+    return layout.stamps(structure(spark, d), tree_nodes(spark, d).select("doc", "title"))
+
+
+@query(f"WITH RECURSIVE {TREE} SELECT doc, seq <= 1000 AS built FROM p")
+def capped_prefix(spark: SparkSession, d: str) -> DataFrame:
+    """The first thousand documents of the walk, and the others, which a capped build records: the cap is the feature."""
+    first, rest = ordered.prefix(walked(spark, d), 1000, [F.col("seq")])
+    return first.select("doc", F.lit(True).alias("built")).unionByName(rest.select("doc", F.lit(False).alias("built")))
+
+
+@query("""WITH k AS (SELECT 'root.c' || c_custkey AS doc FROM customer UNION ALL SELECT 'root' UNION ALL SELECT 'root.c' || o_custkey || '.x.o' || o_orderkey FROM orders)
+SELECT 'root.c' || o_custkey || '.x.o' || o_orderkey AS doc, CASE WHEN EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey) THEN 'root.c' || o_custkey END AS parent FROM orders""")
+def prefix_reparent(spark: SparkSession, d: str) -> DataFrame:
+    """Orders whose ids start with their customer's id, two levels up, and whose parent isn't known."""
+    own = read(spark, d, "customer").select(F.concat(F.lit("root.c"), F.col("c_custkey").cast("string")).alias("doc"), F.lit("nav").alias("src"))
+    made = read(spark, d, "orders").select(F.concat(F.lit("root.c"), F.col("o_custkey").cast("string"), F.lit(".x.o"), F.col("o_orderkey").cast("string")).alias("doc"), F.lit(None).cast("string").alias("src"))
+    nodes = own.unionByName(made).withColumn("parent", F.lit(None).cast("string"))
+    return tree.reparent_by_name(nodes, ROOT).where("doc LIKE '%.x.o%'").select("doc", "parent")
+
+
+# ---- graph
+
+
+def redirects(spark: SparkSession, d: str) -> DataFrame:
+    """Orders redirect to the order whose key is a third of theirs, if theirs is a multiple of three; a cycle of two is added."""
+    own = read(spark, d, "orders").where("o_orderkey % 3 = 0 AND o_orderkey > 0").select(F.col("o_orderkey").cast("string").alias("doc"), F.expr("CAST(o_orderkey DIV 3 AS STRING)").alias("target"))
+    return own.distinct().unionByName(spark.createDataFrame([("x", "y"), ("y", "x")], "doc string, target string"))
+
+
+@query("""WITH RECURSIVE r AS (SELECT DISTINCT o_orderkey AS k, o_orderkey // 3 AS t FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey > 0),
+f AS (SELECT k, t, 1 AS hops FROM r UNION ALL SELECT f.k, r.t, f.hops + 1 FROM f JOIN r ON r.k = f.t)
+SELECT CAST(k AS VARCHAR) AS doc, CAST(arg_max(t, hops) AS VARCHAR) AS target FROM f GROUP BY k UNION ALL SELECT 'x', NULL UNION ALL SELECT 'y', NULL""")
+def redirect_fold(spark: SparkSession, d: str) -> DataFrame:
+    return links.fold_redirects(redirects(spark, d)).select("doc", "target")
+
+
+@query("""WITH r AS (SELECT DISTINCT o_orderkey AS k, o_orderkey // 3 AS t FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey > 0)
+SELECT CAST(r.k AS VARCHAR) AS doc, CASE WHEN a.k IS NULL THEN CAST(r.t AS VARCHAR) END AS target FROM r LEFT JOIN r a ON a.k = r.t UNION ALL SELECT 'x', NULL UNION ALL SELECT 'y', NULL""")
+def redirect_one_hop(spark: SparkSession, d: str) -> DataFrame:
+    return links.fold_redirects(redirects(spark, d), most_hops=1).select("doc", "target")
+
+
+@query("""WITH RECURSIVE e AS (SELECT 's' || l_suppkey AS src, 'p' || l_partkey AS dst FROM lineitem UNION SELECT 'p' || l_partkey, 's' || l_suppkey FROM lineitem),
+r AS (SELECT 's1' AS node UNION SELECT e.dst FROM r JOIN e ON e.src = r.node) SELECT node FROM r""")
+def frontier_reachability(spark: SparkSession, d: str) -> DataFrame:
+    """What links between suppliers and parts lead to, from supplier 1; the graph is cyclic."""
+    pairs = read(spark, d, "lineitem").select(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("src"), F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("dst")).distinct()
+    both = pairs.unionByName(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    return traverse.reachable(spark.createDataFrame([("s1",)], "node string"), both).select("node")
+
+
+@query("""WITH f AS (SELECT event_id, user_id, event_type, props FROM events)
+SELECT CAST(user_id AS VARCHAR) AS doc, arg_max(event_type || ':' || event_id, struct_pack(n := length(event_type || ':' || event_id), s := -event_id)) AS title,
+  arg_min(CAST(event_id AS VARCHAR), event_id) FILTER (event_id % 3 = 0) AS parent, arg_max(event_id % 2 = 0, event_id) AS closed, arg_max(event_id % 10, event_id) FILTER (event_id % 5 <> 0) AS nav_order
+FROM f GROUP BY user_id""")
+def upsert_longest_title(spark: SparkSession, d: str) -> DataFrame:
+    """The merge rules for nodes; a user's events stand for what pages say of one document."""
+    k = F.col("event_id")
+    rows = read(spark, d, "events").select(F.col("user_id").cast("string").alias("doc"), F.concat("event_type", F.lit(":"), k.cast("string")).alias("title"), F.when(k % 3 == 0, k.cast("string")).alias("parent"), (k % 2 == 0).alias("closed"), F.when(k % 5 != 0, k % 10).alias("nav_order"), F.lit("nav").alias("src"), k.alias("seq"))
+    return traverse.upsert(rows).select("doc", "title", "parent", "closed", "nav_order")
+
+
+# ---- coverage and reports
+
+
+def order_flags(spark: SparkSession, d: str) -> DataFrame:
+    """Orders without line items aren't built; keys make redirects, failures and capped documents."""
+    k = F.col("o_orderkey")
+    doc = k.cast("string").alias("doc")
+    orders = read(spark, d, "orders").select("o_orderkey")
+    nodes = orders.select(doc)
+    built = read(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("doc")).distinct()
+    metas = orders.where("o_orderkey % 50 < 2").select(doc, (k % 50 == 0).alias("is_redirect"), F.when(k % 50 == 1, "http-404").alias("error"))
+    return coverage.flagged(nodes, built, metas, orders.where("o_orderkey % 50 = 2").select(doc))
+
+
+FLAGS = """f AS (SELECT DISTINCT o_orderkey AS k, EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) AS built FROM orders),
+g AS (SELECT *, NOT built AND k % 50 > 2 AS missing FROM f)"""
+
+
+@query(f"WITH {FLAGS} SELECT CAST(k AS VARCHAR) AS doc FROM g WHERE missing")
+def missing_docs(spark: SparkSession, d: str) -> DataFrame:
+    return order_flags(spark, d).where("missing").select("doc")
+
+
+@query(f"""WITH {FLAGS}, c AS (SELECT count(*) AS n, count(*) FILTER (built) AS b, count(*) FILTER (k % 50 = 2) AS cap, count(*) FILTER (k % 50 = 0) AS r, count(*) FILTER (k % 50 = 1) AS f,
+  count(*) FILTER (missing) AS m, count(*) FILTER (k % 50 = 1 AND NOT built) AS lost FROM g)
+SELECT n AS inventory_pages, b AS docs_built, cap AS not_built_by_request, r AS redirect_pages, f AS fetch_failures, m AS missing, n - cap AS coverage_base,
+  round(100.0 * (n - cap - m) / greatest(1, n - cap), 3) AS coverage_percent, round(100.0 * (n - cap - m - lost) / greatest(1, n - cap), 3) AS strict_coverage_percent FROM c""")
+def coverage_summary(spark: SparkSession, d: str) -> DataFrame:
+    return coverage.coverage_summary(order_flags(spark, d))
+
+
+@query(r"""WITH t AS (SELECT doc_id, substr(coalesce(text, ''), 1, 40) AS title, coalesce(text, '') || chr(10) AS body, 'licensed' AS marker FROM documents),
+n AS (SELECT *, trim(substr(trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g')), 1, 60)) AS t, trim(regexp_replace(lower(body), '[^a-z0-9]+', ' ', 'g')) AS b FROM t)
+SELECT CAST(doc_id AS VARCHAR) AS doc, length(body) AS chars, t <> '' AND contains(b, t) AS title_found, contains(body, marker) AS source_marker_found,
+  CASE WHEN length(body) >= 60 AND ((t <> '' AND contains(b, t)) OR contains(body, marker)) THEN 'ok' WHEN length(body) >= 60 THEN 'thin' ELSE 'empty' END AS status FROM n""")
+def content_check(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as one-page contents whose title is the start of their text."""
+    docs = read(spark, d, "documents")
+    doc = F.col("doc_id").cast("string").alias("doc")
+    own = docs.select(doc, F.col("doc_id").alias("first_page"), F.col("doc_id").alias("last_page"))
+    told = docs.select(doc, F.substring(F.coalesce("text", F.lit("")), 1, 40).alias("title"))
+    out = coverage.content_check(own, docs.select(F.col("doc_id").alias("pdf_page"), "text"), told, "licensed")
+    return out.select("doc", "chars", "title_found", "source_marker_found", "status")
+
+
+@query("""WITH a AS (SELECT user_id, event_id, value > 50 AS ok, event_type FROM events)
+SELECT user_id, bool_or(ok) AS ok, count(*) AS attempts, coalesce(arg_min(event_id, event_id) FILTER (ok), max(event_id)) AS event_id,
+  coalesce(arg_min(event_type, event_id) FILTER (ok), arg_max(event_type, event_id)) AS event_type FROM a GROUP BY user_id""")
+def best_attempt(spark: SparkSession, d: str) -> DataFrame:
+    """A user's events stand for attempts; a value over 50 succeeds, the event's key ranks."""
+    return attempts.best_attempt(read(spark, d, "events"), "user_id", F.col("event_id"), F.col("value") > 50, ["event_id", "event_type"])
+
+
+@query("""SELECT CAST(doc_id AS VARCHAR) AS doc, doc_id % 3 <> 0 AS mirrored, CASE WHEN doc_id % 3 <> 0 THEN CAST(strlen(text) AS BIGINT) ELSE 0 END AS bytes,
+  CASE WHEN doc_id % 3 <> 0 THEN substr(sha256(text), 1, 32) END AS sha256, CASE WHEN doc_id % 3 = 0 THEN 'not-mirrored' END AS missing_reason,
+  CASE WHEN doc_id % 3 <> 0 THEN substr(sha1('u' || doc_id), 1, 20) END AS local FROM documents""")
+def manifest_hash(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as attachments, two of three of which are stored."""
+    docs = read(spark, d, "documents")
+    url = F.concat(F.lit("u"), F.col("doc_id").cast("string")).alias("url")
+    listed = docs.select(F.col("doc_id").cast("string").alias("doc"), F.lit("file").alias("name"), url)
+    stored = docs.where("doc_id % 3 <> 0").select(url, F.col("text").cast("binary").alias("data"))
+    return coverage.attachment_manifest(listed, stored).drop("name", "url").withColumn("bytes", F.coalesce("bytes", F.lit(0)))
+
+
+@query("""SELECT count(*) AS attachments, count(*) FILTER (doc_id % 3 <> 0) AS mirrored, CAST(sum(CASE WHEN doc_id % 3 <> 0 THEN strlen(text) ELSE 0 END) AS BIGINT) AS bytes FROM documents""")
+def manifest_totals(spark: SparkSession, d: str) -> DataFrame:
+    return coverage.manifest_totals(manifest_hash(spark, d))
+
+
+@query("SELECT doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS n FROM documents) WHERE (n - 1) % 25 = 0 AND (n - 1) / 25 < 8")
+def systematic_sample(spark: SparkSession, d: str) -> DataFrame:
+    """Every 25th document, eight at most: the sample is the feature."""
+    return ordered.spaced(read(spark, d, "documents").select("doc_id"), 25, 8, [F.col("doc_id")])
+
+
+@query("""SELECT count(*) FILTER (event_id % 7 <> 0 AND event_id % 5 <> 0) AS ok, count(*) FILTER (event_id % 7 <> 0 AND event_id % 5 = 0) AS redirect, count(*) FILTER (event_id % 7 = 0) AS failed FROM events""")
+def fetch_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Events as fetched pages; keys make redirects and failures."""
+    k = F.col("event_id")
+    return coverage.fetch_summary(read(spark, d, "events").select((k % 5 == 0).alias("is_redirect"), F.when(k % 7 == 0, "http-500").alias("error")))
+
+
+@query("""SELECT user_id, count(*) AS n FROM (SELECT user_id FROM events e WHERE event_id % 2 = 0 UNION ALL SELECT user_id FROM events o WHERE event_id % 2 = 1
+  AND user_id NOT IN (SELECT user_id FROM events WHERE event_id % 2 = 0)) GROUP BY user_id""")
+def merged_index(spark: SparkSession, d: str) -> DataFrame:
+    """Old rows but those whose key is among the new, and the new: odd events are old, even ones new."""
+    rows = read(spark, d, "events").select("user_id", "event_id")
+    return attempts.merged(rows.where("event_id % 2 = 1"), rows.where("event_id % 2 = 0"), "user_id").groupBy("user_id").agg(F.count("*").alias("n"))
+
+
