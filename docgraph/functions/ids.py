@@ -6,12 +6,14 @@ URL to id is lossy: `a/b` and `a.b` are one id.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from urllib.parse import unquote, urljoin
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Fixed values of the wiki's URL and id formats.
 NON_PAGE_ACTIONS = (
@@ -57,11 +59,16 @@ def literal(text: str) -> str:
     return "".join(c if c.isalnum() or c in "_-/ " else "\\" + c for c in text)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once: as a plain expression it would be copied to each place that names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def norm_doc(doc: Column) -> Column:
     """Trimmed, without trailing slashes, fragment, query and `.WebHome`; nothing left: `WebHome`."""
     d = F.regexp_replace(F.regexp_replace(F.coalesce(doc, F.lit("")), r"(?U)^\s+|\s+$", ""), r"/+$", "")
     d = F.regexp_replace(F.substring_index(F.substring_index(d, "#", 1), "?", 1), r"(\.WebHome)+$", "")
-    return F.when(d == "", F.lit("WebHome")).otherwise(d)
+    return F.coalesce(F.nullif(d, F.lit("")), F.lit("WebHome"))
 
 
 def relative(doc: Column, space: Space) -> Column:
@@ -90,30 +97,39 @@ def percent_decoded(text: Column) -> Column:
 
 def unwrap_login(url: Column, space: Space) -> Column:
     """The page behind a login address; other addresses stay."""
-    target = percent_decoded(F.regexp_extract(url, LOGIN, 1))
-    whole = F.when(target.rlike("^https?://"), target).when(target.startswith("/"), F.concat(F.lit(space.base), target)).otherwise(F.concat(F.lit(space.base + "/"), target))
-    return F.when(url.contains("xredirect=") & url.rlike(LOGIN), whole).otherwise(url)
+
+    def whole(target: Column) -> Column:
+        return F.when(target.rlike("^https?://"), target).when(target.startswith("/"), F.concat(F.lit(space.base), target)).otherwise(F.concat(F.lit(space.base + "/"), target))
+
+    return let(url, lambda u: F.when(u.contains("xredirect=") & u.rlike(LOGIN), let(percent_decoded(F.regexp_extract(u, LOGIN, 1)), whole)).otherwise(u))
 
 
 def url_to_doc(url: Column, space: Space) -> Column:
     """The id of an in-space page address; null for other hosts, actions, spaces and cases of letters."""
-    u = unwrap_login(F.regexp_replace(url, r"(?U)^\s+|\s+$", ""), space)
-    u = F.when(u.startswith("/") & ~u.startswith("//"), F.concat(F.lit(space.base), u)).otherwise(u)
-    host = F.regexp_replace(F.lower(F.regexp_extract(u, "^https?://([^/]+)", 1)), r":\d+$", "")
-    bin_form = path_segment(u, 1) == "bin"
     legacy = r"(?i)^https?://[^/]+/xwiki/bin/(?:view/)?"
-    rest = (
-        F.when(bin_form, F.when(~path_segment(u, 2).isin(*NON_PAGE_ACTIONS), F.regexp_replace(u, "^https?://[^/]+/bin/(?:view/)?", "")))
-        .when(F.lower(u).startswith(f"{space.base}/".lower()), F.regexp_replace(u, "^https?://[^/]+/", ""))
-        .when(u.rlike(legacy), F.regexp_replace(u, legacy, ""))
-    )
-    rest = F.substring_index(F.substring_index(rest, "?", 1), "#", 1)
-    segments = F.filter(F.split(rest, "/"), lambda s: s != "")
     own = space.path.split("/")
-    inside = F.slice(segments, 1, len(own)) == F.array(*[F.lit(x) for x in own])
-    tail = F.regexp_replace(F.array_join(F.slice(segments, len(own) + 1, 1 << 20), "/"), r"(?i)(^|/)(?:(?:webhome|index\.html|view)(?:/|$))+$", "")
-    doc = norm_doc(F.when(tail == "", F.lit(f"{space.dotted}.WebHome")).otherwise(F.concat(F.lit(space.dotted + "."), F.replace(tail, F.lit("/"), F.lit(".")))))
-    return F.when(u.rlike("^https?://") & host.isin(*space.all_hosts) & rest.isNotNull() & inside, doc)
+
+    def path_of(u: Column) -> Column:
+        """What follows the site's address, for a page of one of its hosts."""
+        host = F.regexp_replace(F.lower(F.regexp_extract(u, "^https?://([^/]+)", 1)), r":\d+$", "")
+        rest = (
+            F.when(path_segment(u, 1) == "bin", F.when(~path_segment(u, 2).isin(*NON_PAGE_ACTIONS), F.regexp_replace(u, "^https?://[^/]+/bin/(?:view/)?", "")))
+            .when(F.lower(u).startswith(f"{space.base}/".lower()), F.regexp_replace(u, "^https?://[^/]+/", ""))
+            .when(u.rlike(legacy), F.regexp_replace(u, legacy, ""))
+        )
+        return F.when(u.rlike("^https?://") & host.isin(*space.all_hosts), F.regexp_replace(rest, "(?s)[?#].*$", ""))
+
+    def id_of(segments: Column) -> Column:
+        tail = F.regexp_replace(F.array_join(F.slice(segments, len(own) + 1, 1 << 20), "/"), r"(?i)(^|/)(?:(?:webhome|index\.html|view)(?:/|$))+$", "")
+        inside = F.slice(segments, 1, len(own)) == F.array(*[F.lit(x) for x in own])
+        return F.when(inside, norm_doc(let(tail, lambda t: F.when(t == "", F.lit(f"{space.dotted}.WebHome")).otherwise(F.concat(F.lit(space.dotted + "."), F.replace(t, F.lit("/"), F.lit(".")))))))
+
+    def whole(w: Column) -> Column:
+        return F.when(w.startswith("/") & ~w.startswith("//"), F.concat(F.lit(space.base), w)).otherwise(w)
+
+    segments = lambda path: F.filter(F.split(path, "/"), lambda s: s != "")
+    unwrapped = unwrap_login(F.regexp_replace(url, r"(?U)^\s+|\s+$", ""), space)
+    return let(let(let(unwrapped, whole), path_of), lambda path: let(segments(path), id_of))
 
 
 def extension(url: Column) -> Column:
@@ -181,7 +197,7 @@ def cache_key(url: Column, body: Column | None = None) -> Column:
     return F.sha1(F.concat(url, F.lit("|"), F.coalesce(body, F.lit("")) if body is not None else F.lit("")))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def absolute(base: pd.Series, href: pd.Series) -> pd.Series:
     """A percent-decoded href against its page's address, by RFC 3986. What can't be joined stays as it is."""
 

@@ -77,18 +77,18 @@ def page_meta(parsed: DataFrame, links: DataFrame, space: Space) -> DataFrame:
         F.array_sort(F.collect_set(F.when((F.col("kind") == "internal"), F.col("target_doc")))).alias("found_docs"), F.array_sort(F.collect_set(F.when(F.col("kind") == "denied", F.col("target_doc")))).alias("filtered_refs"),
         F.array_sort(F.collect_set(F.when(F.col("how") == "unverified", F.col("abs_url")))).alias("unresolved_links"),
         F.array_sort(F.collect_set(F.when(F.col("how") == "sibling-recovered", F.concat(F.lit("recovered-link:"), "target_doc")))).alias("__recovered"),
-        F.array_sort(F.collect_set(F.when("login_followed", F.concat(F.lit("login-redirect-followed:"), "abs_url")))).alias("__login"),
+        F.array_sort(F.collect_set(F.when(F.col("login_followed"), F.concat(F.lit("login-redirect-followed:"), "abs_url")))).alias("__login"),
     )
     zero, none = F.lit(0).cast("long"), F.array().cast("array<string>")
     joined = parsed.join(counts, "doc", "left")
     target = url_to_doc(absolute(page_url(F.col("doc"), space), F.col("redirect_href")), space)
-    joined = joined.withColumn("redirect_to", F.when("is_redirect", target))
+    joined = joined.withColumn("redirect_to", F.when(F.col("is_redirect"), target))
     moved = F.when(~F.col("is_redirect"), none).when(F.col("redirect_to").isNull(), F.array(F.lit("redirect-target-unresolved"))).otherwise(F.array(F.lit("redirect")))
     title = F.coalesce(F.when(F.col("page_title") != "", F.col("page_title")), title_of_id(F.col("doc")))
     words = F.when(F.col("text") == "", zero).otherwise(F.size(F.split("text", " ")).cast("long"))
     return joined.select(
         "doc", squeezed(title).alias("title"), (F.coalesce(words, zero) + F.coalesce("__words", zero)).alias("words"),
-        F.when("is_redirect", F.col("html_bytes")).otherwise(F.coalesce(F.length("text").cast("long"), zero) + F.coalesce("__chars", zero)).alias("text_chars"),
+        F.when(F.col("is_redirect"), F.col("html_bytes")).otherwise(F.coalesce(F.length("text").cast("long"), zero) + F.coalesce("__chars", zero)).alias("text_chars"),
         F.size(F.coalesce("images", none)).cast("long").alias("images"), F.coalesce("tables", zero).alias("tables"),
         F.coalesce("links_internal", zero).alias("links_internal"), F.coalesce("links_external", zero).alias("links_external"), "is_redirect", "redirect_to",
         F.col("parse_error").alias("error"), "html_bytes", *[F.coalesce(c, none).alias(c) for c in ("found_docs", "filtered_refs", "unresolved_links")],

@@ -13,6 +13,8 @@ from ..functions.html import parse_pages
 from ..functions.ids import Space, in_scope, is_denied, literal, page_url, squeezed, title_of_id, url_to_doc, wanted_sections
 from ..session import cut
 
+PARTS = 16
+
 
 def reachable(seeds: DataFrame, edges: DataFrame, most_rounds: int | None = None, most_nodes: int | None = None) -> DataFrame:
     """seeds (node), edges (src, dst) -> node, round: every node that edges lead to, and the round that found it.
@@ -33,7 +35,9 @@ def reachable(seeds: DataFrame, edges: DataFrame, most_rounds: int | None = None
         if not new:
             break
         total += new
-        seen = cut(seen.unionByName(frontier))
+        seen = seen.unionByName(frontier)  # of checkpointed parts; only many rounds make a long plan
+        if n % PARTS == 0:
+            seen = cut(seen)
     return seen
 
 

@@ -54,7 +54,9 @@ def levels(nodes: DataFrame, most_depth: int = MOST_DEPTH) -> DataFrame:
         level = cut(own.join(up, "parent").select("doc", "parent", F.lit(n).alias("depth"), F.concat("__path", F.array("rank")).alias("path"), F.concat("__up", F.array("parent")).alias("ancestors")))
         if level.isEmpty():
             break
-        done = cut(done.unionByName(level))
+        done = done.unionByName(level)  # of checkpointed parts
+        if n % 16 == 0:
+            done = cut(done)
     left = own.join(done.select("doc"), "doc", "left_anti")
     loose = left.select("doc", "parent", F.lit(1).alias("depth"), F.array(F.lit(LAST), F.col("rank")).alias("path"), F.array().cast("array<string>").alias("ancestors"))
     return done.unionByName(loose)

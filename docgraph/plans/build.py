@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.html import parse_pages
 from ..functions.ids import Space, page_url, slug, wanted_sections
-from ..operators import attempts, coverage, layout, links, traverse, tree
+from ..operators import coverage, layout, links, traverse, tree
 from ..operators.ordered import prefix
 from ..session import cut
 
@@ -50,7 +50,7 @@ def run(pages: DataFrame, options: Options, renders: DataFrame | None = None) ->
     if renders is None:
         renders = parsed.select("doc", F.lit(True).alias("ok"), F.greatest(F.lit(1), F.ceil(F.size("blocks") / options.lines_a_page)).cast("int").alias("pages"))
     redirects = links.fold_redirects(metas.where("is_redirect").select("doc", F.col("redirect_to").alias("target")))
-    structure = cut(layout.page_ranges(layout.content_rows(chosen, renders, attempts.renderable(metas))))
+    structure = cut(layout.page_ranges(layout.content_rows(chosen, renders, metas)))
     titles = nodes.select("doc", "title")
     beyond = traverse.closure(of.where("kind = 'internal'").select("src_doc", F.col("target_doc").alias("doc")), nodes, space, options.only, options.closure_rounds)
     flags = cut(coverage.flagged(nodes, structure, metas, capped))
