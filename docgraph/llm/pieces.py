@@ -15,8 +15,10 @@ with pieces that share a score are folded step by step, the best possible edge e
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -27,17 +29,26 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, table
+from .common import cut, scratch, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "\u2581"
 UNIGRAM, BPE = 1, 2
-#: A lattice edge is one long: rank, start, length, id. LIMIT is far above any word that has a safe cut.
-RANK_BITS, START_BITS, LENGTH_BITS, ID_BITS = 18, 20, 5, 18
+#: A lattice edge is one long: unknown, rank, start, length, id. LIMIT is far above any word that has a safe cut.
+RANK_BITS, START_BITS, LENGTH_BITS, ID_BITS = 18, 17, 5, 18
+LAST = 1 << (RANK_BITS + START_BITS + LENGTH_BITS + ID_BITS)
+UNKNOWN = LAST + (1 << ID_BITS) - 1  # with an id that no piece has
+#: With more ranks than so many that pieces share, every word is folded step by step.
+MOST_TIED = 16
 LONG_WORD, LIMIT = 48, 1 << 16
 #: Rows of a file that share a dictionary; dictionaries are dealt over so many folders.
 GROUP_BITS = 13
 BUCKETS = 64
+#: So many of the most frequent words of a sample of about SAMPLE_DOCS documents are encoded first and held by every
+#: task; the other words, all of them, go to the dictionaries of groups.
+FREQUENT, SAMPLE_DOCS = 200_000, 10_000
+#: Lattices are grouped in hash tables of up to so many words a task before sorting takes over.
+HASHED_WORDS = 150_000
 
 
 @dataclass
@@ -50,6 +61,7 @@ class Model:
     byte_ids: list[int] = field(default_factory=list)
     ranks: dict[str, int] = field(default_factory=dict)
     tied: set[int] = field(default_factory=set)
+    tied_prefix: str = ""
     longest: int = 1
     unknown: int = 0
     in_order: bool = True
@@ -66,6 +78,7 @@ class Model:
         self.ranks = {p: order[self.scores[k]] for p, k in self.ids.items()}
         counts = np.bincount([r for p, r in self.ranks.items() if len(p) > 1], minlength=len(order)) if self.ids else []
         self.tied = {r for r, n in enumerate(counts) if n > 1}
+        self.tied_prefix = commonprefix([p for p, r in self.ranks.items() if len(p) > 1 and r in self.tied])
         self.inner = frozenset(p[k : k + 2] for p in self.ids for k in range(len(p) - 1))
         assert self.longest < 1 << LENGTH_BITS and len(self.pieces) < 1 << ID_BITS and len(order) < 1 << RANK_BITS
         assert not any(SPACE in p.lstrip(SPACE) for p in self.ids), "a piece reaches across words"
@@ -170,20 +183,27 @@ class Cutter:
             return []
         out: list[str] = []
         text = text.replace(SPACE, " ")
-        for n, line in enumerate(text.split("\n") if self.lines else [text]):
+        lines = text.split("\n") if self.lines else [text]
+        if self.prefix:
+            lines[0] = " " + lines[0]
+        for n, line in enumerate(lines):
             if n:
                 out.append("\n")
-            parts = line.split(" ")
-            held = parts[0] if n or not self.prefix else SPACE + parts[0]
-            for p in parts[1:]:
-                if held and held[-1] != SPACE:
+            first, *parts = line.split(" ")
+            if first:
+                out.append(first)
+            if "" not in parts:
+                out += [SPACE + p for p in parts]
+                continue
+            held = ""
+            for p in parts:
+                held += SPACE + p
+                if p:
                     out.append(held)
-                    held = SPACE + p
-                else:
-                    held += SPACE + p
+                    held = ""
             if held:
                 out.append(held)
-        if any(len(w) > LONG_WORD or SPACE * 2 in w for w in set(out)):
+        if max(map(len, out)) > LONG_WORD or "  " in text:
             out = [x for w in out for x in (self.pieces_of(w) if len(w) > LONG_WORD or SPACE * 2 in w else (w,))]
         return out
 
@@ -196,28 +216,26 @@ class Cutter:
 
 
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
-    """piece, rank, id, score, tied: a row per normal piece; the vocabulary bounds its size."""
-    rows = [(p, model.ranks[p], k, model.scores[k], model.ranks[p] in model.tied) for p, k in model.ids.items()]
-    return spark.createDataFrame(rows, "piece string, rank int, id int, score double, tied boolean")
+    """piece, id, score, packed (rank and id of its edges): a row per normal piece; the vocabulary bounds its size."""
+    low = START_BITS + LENGTH_BITS + ID_BITS
+    rows = [(p, k, model.scores[k], (model.ranks[p] << low) + k) for p, k in model.ids.items()]
+    return spark.createDataFrame(rows, "piece string, id int, score double, packed long")
 
 
 def lattice(words: DataFrame, model: Model) -> DataFrame:
-    """word -> word, edges: every match of a piece with a substring as (rank, start, length, id), packed and sorted.
+    """word -> word, edges: every match of a piece with a substring as (unknown, rank, start, length, id), packed and sorted.
 
-    A character that is no piece has an edge of its own all the same, with the unknown piece's id and the last rank.
+    A character that is no piece has an edge of its own all the same, marked unknown, so it comes last.
     """
     spark = words.sparkSession
     at = words.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("start"))
     to = F.sequence(F.lit(1), F.least(F.lit(model.longest), F.length("word") - F.col("start") + 1))
     parts = at.select("word", "start", F.explode(to).alias("length")).withColumn("piece", F.expr("substring(word, start, length)"))
     matched = parts.join(F.broadcast(piece_table(spark, model)), "piece", "left").where("id IS NOT NULL OR length = 1")
-    low = START_BITS + LENGTH_BITS + ID_BITS
-    rank = F.coalesce(F.col("rank"), F.lit((1 << RANK_BITS) - 1)).cast("long")
-    packed = F.shiftleft(rank, low) + F.shiftleft(F.col("start").cast("long"), LENGTH_BITS + ID_BITS) + F.shiftleft(F.col("length").cast("long"), ID_BITS) + F.coalesce("id", F.lit(model.unknown))
-    known = F.col("id").isNotNull()
-    tied = F.max(F.coalesce(F.col("tied") & (F.col("length") > 1), F.lit(False)))
-    grouped = matched.groupBy("word").agg(F.collect_list(F.when(F.col("length") > 1, packed)).alias("edges"), F.collect_list(F.when(F.col("length") == 1, F.when(known, packed).otherwise(-packed))).alias("chars"), tied.alias("tied"), F.collect_list(F.struct("start", "length", "id", "score")).alias("scored") if model.kind == UNIGRAM else F.lit(None).alias("scored"))
-    return grouped.withColumn("edges", F.sort_array("edges"))
+    place = F.shiftleft(F.col("start").cast("long"), LENGTH_BITS + ID_BITS) + F.shiftleft(F.col("length").cast("long"), ID_BITS)
+    packed = F.coalesce(F.col("packed"), F.lit(UNKNOWN)) + place
+    scored = [F.collect_list(F.struct("start", "length", "id", "score")).alias("scored")] if model.kind == UNIGRAM else []
+    return matched.groupBy("word").agg(F.collect_list(packed).alias("edges"), *scored).withColumn("edges", F.sort_array("edges"))
 
 
 def start_of(edge: Column) -> Column:
@@ -228,89 +246,84 @@ def length_of(edge: Column) -> Column:
     return F.shiftright(edge, ID_BITS).bitwiseAND((1 << LENGTH_BITS) - 1).cast("int")
 
 
-def id_of(edge: Column) -> Column:
-    return edge.bitwiseAND((1 << ID_BITS) - 1)
-
-
-#: A symbol that starts at s is symbols[s - 1] = id << 21 | end; 0: no symbol starts there.
-END_BITS = 21
-
+def edges_used(ends: Column) -> Column:
+    """The edges that are symbols, in order of start, without rank. ends: where symbols end, by start (from 0); null: no start.
 
-def end_of(symbol: Column) -> Column:
-    return symbol.bitwiseAND((1 << END_BITS) - 1).cast("int")
-
-
-def merge_fold(in_order: bool) -> Column:
-    """symbols of a word, from its lattice, in merge order."""
-    by_start = F.sort_array(F.transform("chars", lambda x: F.struct(start_of(F.abs(x)).alias("s"), F.when(x > 0, id_of(x)).otherwise(F.lit((1 << ID_BITS) - 1)).alias("id"))))
-    first = F.transform(by_start, lambda x: F.shiftleft(x["id"].cast("long"), END_BITS) + x["s"] + 1)
+    A fold calls this on its final state: a column of states would be computed anew for each edge that asks it.
+    """
+    own = (1 << (START_BITS + LENGTH_BITS + ID_BITS)) - 1
+    used = F.filter("edges", lambda x: F.get(ends, start_of(x) - 1) == start_of(x) - 1 + length_of(x))
+    return F.sort_array(F.transform(used, lambda x: x.bitwiseAND(own)))
 
-    def middle(symbols: Column, edge: Column) -> Column:
-        return end_of(F.get(symbols, start_of(edge) - 1))
 
-    def fits(symbols: Column, edge: Column) -> Column:
-        m, e = middle(symbols, edge), start_of(edge) + length_of(edge)
-        return (m > 0) & (m < e) & (end_of(F.get(symbols, m - 1)) == e)
+def merge_fold(model: Model) -> Column:
+    """The edges of a word that are its symbols, found in merge order."""
+    each = F.transform("edges", lambda x: F.struct((start_of(x) - 1).alias("s"), length_of(x).alias("n")))
+    wide = F.transform(F.filter(each, lambda x: x["n"] > 1), lambda x: F.struct(x["s"].alias("s"), (x["s"] + x["n"]).alias("e")))
+    begin = F.sequence(F.lit(1), F.length("word"))
 
-    def taken(symbols: Column, edge: Column) -> Column:
-        s, m = start_of(edge), middle(symbols, edge)
-        new = F.shiftleft(id_of(edge), END_BITS) + s + length_of(edge)
-        none = F.array(F.lit(0).cast("long"))
-        return F.concat(F.slice(symbols, F.lit(1), s - 1), F.array(new), F.slice(symbols, s + 1, m - s - 1), none, F.slice(symbols, m + 1, F.size(symbols)))
+    def fits(ends: Column, x: Column) -> Column:
+        return F.get(ends, F.get(ends, x["s"])) == x["e"]
 
-    once = F.aggregate("edges", first, lambda a, e: F.when(fits(a, e), taken(a, e)).otherwise(a))
+    def taken(ends: Column, x: Column) -> Column:
+        return F.transform(ends, lambda end, k: F.when(k == x["s"], x["e"]).when((k < x["s"]) | (k >= x["e"]), end))
 
-    def step(a: Column, _: Column) -> Column:
-        best = F.get(F.filter("edges", lambda e: fits(a, e)), F.lit(0))
-        return F.when(best.isNull(), a).otherwise(taken(a, best))
+    def step(ends: Column, _: Column) -> Column:
+        best = F.get(F.filter(wide, lambda x: fits(ends, x)), F.lit(0))
+        return F.when(best.isNull(), ends).otherwise(taken(ends, best))
 
-    each = F.aggregate(F.sequence(F.lit(1), F.size("chars")), first, step)
-    return F.when(F.col("tied") | F.lit(not in_order), each).otherwise(once)
+    once = F.aggregate(wide, begin, lambda ends, x: F.when(fits(ends, x), taken(ends, x)).otherwise(ends), edges_used)
+    slowly = F.aggregate(F.sequence(F.lit(2), F.greatest(F.lit(2), F.length("word"))), begin, step, edges_used)
+    if not model.in_order or len(model.tied) > MOST_TIED:
+        return slowly
+    if not model.tied:
+        return once
+    rank = lambda x: F.shiftright(x, START_BITS + LENGTH_BITS + ID_BITS)
+    # what tied pieces have in common tells most words apart without a look at their edges
+    tied = F.col("word").contains(model.tied_prefix) & F.exists("edges", lambda x: rank(x).isin(*sorted(model.tied)) & (length_of(x) > 1))
+    return F.when(tied, slowly).otherwise(once)
 
 
-def viterbi_fold(model: Model) -> tuple[Column, Column]:
-    """The best path to each position, and from these, as column best, symbols of a word, from its lattice, by the highest sum of scores. Of equal sums the longer last piece wins."""
+def viterbi_fold(model: Model) -> Column:
+    """The edges of a word on the path with the highest sum of scores. Of equal sums the longer last piece wins."""
     least = min((model.scores[k] for k in model.ids.values()), default=0.0) - 10  # an unknown character's score
-    n = F.size("chars")
-    begin = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("length"), F.lit(0).alias("id")))
+    n = F.length("word")
+    begin = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("length")))
 
     def step(best: Column, end: Column) -> Column:
         arrive = F.filter("scored", lambda e: e["start"] + e["length"] == end + 1)
-        paths = F.transform(arrive, lambda e: F.struct((F.get(best, e["start"] - 1)["score"] + F.coalesce(e["score"], F.lit(least))).alias("score"), e["length"].alias("length"), F.coalesce(e["id"], F.lit((1 << ID_BITS) - 1)).alias("id")))
+        paths = F.transform(arrive, lambda e: F.struct((F.get(best, e["start"] - 1)["score"] + F.coalesce(e["score"], F.lit(least))).alias("score"), e["length"].alias("length")))
         return F.concat(best, F.array(F.array_max(paths)))
 
-    best = F.aggregate(F.sequence(F.lit(1), n), begin, step)
-    back = F.aggregate(
-        F.sequence(F.lit(1), n),
-        F.struct(n.alias("at"), F.array().cast("array<bigint>").alias("out")),
-        lambda a, _: F.when(a["at"] < 1, a).otherwise(F.struct((a["at"] - F.get(F.col("best"), a["at"])["length"]).alias("at"), F.concat(F.array(F.shiftleft(F.get(F.col("best"), a["at"])["id"].cast("long"), END_BITS) + a["at"] + 1), a["out"]).alias("out"))),
-        lambda a: a["out"],
-    )
-    return best, back
+    def back(best: Column) -> Column:
+        def walk(state: Column, _: Column) -> Column:
+            size = F.get(best, state["at"])["length"]
+            none = F.transform(F.sequence(F.lit(1), size), lambda k: F.when(k == 1, state["at"]))
+            return F.when(state["at"] < 1, state).otherwise(F.struct((state["at"] - size).alias("at"), F.concat(none, state["out"]).alias("out")))
+
+        return F.aggregate(F.sequence(F.lit(1), n), F.struct(n.alias("at"), F.array().cast("array<int>").alias("out")), walk, lambda state: edges_used(state["out"]))
+
+    return F.aggregate(F.sequence(F.lit(1), n), begin, step, back)
 
 
 def encode_words(words: DataFrame, model: Model) -> DataFrame:
     """word (distinct, not empty) -> word, ids."""
     found = lattice(words, model)
-    if model.kind == UNIGRAM:
-        best, back = viterbi_fold(model)
-        found = found.withColumn("best", best).withColumn("symbols", back)
-    else:
-        found = found.withColumn("symbols", merge_fold(model.in_order))
-    taken = F.filter("symbols", lambda x: x > 0)
+    found = found.withColumn("used", viterbi_fold(model) if model.kind == UNIGRAM else merge_fold(model))
     of_byte = F.array(*[F.lit(x) for x in model.byte_ids])
     has_bytes = any(x != model.unknown for x in model.byte_ids)
+    found = found.withColumn("strange", F.get("edges", F.size("edges") - 1) >= LAST)  # unknown edges come last
 
-    def spelled(end: Column) -> Column:
-        digits = F.hex(F.encode(F.col("word").substr(end - 1, F.lit(1)), "UTF-8"))
+    def spelled(x: Column) -> Column:
+        digits = F.hex(F.encode(F.col("word").substr(start_of(x), F.lit(1)), "UTF-8"))
         return F.transform(F.sequence(F.lit(1), F.length(digits), F.lit(2)), lambda k: F.get(of_byte, F.conv(F.substring(digits, k, F.lit(2)), 16, 10).cast("int")))
 
-    def ids(x: Column) -> Column:
-        own = F.shiftright(x, END_BITS).cast("int")
-        unknown = own == (1 << ID_BITS) - 1
-        return F.when(unknown, spelled(end_of(x)) if has_bytes else F.array(F.lit(model.unknown))).otherwise(F.array(own))
+    def id_of(x: Column) -> Column:
+        return x.bitwiseAND((1 << ID_BITS) - 1).cast("int")
 
-    return found.select("word", F.flatten(F.transform(taken, ids)).alias("ids"))
+    nothing = (1 << ID_BITS) - 1  # the id of an unknown edge
+    bytes_ = F.flatten(F.transform("used", lambda x: F.when(id_of(x) == nothing, spelled(x) if has_bytes else F.array(F.lit(model.unknown))).otherwise(F.array(id_of(x)))))
+    return found.select("word", F.when(F.col("strange"), bytes_).otherwise(F.transform("used", id_of)).alias("ids"))
 
 
 def grouped(docs: DataFrame) -> DataFrame:
@@ -326,14 +339,35 @@ def grouped(docs: DataFrame) -> DataFrame:
     return grouped(docs.sparkSession.read.parquet(path))
 
 
-def distinct_words(batches: Iterator[pa.RecordBatch], cutter: Cutter) -> Iterator[pa.RecordBatch]:
+def distinct_words(batches: Iterator[pa.RecordBatch], cutter: Cutter, known: dict[str, bytes]) -> Iterator[pa.RecordBatch]:
+    """g, word: the words of each group in a batch that aren't known."""
     for batch in batches:
         found: dict[int, set[str]] = {}
         for text, g in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if text:
                 found.setdefault(g, set()).update(cutter.words(text))
         for g, words in found.items():
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(words), g)), pa.array(list(words), pa.string())], ["g", "word"])
+            new = list(words.difference(known))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(new), g)), pa.array(new, pa.string())], ["g", "word"])
+
+
+def count_words(batches: Iterator[pa.RecordBatch], cutter: Cutter) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts: Counter = Counter()
+        for text in batch.column(0).to_pylist():
+            counts.update(cutter.words(text or ""))
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+
+
+def frequent_words(docs: DataFrame, model: Model, cutter: Cutter) -> dict[str, bytes]:
+    """Encodings of the words that are frequent in a sample, FREQUENT at most. Which they are never changes a result."""
+    million = 1_000_000
+    share = min(million, -(-SAMPLE_DOCS * million // max(1, docs.count())))
+    sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(million)) < share).select("text")
+    counts = sample.mapInArrow(lambda it: count_words(it, cutter), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    top = cut(counts.orderBy(F.col("n").desc(), "word").limit(FREQUENT).select("word"))
+    got = encode_words(top.repartition("word"), model).toArrow()
+    return dict(zip(got["word"].to_pylist(), [np.array(x, "<i4").tobytes() for x in got["ids"].to_pylist()], strict=True))
 
 
 def dictionary(files: fs.FileSystem, path: str, g: int) -> dict[str, bytes]:
@@ -350,8 +384,18 @@ def dictionary(files: fs.FileSystem, path: str, g: int) -> dict[str, bytes]:
     return out
 
 
-def encode(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, text, ids for every row of docs (doc_id, text; other columns are ignored).
+class Known(dict):
+    """The encodings of frequent words; those of others are looked up in the group's dictionary, rare."""
+
+    rare: dict[str, bytes]
+
+    def __missing__(self, word: str) -> bytes:
+        return self.rare[word]
+
+
+def encode(docs: DataFrame, model: Model, with_decoded: bool = False) -> DataFrame:
+    """doc_id, text, ids for every row of docs (doc_id, text; other columns are ignored). with_decoded: decoded instead
+    of text, what decode gives for ids, without another pass.
 
     A null or empty text has no ids. Equal texts have equal ids. A word of more than LIMIT characters without a safe
     cut is cut there, so its encoding may differ from SentencePiece's at that place; decoding gives the same text.
@@ -360,32 +404,40 @@ def encode(docs: DataFrame, model: Model) -> DataFrame:
     spark = docs.sparkSession
     own, cutter = grouped(docs), Cutter(model)
     pairs_path, path = scratch(spark, "pieces-words"), scratch(spark, "pieces-dictionary")
-    own.select("text", "g").mapInArrow(lambda it: distinct_words(it, cutter), "g long, word string").write.option("compression", "zstd").parquet(pairs_path)
-    pairs = spark.read.schema("g long, word string").parquet(pairs_path)
-    encoded = encode_words(pairs.select("word").distinct(), model)
-    placed = pairs.join(encoded, "word").withColumn("bucket", F.pmod("g", F.lit(BUCKETS)).cast("int"))
-    placed.repartition("bucket", "g").sortWithinPartitions("bucket", "g").write.partitionBy("bucket").option("compression", "zstd").parquet(path)
+    setting = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, HASHED_WORDS)
+    try:
+        frequent = spark.sparkContext.broadcast(Known(frequent_words(docs, model, cutter)))
+        own.select("text", "g").mapInArrow(lambda it: distinct_words(it, cutter, frequent.value), "g long, word string").write.option("compression", "zstd").parquet(pairs_path)
+        pairs = spark.read.schema("g long, word string").parquet(pairs_path)
+        # one exchange serves the distinct words and the join: it keeps g on either side
+        dealt = pairs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
+        words = dealt.groupBy("word").agg(F.min("g").alias("some")).where("some IS NOT NULL").select("word")
+        placed = dealt.join(encode_words(words, model), "word").withColumn("bucket", F.pmod("g", F.lit(BUCKETS)).cast("int"))
+        placed.repartition("bucket", "g").sortWithinPartitions("bucket", "g").write.partitionBy("bucket").option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(setting, before)
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, folder = fs.FileSystem.from_uri(path)
-        held: dict[int, dict[str, bytes]] = {}
+        known, last, spell = frequent.value, None, decoder(model) if with_decoded else None
         for batch in batches:
-            n = batch.num_rows
-            texts, groups = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            for k in range(0, n, 1000):
+            for k in range(0, batch.num_rows, 200):
+                part = batch.slice(k, 200)
                 out = []
-                for text, g in zip(texts[k : k + 1000], groups[k : k + 1000], strict=True):
-                    if g not in held:
-                        held.clear()
-                        held[g] = dictionary(files, folder, g)
-                    known = held[g]
+                for text, g in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                    if g != last:
+                        known.rare = {}
+                        known.rare, last = dictionary(files, folder, g), g
                     out.append(b"".join([known[w] for w in cutter.words(text)]) if text else b"")
                 offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in out])]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(out), "<i4")))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, 1000), batch.column(1).slice(k, 1000), ids], ["doc_id", "text", "ids"])
+                texts = pa.array([spell(np.frombuffer(x, "<i4").tolist()) for x in out], pa.string()) if spell else part.column(1)
+                yield pa.RecordBatch.from_arrays([part.column(0), texts, ids], ["doc_id", text_name, "ids"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return own.select("doc_id", "text", "g").mapInArrow(assemble, f"doc_id {kind}, text string, ids array<int>")
+    kind, text_name = docs.schema["doc_id"].dataType.simpleString(), "decoded" if with_decoded else "text"
+    return own.select("doc_id", "text", "g").mapInArrow(assemble, f"doc_id {kind}, {text_name} string, ids array<int>")
 
 
 def decoder(model: Model):
@@ -407,8 +459,10 @@ def decode(encoded: DataFrame, model: Model) -> DataFrame:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [None if x is None else run(x) for x in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
+            for k in range(0, batch.num_rows, 100):  # ids are many times larger as Python's numbers
+                part = batch.slice(k, 100)
+                texts = [None if x is None else run(x) for x in part.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
     return encoded.mapInArrow(apply, f"{schema}, decoded string")
@@ -416,5 +470,5 @@ def decode(encoded: DataFrame, model: Model) -> DataFrame:
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = load()
-    both = decode(encode(table(spark, sf_dir, "documents"), model), model)
+    both = encode(table(spark, sf_dir, "documents"), model, with_decoded=True)
     return both.select("doc_id", "ids", F.size("ids").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
