@@ -17,7 +17,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import cut, table
+from .components import components, spanning
+from .lines import texts
 
 SHINGLE = 5
 PERMUTATIONS = 128
@@ -26,6 +28,8 @@ _random = np.random.RandomState(20240229)
 A = _random.randint(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 B = _random.randint(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2)
 BLOCK = 2048
+LEAST = (4, 5)  #: The Jaccard similarity of near copies: 0.8.
+BLOCK_SETS, BLOCK_SHINGLES = 2048, 1 << 21
 
 
 class WordHashes(dict):
@@ -41,8 +45,8 @@ class WordHashes(dict):
 HASHES = WordHashes()
 
 
-def shingle_keys(text: bytes, size: int = SHINGLE) -> np.ndarray:
-    """A 32-bit key, as uint64, for each shingle; repeats included."""
+def shingle_hashes(text: bytes, size: int = SHINGLE) -> np.ndarray:
+    """A 64-bit hash for each shingle; repeats included."""
     words = text.lower().split()
     if not words:
         return np.empty(0, np.uint64)
@@ -52,7 +56,17 @@ def shingle_keys(text: bytes, size: int = SHINGLE) -> np.ndarray:
     for k in range(min(len(words), size)):
         mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + n]
     mixed ^= mixed >> np.uint64(32)
-    return (mixed * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)
+    return mixed * np.uint64(0xD6E8FEB86659FD93)
+
+
+def shingle_keys(text: bytes, size: int = SHINGLE) -> np.ndarray:
+    """A 32-bit key, as uint64, for each shingle; repeats included."""
+    return shingle_hashes(text, size) >> np.uint64(32)
+
+
+def node_of(shingles: np.ndarray) -> int:
+    """The hash of a set of shingles (sorted, distinct), signed."""
+    return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
 def signature(keys: np.ndarray) -> np.ndarray:
@@ -133,5 +147,109 @@ def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
     return placed(docs, parts).mapInArrow(compare_with_next, FINGERPRINTS)
 
 
+def print_sets(batches: Iterator[pa.RecordBatch], size: int, print_of) -> Iterator[pa.RecordBatch]:
+    """doc_id, row, text -> doc_id, row, node, shingles, print."""
+    for batch in batches:
+        nodes, counts, prints = [], [], []
+        for text in texts(batch):
+            found = np.unique(shingle_hashes(text, size))
+            nodes.append(node_of(found))
+            counts.append(len(found))
+            prints.append(print_of(text))
+        columns = [pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.array(np.array(prints, np.uint64).view(np.int64))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "row", "node", "shingles", "print"])
+
+
+def emit_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [np.unique(shingle_hashes(x, size)).tobytes() for x in texts(batch)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(sets, pa.binary())], ["key", "blocks", "node", "payload"])
+
+
+def payload_links(batches: Iterator[pa.RecordBatch], near_of) -> Iterator[pa.RecordBatch]:
+    """Batches of (key, i, j, node, payload), sorted -> a, b: a spanning forest of each group's near nodes.
+
+    near_of(payloads) gives near(rest, x) on positions. A group may run over several batches.
+    """
+
+    def links(held: list[tuple[np.ndarray, list[bytes]]]) -> pa.RecordBatch:
+        nodes, first = np.unique(np.concatenate([n for n, _ in held]), return_index=True)
+        payloads = [p for _, ps in held for p in ps]
+        left, right = spanning(np.arange(len(nodes)), near_of([payloads[k] for k in first])) if len(nodes) > 1 else ([], [])
+        ends = [nodes[np.concatenate(x)] if x else np.empty(0, np.int64) for x in (left, right)]
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ends], ["a", "b"])
+
+    held: list[tuple[np.ndarray, list[bytes]]] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key, i, j, node = (batch.column(k).to_numpy() for k in range(4))
+        payload = batch.column(4).to_pylist()
+        edges = np.flatnonzero((np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
+        bounds = [0, *edges.tolist(), batch.num_rows]
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            this = (key[a], i[a], j[a])
+            if this != last and held:
+                yield links(held)
+                held = []
+            last = this
+            held.append((node[a:b], payload[a:b]))
+    if held:
+        yield links(held)
+
+
+def near_sets(payloads: list[bytes]):
+    """near(rest, x): which sets have a Jaccard similarity of LEAST or more with set x. Exact, in whole numbers."""
+    sizes = np.array([len(p) // 8 for p in payloads], np.int64)
+    _, places = np.unique(np.frombuffer(b"".join(payloads), np.uint64), return_inverse=True)
+    starts = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=starts[1:])
+    mark = np.zeros(int(places.max(initial=0)) + 1, bool)
+    above, below = LEAST
+
+    def near(rest: np.ndarray, x: np.int64) -> np.ndarray:
+        own = places[starts[x] : starts[x + 1]]
+        hit = below * np.minimum(sizes[rest], len(own)) >= above * np.maximum(sizes[rest], len(own))
+        mark[own] = True
+        for k in np.flatnonzero(hit).tolist():
+            both = int(np.count_nonzero(mark[places[starts[rest[k]] : starts[rest[k] + 1]]]))
+            hit[k] = below * both >= above * (len(own) + int(sizes[rest[k]]) - both)
+        mark[own] = False
+        return hit
+
+    return near
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """key, blocks, node, payload -> key, i, j, node, payload: groups of two blocks at most, as bucket_links deals them."""
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    out = rows.select("key", "node", "payload", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    out = out.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "payload")
+    return out.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
+def verified_roots(docs: DataFrame, printed: DataFrame, candidates: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """node, root for each node: nodes are linked where the Jaccard similarity of their sets is LEAST or more.
+
+    printed: row (xxhash64 of doc_id and text), node, shingles. Candidates a, b only say which nodes are compared:
+    all pairs within each of their components, since links can't lead out of one. A set moves once, more often only
+    where its component is of more than one block.
+    """
+    groups = cut(components(candidates))
+    of = printed.groupBy("node").agg(F.min("row").alias("row"), F.min("shingles").alias("shingles")).join(groups, "node")
+    blocks = groups.join(of.select("node", "shingles"), "node").groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    chosen = of.select("row", "node", "root").join(blocks, "root")
+    held = docs.select(F.xxhash64(F.col("doc_id"), F.col("text")).alias("row"), "text").join(chosen, "row").dropDuplicates(["node"])
+    sets = held.select(F.col("root").alias("key"), "blocks", "node", "text").mapInArrow(lambda it: emit_sets(it, size), "key long, blocks int, node long, payload binary")
+    links = dealt(sets).mapInArrow(lambda it: payload_links(it, near_sets), "a long, b long")
+    return printed.select("node").distinct().join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+
+
+def print_docs(docs: DataFrame, size: int, print_of) -> DataFrame:
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), "text")
+    return cut(rows.mapInArrow(lambda it: print_sets(it, size, print_of), "doc_id long, row long, node long, shingles long, print long"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))

@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import minhash
 from .common import cut, table
 from .components import bucket_links, components
 from .lines import texts
@@ -194,12 +195,30 @@ def near_groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return printed.join(of, "node").select("doc_id", F.lpad(F.lower(F.hex("node")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def same_print(printed: DataFrame, links: DataFrame) -> DataFrame:
+    """Links between fingerprints -> links a, b between nodes, and of nodes with one fingerprint, through its least node."""
+    pairs = printed.select("print", "node").distinct()
+    lead = cut(pairs.groupBy("print").agg(F.min("node").alias("lead")))
+    same = pairs.join(lead, "print").where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))
+    left = links.join(lead.select(F.col("print").alias("a"), F.col("lead").alias("x")), "a")
+    both = left.join(lead.select(F.col("print").alias("b"), F.col("lead").alias("y")), "b")
+    return same.unionByName(both.select(F.col("x").alias("a"), F.col("y").alias("b")))
+
+
+def copy_candidates(printed: DataFrame, distance: int) -> DataFrame:
+    keys = printed.select(F.col("print").alias("node")).distinct().mapInArrow(lambda it: emit_keys(it, wide_keys), "key long, node long")
+    links = bucket_links(keys, partial(near, distance=distance), lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= distance)
+    return same_print(printed, links)
+
+
 def keep_one(docs: DataFrame, size: int = WIDE_SHINGLE, distance: int = WIDE_DISTANCE) -> DataFrame:
     """The documents' columns, for one document of each group of near copies: the first by doc_id, null ids last.
 
-    Of repeated rows one stays. Texts without words are one group. Links are those that wide_keys find.
+    Of repeated rows one stays. Texts without words are one group. Fingerprints within distance are candidates only:
+    a link is kept where the Jaccard similarity of the shingle sets is 0.8 or more.
     """
-    printed, roots = linked_rows(docs, size, distance, wide_keys)
+    printed = minhash.print_docs(docs, size, partial(fingerprint, size=size))
+    roots = minhash.verified_roots(docs, printed, copy_candidates(printed, distance), size)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
     ahead = printed.groupBy("node").agg(first).join(roots, "node").groupBy("root").agg(F.min("first").alias("first"))
     winners = cut(ahead.select(F.col("first.row").alias("__row")))

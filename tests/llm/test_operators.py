@@ -285,6 +285,45 @@ def test_hot_buckets_in_blocks(spark):
     assert got == {(1 << k) - 1: 0 for k in range(40)} | {5: 0}
 
 
+def jaccard_roots(texts):
+    """Brute force: for each text the least position that pairs of Jaccard similarity 0.8 or more lead to."""
+
+    def shingles(text):
+        words = (text or "").encode().lower().split()
+        return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+    sets = [shingles(t) for t in texts]
+    root, holders = list(range(len(texts))), {}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a, own in enumerate(sets):
+        shared = {}
+        for x in own or {()}:
+            for b in holders.setdefault(x, []):
+                shared[b] = shared.get(b, 0) + 1
+            holders[x].append(a)
+        for b, both in shared.items():
+            if not own or 5 * both >= 4 * (len(own) + len(sets[b]) - both):
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    return [find(k) for k in range(len(texts))]
+
+
+def test_no_document_is_dropped_on_bits_alone(spark):
+    """Texts of one shingle set's size whose fingerprints are near or equal, but whose shingles aren't."""
+    rows = [(k, f"only{k} w x y z") for k in range(40)] + [(40, "a b c d e"), (41, "A  b c d\ne")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    printed = minhash.print_docs(docs, 5, lambda _: 7)  # one fingerprint for all
+    roots = minhash.verified_roots(docs, printed, simhash.copy_candidates(printed, 10)).collect()
+    assert len({r.root for r in roots}) == len(roots) == 41
+    docs = table(spark, "/root/testdata/sf0.1", "documents").where("doc_id in (2510, 595, 7921, 718)")
+    assert simhash.keep_one(docs).count() == 4
+
+
 # ---- learnt models
 
 
