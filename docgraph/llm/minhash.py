@@ -29,6 +29,8 @@ A = _random.randint(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) +
 B = _random.randint(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2)
 BLOCK = 2048
 LEAST = (4, 5)  #: The Jaccard similarity of near copies: 0.8.
+BANDS, ROWS = 32, 4  #: A pair of similarity 0.8 shares no band with a chance of (1 - 0.8^4)^32 = 5e-8.
+ROUGH = 77  #: Equal minima of 128 in a candidate: fewer have a chance of about 1e-7 at similarity 0.8.
 BLOCK_SETS, BLOCK_SHINGLES = 2048, 1 << 21
 
 
@@ -148,16 +150,17 @@ def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
 
 
 def print_sets(batches: Iterator[pa.RecordBatch], size: int, print_of) -> Iterator[pa.RecordBatch]:
-    """doc_id, row, text -> doc_id, row, node, shingles, print."""
+    """doc_id, row, text -> doc_id, row, node, shingles, print, minima."""
     for batch in batches:
-        nodes, counts, prints = [], [], []
+        nodes, counts, prints, minima = [], [], [], []
         for text in texts(batch):
             found = np.unique(shingle_hashes(text, size))
             nodes.append(node_of(found))
             counts.append(len(found))
             prints.append(print_of(text))
-        columns = [pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.array(np.array(prints, np.uint64).view(np.int64))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "row", "node", "shingles", "print"])
+            minima.append(signature(found >> np.uint64(32)).tobytes())
+        columns = [pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(minima, pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "row", "node", "shingles", "print", "minima"])
 
 
 def emit_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -229,6 +232,37 @@ def dealt(rows: DataFrame) -> DataFrame:
     return out.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
+def emit_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, minima -> key, node: a key for each band."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        minima = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, BANDS, ROWS).astype(np.uint64)
+        mixed = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), minima.shape[:2]) * np.uint64(0xD6E8FEB86659FD93)
+        for k in range(ROWS):
+            mixed = (mixed ^ minima[:, :, k]) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(32)
+        yield pa.RecordBatch.from_arrays([pa.array(mixed.reshape(-1).view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], ["key", "node"])
+
+
+def near_sketches(payloads: list[bytes]):
+    """near(rest, x): which have at least ROUGH minima whose low bytes are equal to those of x."""
+    sketches = np.frombuffer(b"".join(payloads), np.uint8).reshape(-1, PERMUTATIONS)
+    return lambda rest, x: (sketches[rest] == sketches[x]).sum(axis=1) >= ROUGH
+
+
+def band_candidates(printed: DataFrame) -> DataFrame:
+    """Links a, b: within every band's bucket a spanning forest of the nodes that agree in ROUGH minima. Every pair of
+    similarity 0.8 or more is connected, but for the chances at BANDS and ROUGH. A node without shingles has no band."""
+    nodes = cut(printed.where("shingles > 0").select("node", "minima").dropDuplicates(["node"]))
+    keys = nodes.mapInArrow(emit_bands, "key long, node long")
+    blocks = cut(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")).select("key", F.ceil(F.col("n") / BLOCK_SETS).cast("int").alias("blocks"))
+    met = cut(keys.join(blocks, "key"))
+    sketch = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(PERMUTATIONS - 1)), lambda k: F.substring(F.hex("minima"), k * 8 + 1, F.lit(2))), "")).alias("payload")
+    rows = met.join(nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", sketch), "node")
+    return dealt(rows).mapInArrow(lambda it: payload_links(it, near_sketches), "a long, b long")
+
+
 def verified_roots(docs: DataFrame, printed: DataFrame, candidates: DataFrame, size: int = SHINGLE) -> DataFrame:
     """node, root for each node: nodes are linked where the Jaccard similarity of their sets is LEAST or more.
 
@@ -248,7 +282,7 @@ def verified_roots(docs: DataFrame, printed: DataFrame, candidates: DataFrame, s
 
 def print_docs(docs: DataFrame, size: int, print_of) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), "text")
-    return cut(rows.mapInArrow(lambda it: print_sets(it, size, print_of), "doc_id long, row long, node long, shingles long, print long"))
+    return cut(rows.mapInArrow(lambda it: print_sets(it, size, print_of), "doc_id long, row long, node long, shingles long, print long, minima binary"))
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,8 @@ Fingerprints that differ in at most 4 bits are linked. Candidates share a key:
 A candidate pair is linked only after its distance is verified.
 
 Copies with edits differ in more bits. `wide_keys` serve a larger distance with good, not full, recall: for each of
-COMBOS fixed selections of bits, EXACT bits as they are with each member of K of 23 others.
+COMBOS fixed selections of bits, EXACT bits as they are with each member of K of 23 others. `keep_one` takes what they
+find and what MinHash bands find as candidates, and decides by the exact Jaccard similarity.
 """
 
 from __future__ import annotations
@@ -208,14 +209,14 @@ def same_print(printed: DataFrame, links: DataFrame) -> DataFrame:
 def copy_candidates(printed: DataFrame, distance: int) -> DataFrame:
     keys = printed.select(F.col("print").alias("node")).distinct().mapInArrow(lambda it: emit_keys(it, wide_keys), "key long, node long")
     links = bucket_links(keys, partial(near, distance=distance), lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= distance)
-    return same_print(printed, links)
+    return same_print(printed, links).unionByName(minhash.band_candidates(printed))
 
 
 def keep_one(docs: DataFrame, size: int = WIDE_SHINGLE, distance: int = WIDE_DISTANCE) -> DataFrame:
     """The documents' columns, for one document of each group of near copies: the first by doc_id, null ids last.
 
-    Of repeated rows one stays. Texts without words are one group. Fingerprints within distance are candidates only:
-    a link is kept where the Jaccard similarity of the shingle sets is 0.8 or more.
+    Of repeated rows one stays. Texts without words are one group. Fingerprints within distance and MinHash bands give
+    candidates only: a link is kept where the Jaccard similarity of the shingle sets is 0.8 or more.
     """
     printed = minhash.print_docs(docs, size, partial(fingerprint, size=size))
     roots = minhash.verified_roots(docs, printed, copy_candidates(printed, distance), size)

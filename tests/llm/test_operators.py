@@ -324,6 +324,31 @@ def test_no_document_is_dropped_on_bits_alone(spark):
     assert simhash.keep_one(docs).count() == 4
 
 
+def edited_copies(seed=5):
+    """Texts with copies at similarities around 0.8, chains of edits and unrelated texts."""
+    rng = random.Random(seed)
+    words = [f"w{k}" for k in range(3000)]
+    out = []
+    for _ in range(60):
+        base = [rng.choice(words) for _ in range(rng.randint(60, 300))]
+        out.append(" ".join(base))
+        for _ in range(rng.randint(0, 5)):
+            base = list(base) if rng.random() < 0.5 else out[-1].split()
+            for _ in range(rng.randint(0, max(1, len(base) // 35))):
+                base[rng.randrange(len(base))] = rng.choice(words)
+            out.append(" ".join(base))
+    rng.shuffle(out)
+    return out
+
+
+def test_near_copies_against_brute_force(spark):
+    found = edited_copies()
+    kept = simhash.keep_one(spark.createDataFrame(list(enumerate(found)), "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(jaccard_roots(found)))
+    docs = table(spark, "/root/testdata/sf0.1", "documents").where("doc_id in (1, 9622, 4, 205)")
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == [1, 4]
+
+
 # ---- learnt models
 
 
