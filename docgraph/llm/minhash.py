@@ -4,6 +4,9 @@ Words are runs of anything but ASCII white space, A-Z lower-cased; a shingle is
 one shingle, a text without words has none. Each of PERMUTATIONS universal hashes h(x) = (a x + b mod 2^64) >> 32 of
 the 32-bit shingle keys keeps its minimum. The likeness of two fingerprints, the share of equal minima, estimates
 the Jaccard similarity of the shingle sets.
+
+Near copies: bands of the minima are joined, and a candidate is linked only where the exact Jaccard similarity of the
+shingle sets is 0.8 or more.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ LEAST = (4, 5)  #: The Jaccard similarity of near copies: 0.8.
 BANDS, ROWS = 32, 4  #: A pair of similarity 0.8 shares no band with a chance of (1 - 0.8^4)^32 = 5e-8.
 ROUGH = 77  #: Equal minima of 128 in a candidate: fewer have a chance of about 1e-7 at similarity 0.8.
 BLOCK_SETS, BLOCK_SHINGLES = 2048, 1 << 21
+MOST_BROADCAST = 500_000
 
 
 class WordHashes(dict):
@@ -91,11 +95,12 @@ def fingerprint(of: np.ndarray) -> str:
     return of.astype(">u2").tobytes().hex()
 
 
-def placed(docs: DataFrame, parts: int) -> DataFrame:
-    """doc_id, text, borrowed in partitions of contiguous ids, sorted; the row that follows a partition's last
+def placed(docs: DataFrame, parts: int, labels: DataFrame | None = None) -> DataFrame:
+    """doc_id, text, borrowed, node, component_id in partitions of contiguous ids, sorted; the row that follows a partition's last
     document (after the last of all: the first) is there once more, borrowed, as the last row.
 
     Cut points are quantiles of the ids, found from the ids alone; the text moves once. Null ids come first.
+    labels (doc_id, node, component_id): such rows, with null text, come before their id's documents.
     """
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
     cuts = sorted({int(x) for x in ids.dropna().approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.25 / parts)}) if parts > 1 else []
@@ -114,27 +119,39 @@ def placed(docs: DataFrame, parts: int) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     own = rows.select("doc_id", "text", F.lit(False).alias("borrowed"), part.cast("int").alias("part"))
     borrowed = rows.join(F.broadcast(lent), F.col("doc_id").eqNullSafe(F.col("first_id"))).select("doc_id", "text", F.lit(True).alias("borrowed"), F.col("lent_to").alias("part"))
-    return own.unionByName(borrowed).repartitionById(parts, F.col("part")).sortWithinPartitions("borrowed", F.col("doc_id").asc_nulls_first(), "text").select("doc_id", "text", "borrowed")
+    none = {"node": F.lit(None).cast("long"), "component_id": F.lit(None).cast("long")}
+    all_rows = own.unionByName(borrowed).withColumns(none)
+    if labels is not None:
+        all_rows = all_rows.unionByName(labels.select("doc_id", F.lit(None).cast("string").alias("text"), F.lit(False).alias("borrowed"), part.cast("int").alias("part"), "node", "component_id"))
+    return all_rows.repartitionById(parts, F.col("part")).sortWithinPartitions("borrowed", F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()).select("doc_id", "text", "borrowed", "node", "component_id")
 
 
 FINGERPRINTS = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+GROUPED = FINGERPRINTS + ", component_id long"
 
 
 def compare_with_next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [x.split()[0] for x in FINGERPRINTS.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    names = [x.split()[0] for x in GROUPED.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()]
     before = None
+    labels, labels_of = {}, None
     for batch in batches:
         out = []
-        for doc, text, borrowed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            own = signature(shingle_keys(text.encode()))
+        for doc, text, borrowed, node, component in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if text is None:
+                if doc != labels_of:
+                    labels, labels_of = {}, doc
+                labels[node] = component
+                continue
+            shingles = np.unique(shingle_hashes(text.encode()))
+            own = signature(shingles >> np.uint64(32))
             if before is not None and not before[3]:
-                last_id, last, last_own, _ = before
+                last_id, last, last_own, _, last_component = before
                 k = len(last) // 4
                 edited = (last[: len(last) - k] + text[:k]).encode()
                 changed = signature(shingle_keys(edited))
-                out.append((last_id, len(last), sha256(edited).hexdigest(), fingerprint(last_own), fingerprint(changed), likeness(last_own, changed), likeness(last_own, own)))
-            before = (doc, text, own, borrowed)
+                out.append((last_id, len(last), sha256(edited).hexdigest(), fingerprint(last_own), fingerprint(changed), likeness(last_own, changed), likeness(last_own, own), last_component))
+            before = (doc, text, own, borrowed, labels.get(node_of(shingles)) if doc == labels_of else None)
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
@@ -146,11 +163,29 @@ def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
     first; repeated rows follow each other. The only document is its own next one. Empty table: empty result.
     """
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return placed(docs, parts).mapInArrow(compare_with_next, FINGERPRINTS)
+    return placed(docs, parts).mapInArrow(compare_with_next, GROUPED).drop("component_id")
+
+
+def fingerprints_and_groups(docs: DataFrame, parts: int | None = None) -> DataFrame:
+    """As fingerprints, and component_id as of near_duplicates."""
+    parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    printed, groups = near_groups(docs)
+    labels = printed.select("doc_id", "node").distinct().join(groups, "node")
+    return placed(docs, parts, labels).mapInArrow(compare_with_next, GROUPED)
+
+
+def bands_of(minima: list[np.ndarray]) -> list[bytes]:
+    """A 32-bit hash for each band. Equal hashes of unequal bands only add candidates."""
+    parts = np.array(minima, np.uint64).reshape(-1, BANDS, ROWS)
+    mixed = np.zeros(parts.shape[:2], np.uint64)
+    for k in range(ROWS):
+        mixed = (mixed ^ parts[:, :, k]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(32)
+    return [x.tobytes() for x in mixed.astype(np.uint32)]
 
 
 def print_sets(batches: Iterator[pa.RecordBatch], size: int, print_of) -> Iterator[pa.RecordBatch]:
-    """doc_id, row, text -> doc_id, row, node, shingles, print, minima."""
+    """doc_id, row, text -> doc_id, row, node, shingles, print, bands, sketch."""
     for batch in batches:
         nodes, counts, prints, minima = [], [], [], []
         for text in texts(batch):
@@ -158,9 +193,9 @@ def print_sets(batches: Iterator[pa.RecordBatch], size: int, print_of) -> Iterat
             nodes.append(node_of(found))
             counts.append(len(found))
             prints.append(print_of(text))
-            minima.append(signature(found >> np.uint64(32)).tobytes())
-        columns = [pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(minima, pa.binary())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "row", "node", "shingles", "print", "minima"])
+            minima.append(signature(found >> np.uint64(32)))
+        columns = [pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(bands_of(minima), pa.binary()), pa.array([x.astype(np.uint8).tobytes() for x in minima], pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "row", "node", "shingles", "print", "bands", "sketch"])
 
 
 def emit_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -233,16 +268,11 @@ def dealt(rows: DataFrame) -> DataFrame:
 
 
 def emit_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """node, minima -> key, node: a key for each band."""
+    """node, bands -> key, node: a key for each band, its number before its hash."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        minima = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, BANDS, ROWS).astype(np.uint64)
-        mixed = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), minima.shape[:2]) * np.uint64(0xD6E8FEB86659FD93)
-        for k in range(ROWS):
-            mixed = (mixed ^ minima[:, :, k]) * np.uint64(0x9E3779B97F4A7C15)
-            mixed ^= mixed >> np.uint64(32)
-        yield pa.RecordBatch.from_arrays([pa.array(mixed.reshape(-1).view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], ["key", "node"])
+        hashed = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, BANDS).astype(np.int64)
+        keys = hashed | np.arange(BANDS, dtype=np.int64) << 32
+        yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], ["key", "node"])
 
 
 def near_sketches(payloads: list[bytes]):
@@ -254,12 +284,13 @@ def near_sketches(payloads: list[bytes]):
 def band_candidates(printed: DataFrame) -> DataFrame:
     """Links a, b: within every band's bucket a spanning forest of the nodes that agree in ROUGH minima. Every pair of
     similarity 0.8 or more is connected, but for the chances at BANDS and ROUGH. A node without shingles has no band."""
-    nodes = cut(printed.where("shingles > 0").select("node", "minima").dropDuplicates(["node"]))
-    keys = nodes.mapInArrow(emit_bands, "key long, node long")
-    blocks = cut(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")).select("key", F.ceil(F.col("n") / BLOCK_SETS).cast("int").alias("blocks"))
-    met = cut(keys.join(blocks, "key"))
-    sketch = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(PERMUTATIONS - 1)), lambda k: F.substring(F.hex("minima"), k * 8 + 1, F.lit(2))), "")).alias("payload")
-    rows = met.join(nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", sketch), "node")
+    banded = printed.where("shingles > 0")
+    keys = banded.select("node", "bands").mapInArrow(emit_bands, "key long, node long")
+    several = cut(keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("key"))
+    met = cut(keys.join(several, "key").distinct())
+    blocks = met.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
+    sketches = banded.select("node", F.col("sketch").alias("payload")).join(met.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    rows = met.join(blocks, "key").join(sketches, "node")
     return dealt(rows).mapInArrow(lambda it: payload_links(it, near_sketches), "a long, b long")
 
 
@@ -273,7 +304,9 @@ def verified_roots(docs: DataFrame, printed: DataFrame, candidates: DataFrame, s
     groups = cut(components(candidates))
     of = printed.groupBy("node").agg(F.min("row").alias("row"), F.min("shingles").alias("shingles")).join(groups, "node")
     blocks = groups.join(of.select("node", "shingles"), "node").groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    chosen = of.select("row", "node", "root").join(blocks, "root")
+    chosen = cut(of.select("row", "node", "root").join(blocks, "root"))
+    if chosen.count() <= MOST_BROADCAST:  # the texts that aren't chosen needn't move
+        chosen = F.broadcast(chosen)
     held = docs.select(F.xxhash64(F.col("doc_id"), F.col("text")).alias("row"), "text").join(chosen, "row").dropDuplicates(["node"])
     sets = held.select(F.col("root").alias("key"), "blocks", "node", "text").mapInArrow(lambda it: emit_sets(it, size), "key long, blocks int, node long, payload binary")
     links = dealt(sets).mapInArrow(lambda it: payload_links(it, near_sets), "a long, b long")
@@ -282,8 +315,25 @@ def verified_roots(docs: DataFrame, printed: DataFrame, candidates: DataFrame, s
 
 def print_docs(docs: DataFrame, size: int, print_of) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), "text")
-    return cut(rows.mapInArrow(lambda it: print_sets(it, size, print_of), "doc_id long, row long, node long, shingles long, print long, minima binary"))
+    return cut(rows.mapInArrow(lambda it: print_sets(it, size, print_of), "doc_id long, row long, node long, shingles long, print long, bands binary, sketch binary"))
+
+
+def near_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, row, node, ...), a row per document, and node, component_id for each node."""
+    printed = print_docs(docs, SHINGLE, lambda _: 0)
+    roots = cut(verified_roots(docs, printed, band_candidates(printed)).join(printed.groupBy("node").agg(F.min("doc_id").alias("least")), "node"))
+    return printed, roots.join(roots.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, component_id: the smallest doc_id that links lead to, itself included; null where all its ids are.
+
+    Documents are linked where the Jaccard similarity of their sets of five-word shingles is 0.8 or more. Candidates
+    share a band of minima. Texts without words are one group. Input and empty table: as for fingerprints.
+    """
+    printed, groups = near_groups(docs)
+    return printed.join(groups, "node").select("doc_id", "component_id")
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints(table(spark, sf_dir, "documents"))
+    return fingerprints_and_groups(table(spark, sf_dir, "documents"))

@@ -217,6 +217,24 @@ def test_minhash_estimates_jaccard():
         assert (hashed == minhash.signature(a)).all()
 
 
+def test_near_duplicates_against_brute_force(spark, odd, empty):
+    found = [*edited_copies(6), "", " \n", "a b", "A b", None]
+    want = jaccard_roots(found)
+    rows = list(enumerate(found))
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == list(enumerate(want))
+    assert len(set(want)) < len({x for x in found if x})
+    assert minhash.near_duplicates(odd).count() == len(ODD)
+    assert minhash.near_duplicates(empty).count() == 0
+    docs = table(spark, FOLDER, "documents").select("doc_id", "text").orderBy("doc_id").collect()
+    ids = [r.doc_id for r in docs]
+    marked = minhash.fingerprints_and_groups(odd, 3)
+    assert sorted(map(tuple, marked.drop("component_id").collect()), key=repr) == sorted(map(tuple, minhash.fingerprints(odd, 3).collect()), key=repr)
+    assert sorted((r.doc_id or 0, r.n_chars, r.component_id) for r in marked.collect() if r.n_chars < 100) == [(0, 0, 2), (0, 17, None), (1, 25, 1), (1, 25, 1), (2, 0, 2), (3, 0, 2), (5, 5, 2), (6, 8, 6)]
+    whole = minhash.op10_fingerprints(spark, FOLDER).collect()
+    assert sorted((r.doc_id, r.component_id) for r in whole) == sorted(zip(ids, [ids[k] for k in jaccard_roots([r.text for r in docs])], strict=True))
+
+
 # ---- simhash
 
 
