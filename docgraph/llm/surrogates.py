@@ -31,12 +31,12 @@ PATTERNS = {
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}(?!\w)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\w)|(?<![\w.+-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "access_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "secret": r"(?<=(?:password|passwd|secret|token|api_key|apikey)\s{0,2}[=:]\s{0,2}[\"']?)[^\s\"',;=:][^\s\"',;]{5,127}",
+    "secret": r"(?<=(?i:password|passwd|secret|token|api_key|apikey)\s{0,2}[=:]\s{0,2}[\"']?)[^\s\"',;=:][^\s\"',;]{5,}",
     "person": rf"(?<!\w)(?:{ALL_TITLES})\.? \p{{Lu}}\p{{L}}+(?:[ -]\p{{Lu}}\p{{L}}+){{0,2}}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A cheap necessary condition, so that most texts never meet the whole expression.
-HINT = rf"@|\d|password|passwd|secret|token|api_?key|(?:{ALL_TITLES})\.? \p{{Lu}}"
+HINT = rf"@|\d|(?i:password|passwd|secret|token|api_?key)|(?:{ALL_TITLES})\.? \p{{Lu}}"
 SYLLABLES = {
     "latin": ["ba", "ce", "di", "fo", "gu", "ha", "je", "ki", "lo", "mu", "na", "pe", "ri", "so", "tu", "va", "we", "xi", "yo", "zu"],
     "cyrillic": ["ба", "ве", "ги", "до", "жу", "за", "ке", "ли", "мо", "ну", "па", "ре", "си", "то", "фу", "ха", "це", "чи", "шо", "лу"],

@@ -515,6 +515,18 @@ def test_surrogates_stay_distinct(spark):
     assert not {r.surrogate for r in got} & {c for _, c in rows}
 
 
+def test_long_and_upper_case_secrets(spark):
+    long = "".join("abcdefghijklmnopqrstuvwxyzABCDEFGHIJ"[k * k % 36] for k in range(300))
+    rows = [(1, f"token={long} end"), (2, 'TOKEN = "QWERTYUIOPASDFGH" end'), (3, "Password: hunterhunter end"), (4, "API_KEY=zxcvbnmasdf end"), (5, "no token here")]
+    got = {r.doc_id: r for r in surrogates.replace_entities(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[k].n_entities for k in range(1, 6)] == [1, 1, 1, 1, 0]
+    assert long[128:] not in got[1].text
+    assert len(got[1].text) == len(rows[0][1])
+    for k, secret in ((2, "QWERTYUIOPASDFGH"), (3, "hunterhunter"), (4, "zxcvbnmasdf")):
+        assert secret not in got[k].text
+        assert got[k].text.endswith(" end")
+
+
 # ---- pipeline
 
 
