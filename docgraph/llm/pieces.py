@@ -5,6 +5,11 @@ bounded length, those are equi-joined to the piece table, the matches are groupe
 a fold with Spark's higher-order aggregate picks the path. The encodings return to the texts by group: a group is a
 block of rows of one input file, its dictionary holds the encodings of just its words, in the shared folder.
 
+Words move as one string for each group and part, in order, and only their ids come back, in that order. A part is a
+share of all words by their hash, and there are as many parts as keep the words of one in little memory. A word of more than LIMIT characters without a place where it
+can be cut isn't exploded, since the fold's work grows with the square of a word: the task that assembles its text
+merges it, by the same rules, with a heap.
+
 The fold follows the model's type. A unigram model takes the path of the highest sum of scores (Viterbi). For a BPE
 model that sum gives other pieces than SentencePiece does, so its lattice is folded in merge order instead: edges by
 falling score, then from the left, and an edge is taken if it spans exactly two of the symbols so far. One pass is
@@ -15,9 +20,12 @@ with pieces that share a score are folded step by step, the best possible edge e
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
+from heapq import heapify, heappop, heappush
 from os.path import commonprefix
 
 import numpy as np
@@ -34,21 +42,23 @@ from .common import cut, scratch, table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "\u2581"
 UNIGRAM, BPE = 1, 2
-#: A lattice edge is one long: unknown, rank, start, length, id. LIMIT is far above any word that has a safe cut.
-RANK_BITS, START_BITS, LENGTH_BITS, ID_BITS = 18, 17, 5, 18
-LAST = 1 << (RANK_BITS + START_BITS + LENGTH_BITS + ID_BITS)
-UNKNOWN = LAST + (1 << ID_BITS) - 1  # with an id that no piece has
-#: With more ranks than so many that pieces share, every word is folded step by step.
+#: A symbol is one long: where it ends, counted from 0, and its id. An edge is one while it is sorted: rank, start, symbol.
+PLACE_BITS, ID_BITS = 10, 18
+NO_PIECE = (1 << ID_BITS) - 1  #: The id of a character that is no piece.
+GONE = ((1 << PLACE_BITS) - 1) << ID_BITS  #: Stands where no symbol begins; it ends behind every word.
+#: With more pieces than so many that share a score, every word is folded step by step.
 MOST_TIED = 16
-LONG_WORD, LIMIT = 48, 1 << 16
-#: Rows of a file that share a dictionary; dictionaries are dealt over so many folders.
+LONG_WORD, LIMIT = 48, 512
+#: Rows of a file that share a dictionary; a folder for every dictionary, up to so many folders.
 GROUP_BITS = 13
-BUCKETS = 64
+MOST_FOLDERS = 100_000
+#: Documents for each part of the words, some 25,000 distinct ones, up to so many parts. Lattices are grouped in hash
+#: tables of up to HASHED_WORDS words a task before sorting takes over.
+PART_DOCS, MOST_PARTS = 1500, 50_000
+HASHED_WORDS = 60_000
 #: So many of the most frequent words of a sample of about SAMPLE_DOCS documents are encoded first and held by every
 #: task; the other words, all of them, go to the dictionaries of groups.
 FREQUENT, SAMPLE_DOCS = 200_000, 10_000
-#: Lattices are grouped in hash tables of up to so many words a task before sorting takes over.
-HASHED_WORDS = 150_000
 
 
 @dataclass
@@ -77,10 +87,11 @@ class Model:
         order = {s: k for k, s in enumerate(sorted({self.scores[k] for k in self.ids.values()}, reverse=True))}
         self.ranks = {p: order[self.scores[k]] for p, k in self.ids.items()}
         counts = np.bincount([r for p, r in self.ranks.items() if len(p) > 1], minlength=len(order)) if self.ids else []
-        self.tied = {r for r, n in enumerate(counts) if n > 1}
-        self.tied_prefix = commonprefix([p for p, r in self.ranks.items() if len(p) > 1 and r in self.tied])
+        several = {r for r, n in enumerate(counts) if n > 1}
+        self.tied = {self.ids[p] for p, r in self.ranks.items() if len(p) > 1 and r in several}
+        self.tied_prefix = commonprefix([self.pieces[k] for k in self.tied])
         self.inner = frozenset(p[k : k + 2] for p in self.ids for k in range(len(p) - 1))
-        assert self.longest < 1 << LENGTH_BITS and len(self.pieces) < 1 << ID_BITS and len(order) < 1 << RANK_BITS
+        assert len(self.pieces) < NO_PIECE and LIMIT < 1 << PLACE_BITS
         assert not any(SPACE in p.lstrip(SPACE) for p in self.ids), "a piece reaches across words"
         if self.kind == BPE:
             self.in_order = all(self.merges_in_order(p) for p in self.ids if len(p) > 1)
@@ -101,6 +112,51 @@ class Model:
             k = best[1]
             symbols[k : k + 2] = [symbols[k] + symbols[k + 1]]
 
+    def symbols(self, word: str) -> list[str]:
+        """As merge, of a word of any length, with a heap of the possible merges."""
+        parts, after, before = list(word), list(range(1, len(word) + 1)), list(range(-1, len(word) - 1))
+        heap = [(self.ranks[a + b], k, a + b) for k, (a, b) in enumerate(zip(word, word[1:], strict=False)) if a + b in self.ranks]
+        heapify(heap)
+
+        def offer(k: int) -> None:
+            if k >= 0 and after[k] < len(word) and (rank := self.ranks.get(both := parts[k] + parts[after[k]])) is not None:
+                heappush(heap, (rank, k, both))
+
+        while heap:
+            _, k, both = heappop(heap)
+            if not parts[k] or after[k] >= len(word) or parts[k] + parts[after[k]] != both:
+                continue  # one of its halves was merged meanwhile
+            gone = after[k]
+            parts[k], parts[gone], after[k] = both, "", after[gone]
+            if after[k] < len(word):
+                before[after[k]] = k
+            offer(before[k])
+            offer(k)
+        return [x for x in parts if x]
+
+    def best_path(self, word: str) -> list[str]:
+        """The path of the highest sum of scores, as viterbi_fold takes it."""
+        least = min((self.scores[k] for k in self.ids.values()), default=0.0) - 10
+        best = [(0.0, 0)]
+        for end in range(1, len(word) + 1):
+            found = [(best[end - n][0] + self.scores[self.ids[p]], n) for n in range(1, min(end, self.longest) + 1) if (p := word[end - n : end]) in self.ids]
+            best.append(max(found, default=(0.0, 0)) if word[end - 1] in self.ids else max([*found, (best[end - 1][0] + least, 1)]))
+        out, end = [], len(word)
+        while end:
+            out.append(word[end - best[end][1] : end])
+            end -= best[end][1]
+        return out[::-1]
+
+    def encode_long(self, word: str) -> bytes:
+        """The ids of a word of more than LIMIT characters."""
+        out: list[int] = []
+        for x in self.best_path(word) if self.kind == UNIGRAM else self.symbols(word):
+            if x in self.ids:
+                out.append(self.ids[x])
+            else:
+                out += [self.byte_ids[b] for b in x.encode()] if set(self.byte_ids) != {self.unknown} else [self.unknown]
+        return np.array(out, "<i4").tobytes()
+
     def merges_in_order(self, piece: str) -> bool:
         symbols, last = list(piece), -1
         while len(symbols) > 1:
@@ -173,7 +229,7 @@ class Cutter:
         """Cuts where two characters stand side by side in no piece."""
         out, begin = [], 0
         for k in range(1, len(word)):
-            if word[k - 1 : k + 1] not in self.inner or k - begin >= LIMIT:
+            if word[k - 1 : k + 1] not in self.inner:
                 out.append(word[begin:k])
                 begin = k
         return [*out, word[begin:]]
@@ -216,114 +272,106 @@ class Cutter:
 
 
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
-    """piece, id, score, packed (rank and id of its edges): a row per normal piece; the vocabulary bounds its size."""
-    low = START_BITS + LENGTH_BITS + ID_BITS
-    rows = [(p, k, model.scores[k], (model.ranks[p] << low) + k) for p, k in model.ids.items()]
-    return spark.createDataFrame(rows, "piece string, id int, score double, packed long")
+    """known (a piece), id, score, rank, hash: a row per normal piece; the vocabulary bounds its size."""
+    rows = [(p, k, model.scores[k], model.ranks[p]) for p, k in model.ids.items()]
+    return spark.createDataFrame(rows, "known string, id int, score double, rank int").withColumn("hash", F.xxhash64("known"))
 
 
 def lattice(words: DataFrame, model: Model) -> DataFrame:
-    """word -> word, edges: every match of a piece with a substring as (unknown, rank, start, length, id), packed and sorted.
+    """word -> word, letters, edges. Other columns stay.
 
-    A character that is no piece has an edge of its own all the same, marked unknown, so it comes last.
+    edges: every match of a piece with a substring of two characters or more, as (s, e, symbol), by rank and place; s
+    and e count from 0. letters: the symbol of each character, also of those that are no piece. Substrings and pieces
+    meet by hash, which Spark looks up as one number, and must then be equal. A unigram model's letters are edges too,
+    and edges have scores.
     """
-    spark = words.sparkSession
-    at = words.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("start"))
+    spark, keys = words.sparkSession, words.columns
+    at = words.select(*keys, F.explode(F.sequence(F.lit(1), F.length("word"))).alias("start"))
     to = F.sequence(F.lit(1), F.least(F.lit(model.longest), F.length("word") - F.col("start") + 1))
-    parts = at.select("word", "start", F.explode(to).alias("length")).withColumn("piece", F.expr("substring(word, start, length)"))
-    matched = parts.join(F.broadcast(piece_table(spark, model)), "piece", "left").where("id IS NOT NULL OR length = 1")
-    place = F.shiftleft(F.col("start").cast("long"), LENGTH_BITS + ID_BITS) + F.shiftleft(F.col("length").cast("long"), ID_BITS)
-    packed = F.coalesce(F.col("packed"), F.lit(UNKNOWN)) + place
-    scored = [F.collect_list(F.struct("start", "length", "id", "score")).alias("scored")] if model.kind == UNIGRAM else []
-    return matched.groupBy("word").agg(F.collect_list(packed).alias("edges"), *scored).withColumn("edges", F.sort_array("edges"))
-
-
-def start_of(edge: Column) -> Column:
-    return F.shiftright(edge, LENGTH_BITS + ID_BITS).bitwiseAND((1 << START_BITS) - 1).cast("int")
-
-
-def length_of(edge: Column) -> Column:
-    return F.shiftright(edge, ID_BITS).bitwiseAND((1 << LENGTH_BITS) - 1).cast("int")
-
-
-def edges_used(ends: Column) -> Column:
-    """The edges that are symbols, in order of start, without rank. ends: where symbols end, by start (from 0); null: no start.
-
-    A fold calls this on its final state: a column of states would be computed anew for each edge that asks it.
-    """
-    own = (1 << (START_BITS + LENGTH_BITS + ID_BITS)) - 1
-    used = F.filter("edges", lambda x: F.get(ends, start_of(x) - 1) == start_of(x) - 1 + length_of(x))
-    return F.sort_array(F.transform(used, lambda x: x.bitwiseAND(own)))
+    parts = at.select(*keys, "start", F.explode(to).alias("length")).withColumn("piece", F.expr("substring(word, start, length)"))
+    met = parts.withColumn("hash", F.xxhash64("piece")).join(F.broadcast(piece_table(spark, model)), "hash", "left")
+    is_piece, one = F.coalesce(F.col("known") == F.col("piece"), F.lit(False)), F.col("length") == 1
+    matched = met.where(is_piece | one)
+    begin, end = F.col("start") - 1, F.col("start") + F.col("length") - 1
+    symbol = F.shiftleft(end.cast("long"), ID_BITS) + F.when(is_piece, F.col("id")).otherwise(F.lit(NO_PIECE))
+    if model.kind == UNIGRAM:
+        edge = F.struct(begin.alias("s"), end.alias("e"), symbol.alias("symbol"), F.when(is_piece, F.col("score")).alias("score"))
+    else:
+        low = PLACE_BITS + ID_BITS
+        edge = F.when(~one, F.shiftleft(F.col("rank").cast("long"), low + PLACE_BITS) + F.shiftleft(begin.cast("long"), low) + symbol)
+    both = matched.select(*keys, F.when(one, symbol).alias("letter"), edge.alias("edge"))
+    found = both.groupBy(*keys).agg(F.sort_array(F.collect_list("letter")).alias("letters"), F.sort_array(F.collect_list("edge")).alias("edges"))
+    if model.kind == UNIGRAM:
+        return found
+    place = lambda x: x.bitwiseAND((1 << PLACE_BITS) - 1).cast("int")
+    return found.withColumn("edges", F.transform("edges", lambda x: F.struct(place(F.shiftright(x, low)).alias("s"), place(F.shiftright(x, ID_BITS)).alias("e"), x.bitwiseAND((1 << low) - 1).alias("symbol"))))
+
+
+def end_of(symbol: Column) -> Column:
+    return F.shiftright(symbol, ID_BITS).cast("int")
 
 
 def merge_fold(model: Model) -> Column:
-    """The edges of a word that are its symbols, found in merge order."""
-    each = F.transform("edges", lambda x: F.struct((start_of(x) - 1).alias("s"), length_of(x).alias("n")))
-    wide = F.transform(F.filter(each, lambda x: x["n"] > 1), lambda x: F.struct(x["s"].alias("s"), (x["s"] + x["n"]).alias("e")))
-    begin = F.sequence(F.lit(1), F.length("word"))
+    """A word's symbols, found in merge order: an array with the symbol that begins at each character, or GONE."""
 
-    def fits(ends: Column, x: Column) -> Column:
-        return F.get(ends, F.get(ends, x["s"])) == x["e"]
+    def fits(symbols: Column, x: Column) -> Column:
+        return end_of(F.get(symbols, end_of(F.get(symbols, x["s"])))) == x["e"]
 
-    def taken(ends: Column, x: Column) -> Column:
-        return F.transform(ends, lambda end, k: F.when(k == x["s"], x["e"]).when((k < x["s"]) | (k >= x["e"]), end))
+    def taken(symbols: Column, x: Column) -> Column:
+        return F.transform(symbols, lambda own, k: F.when(k == x["s"], x["symbol"]).when((k < x["s"]) | (k >= x["e"]), own).otherwise(F.lit(GONE)))
 
-    def step(ends: Column, _: Column) -> Column:
-        best = F.get(F.filter(wide, lambda x: fits(ends, x)), F.lit(0))
-        return F.when(best.isNull(), ends).otherwise(taken(ends, best))
+    def step(symbols: Column, _: Column) -> Column:
+        best = F.get(F.filter("edges", lambda x: fits(symbols, x)), F.lit(0))
+        return F.when(best.isNull(), symbols).otherwise(taken(symbols, best))
 
-    once = F.aggregate(wide, begin, lambda ends, x: F.when(fits(ends, x), taken(ends, x)).otherwise(ends), edges_used)
-    slowly = F.aggregate(F.sequence(F.lit(2), F.greatest(F.lit(2), F.length("word"))), begin, step, edges_used)
+    once = F.aggregate("edges", F.col("letters"), lambda symbols, x: F.when(fits(symbols, x), taken(symbols, x)).otherwise(symbols))
+    slowly = F.aggregate(F.sequence(F.lit(2), F.greatest(F.lit(2), F.length("word"))), F.col("letters"), step)
     if not model.in_order or len(model.tied) > MOST_TIED:
         return slowly
     if not model.tied:
         return once
-    rank = lambda x: F.shiftright(x, START_BITS + LENGTH_BITS + ID_BITS)
     # what tied pieces have in common tells most words apart without a look at their edges
-    tied = F.col("word").contains(model.tied_prefix) & F.exists("edges", lambda x: rank(x).isin(*sorted(model.tied)) & (length_of(x) > 1))
+    tied = F.col("word").contains(model.tied_prefix) & F.exists("edges", lambda x: x["symbol"].bitwiseAND(NO_PIECE).isin(*sorted(model.tied)))
     return F.when(tied, slowly).otherwise(once)
 
 
 def viterbi_fold(model: Model) -> Column:
-    """The edges of a word on the path with the highest sum of scores. Of equal sums the longer last piece wins."""
+    """As merge_fold, the symbols on the path with the highest sum of scores. Of equal sums the longer last piece wins."""
     least = min((model.scores[k] for k in model.ids.values()), default=0.0) - 10  # an unknown character's score
     n = F.length("word")
-    begin = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("length")))
+    begin = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("length"), F.lit(0).cast("long").alias("symbol")))
 
     def step(best: Column, end: Column) -> Column:
-        arrive = F.filter("scored", lambda e: e["start"] + e["length"] == end + 1)
-        paths = F.transform(arrive, lambda e: F.struct((F.get(best, e["start"] - 1)["score"] + F.coalesce(e["score"], F.lit(least))).alias("score"), e["length"].alias("length")))
+        arrive = F.filter("edges", lambda x: x["e"] == end)
+        paths = F.transform(arrive, lambda x: F.struct((F.get(best, x["s"])["score"] + F.coalesce(x["score"], F.lit(least))).alias("score"), (x["e"] - x["s"]).alias("length"), x["symbol"].alias("symbol")))
         return F.concat(best, F.array(F.array_max(paths)))
 
     def back(best: Column) -> Column:
         def walk(state: Column, _: Column) -> Column:
-            size = F.get(best, state["at"])["length"]
-            none = F.transform(F.sequence(F.lit(1), size), lambda k: F.when(k == 1, state["at"]))
-            return F.when(state["at"] < 1, state).otherwise(F.struct((state["at"] - size).alias("at"), F.concat(none, state["out"]).alias("out")))
+            last = F.get(best, state["at"])
+            own = F.transform(F.sequence(F.lit(1), last["length"]), lambda k: F.when(k == 1, last["symbol"]).otherwise(F.lit(GONE)))
+            return F.when(state["at"] < 1, state).otherwise(F.struct((state["at"] - last["length"]).alias("at"), F.concat(own, state["out"]).alias("out")))
 
-        return F.aggregate(F.sequence(F.lit(1), n), F.struct(n.alias("at"), F.array().cast("array<int>").alias("out")), walk, lambda state: edges_used(state["out"]))
+        return F.aggregate(F.sequence(F.lit(1), n), F.struct(n.alias("at"), F.array().cast("array<bigint>").alias("out")), walk, lambda state: state["out"])
 
     return F.aggregate(F.sequence(F.lit(1), n), begin, step, back)
 
 
 def encode_words(words: DataFrame, model: Model) -> DataFrame:
-    """word (distinct, not empty) -> word, ids."""
-    found = lattice(words, model)
-    found = found.withColumn("used", viterbi_fold(model) if model.kind == UNIGRAM else merge_fold(model))
+    """word (distinct, not empty) -> word, ids. Other columns stay."""
+    found = lattice(words, model).withColumn("symbols", viterbi_fold(model) if model.kind == UNIGRAM else merge_fold(model))
     of_byte = F.array(*[F.lit(x) for x in model.byte_ids])
     has_bytes = any(x != model.unknown for x in model.byte_ids)
-    found = found.withColumn("strange", F.get("edges", F.size("edges") - 1) >= LAST)  # unknown edges come last
-
-    def spelled(x: Column) -> Column:
-        digits = F.hex(F.encode(F.col("word").substr(start_of(x), F.lit(1)), "UTF-8"))
-        return F.transform(F.sequence(F.lit(1), F.length(digits), F.lit(2)), lambda k: F.get(of_byte, F.conv(F.substring(digits, k, F.lit(2)), 16, 10).cast("int")))
+    id_of = lambda x: x.bitwiseAND(NO_PIECE).cast("int")
 
-    def id_of(x: Column) -> Column:
-        return x.bitwiseAND((1 << ID_BITS) - 1).cast("int")
+    def spelled(k: Column) -> Column:
+        digits = F.hex(F.encode(F.col("word").substr(k + 1, F.lit(1)), "UTF-8"))
+        return F.transform(F.sequence(F.lit(1), F.length(digits), F.lit(2)), lambda at: F.get(of_byte, F.conv(F.substring(digits, at, F.lit(2)), 16, 10).cast("int")))
 
-    nothing = (1 << ID_BITS) - 1  # the id of an unknown edge
-    bytes_ = F.flatten(F.transform("used", lambda x: F.when(id_of(x) == nothing, spelled(x) if has_bytes else F.array(F.lit(model.unknown))).otherwise(F.array(id_of(x)))))
-    return found.select("word", F.when(F.col("strange"), bytes_).otherwise(F.transform("used", id_of)).alias("ids"))
+    strange = F.exists("letters", lambda x: id_of(x) == NO_PIECE)
+    bytes_ = F.flatten(F.transform("symbols", lambda x, k: F.when(x == GONE, F.array().cast("array<int>")).when(id_of(x) == NO_PIECE, spelled(k) if has_bytes else F.array(F.lit(model.unknown))).otherwise(F.array(id_of(x)))))
+    plain = F.transform(F.filter("symbols", lambda x: x != GONE), id_of)
+    return found.select(*words.columns, F.when(strange, bytes_).otherwise(plain).alias("ids"))
 
 
 def grouped(docs: DataFrame) -> DataFrame:
@@ -339,16 +387,36 @@ def grouped(docs: DataFrame) -> DataFrame:
     return grouped(docs.sparkSession.read.parquet(path))
 
 
-def distinct_words(batches: Iterator[pa.RecordBatch], cutter: Cutter, known: dict[str, bytes]) -> Iterator[pa.RecordBatch]:
-    """g, word: the words of each group in a batch that aren't known."""
+def rare_words(batches: Iterator[pa.RecordBatch], cutter: Cutter, known: dict[str, bytes], parts: int, folders: int) -> Iterator[pa.RecordBatch]:
+    """bucket, g, part, words: the words of each group that aren't known, dealt over parts by their hash, sorted and
+    joined by spaces, which no word has.
+
+    Rows of a group follow each other, so a group's words are held until the next one begins. A group that two tasks
+    read has rows from both.
+    """
+
+    def dealt(g: int, words: set[str]) -> Iterator[pa.RecordBatch]:
+        of: dict[int, list[str]] = {}
+        for w in sorted(words.difference(known)):
+            if len(w) <= LIMIT:
+                of.setdefault(zlib.crc32(w.encode()) % parts, []).append(w)
+        numbers = list(of)
+        for k in range(0, len(numbers), 256):
+            now = numbers[k : k + 256]
+            columns = [pa.array([g % folders] * len(now), pa.int32()), pa.array([g] * len(now), pa.int64()), pa.array(now, pa.int32()), pa.array([" ".join(of[p]) for p in now], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "g", "part", "words"])
+
+    last, held = 0, set()
     for batch in batches:
-        found: dict[int, set[str]] = {}
-        for text, g in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            if text:
-                found.setdefault(g, set()).update(cutter.words(text))
-        for g, words in found.items():
-            new = list(words.difference(known))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(new), g)), pa.array(new, pa.string())], ["g", "word"])
+        for k in range(0, batch.num_rows, 500):
+            part = batch.slice(k, 500)
+            for text, g in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                if g != last:
+                    yield from dealt(last, held)
+                    last, held = g, set()
+                if text:
+                    held.update(cutter.words(text))
+    yield from dealt(last, held)
 
 
 def count_words(batches: Iterator[pa.RecordBatch], cutter: Cutter) -> Iterator[pa.RecordBatch]:
@@ -359,28 +427,35 @@ def count_words(batches: Iterator[pa.RecordBatch], cutter: Cutter) -> Iterator[p
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
 
-def frequent_words(docs: DataFrame, model: Model, cutter: Cutter) -> dict[str, bytes]:
-    """Encodings of the words that are frequent in a sample, FREQUENT at most. Which they are never changes a result."""
+def frequent_words(docs: DataFrame, n: int, model: Model, cutter: Cutter) -> dict[str, bytes]:
+    """Encodings of the words that are frequent in a sample of n docs, FREQUENT at most. Which they are never changes a result."""
     million = 1_000_000
-    share = min(million, -(-SAMPLE_DOCS * million // max(1, docs.count())))
+    share = min(million, -(-SAMPLE_DOCS * million // max(1, n)))
     sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(million)) < share).select("text")
-    counts = sample.mapInArrow(lambda it: count_words(it, cutter), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = sample.mapInArrow(lambda it: count_words(it, cutter), "word string, n long").where(F.length("word") <= LIMIT).groupBy("word").agg(F.sum("n").alias("n"))
     top = cut(counts.orderBy(F.col("n").desc(), "word").limit(FREQUENT).select("word"))
-    got = encode_words(top.repartition("word"), model).toArrow()
+    got = encode_words(top.repartition(-(-FREQUENT // 10_000), "word"), model).toArrow()
     return dict(zip(got["word"].to_pylist(), [np.array(x, "<i4").tobytes() for x in got["ids"].to_pylist()], strict=True))
 
 
-def dictionary(files: fs.FileSystem, path: str, g: int) -> dict[str, bytes]:
-    folder = f"{path}/bucket={g % BUCKETS}"
-    if files.get_file_info(folder).type == fs.FileType.NotFound:
-        return {}
-    own = dataset.dataset(folder, filesystem=files, format="parquet").to_table(columns=["word", "ids"], filter=dataset.field("g") == g)
+def rows_of(files: fs.FileSystem, folder: str, g: int, columns: list[str]) -> Iterator[dict]:
+    if files.get_file_info(folder).type != fs.FileType.NotFound:
+        for batch in dataset.dataset(folder, filesystem=files, format="parquet").scanner(columns=columns, filter=dataset.field("g") == g).to_batches():
+            for k in range(batch.num_rows):
+                yield {name: batch.column(n)[k] for n, name in enumerate(columns)}
+
+
+def dictionary(files: fs.FileSystem, words_path: str, ids_path: str, g: int, folders: int) -> dict[str, bytes]:
+    """The encodings of a group's words. Where two tasks read the group, a part's words are those of both, sorted."""
+    words: dict[int, list[str]] = {}
+    for r in rows_of(files, f"{words_path}/bucket={g % folders}", g, ["part", "words"]):
+        part, more = r["part"].as_py(), r["words"].as_py().split(" ")
+        words[part] = sorted(words[part] + more) if part in words else more
     out: dict[str, bytes] = {}
-    for batch in own.to_batches():
-        values = batch.column(1).flatten().to_numpy().astype("<i4").tobytes()
-        offsets = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False))]) * 4
-        bounds = offsets.astype(np.int64).tolist()
-        out.update((w, values[a:b]) for w, a, b in zip(batch.column(0).to_pylist(), bounds, bounds[1:], strict=False))
+    for r in rows_of(files, f"{ids_path}/bucket={g % folders}", g, ["part", "sizes", "ids"]):
+        values = r["ids"].values.to_numpy().astype("<i4").tobytes()
+        ends = (np.cumsum(r["sizes"].values.to_numpy()) * 4).tolist()
+        out.update((w, values[a:b]) for w, a, b in zip(words.pop(r["part"].as_py()), [0, *ends], ends, strict=False))
     return out
 
 
@@ -388,56 +463,77 @@ class Known(dict):
     """The encodings of frequent words; those of others are looked up in the group's dictionary, rare."""
 
     rare: dict[str, bytes]
+    model: Model
 
     def __missing__(self, word: str) -> bytes:
-        return self.rare[word]
+        return self.rare[word] if len(word) <= LIMIT else self.model.encode_long(word)
+
+
+@contextmanager
+def settings(spark: SparkSession, **wanted: object) -> Iterator[None]:
+    """Spark settings for the time of a block."""
+    names = {k: f"spark.sql.{k.replace('__', '.')}" for k in wanted}
+    before = {k: spark.conf.get(name) for k, name in names.items()}
+    try:
+        for k, name in names.items():
+            spark.conf.set(name, str(wanted[k]).lower())
+        yield
+    finally:
+        for k, name in names.items():
+            spark.conf.set(name, before[k])
 
 
 def encode(docs: DataFrame, model: Model, with_decoded: bool = False) -> DataFrame:
     """doc_id, text, ids for every row of docs (doc_id, text; other columns are ignored). with_decoded: decoded instead
-    of text, what decode gives for ids, without another pass.
+    of text, what decode gives for ids, and same, whether it is the text, without another pass.
 
-    A null or empty text has no ids. Equal texts have equal ids. A word of more than LIMIT characters without a safe
-    cut is cut there, so its encoding may differ from SentencePiece's at that place; decoding gives the same text.
-    An empty table gives an empty result.
+    A null or empty text has no ids. Equal texts have equal ids. SPACE in a text counts as a space. An empty table
+    gives an empty result.
     """
     spark = docs.sparkSession
-    own, cutter = grouped(docs), Cutter(model)
-    pairs_path, path = scratch(spark, "pieces-words"), scratch(spark, "pieces-dictionary")
-    setting = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, HASHED_WORDS)
-    try:
-        frequent = spark.sparkContext.broadcast(Known(frequent_words(docs, model, cutter)))
-        own.select("text", "g").mapInArrow(lambda it: distinct_words(it, cutter, frequent.value), "g long, word string").write.option("compression", "zstd").parquet(pairs_path)
-        pairs = spark.read.schema("g long, word string").parquet(pairs_path)
+    own, cutter, n = grouped(docs), Cutter(model), docs.count()
+    words_path, path = scratch(spark, "pieces-words"), scratch(spark, "pieces-ids")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_PARTS, n // PART_DOCS))
+    folders = max(1, min(MOST_FOLDERS, n >> GROUP_BITS - 1))
+    with settings(spark, objectHashAggregate__sortBased__fallbackThreshold=HASHED_WORDS, requireAllClusterKeysForCoPartition=False):
+        frequent = spark.sparkContext.broadcast(Known(frequent_words(docs, n, model, cutter)))
+        schema = "bucket int, g long, part int, words string"
+        rare = own.select("text", "g").mapInArrow(lambda it: rare_words(it, cutter, frequent.value, parts, folders), schema)
+        rare.write.partitionBy("bucket").option("compression", "zstd").parquet(words_path)
         # one exchange serves the distinct words and the join: it keeps g on either side
-        dealt = pairs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "word")
-        words = dealt.groupBy("word").agg(F.min("g").alias("some")).where("some IS NOT NULL").select("word")
-        placed = dealt.join(encode_words(words, model), "word").withColumn("bucket", F.pmod("g", F.lit(BUCKETS)).cast("int"))
-        placed.repartition("bucket", "g").sortWithinPartitions("bucket", "g").write.partitionBy("bucket").option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(setting, before)
+        dealt = spark.read.schema(schema).parquet(words_path).select("g", "part", "words").repartitionById(parts, F.col("part")).select("g", "part", F.explode(F.split("words", " ")).alias("word"))
+        hint = "shuffle_hash" if n < MOST_PARTS * PART_DOCS else "merge"  # the words of one part fit in memory
+        words = dealt.groupBy("part", "word").agg(F.min("g").alias("some")).where("some IS NOT NULL").select("part", "word")
+        found = dealt.join(encode_words(words, model).hint(hint), ["part", "word"]).groupBy("g", "part").agg(F.sort_array(F.collect_list(F.struct("word", "ids"))).alias("found"))
+        sizes, ids = F.transform("found", lambda x: F.size(x["ids"])), F.flatten(F.transform("found", lambda x: x["ids"]))
+        placed = found.select("g", "part", sizes.alias("sizes"), ids.alias("ids"), F.pmod("g", F.lit(folders)).cast("int").alias("bucket"))
+        placed.repartition(min(folders, parts), "bucket").sortWithinPartitions("bucket", "g").write.partitionBy("bucket").option("compression", "zstd").parquet(path)
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, folder = fs.FileSystem.from_uri(path)
+        (files, words_at), (_, ids_at) = fs.FileSystem.from_uri(words_path), fs.FileSystem.from_uri(path)
         known, last, spell = frequent.value, None, decoder(model) if with_decoded else None
+        known.model = model
         for batch in batches:
             for k in range(0, batch.num_rows, 200):
                 part = batch.slice(k, 200)
-                out = []
-                for text, g in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                out, texts = [], part.column(1).to_pylist()
+                for text, g in zip(texts, part.column(2).to_pylist(), strict=True):
                     if g != last:
                         known.rare = {}
-                        known.rare, last = dictionary(files, folder, g), g
+                        known.rare, last = dictionary(files, words_at, ids_at, g, folders), g
                     out.append(b"".join([known[w] for w in cutter.words(text)]) if text else b"")
                 offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in out])]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(out), "<i4")))
-                texts = pa.array([spell(np.frombuffer(x, "<i4").tolist()) for x in out], pa.string()) if spell else part.column(1)
-                yield pa.RecordBatch.from_arrays([part.column(0), texts, ids], ["doc_id", text_name, "ids"])
+                columns = [part.column(0), part.column(1), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(out), "<i4")))]
+                if spell:
+                    back = [spell(np.frombuffer(x, "<i4").tolist()) for x in out]
+                    columns[1] = pa.array(back, pa.string())
+                    columns.append(pa.array([a == (b or "").replace(SPACE, " ") for a, b in zip(back, texts, strict=True)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(columns, names)
+        known.rare = {}  # the worker lives on
 
-    kind, text_name = docs.schema["doc_id"].dataType.simpleString(), "decoded" if with_decoded else "text"
-    return own.select("doc_id", "text", "g").mapInArrow(assemble, f"doc_id {kind}, {text_name} string, ids array<int>")
+    names = ["doc_id", "decoded", "ids", "same"] if with_decoded else ["doc_id", "text", "ids"]
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return own.select("doc_id", "text", "g").mapInArrow(assemble, f"doc_id {kind}, {names[1]} string, ids array<int>{', same boolean' if with_decoded else ''}")
 
 
 def decoder(model: Model):
@@ -471,4 +567,4 @@ def decode(encoded: DataFrame, model: Model) -> DataFrame:
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = load()
     both = encode(table(spark, sf_dir, "documents"), model, with_decoded=True)
-    return both.select("doc_id", "ids", F.size("ids").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return both.select("doc_id", "ids", F.size("ids").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"), "same")

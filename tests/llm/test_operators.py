@@ -430,7 +430,7 @@ def test_pieces_equal_the_library(spark, odd, empty, model):
     import sentencepiece
 
     reference = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
-    more = ["  two  spaces ", "tab\tnew\nline\r\n", " " * 17, " " * 33 + "b  c", "a" * 300, "=====----////" * 20, "<s> </s> <0x41>", "\x00", "x" * 70 + " " * 20 + "y", " " * 16 + "the", "naïve façade ½ ﬁ", "\n\n"]
+    more = ["  two  spaces ", "tab\tnew\nline\r\n", " " * 17, " " * 33 + "b  c", "a" * 300, "=====----////" * 20, "<s> </s> <0x41>", "\x00", "x" * 70 + " " * 20 + "y", " " * 16 + "the", "naïve façade ½ ﬁ", "\n\n", "a" * 40_000 + " b", "x" + "é日" * 900 + "a" * 900, "ab" * 3000]
     rows = [(r[0], r[1]) for r in ODD] + [(100 + k, t) for k, t in enumerate(more)]
     both = pieces.decode(pieces.encode(spark.createDataFrame(rows, "doc_id long, text string"), model), model).collect()
     assert len(both) == len(rows)
@@ -441,6 +441,13 @@ def test_pieces_equal_the_library(spark, odd, empty, model):
     assert pieces.encode(empty, model).count() == 0
     docs = table(spark, FOLDER, "documents")
     assert all(list(r.ids) == reference.encode(r.text or "") for r in pieces.encode(docs, model).collect())
+    assert all(r.same for r in pieces.encode(spark.createDataFrame(rows, "doc_id long, text string"), model, with_decoded=True).collect())
+
+
+def test_long_words_by_heap(model, monkeypatch):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abtheinr") for _ in range(rng.randint(1, 40))) for _ in range(300)] + [" " * 5, "a" * 33]
+    assert all(model.symbols(w) == model.merge(w) for w in words)
 
 
 def test_rare_words_go_the_relational_way(spark, model, monkeypatch):
@@ -469,6 +476,7 @@ def test_viterbi_against_brute_force(spark):
     words = ["".join(x) for n in range(1, 5) for x in __import__("itertools").product("abcz", repeat=n)]
     got = {r.word: r.ids for r in pieces.encode_words(spark.createDataFrame([(w,) for w in words], "word string"), toy).collect()}
     assert got == {w: best(w)[1] for w in words}
+    assert all([toy.ids.get(x, 0) for x in toy.best_path(w)] == best(w)[1] for w in words)
 
 
 # ---- surrogates
