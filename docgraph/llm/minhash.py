@@ -2,11 +2,15 @@
 
 Words are runs of anything but ASCII white space, A-Z lower-cased; a shingle is five words. A text of fewer words is
 one shingle, a text without words has none. Each of PERMUTATIONS universal hashes h(x) = (a x + b mod 2^64) >> 32 of
-the 32-bit shingle keys keeps its minimum. The likeness of two fingerprints, the share of equal minima, estimates
-the Jaccard similarity of the shingle sets.
+the 32-bit shingle keys keeps the low 16 bits of its minimum. The likeness of two fingerprints, the share of equal minima,
+estimates the Jaccard similarity of the shingle sets.
 
 Near copies: bands of the minima are joined, and a candidate is linked only where the exact Jaccard similarity of the
 shingle sets is 0.8 or more.
+
+Texts never move. One scan makes the fingerprints, kept by the rows' addresses; the order of the documents is found
+from ids and addresses; a second scan sends each document the start of the next one's text, as much as it needs; a
+third edits and compares.
 """
 
 from __future__ import annotations
@@ -17,12 +21,15 @@ from hashlib import sha256
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ordered import numbered
 from .common import cut, table
 from .components import components, spanning
 from .lines import texts
+from .rows import Notes, folders_for, located, map_noted, noted
 
 SHINGLE = 5
 PERMUTATIONS = 128
@@ -32,17 +39,17 @@ A = _random.randint(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) +
 B = _random.randint(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2)
 BLOCK = 2048
 LEAST = (4, 5)  #: The Jaccard similarity of near copies: 0.8.
-BANDS, ROWS = 32, 4  #: A pair of similarity 0.8 shares no band with a chance of (1 - 0.8^4)^32 = 5e-8.
+BANDS, ROWS = 24, 4  #: A pair of similarity 0.8 shares no band with a chance of (1 - 0.8^4)^24 = 3e-6.
 ROUGH = 77  #: Equal minima of 128 in a candidate: fewer have a chance of about 1e-7 at similarity 0.8.
 BLOCK_SETS, BLOCK_SHINGLES = 2048, 1 << 21
-MOST_BROADCAST = 500_000
+MOST_HASHES = 100_000
 
 
 class WordHashes(dict):
     """Word -> 64-bit hash; forgets all when it holds too many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > MOST_HASHES:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -76,13 +83,13 @@ def node_of(shingles: np.ndarray) -> int:
 
 
 def signature(keys: np.ndarray) -> np.ndarray:
-    """PERMUTATIONS minima of 32 bits; all ones for no shingle."""
+    """The low 16 bits of PERMUTATIONS minima of 32 bits; all ones for no shingle."""
     least = np.full(PERMUTATIONS, NO_SHINGLE)
     for k in range(0, len(keys), BLOCK):
         hashed = np.multiply.outer(A, keys[k : k + BLOCK])
         hashed += B[:, None]
         np.minimum(least, hashed.min(axis=1), out=least)
-    return (least >> np.uint64(32)).astype(np.uint32)
+    return (least >> np.uint64(32) & np.uint64(0xFFFF)).astype(np.uint16)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -91,117 +98,105 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def fingerprint(of: np.ndarray) -> str:
-    """Hex digits of the minima's low 16 bits."""
+    """Hex digits of the minima."""
     return of.astype(">u2").tobytes().hex()
 
 
-def placed(docs: DataFrame, parts: int, labels: DataFrame | None = None) -> DataFrame:
-    """doc_id, text, borrowed, node, component_id in partitions of contiguous ids, sorted; the row that follows a partition's last
-    document (after the last of all: the first) is there once more, borrowed, as the last row.
+def halves(minima: list[np.ndarray]) -> tuple[list[bytes], list[bytes]]:
+    """The low and the high bytes of each fingerprint."""
+    return [x.astype(np.uint8).tobytes() for x in minima], [(x >> 8).astype(np.uint8).tobytes() for x in minima]
 
-    Cut points are quantiles of the ids, found from the ids alone; the text moves once. Null ids come first.
-    labels (doc_id, node, component_id): such rows, with null text, come before their id's documents.
-    """
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    cuts = sorted({int(x) for x in ids.dropna().approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.25 / parts)}) if parts > 1 else []
-    bounds = F.array(*[F.lit(x) for x in cuts]).cast("array<bigint>")
-    step = lambda s, _: F.when(s["low"] >= s["high"], s).otherwise(
-        F.when(F.element_at(bounds, (F.floor((s["low"] + s["high"]) / 2) + 1).cast("int")) <= F.col("doc_id"), F.struct((F.floor((s["low"] + s["high"]) / 2) + 1).cast("int").alias("low"), s["high"].alias("high"))).otherwise(F.struct(s["low"].alias("low"), F.floor((s["low"] + s["high"]) / 2).cast("int").alias("high")))
-    )
-    rounds = max(1, len(cuts)).bit_length() + 1
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.struct(F.lit(0).alias("low"), F.lit(len(cuts)).alias("high")), step, lambda s: s["low"])
-    part = F.when(F.col("doc_id").isNull() | F.lit(not cuts), F.lit(0)).otherwise(found) if cuts else F.lit(0)
-    firsts = {r.part: r.first for r in ids.withColumn("part", part).groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id")).alias("first")).collect()}
-    order = sorted(firsts)
-    lend = [(firsts[p].doc_id, order[k - 1]) for k, p in enumerate(order)]  # to the part before; the first to the last
-    spark = docs.sparkSession
-    lent = spark.createDataFrame(lend or [(None, 0)], "first_id long, lent_to int")  # one row for each partition
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    own = rows.select("doc_id", "text", F.lit(False).alias("borrowed"), part.cast("int").alias("part"))
-    borrowed = rows.join(F.broadcast(lent), F.col("doc_id").eqNullSafe(F.col("first_id"))).select("doc_id", "text", F.lit(True).alias("borrowed"), F.col("lent_to").alias("part"))
-    none = {"node": F.lit(None).cast("long"), "component_id": F.lit(None).cast("long")}
-    all_rows = own.unionByName(borrowed).withColumns(none)
-    if labels is not None:
-        all_rows = all_rows.unionByName(labels.select("doc_id", F.lit(None).cast("string").alias("text"), F.lit(False).alias("borrowed"), part.cast("int").alias("part"), "node", "component_id"))
-    return all_rows.repartitionById(parts, F.col("part")).sortWithinPartitions("borrowed", F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()).select("doc_id", "text", "borrowed", "node", "component_id")
-
-
-FINGERPRINTS = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-GROUPED = FINGERPRINTS + ", component_id long"
-
-
-def compare_with_next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [x.split()[0] for x in GROUPED.split(", ")]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()]
-    before = None
-    labels, labels_of = {}, None
-    for batch in batches:
-        out = []
-        for doc, text, borrowed, node, component in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            if text is None:
-                if doc != labels_of:
-                    labels, labels_of = {}, doc
-                labels[node] = component
-                continue
-            shingles = np.unique(shingle_hashes(text.encode()))
-            own = signature(shingles >> np.uint64(32))
-            if before is not None and not before[3]:
-                last_id, last, last_own, _, last_component = before
-                k = len(last) // 4
-                edited = (last[: len(last) - k] + text[:k]).encode()
-                changed = signature(shingle_keys(edited))
-                out.append((last_id, len(last), sha256(edited).hexdigest(), fingerprint(last_own), fingerprint(changed), likeness(last_own, changed), likeness(last_own, own), last_component))
-            before = (doc, text, own, borrowed, labels.get(node_of(shingles)) if doc == labels_of else None)
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
-
-
-def fingerprints(docs: DataFrame, parts: int | None = None) -> DataFrame:
-    """Each document's fingerprint, and that of its text with the last quarter exchanged for the next one's start.
 
-    Input: doc_id, text; other columns are ignored. Null text: empty. Documents stand by (doc_id, text), null ids
-    first; repeated rows follow each other. The only document is its own next one. Empty table: empty result.
-    """
-    parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return placed(docs, parts).mapInArrow(compare_with_next, GROUPED).drop("component_id")
+def whole(low: bytes, high: bytes) -> np.ndarray:
+    return np.frombuffer(low, np.uint8) | np.frombuffer(high, np.uint8).astype(np.uint16) << 8
 
 
-def fingerprints_and_groups(docs: DataFrame, parts: int | None = None) -> DataFrame:
-    """As fingerprints, and component_id as of near_duplicates."""
-    parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    printed, groups = near_groups(docs)
-    labels = printed.select("doc_id", "node").distinct().join(groups, "node")
-    return placed(docs, parts, labels).mapInArrow(compare_with_next, GROUPED)
+PRINTED = "doc_id long, __g long, __r long, n_chars long, node long, shingles long, lead boolean, print long, low binary, high binary"
 
 
-def bands_of(minima: list[np.ndarray]) -> list[bytes]:
-    """A 32-bit hash for each band. Equal hashes of unequal bands only add candidates."""
-    parts = np.array(minima, np.uint64).reshape(-1, BANDS, ROWS)
-    mixed = np.zeros(parts.shape[:2], np.uint64)
-    for k in range(ROWS):
-        mixed = (mixed ^ parts[:, :, k]) * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(32)
-    return [x.tobytes() for x in mixed.astype(np.uint32)]
+def print_rows(batches: Iterator[pa.RecordBatch], size: int, print_of) -> Iterator[pa.RecordBatch]:
+    """doc_id, __g, __r, text -> PRINTED. node: the hash of the shingle set; lead: the first row of its node in this task."""
+    names, seen = [x.split()[0] for x in PRINTED.split(", ")], set()
+    for batch in batches:
+        for k in range(0, batch.num_rows, 2048):
+            part = batch.slice(k, 2048)
+            chars, nodes, counts, lead, prints, minima = [], [], [], [], [], []
+            for text in texts(part):
+                found = np.unique(shingle_hashes(text, size))
+                chars.append(len(text.decode()))
+                nodes.append(node_of(found))
+                lead.append(nodes[-1] not in seen)
+                seen.add(nodes[-1])
+                counts.append(len(found))
+                prints.append(print_of(text))
+                minima.append(signature(found >> np.uint64(32)))
+            low, high = halves(minima)
+            columns = [pa.array(chars, pa.int64()), pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.array(lead, pa.bool_())]
+            columns += [pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(low, pa.binary()), pa.array(high, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], *columns], names)
+    HASHES.clear()  # the worker lives on
+
+
+def print_docs(rows: DataFrame, size: int, print_of) -> tuple[DataFrame, Notes]:
+    """The fingerprints of located rows, as a table and as notes."""
+    folders = folders_for(rows.count())
+    own = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "__g", "__r", "text")
+    notes = noted(own.mapInArrow(lambda it: print_rows(it, size, print_of), PRINTED), folders, "fingerprints", dealt=True)
+    return rows.sparkSession.read.schema(PRINTED).parquet(notes.path), Notes(notes.path, ["low", "high"], folders)
+
+
+def next_requests(printed: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """__g, __r of each row, and of the row that it is the next one of: how many characters that one needs, its address
+    and its component. Only ids, lengths and addresses are ordered."""
+    own = printed.select("doc_id", "__g", "__r", "n_chars", "node")
+    own = own.join(groups, "node") if groups is not None else own.withColumn("component_id", F.lit(None).cast("long"))
+    placed = cut(numbered(own.drop("node"), [F.col("doc_id").asc_nulls_first(), F.col("n_chars"), F.col("__g"), F.col("__r")]).drop("before"))
+    n = placed.count()
+    before = placed.select((F.col("seq") % F.lit(max(1, n)) + 1).alias("seq"), F.floor(F.col("n_chars") / 4).alias("need"), F.col("__g").alias("to_g"), F.col("__r").alias("to_r"), "component_id")
+    return placed.select("seq", "__g", "__r").join(before, "seq").drop("seq")
+
+
+def send_heads(part: pa.RecordBatch, asked: dict[int, tuple], prints: dict[int, tuple]) -> Iterator[pa.RecordBatch]:
+    """__g, __r, text -> for the row before: the start of this text, compressed, this fingerprint, and its own component."""
+    pack = zstandard.ZstdCompressor(level=1)
+    out = []
+    for r, text in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+        need, to_g, to_r, component = asked[r]
+        out.append((to_g, to_r, pack.compress((text or "")[:need].encode()), *prints[r], component))
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
+    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], ["__g", "__r", "head", "low", "high", "component_id"])
+
+
+FINGERPRINTS = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, component_id long"
+
+
+def edit_and_compare(part: pa.RecordBatch, prints: dict[int, tuple], heads: dict[int, tuple]) -> Iterator[pa.RecordBatch]:
+    """doc_id, __g, __r, text -> FINGERPRINTS."""
+    unpack = zstandard.ZstdDecompressor()
+    out = []
+    for doc, r, text in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+        text, own = text or "", whole(*prints[r])
+        head, low, high, component = heads[r]
+        edited = text[: len(text) - len(text) // 4].encode() + unpack.decompress(head)
+        changed = signature(np.unique(shingle_keys(edited)))
+        out.append((doc, len(text), sha256(edited).hexdigest(), fingerprint(own), fingerprint(changed), likeness(own, changed), likeness(own, whole(low, high)), component))
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()]
+    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], [x.split()[0] for x in FINGERPRINTS.split(", ")])
 
 
-def print_sets(batches: Iterator[pa.RecordBatch], size: int, print_of) -> Iterator[pa.RecordBatch]:
-    """doc_id, row, text -> doc_id, row, node, shingles, print, bands, sketch."""
-    for batch in batches:
-        nodes, counts, prints, minima = [], [], [], []
-        for text in texts(batch):
-            found = np.unique(shingle_hashes(text, size))
-            nodes.append(node_of(found))
-            counts.append(len(found))
-            prints.append(print_of(text))
-            minima.append(signature(found >> np.uint64(32)))
-        columns = [pa.array(nodes, pa.int64()), pa.array(counts, pa.int64()), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(bands_of(minima), pa.binary()), pa.array([x.astype(np.uint8).tobytes() for x in minima], pa.binary())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "row", "node", "shingles", "print", "bands", "sketch"])
-
-
-def emit_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = [np.unique(shingle_hashes(x, size)).tobytes() for x in texts(batch)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(sets, pa.binary())], ["key", "blocks", "node", "payload"])
+def fingerprints(docs: DataFrame, with_groups: bool = False) -> DataFrame:
+    """Each document's fingerprint, and that of its text with the last quarter exchanged for the next one's start.
+
+    Input: doc_id, text; other columns are ignored. Null text: empty. Documents stand by (doc_id, length), null ids
+    first, further ties by their place in the files; repeated rows follow each other. The only document is its own
+    next one. Empty table: empty result. with_groups: component_id as of near_duplicates, otherwise null.
+    """
+    rows = located(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    printed, prints = print_docs(rows, SHINGLE, lambda _: 0)
+    asked = noted(next_requests(printed, near_groups(rows, printed) if with_groups else None), prints.folders, "next-rows")
+    sent = map_noted(rows.select("__g", "__r", "text"), [asked, prints], send_heads, "__g long, __r long, head binary, low binary, high binary, component_id long")
+    heads = noted(sent, prints.folders, "next-heads")
+    return map_noted(rows.select("doc_id", "__g", "__r", "text"), [prints, heads], edit_and_compare, FINGERPRINTS)
 
 
 def payload_links(batches: Iterator[pa.RecordBatch], near_of) -> Iterator[pa.RecordBatch]:
@@ -268,11 +263,18 @@ def dealt(rows: DataFrame) -> DataFrame:
 
 
 def emit_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """node, bands -> key, node: a key for each band, its number before its hash."""
+    """node, low, high -> key, node: a key for each band, the hash of its number and its minima. Equal hashes of unequal
+    bands only add candidates."""
+    salt = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     for batch in batches:
-        hashed = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, BANDS).astype(np.int64)
-        keys = hashed | np.arange(BANDS, dtype=np.int64) << 32
-        yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], ["key", "node"])
+        for k in range(0, batch.num_rows, 4096):
+            nodes, low, high = (batch.column(n).slice(k, 4096) for n in range(3))
+            bytes_of = lambda x: np.frombuffer(b"".join(x.to_pylist()), np.uint8).reshape(-1, PERMUTATIONS)[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64)
+            parts = bytes_of(low) | bytes_of(high) << np.uint64(8)
+            mixed = (parts[:, :, 0] | parts[:, :, 1] << np.uint64(16) | parts[:, :, 2] << np.uint64(32) | parts[:, :, 3] << np.uint64(48)) ^ salt
+            mixed = (mixed ^ mixed >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(29)
+            yield pa.RecordBatch.from_arrays([pa.array(mixed.view(np.int64).reshape(-1)), pa.array(np.repeat(nodes.to_numpy(), BANDS))], ["key", "node"])
 
 
 def near_sketches(payloads: list[bytes]):
@@ -283,46 +285,51 @@ def near_sketches(payloads: list[bytes]):
 
 def band_candidates(printed: DataFrame) -> DataFrame:
     """Links a, b: within every band's bucket a spanning forest of the nodes that agree in ROUGH minima. Every pair of
-    similarity 0.8 or more is connected, but for the chances at BANDS and ROUGH. A node without shingles has no band."""
-    banded = printed.where("shingles > 0")
-    keys = banded.select("node", "bands").mapInArrow(emit_bands, "key long, node long")
-    several = cut(keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("key"))
+    similarity 0.8 or more is connected, but for the chances at BANDS and ROUGH. A node without shingles has no band.
+
+    Of equal sets one row a task gives keys, so a bucket has no more rows of a node than there are tasks.
+    """
+    banded = printed.where("shingles > 0 AND lead")
+    parts = int(printed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = banded.select("node", "low", "high").mapInArrow(emit_bands, "key long, node long").repartition(parts, "key")  # one exchange, for both uses
+    several = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("key")
     met = cut(keys.join(several, "key").distinct())
     blocks = met.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
-    sketches = banded.select("node", F.col("sketch").alias("payload")).join(met.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    sketches = banded.select("node", F.col("low").alias("payload")).join(met.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
     rows = met.join(blocks, "key").join(sketches, "node")
     return dealt(rows).mapInArrow(lambda it: payload_links(it, near_sketches), "a long, b long")
 
 
-def verified_roots(docs: DataFrame, printed: DataFrame, candidates: DataFrame, size: int = SHINGLE) -> DataFrame:
+def verified_roots(rows: DataFrame, printed: DataFrame, candidates: DataFrame, size: int = SHINGLE) -> DataFrame:
     """node, root for each node: nodes are linked where the Jaccard similarity of their sets is LEAST or more.
 
-    printed: row (xxhash64 of doc_id and text), node, shingles. Candidates a, b only say which nodes are compared:
-    all pairs within each of their components, since links can't lead out of one. A set moves once, more often only
-    where its component is of more than one block.
+    rows: located. Candidates a, b only say which nodes are compared: all pairs within each of their components, since
+    links can't lead out of one. The row that stands for a node is found by its address, its set moves once, more
+    often only where its component is of more than one block.
     """
     groups = cut(components(candidates))
-    of = printed.groupBy("node").agg(F.min("row").alias("row"), F.min("shingles").alias("shingles")).join(groups, "node")
-    blocks = groups.join(of.select("node", "shingles"), "node").groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    chosen = cut(of.select("row", "node", "root").join(blocks, "root"))
-    if chosen.count() <= MOST_BROADCAST:  # the texts that aren't chosen needn't move
-        chosen = F.broadcast(chosen)
-    held = docs.select(F.xxhash64(F.col("doc_id"), F.col("text")).alias("row"), "text").join(chosen, "row").dropDuplicates(["node"])
-    sets = held.select(F.col("root").alias("key"), "blocks", "node", "text").mapInArrow(lambda it: emit_sets(it, size), "key long, blocks int, node long, payload binary")
+    of = printed.groupBy("node").agg(F.min(F.struct("__g", "__r")).alias("at"), F.min("shingles").alias("shingles")).join(groups, "node")
+    blocks = of.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    chosen = noted(of.join(blocks, "root").select("at.__g", "at.__r", "root", "blocks", "node"), folders_for(rows.count()), "chosen")
+
+    def emit(part: pa.RecordBatch, own: dict[int, tuple]) -> Iterator[pa.RecordBatch]:
+        mask = [r in own for r in part.column(1).to_pylist()]
+        if any(mask):
+            part = part.filter(pa.array(mask))
+            sets = [np.unique(shingle_hashes(x, size)).tobytes() for x in texts(part)]
+            keys, counts, nodes = zip(*[own[r] for r in part.column(1).to_pylist()], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(counts, pa.int32()), pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["key", "blocks", "node", "payload"])
+
+    sets = map_noted(rows.select("__g", "__r", "text"), [chosen], emit, "key long, blocks int, node long, payload binary")
     links = dealt(sets).mapInArrow(lambda it: payload_links(it, near_sets), "a long, b long")
     return printed.select("node").distinct().join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
-def print_docs(docs: DataFrame, size: int, print_of) -> DataFrame:
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"), "text")
-    return cut(rows.mapInArrow(lambda it: print_sets(it, size, print_of), "doc_id long, row long, node long, shingles long, print long, bands binary, sketch binary"))
-
-
-def near_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, row, node, ...), a row per document, and node, component_id for each node."""
-    printed = print_docs(docs, SHINGLE, lambda _: 0)
-    roots = cut(verified_roots(docs, printed, band_candidates(printed)).join(printed.groupBy("node").agg(F.min("doc_id").alias("least")), "node"))
-    return printed, roots.join(roots.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id")
+def near_groups(rows: DataFrame, printed: DataFrame) -> DataFrame:
+    """node, component_id for each node."""
+    least = printed.groupBy("node").agg(F.min("doc_id").alias("least"))
+    roots = cut(verified_roots(rows, printed, band_candidates(printed)).join(least, "node"))
+    return roots.join(roots.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -331,9 +338,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Documents are linked where the Jaccard similarity of their sets of five-word shingles is 0.8 or more. Candidates
     share a band of minima. Texts without words are one group. Input and empty table: as for fingerprints.
     """
-    printed, groups = near_groups(docs)
-    return printed.join(groups, "node").select("doc_id", "component_id")
+    rows = located(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    printed, _ = print_docs(rows, SHINGLE, lambda _: 0)
+    return printed.join(near_groups(rows, printed), "node").select("doc_id", "component_id")
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints_and_groups(table(spark, sf_dir, "documents"))
+    return fingerprints(table(spark, sf_dir, "documents"), with_groups=True)

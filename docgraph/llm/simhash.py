@@ -27,13 +27,14 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import minhash
 from .common import cut, table
 from .components import bucket_links, components
 from .lines import texts
+from .rows import kept, located, noted
 
 SHINGLE = 4
 SEED = 42
@@ -154,7 +155,7 @@ def wide_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def print_texts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = np.array([fingerprint(x, size) for x in texts(batch)], np.uint64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(prints.view(np.int64))], ["doc_id", "row", "node"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "node"])
 
 
 def emit_keys(batches: Iterator[pa.RecordBatch], keys_of) -> Iterator[pa.RecordBatch]:
@@ -171,10 +172,9 @@ def near(nodes: np.ndarray, node: np.int64, distance: int) -> np.ndarray:
 
 
 def linked_rows(docs: DataFrame, size: int, distance: int, keys_of) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, row, node), a row per document with its fingerprint as node, and (node, root) for each node."""
-    row = F.xxhash64("doc_id", "text").alias("row")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row, "text")
-    printed = cut(rows.mapInArrow(lambda it: print_texts(it, size), "doc_id long, row long, node long"))
+    """(doc_id, node), a row per document with its fingerprint as node, and (node, root) for each node."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    printed = cut(rows.mapInArrow(lambda it: print_texts(it, size), "doc_id long, node long"))
     nodes = printed.select("node").distinct()
     keys = nodes.mapInArrow(lambda it: emit_keys(it, keys_of), "key long, node long")
     links = bucket_links(keys, partial(near, distance=distance), lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= distance)
@@ -213,19 +213,20 @@ def copy_candidates(printed: DataFrame, distance: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, size: int = WIDE_SHINGLE, distance: int = WIDE_DISTANCE) -> DataFrame:
-    """The documents' columns, for one document of each group of near copies: the first by doc_id, null ids last.
+    """The documents' columns, for one document of each group of near copies: the first by doc_id, null ids last, then
+    by its place in the files.
 
-    Of repeated rows one stays. Texts without words are one group. Fingerprints within distance and MinHash bands give
-    candidates only: a link is kept where the Jaccard similarity of the shingle sets is 0.8 or more.
+    Of repeated rows one stays. Texts without words (null, empty, white space) are one group. Fingerprints within
+    distance and MinHash bands give candidates only: a link is kept where the Jaccard similarity of the shingle sets is
+    0.8 or more. Rows are told apart by their address, so none is lost or taken for another. Extra columns stay,
+    whatever their names. Empty table: empty result.
     """
-    printed = minhash.print_docs(docs, size, partial(fingerprint, size=size))
-    roots = minhash.verified_roots(docs, printed, copy_candidates(printed, distance), size)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    rows = located(docs)
+    printed, notes = minhash.print_docs(rows, size, partial(fingerprint, size=size))
+    roots = minhash.verified_roots(rows, printed, copy_candidates(printed, distance), size)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__g", "__r")).alias("first")
     ahead = printed.groupBy("node").agg(first).join(roots, "node").groupBy("root").agg(F.min("first").alias("first"))
-    winners = cut(ahead.select(F.col("first.row").alias("__row")))
-    once = Window.partitionBy("__row").orderBy(F.lit(0))
-    kept = docs.withColumn("__row", F.xxhash64("doc_id", "text")).join(winners, "__row", "left_semi")
-    return kept.withColumn("__nth", F.row_number().over(once)).where("__nth = 1").select(*docs.columns)
+    return kept(rows, noted(ahead.select("first.__g", "first.__r"), notes.folders, "winners"), docs)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

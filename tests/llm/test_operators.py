@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from docgraph.llm import chat, lines, media, minhash, mixing, pieces, quality, simhash, surrogates, toxicity
 from docgraph.llm import catalog
 from docgraph.llm.common import scratch, table
+from docgraph.llm.rows import located
 
 FOLDER = "/root/testdata/sf0.001"
 LONG = " ".join(f"word{k % 977}" for k in range(60_000))
@@ -190,8 +191,8 @@ def test_media_members_retry_apart(spark, tmp_path):
 
 
 def test_fingerprints(spark, odd, empty):
-    rows = sorted([(k, t) for k, t, *_ in ODD], key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
-    got = minhash.fingerprints(odd, 3).collect()
+    rows = sorted([(k, t) for k, t, *_ in ODD], key=lambda r: (r[0] is not None, r[0] or 0, len(r[1] or "")))
+    got = minhash.fingerprints(odd).collect()
     texts = [t or "" for _, t in rows]
     want = []
     for n, (doc, _) in enumerate(rows):
@@ -199,12 +200,30 @@ def test_fingerprints(spark, odd, empty):
         k = len(t) // 4
         want.append((doc, len(t), hashlib.sha256((t[: len(t) - k] + after[:k]).encode()).hexdigest()))
     assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in got), key=repr) == sorted(want, key=repr)
-    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
-    assert minhash.fingerprints(empty, 3).count() == 0
-    one = minhash.fingerprints(spark.createDataFrame([(7, "x y z")], "doc_id long, text string"), 3).collect()
+    prints = [plain_signature(t) for t in texts]
+    edits = [plain_signature(t[: len(t) - len(t) // 4] + texts[(n + 1) % len(rows)][: len(t) // 4]) for n, t in enumerate(texts)]
+    alike = lambda a, b: sum(x == y for x, y in zip(a, b, strict=True)) / 128
+    digits = lambda x: "".join(f"{v:04x}" for v in x)
+    more = [(doc, digits(prints[n]), digits(edits[n]), alike(prints[n], edits[n]), alike(prints[n], prints[(n + 1) % len(rows)])) for n, (doc, _) in enumerate(rows)]
+    assert sorted(((r.doc_id, r.fingerprint, r.edited_fingerprint, r.near_edited, r.near_next) for r in got), key=repr) == sorted(more, key=repr)
+    assert minhash.fingerprints(empty).count() == 0
+    one = minhash.fingerprints(spark.createDataFrame([(7, "x y z")], "doc_id long, text string")).collect()
     assert (len(one), one[0].near_next) == (1, 1.0)
 
 
+def plain_signature(text):
+    """The minima by plain whole numbers."""
+    words = [w for w in text.encode().lower().split()]
+    hashes, keys = [__import__("xxhash").xxh3_64_intdigest(w) for w in words], set()
+    for k in range(max(1, len(words) - 4) if words else 0):
+        mixed = len(words[k : k + 5])
+        for h in hashes[k : k + 5]:
+            mixed = (mixed * 0x9E3779B97F4A7C15 + h) % 2**64
+        mixed = ((mixed ^ mixed >> 32) * 0xD6E8FEB86659FD93) % 2**64
+        keys.add(mixed >> 32)
+    return [min(((a * x + b) % 2**64 >> 32 for x in keys), default=0xFFFF) & 0xFFFF for a, b in zip(minhash.A.tolist(), minhash.B.tolist(), strict=True)]
+
+
 def test_minhash_estimates_jaccard():
     rng = random.Random(1)
     for share in (0.2, 0.5, 0.8):
@@ -214,7 +233,7 @@ def test_minhash_estimates_jaccard():
         exact = len(set(a.tolist()) & set(b.tolist())) / len(set(a.tolist()) | set(b.tolist()))
         assert abs(minhash.likeness(minhash.signature(a), minhash.signature(b)) - exact) < 0.15
         hashed = ((minhash.A[:, None] * a[None, :] + minhash.B[:, None]) >> np.uint64(32)).min(axis=1)
-        assert (hashed == minhash.signature(a)).all()
+        assert (hashed & np.uint64(0xFFFF) == minhash.signature(a)).all()
 
 
 def test_near_duplicates_against_brute_force(spark, odd, empty):
@@ -228,8 +247,8 @@ def test_near_duplicates_against_brute_force(spark, odd, empty):
     assert minhash.near_duplicates(empty).count() == 0
     docs = table(spark, FOLDER, "documents").select("doc_id", "text").orderBy("doc_id").collect()
     ids = [r.doc_id for r in docs]
-    marked = minhash.fingerprints_and_groups(odd, 3)
-    assert sorted(map(tuple, marked.drop("component_id").collect()), key=repr) == sorted(map(tuple, minhash.fingerprints(odd, 3).collect()), key=repr)
+    marked = minhash.fingerprints(odd, with_groups=True)
+    assert sorted(map(tuple, marked.drop("component_id").collect()), key=repr) == sorted(map(tuple, minhash.fingerprints(odd).drop("component_id").collect()), key=repr)
     assert sorted((r.doc_id or 0, r.n_chars, r.component_id) for r in marked.collect() if r.n_chars < 100) == [(0, 0, 2), (0, 17, None), (1, 25, 1), (1, 25, 1), (2, 0, 2), (3, 0, 2), (5, 5, 2), (6, 8, 6)]
     whole = minhash.op10_fingerprints(spark, FOLDER).collect()
     assert sorted((r.doc_id, r.component_id) for r in whole) == sorted(zip(ids, [ids[k] for k in jaccard_roots([r.text for r in docs])], strict=True))
@@ -335,8 +354,9 @@ def test_no_document_is_dropped_on_bits_alone(spark):
     """Texts of one shingle set's size whose fingerprints are near or equal, but whose shingles aren't."""
     rows = [(k, f"only{k} w x y z") for k in range(40)] + [(40, "a b c d e"), (41, "A  b c d\ne")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    printed = minhash.print_docs(docs, 5, lambda _: 7)  # one fingerprint for all
-    roots = minhash.verified_roots(docs, printed, simhash.copy_candidates(printed, 10)).collect()
+    rows = located(docs)
+    printed, _ = minhash.print_docs(rows, 5, lambda _: 7)  # one fingerprint for all
+    roots = minhash.verified_roots(rows, printed, simhash.copy_candidates(printed, 10)).collect()
     assert len({r.root for r in roots}) == len(roots) == 41
     docs = table(spark, "/root/testdata/sf0.1", "documents").where("doc_id in (2510, 595, 7921, 718)")
     assert simhash.keep_one(docs).count() == 4
