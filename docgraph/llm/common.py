@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut, scratch, shared_dir
+
+__all__ = ["UPPER", "WORD", "cut", "scratch", "shared_dir", "table", "text_or_empty"]
+
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -19,26 +20,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir where it is set.
-
-    Only where it is unset, as in local tests, a temporary folder of this machine is taken instead.
-    """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="docgraph-"))
-    return named or context._jsc.sc().getCheckpointDir().get()
-
-
-def scratch(spark: SparkSession, kind: str) -> str:
-    """A new folder's path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: lineage ends in files that every executor can read."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -110,5 +110,7 @@ def components(links: DataFrame, most_rounds: int = 100) -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components aren't final after {most_rounds} rounds")
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return nodes.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).groupBy("node").agg(F.min("root").alias("root"))

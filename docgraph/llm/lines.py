@@ -21,14 +21,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, table
+from .rows import by_group, folders_for, located, noted
 
 SPACE = b" \t\n\x0b\x0c\r"
 FILTER_BITS = 27  # 16 MB a filter, at every size of corpus
 PROBES = 3
 SLICE_BITS = 21
 MERGERS = 16
-#: Up to so many repeated keys (24 bytes each) go to every executor; beyond, they are joined.
-MOST_BROADCAST = 1_000_000
+#: Up to so many repeated keys (24 bytes each) go to every executor; beyond, each group of rows gets its own.
+MOST_BROADCAST = 100_000
 NO_DOC = 1 << 62
 
 
@@ -148,8 +149,9 @@ def keep_lines(text: bytes, doc: int | None, repeated: dict[bytes, tuple[int, in
     return len(lines), kept
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 10, keep: str = "none", bits: int = FILTER_BITS, least: int = 1, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = 10, keep: str = "none", bits: int = FILTER_BITS, least: int = 1, most_broadcast: int = MOST_BROADCAST, counted: bool = True) -> DataFrame:
     """The documents' columns with text deduplicated, and n_lines (before), n_dropped; columns so named are replaced.
+    Without counted just the documents' columns, whatever their names.
 
     A text is split at line feeds; a null or empty text is one empty line and stays as it is (null becomes empty).
     A line's key is the line without ASCII white space at its ends, A-Z lower-cased. Lines with keys of at least
@@ -161,17 +163,18 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, keep: str = "none", bits: i
     keep_first = keep == "first"
     found = cut(repeated_keys(docs, min_docs, bits, least))
     n = found.count()
-    out = docs.select(*[c for c in docs.columns if c not in ("n_lines", "n_dropped")])
+    out = docs.select(*[F.col(f"`{c}`") for c in docs.columns if not counted or c not in ("n_lines", "n_dropped")])
     schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema]
     at, ids = out.columns.index("text"), out.columns.index("doc_id")
 
     def rebuilt(batch: pa.RecordBatch, kept: list, width: int) -> pa.RecordBatch:
         columns = list(batch.columns[:width])
         columns[at] = pa.array([b"\n".join(x) for _, x in kept], pa.binary()).cast(pa.string())
-        columns += [pa.array([x[0] for x in kept], pa.int64()), pa.array([x[0] - len(x[1]) for x in kept], pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:width], "n_lines", "n_dropped"])
+        if counted:
+            columns += [pa.array([x[0] for x in kept], pa.int64()), pa.array([x[0] - len(x[1]) for x in kept], pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:width], "n_lines", "n_dropped"][: len(columns)])
 
-    wanted = ", ".join([*schema, "n_lines long", "n_dropped long"])
+    wanted = ", ".join([*schema, *(["n_lines long", "n_dropped long"] if counted else [])])
     if n <= most_broadcast:
         held = spark.sparkContext.broadcast({bytes(r.key): (r.first_doc, r.first_line) for r in found.collect()})
 
@@ -182,31 +185,30 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, keep: str = "none", bits: i
 
         return out.mapInArrow(drop, wanted)
 
-    # too many for every executor to hold: each document gets the repeated keys among its own lines
-    row = F.sha2(F.concat_ws(":", F.col("doc_id").cast("string"), F.coalesce("text", F.lit(""))), 256)
+    # too many for every executor to hold: each group of rows gets the repeated keys among its own lines
+    rows = located(out)
 
     def own_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, keys = [], []
-            for r, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
-                own = {digest(x) for x in text.split(b"\n") if long_enough(x, least)}
-                rows += [r] * len(own)
-                keys += own
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string()), pa.array(keys, pa.binary())], ["row_key", "key"])
+            for g, part in by_group(batch, 0):
+                own = {digest(x) for text in texts(part) for x in text.split(b"\n") if long_enough(x, least)}
+                yield pa.RecordBatch.from_arrays([pa.array([g] * len(own), pa.int64()), pa.array(list(own), pa.binary())], ["__g", "key"])
 
-    mine = out.select(row.alias("row_key"), "text").mapInArrow(own_keys, "row_key string, key binary").join(found, "key")
-    lists = mine.groupBy("row_key").agg(F.collect_set(F.struct("key", "first_doc", "first_line")).alias("repeated"))
-    joined = out.withColumn("row_key", row).join(lists, "row_key", "left").select(*out.columns, "repeated")
+    mine = rows.select("__g", "text").mapInArrow(own_keys, "__g long, key binary").join(found, "key").distinct()
+    notes = noted(mine.withColumn("__r", F.lit(0).cast("long")), folders_for(rows.count()), "line-keys")
 
     def drop_own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, {}
         for batch in batches:
-            kept = []
-            for d, t, own in zip(batch.column(ids).to_pylist(), texts(batch), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
-                held = {x["key"]: (x["first_doc"], x["first_line"]) for x in own or ()}
-                kept.append(keep_lines(t, d, held, keep_first, least))
-            yield rebuilt(batch, kept, batch.num_columns - 1)
-
-    return joined.mapInArrow(drop_own, wanted)
+            for g, part in by_group(batch, width):
+                if g != last:
+                    got, last = notes.table(g), g
+                    held = {} if got is None else {k: (d, n) for k, d, n in zip(*[got.column(c).to_pylist() for c in ("key", "first_doc", "first_line")], strict=True)}
+                pairs = zip(part.column(ids).to_pylist(), texts(part), strict=True)
+                yield rebuilt(part, [keep_lines(t, d, held, keep_first, least) for d, t in pairs], width)
+
+    width = len(out.columns)
+    return rows.drop("__r").mapInArrow(drop_own, wanted)
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

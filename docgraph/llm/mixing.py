@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, cut, table
+from .rows import located
 
 #: Ids of one block differ in their low bits only.
 BLOCK_BITS = 16
@@ -64,12 +65,13 @@ def mix(docs: DataFrame, seed: str = "mix", weights: tuple[float, ...] = (5, 2,
     order among themselves, which leaves the result as a bag unchanged; null ids come first within a size.
     An empty table gives an empty result. A source without words has target 0 and no copies.
     """
-    return ranked_copies(docs, seed, weights, share, most).drop("row")
+    return ranked_copies(docs.select("doc_id", "source", "text"), seed, weights, share, most)
 
 
 def ranked_copies(docs: DataFrame, seed: str, weights: tuple[float, ...], share: float, most: float) -> DataFrame:
-    """mix, with row: a hash of the document's id and text."""
-    d = cut(docs.select("doc_id", "source", F.xxhash64("doc_id", "text").alias("row"), source_key().alias("skey"), word_count().alias("size"), F.shiftright(F.col("doc_id").cast("long"), BLOCK_BITS).alias("hi")).withColumn("hi", F.coalesce("hi", F.lit(-(1 << 62)))))
+    """mix, with the columns of docs beside doc_id, source and text."""
+    more = [c for c in docs.columns if c not in ("doc_id", "source", "text")]
+    d = cut(docs.select(*more, "doc_id", "source", source_key().alias("skey"), word_count().alias("size"), F.shiftright(F.col("doc_id").cast("long"), BLOCK_BITS).alias("hi")).withColumn("hi", F.coalesce("hi", F.lit(-(1 << 62)))))
     blocks = cut(d.groupBy("skey", "size", "hi").agg(F.count("*").alias("n"), F.first("source", ignorenulls=True).alias("source")))
     by_size = blocks.groupBy("skey", "size").agg(F.sum("n").alias("n"), F.first("source", ignorenulls=True).alias("source"))
     sizes = by_size.groupBy("skey").agg(F.first("source", ignorenulls=True).alias("source"), F.sum(F.col("size") * F.col("n")).alias("source_size"))
@@ -85,15 +87,16 @@ def ranked_copies(docs: DataFrame, seed: str, weights: tuple[float, ...], share:
     ranked = ranked.join(starts, ["skey", "size", "hi"]).withColumn("k", F.col("k") + F.col("at"))
     passed = lambda k: F.floor(F.col("offset") + F.col("rate") * k)
     copies = F.least(passed(F.col("k")) - passed(F.col("k") - 1), F.lit(int(-(-most // 1)))).cast("int")
-    return ranked.select("doc_id", "row", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+    return ranked.select(*more, "doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
 
 
 def mixed(docs: DataFrame, seed: str = "mix", weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """The documents' columns, each document as often as the mix takes it. Repeated rows are taken as often together."""
-    taken = ranked_copies(docs, seed, weights, share, most).groupBy(F.col("row").alias("__row")).agg(F.sum("copies").cast("int").alias("__copies")).where("__copies > 0")
-    once = Window.partitionBy("__row").orderBy(F.lit(0))
-    kept = docs.withColumn("__row", F.xxhash64("doc_id", "text")).join(taken, "__row").withColumn("__nth", F.row_number().over(once)).where("__nth = 1")
-    return kept.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    """The documents' columns, each row as often as the mix takes it. Rows are told apart by their address in the files
+    (docs that isn't a plain scan is written out first), so repeated rows are taken each for itself."""
+    rows = located(docs)
+    taken = ranked_copies(rows.select("__g", "__r", "doc_id", "source", "text"), seed, weights, share, most).where("copies > 0").select("__g", "__r", "copies")
+    kept = rows.join(taken.withColumnRenamed("copies", "__copies"), ["__g", "__r"]).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

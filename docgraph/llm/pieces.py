@@ -33,11 +33,11 @@ import pyarrow as pa
 import pyarrow.compute
 import pyarrow.dataset as dataset
 from pyarrow import fs
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, scratch, table
+from .rows import folders_for, located
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "\u2581"
@@ -49,9 +49,6 @@ GONE = ((1 << PLACE_BITS) - 1) << ID_BITS  #: Stands where no symbol begins; it
 #: With more pieces than so many that share a score, every word is folded step by step.
 MOST_TIED = 16
 LONG_WORD, LIMIT = 48, 512
-#: Rows of a file that share a dictionary; a folder for every dictionary, up to so many folders.
-GROUP_BITS = 13
-MOST_FOLDERS = 100_000
 #: Documents for each part of the words, some 25,000 distinct ones, up to so many parts. Lattices are grouped in hash
 #: tables of up to HASHED_WORDS words a task before sorting takes over.
 PART_DOCS, MOST_PARTS = 1500, 50_000
@@ -273,8 +270,9 @@ class Cutter:
 
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
     """known (a piece), id, score, rank, hash: a row per normal piece; the vocabulary bounds its size."""
-    rows = [(p, k, model.scores[k], model.ranks[p]) for p, k in model.ids.items()]
-    return spark.createDataFrame(rows, "known string, id int, score double, rank int").withColumn("hash", F.xxhash64("known"))
+    ids = list(model.ids.values())
+    columns = {"known": pa.array(list(model.ids), pa.string()), "id": pa.array(ids, pa.int32()), "score": pa.array([model.scores[k] for k in ids], pa.float64()), "rank": pa.array([model.ranks[p] for p in model.ids], pa.int32())}
+    return spark.createDataFrame(pa.table(columns)).withColumn("hash", F.xxhash64("known"))
 
 
 def lattice(words: DataFrame, model: Model) -> DataFrame:
@@ -375,16 +373,8 @@ def encode_words(words: DataFrame, model: Model) -> DataFrame:
 
 
 def grouped(docs: DataFrame) -> DataFrame:
-    """doc_id, text, g: a hash of the file and the block of its rows; docs must be a scan of files, or is made one."""
-    if docs.inputFiles():
-        try:
-            return docs.select("doc_id", "text", F.xxhash64(F.col("_metadata.file_path"), F.shiftright(F.col("_metadata.row_index"), GROUP_BITS)).alias("g"))
-        except AnalysisException as e:  # the files are no longer in sight, as after an aggregate
-            if "_metadata" not in str(e):
-                raise
-    path = scratch(docs.sparkSession, "pieces-input")
-    docs.select("doc_id", "text").write.parquet(path)
-    return grouped(docs.sparkSession.read.parquet(path))
+    """doc_id, text, g: the groups of rows that share a dictionary."""
+    return located(docs.select("doc_id", "text")).select("doc_id", "text", F.col("__g").alias("g"))
 
 
 def rare_words(batches: Iterator[pa.RecordBatch], cutter: Cutter, known: dict[str, bytes], parts: int, folders: int) -> Iterator[pa.RecordBatch]:
@@ -494,7 +484,7 @@ def encode(docs: DataFrame, model: Model, with_decoded: bool = False) -> DataFra
     own, cutter, n = grouped(docs), Cutter(model), docs.count()
     words_path, path = scratch(spark, "pieces-words"), scratch(spark, "pieces-ids")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_PARTS, n // PART_DOCS))
-    folders = max(1, min(MOST_FOLDERS, n >> GROUP_BITS - 1))
+    folders = folders_for(n)
     with settings(spark, objectHashAggregate__sortBased__fallbackThreshold=HASHED_WORDS, requireAllClusterKeysForCoPartition=False):
         frequent = spark.sparkContext.broadcast(Known(frequent_words(docs, n, model, cutter)))
         schema = "bucket int, g long, part int, words string"

@@ -30,26 +30,25 @@ ROUNDS = 100
 PENALTY = 2e-5
 WORDS = re.compile(r"\w+")
 PREFIXES = (4, 5)
+MOST_WORDS = 100_000  #: Words whose columns a task keeps.
 
 
-class WordFeatures(dict):
-    """Word -> hashes of the word and of its prefixes; forgets all when it holds too many."""
+def hashes_of(word: str) -> tuple[int, ...]:
+    """The word and its prefixes."""
+    parts = [f"w{word}", *(f"{n}{word[:n]}" for n in PREFIXES if len(word) >= n)]
+    return tuple(xxhash.xxh3_64_intdigest(x) >> 32 for x in parts)
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > 300_000:
-            self.clear()
-        parts = [f"w{word}", *(f"{n}{word[:n]}" for n in PREFIXES if len(word) >= n)]
-        value = self[word] = tuple(xxhash.xxh3_64_intdigest(x) >> 32 for x in parts)
-        return value
 
-
-HASHES = WordFeatures()
-
-
-def features(text: str) -> set[int]:
+def features(text: str, known: dict[str, tuple[int, ...]]) -> set[int]:
+    """known: words' hashes, kept from text to text."""
     found: set[int] = set()
     for word in set(WORDS.findall(text.lower())):
-        found.update(HASHES[word])
+        own = known.get(word)
+        if own is None:
+            if len(known) > MOST_WORDS:
+                known.clear()
+            own = known[word] = hashes_of(word)
+        found.update(own)
     return found
 
 
@@ -108,48 +107,67 @@ def fit(indices: np.ndarray, starts: np.ndarray, before: np.ndarray, y: np.ndarr
     return Linear(values[:columns], values[columns:-1], float(values[-1]))
 
 
-def rows_of(found: list[np.ndarray], rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    picked = [found[k] for k in rows]
-    return np.concatenate([*picked, np.empty(0, np.int64)]).astype(np.int64), np.concatenate([[0], np.cumsum([len(x) for x in picked])]).astype(np.int64)
-
-
-def select(hashes: list[np.ndarray], targets: list[np.ndarray], columns: int = FEATURES) -> dict[int, int]:
-    """For each target, the features whose share among its rows stands out most; over all rows of the sample."""
-    every, inverse = np.unique(np.concatenate([*hashes, np.empty(0, np.uint32)]), return_inverse=True)
-    inverse = inverse.astype(np.int32)
-    rows = np.repeat(np.arange(len(hashes), dtype=np.int32), [len(x) for x in hashes])
-    chosen: set[int] = set()
-    for y in targets:
-        ones = np.bincount(inverse, y[rows], len(every))
-        all_ = np.bincount(inverse, None, len(every))
-        n1, n0 = max(1.0, y.sum()), max(1.0, (1 - y).sum())
-        share = (all_ + 1) / (len(y) + 2)
-        z = (ones / n1 - (all_ - ones) / n0) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
-        chosen |= set(every[np.argsort(-np.abs(z), kind="stable")[:columns]].tolist())
-    return {h: k for k, h in enumerate(sorted(chosen))}
+@dataclass
+class Sample:
+    """The features of the sample's rows, as numbers of distinct hashes."""
+
+    every: np.ndarray  # the distinct hashes
+    number: np.ndarray
+    row: np.ndarray
+    n: int
+
+    @classmethod
+    def of(cls, hashes: list[np.ndarray]) -> Sample:
+        every, number = np.unique(np.concatenate([*hashes, np.empty(0, np.uint32)]), return_inverse=True)
+        return cls(every, number.astype(np.int32), np.repeat(np.arange(len(hashes), dtype=np.int32), [len(x) for x in hashes]), len(hashes))
+
+    def select(self, targets: list[np.ndarray], use: np.ndarray, columns: int) -> np.ndarray:
+        """Column numbers by hash number, or -1: for each target, the features whose share among its rows stands out
+        most. Only rows in use are looked at, so what is chosen knows nothing of the labels of the others."""
+        own = use[self.row]
+        number, row = self.number[own], self.row[own]
+        total, rows = np.bincount(number, None, len(self.every)), use.sum()
+        chosen = np.zeros(len(self.every), bool)
+        for y in targets:
+            ones = np.bincount(number, y[row], len(self.every))
+            n1, n0 = max(1.0, y[use].sum()), max(1.0, (1 - y[use]).sum())
+            share = (total + 1) / (rows + 2)
+            z = (ones / n1 - (total - ones) / n0) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
+            chosen[np.argsort(-np.abs(z), kind="stable")[:columns]] = True
+        return np.where(chosen, np.cumsum(chosen) - 1, -1)
+
+    def columns(self, numbers: np.ndarray, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """indices and starts of the chosen features of the rows in use."""
+        found = numbers[self.number]
+        keep = (found >= 0) & use[self.row]
+        return found[keep], np.concatenate([[0], np.cumsum(np.bincount(self.row[keep], None, self.n)[use])]).astype(np.int64)
 
 
 def train(hashes: list[np.ndarray], languages: list[str], toxic: np.ndarray) -> Chain:
-    """hashes: the features of each text. No rows: everything has probability 0.5 and nothing is flagged."""
+    """hashes: the features of each text. No rows: everything has probability 0.5 and nothing is flagged.
+
+    A fold's features are selected, and its models fitted, without its rows: the probabilities that later models of
+    the chain learn from are out of fold in every respect.
+    """
     if not len(toxic):
         return Chain(["toxic"], {}, [Linear(np.zeros(0), np.zeros(0), 0.0)], 1.1)
     toxic = toxic.astype(float)
     counts = {x: languages.count(x) for x in set(languages)}
     kinds = sorted(sorted(counts, key=lambda x: (-counts[x], x))[:MOST_LANGUAGES])
     targets = [toxic * np.array([x == k for x in languages]) for k in kinds] + [toxic]
-    vocabulary = select(hashes, targets, FEATURES // len(targets))
-    chosen = np.array(sorted(vocabulary), np.uint32)  # columns are numbered in this order
-    found = [np.searchsorted(chosen, x[np.isin(x, chosen)]) for x in hashes]
-    n, columns = len(toxic), len(vocabulary)
-    fold = np.arange(n) % FOLDS
+    sample, n = Sample.of(hashes), len(toxic)
+    fold, every = np.arange(n) % FOLDS, np.ones(n, bool)
+    chosen = [sample.select(targets, fold != f, FEATURES // len(targets)) for f in range(FOLDS)]
+    finally_ = sample.select(targets, every, FEATURES // len(targets))
+    vocabulary = {int(h): int(c) for h, c in zip(sample.every, finally_, strict=True) if c >= 0}
     chain, before = Chain([f"toxic_{k}" for k in kinds] + ["toxic"], vocabulary), np.zeros((n, 0))
     for y in targets:
         out_of_fold = np.zeros(n)
         for f in range(FOLDS):
-            use, rest = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
-            model = fit(*rows_of(found, use), before[use], y[use], columns)
-            out_of_fold[rest] = sigmoid(model.logits(sums(*rows_of(found, rest), model.weights), before[rest]))
-        chain.models.append(fit(*rows_of(found, np.arange(n)), before, y, columns))
+            use = fold != f
+            model = fit(*sample.columns(chosen[f], use), before[use], y[use], int(chosen[f].max(initial=-1)) + 1)
+            out_of_fold[~use] = sigmoid(model.logits(sums(*sample.columns(chosen[f], ~use), model.weights), before[~use]))
+        chain.models.append(fit(*sample.columns(finally_, every), before, y, len(vocabulary)))
         before = np.column_stack([before, out_of_fold])
     chain.threshold = max(chain.threshold, best_threshold(before[:, -1], toxic))
     return chain
@@ -168,8 +186,9 @@ def best_threshold(scores: np.ndarray, y: np.ndarray) -> float:
 
 
 def hash_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: dict[str, tuple[int, ...]] = {}
     for batch in batches:
-        found = [np.array(sorted(features(x or "")), "<u4").tobytes() for x in batch.column(2).to_pylist()]
+        found = [np.array(sorted(features(x or "", known)), "<u4").tobytes() for x in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], ["lang", "toxic", "found"])
 
 
@@ -186,6 +205,23 @@ def train_on(docs: DataFrame, labels: DataFrame, most_rows: tuple[int, int] = MO
     return train([np.frombuffer(x, "<u4") for _, _, x in rows], [lang for _, lang, _ in rows], np.array([t for t, _, _ in rows]))
 
 
+def scored(texts: list[str | None], chain: Chain, known: dict[str, tuple[int, ...]]) -> list[list[float]]:
+    """The chain's probabilities for each text. known: words' columns, kept from batch to batch."""
+    rows = []
+    for text in texts:
+        found: set[int] = set()
+        for word in set(WORDS.findall((text or "").lower())):
+            own = known.get(word)
+            if own is None:
+                if len(known) > MOST_WORDS:
+                    known.clear()
+                own = known[word] = tuple(chain.vocabulary[h] for h in hashes_of(word) if h in chain.vocabulary)
+            if own:
+                found.update(own)
+        rows.append(chain.predict(sorted(found)))
+    return rows
+
+
 def score(docs: DataFrame, chain: Chain) -> DataFrame:
     """The documents' columns and toxicity (probability), toxicity_by (map of all categories), toxic; such columns are replaced.
 
@@ -199,18 +235,7 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, chain = {}, held.value
         for batch in batches:
-            rows = []
-            for text in batch.column(at).to_pylist():
-                found: set[int] = set()
-                for word in set(WORDS.findall((text or "").lower())):
-                    own = known.get(word)
-                    if own is None:
-                        if len(known) > 300_000:
-                            known.clear()
-                        own = known[word] = tuple(chain.vocabulary[h] for h in HASHES[word] if h in chain.vocabulary)
-                    if own:
-                        found.update(own)
-                rows.append(chain.predict(sorted(found)))
+            rows = scored(batch.column(at).to_pylist(), chain, known)
             by = pa.array([list(zip(chain.names, r, strict=True)) for r in rows], pa.map_(pa.string(), pa.float64()))
             last = [r[-1] for r in rows]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(last, pa.float64()), by, pa.array([x >= chain.threshold for x in last], pa.bool_())], [*batch.schema.names, "toxicity", "toxicity_by", "toxic"])
@@ -219,6 +244,21 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
     return out.mapInArrow(run, schema)
 
 
+def drop_flagged(docs: DataFrame, chain: Chain) -> DataFrame:
+    """The documents that aren't toxic, all columns as they are, whatever their names. Otherwise as score."""
+    held = docs.sparkSession.sparkContext.broadcast(chain)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, chain = {}, held.value
+        for batch in batches:
+            for k in range(0, batch.num_rows, 1024):
+                part = batch.slice(k, 1024)
+                yield part.filter(pa.array([r[-1] < chain.threshold for r in scored(part.column(at).to_pylist(), chain, known)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     chain = train_on(docs, table(spark, sf_dir, "labels"))

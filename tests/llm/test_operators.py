@@ -54,6 +54,11 @@ def test_mix_is_whole_and_near_its_targets(spark, odd, empty):
     assert rows == mixing.mix(docs.repartition(7)).collect() or sorted(rows, key=lambda r: r.doc_id) == sorted(mixing.mix(docs.repartition(7)).collect(), key=lambda r: r.doc_id)
     assert mixing.mix(odd).count() == len(ODD)
     assert mixing.mix(empty).count() == 0
+    same = spark.createDataFrame([(1, "a b c", "s1"), (1, "a b c", "s2"), (1, "a b c", "s2"), (2, "d e f g", "s1")], "doc_id long, text string, source string")
+    got = [(r.doc_id, r.source) for r in mixing.mixed(same).collect()]
+    assert len(got) == sum(r.copies for r in mixing.mix(same).collect())
+    assert {"s1", "s2"} == {x for _, x in got}  # no source's copies go to another one
+    assert sorted(got) == sorted((r.doc_id, r.source) for r in mixing.mixed(same).collect())
     total = sum(r.copies for r in mixing.mix(odd).collect())
     assert mixing.mixed(odd).count() == total
     assert mixing.mixed(odd).columns == odd.columns
@@ -139,6 +144,10 @@ def test_lines(spark, odd, empty, keep, most):
     assert out.columns == [*[c for c in odd.columns if c != "n_lines"], "n_lines", "n_dropped"]
     assert out.count() == len(ODD)
     assert lines.dedup_lines(empty, most_broadcast=most).count() == 0
+    clash = odd.withColumnsRenamed({"lang": "repeated", "source": "row_key"})
+    plain = lines.dedup_lines(clash, 2, keep, most_broadcast=most, counted=False)
+    assert plain.columns == clash.columns
+    assert sorted(map(repr, plain.select("doc_id", "text", "repeated", "row_key").collect())) == sorted(map(repr, out.select("doc_id", "text", F.col("lang").alias("repeated"), F.col("source").alias("row_key")).collect()))
 
 
 def test_a_full_filter_changes_nothing(spark):
@@ -405,6 +414,35 @@ def test_toxicity(spark, odd, empty):
     assert not any(r.toxic for r in toxicity.score(odd, blank).collect())
 
 
+def test_chain_scores_by_plain_sums(spark):
+    """Each category's probability, from dictionaries and sums."""
+    docs, labels = table(spark, FOLDER, "documents"), table(spark, FOLDER, "labels")
+    chain = toxicity.train_on(docs, labels)
+    for r in toxicity.score(docs, chain).collect():
+        found = {h for w in set(toxicity.WORDS.findall((r.text or "").lower())) for h in toxicity.hashes_of(w)}
+        before = []
+        for m in chain.models:
+            x = float(m.bias) + sum(float(m.weights[chain.vocabulary[h]]) for h in found if h in chain.vocabulary) + sum(float(d) * b for d, b in zip(m.dense, before, strict=True))
+            before.append(1 / (1 + np.exp(-x)))
+        assert [r.toxicity_by[n] for n in chain.names] == pytest.approx(before, abs=1e-9)
+        assert r.toxic == (r.toxicity >= chain.threshold)
+    kept = toxicity.drop_flagged(docs.withColumn("toxic", F.lit("mine")), chain)
+    assert kept.columns == [*docs.columns, "toxic"]
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in toxicity.score(docs, chain).where("NOT toxic").collect())
+
+
+def test_folds_dont_see_their_own_labels():
+    """Features of noise: selected with all labels they would look telling, out of fold they must not."""
+    rng = np.random.RandomState(3)
+    hashes = [np.sort(rng.choice(40_000, 30, replace=False)).astype(np.uint32) for _ in range(400)]
+    chain = toxicity.train(hashes, ["en"] * 400, rng.randint(0, 2, 400))
+    sample = toxicity.Sample.of(hashes)
+    y, use = rng.randint(0, 2, 400).astype(float), np.arange(400) % 4 != 0
+    other = np.where(use, y, 1 - y)
+    assert (sample.select([y], use, 50) == sample.select([other], use, 50)).all()
+    assert len(chain.models) == 2
+
+
 def test_quality(spark, odd, empty):
     docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
     model = quality.train_on(docs, labels)
