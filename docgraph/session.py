@@ -25,11 +25,13 @@ def session(master: str = "local[8]", partitions: int = 8, **settings: str) -> S
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir where it is set.
 
-    Only where it is unset, as in local tests, a temporary folder of this machine is taken instead.
+    Only where it is unset and the master is local, as in tests, a temporary folder of this machine is taken instead.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if context._jsc.sc().getCheckpointDir().isEmpty():
+        if not named and not context.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="docgraph-"))
     return named or context._jsc.sc().getCheckpointDir().get()
 
