@@ -6,13 +6,13 @@ feed are escaped as well, so that the first line feed of a turn ends its role.
 
 Every assistant turn becomes an example: all turns before it as context, its own text as the only trainable span.
 An example is a prefix of the conversation's formatted text, so a conversation is formatted once and its examples
-are spans over it; `examples` writes them out one per row. Turns after the last assistant turn are kept as one more
+are spans over it, found from running sums; `examples` writes them out one per row. Turns after the last assistant turn are kept as one more
 example without a trainable span.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table
@@ -46,32 +46,28 @@ def pack(turns: DataFrame, train_role: str = "assistant") -> DataFrame:
     Rows whose conv_id is null form one conversation. An empty table gives no rows. A conversation is gathered in
     one row, because its text, and a digest of it, is one value.
     """
-    own = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    grouped = turns.select("conv_id", own.alias("t")).groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("t"))
-    written = F.transform("t", lambda x: F.struct(F.concat(F.lit(START), escape_role(x["role"]), F.lit("\n")).alias("head"), escape(x["text"]).alias("body"), (x["role"] == train_role).alias("loss")))
-    grouped = grouped.select("conv_id", written.alias("w"))
-    grouped = grouped.withColumn("formatted", F.array_join(F.transform("w", lambda x: F.concat(x["head"], x["body"], F.lit(END))), ""))
-    sized = F.transform("w", lambda x: F.struct(F.length(x["head"]).cast("long").alias("head"), F.length(x["body"]).cast("long").alias("body"), x["loss"].alias("loss")))
-    grouped = grouped.select("conv_id", "formatted", sized.alias("w"))
-    empty = F.array().cast("array<struct<example:int,start:bigint,chars:bigint,end:bigint,loss:boolean>>")
-    begin = F.struct(F.lit(0).cast("long").alias("at"), F.lit(0).alias("n"), empty.alias("out"))
-    step = lambda a, x: F.struct(
-        (a["at"] + x["head"] + x["body"] + len(END)).alias("at"),
-        (a["n"] + x["loss"].cast("int")).alias("n"),
-        F.when(x["loss"], F.concat(a["out"], F.array(F.struct(a["n"].alias("example"), (a["at"] + x["head"]).alias("start"), x["body"].alias("chars"), (a["at"] + x["head"] + x["body"] + len(END)).alias("end"), F.lit(True).alias("loss"))))).otherwise(a["out"]).alias("out"),
-    )
-    spans = F.aggregate("w", begin, step, lambda a: a["out"])
+    text = F.coalesce("text", F.lit(""))
+    order = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), text.alias("text"))
+    head, body = F.concat(F.lit(START), escape_role(F.coalesce("role", F.lit(""))), F.lit("\n")), escape(text)
+    own = turns.select("conv_id", order.alias("t"), head.alias("head"), body.alias("body"), F.coalesce(F.col("role") == train_role, F.lit(False)).alias("loss"))
+    so_far = Window.partitionBy("conv_id").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    chars = F.length("body").cast("long")
+    placed = own.withColumns({"k": F.count("*").over(so_far), "end": F.sum(F.length("head") + chars + len(END)).over(so_far), "nth": F.sum(F.col("loss").cast("int")).over(so_far)})
+    span = F.struct((F.col("nth") - 1).cast("int").alias("example"), (F.col("end") - len(END) - chars).alias("start"), chars.alias("chars"), F.col("end"), F.col("loss"))
+    written = F.struct("k", F.concat("head", "body", F.lit(END)).alias("written"))
+    grouped = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list(written)).alias("w"), F.sort_array(F.collect_list(F.when(F.col("loss"), span))).alias("spans"))
+    grouped = grouped.select("conv_id", F.array_join(F.transform("w", lambda x: x["written"]), "").alias("formatted"), "spans")
     whole = F.length("formatted").cast("long")
     tail = F.struct(F.size("spans").alias("example"), whole.alias("start"), F.lit(0).cast("long").alias("chars"), whole.alias("end"), F.lit(False).alias("loss"))
-    grouped = grouped.withColumn("spans", spans)
     covered = F.coalesce(F.try_element_at("spans", F.lit(-1))["end"], F.lit(0)) == whole
     return grouped.select("conv_id", "formatted", F.when(covered, F.col("spans")).otherwise(F.concat("spans", F.array(tail))).alias("examples"))
 
 
 def examples(packed: DataFrame) -> DataFrame:
-    """One row per example, its text written out: conv_id, example, formatted, loss_start, loss_chars, loss."""
-    rows = packed.select("conv_id", "formatted", F.explode("examples").alias("e"))
-    return rows.select("conv_id", F.col("e.example").alias("example"), F.substring("formatted", F.lit(1), F.col("e.end").cast("int")).alias("formatted"), F.col("e.start").alias("loss_start"), F.col("e.chars").alias("loss_chars"), F.col("e.loss").alias("loss"))
+    """One row per example, its text written out: conv_id, example, formatted, loss_start, loss_chars, loss, last (whether
+    it is the conversation's last example, which holds all turns)."""
+    rows = packed.select("conv_id", "formatted", F.size("examples").alias("n"), F.explode("examples").alias("e"))
+    return rows.select("conv_id", F.col("e.example").alias("example"), F.substring("formatted", F.lit(1), F.col("e.end").cast("int")).alias("formatted"), F.col("e.start").alias("loss_start"), F.col("e.chars").alias("loss_chars"), F.col("e.loss").alias("loss"), (F.col("e.example") == F.col("n") - 1).alias("last"))
 
 
 def read_turns(formatted: Column) -> Column:
@@ -86,16 +82,17 @@ def read_turns(formatted: Column) -> Column:
     )
 
 
-def digests(packed: DataFrame) -> DataFrame:
-    """Per conversation, read back from the output; the targets are exploded example by example and gathered in order."""
+def digests(written: DataFrame) -> DataFrame:
+    """Per conversation, read back from its written examples: the turns from the last one's text, each target from the
+    text of its own example, and the characters of all of them."""
     turns = read_turns(F.col("formatted"))
     said = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
-    target = F.transform("examples", lambda e: F.struct(e["example"].alias("example"), unescape(F.col("formatted").substr(e["start"].cast("int") + 1, e["chars"].cast("int"))).alias("target"), e["end"].alias("chars")))
-    rows = packed.withColumn("turns", turns).select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.explode(target).alias("e"))
-    got = rows.groupBy("conv_id").agg(F.first("n_turns").alias("n_turns"), F.first("turns_sha256").alias("turns_sha256"), F.sort_array(F.collect_list("e")).alias("e"))
+    target = unescape(F.substring("formatted", F.col("loss_start").cast("int") + 1, F.col("loss_chars").cast("int")))
+    rows = written.select("conv_id", F.struct("example", F.when(F.col("loss"), target).otherwise(F.lit("")).alias("target")).alias("e"), F.length("formatted").cast("long").alias("chars"), F.when(F.col("last"), turns).alias("turns"))
+    rows = rows.select("conv_id", "e", "chars", F.when(F.col("turns").isNotNull(), F.struct(F.size("turns").cast("long").alias("n"), F.sha2(said, 256).alias("sha"))).alias("all"))
+    got = rows.groupBy("conv_id").agg(F.max("all").alias("all"), F.sort_array(F.collect_list("e")).alias("e"), F.sum("chars").alias("formatted_chars"))
     loss = F.array_join(F.transform("e", lambda x: x["target"]), "")
-    chars = F.aggregate("e", F.lit(0).cast("long"), lambda a, x: a + x["chars"])
-    return got.select("conv_id", "n_turns", "turns_sha256", F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), chars.alias("formatted_chars"), F.size("e").cast("long").alias("n_examples"))
+    return got.select("conv_id", F.col("all.n").alias("n_turns"), F.col("all.sha").alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars", F.size("e").cast("long").alias("n_examples"))
 
 
 def with_control(spark: SparkSession, turns: DataFrame) -> DataFrame:
@@ -105,7 +102,7 @@ def with_control(spark: SparkSession, turns: DataFrame) -> DataFrame:
 
 
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(pack(with_control(spark, table(spark, sf_dir, "conversations"))))
+    return digests(examples(pack(with_control(spark, table(spark, sf_dir, "conversations")))))
 
 
 OP3_SQL = r"""

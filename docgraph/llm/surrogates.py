@@ -39,10 +39,14 @@ ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 HINT = rf"@|\d|(?i:password|passwd|secret|token|api_?key)|(?:{ALL_TITLES})\.? \p{{Lu}}"
 SYLLABLES = {
     "latin": ["ba", "ce", "di", "fo", "gu", "ha", "je", "ki", "lo", "mu", "na", "pe", "ri", "so", "tu", "va", "we", "xi", "yo", "zu"],
+    "greek": ["βα", "γε", "δι", "ζο", "θυ", "κα", "λε", "μι", "νο", "ξυ", "πα", "ρε", "σι", "το", "φυ", "χα", "ψε", "βι", "γο", "δυ"],
+    "armenian": ["բա", "գե", "դի", "զո", "թու", "կա", "լե", "մի", "նո", "շու", "պա", "ռե", "սի", "տո", "փու", "քա", "վե", "հի", "ջո", "ցու"],
     "cyrillic": ["ба", "ве", "ги", "до", "жу", "за", "ке", "ли", "мо", "ну", "па", "ре", "си", "то", "фу", "ха", "це", "чи", "шо", "лу"],
 }
-NAME_END = {("latin", "m"): "n", ("latin", "f"): "a", ("cyrillic", "m"): "н", ("cyrillic", "f"): "а"}
+NAME_END = {("latin", "m"): "n", ("latin", "f"): "a", ("greek", "m"): "ς", ("greek", "f"): "α", ("armenian", "m"): "ն", ("armenian", "f"): "ա", ("cyrillic", "m"): "н", ("cyrillic", "f"): "а"}
 MOST_ROUNDS = 50
+WIDER = 4  #: After so many rounds of collisions, and again after as many, an entity's surrogates get longer.
+TEST_KEY = "a key for tests, not for use"
 
 
 def kind_of(entity: Column) -> Column:
@@ -93,6 +97,11 @@ def charwise(canon: Column, hexes: Column, before: Column, after: Column, hexade
     return F.array_join(F.transform(F.sequence(F.lit(1), F.length(canon)), one), "")
 
 
+def is_entity(kind: Column, entity: Column) -> Column:
+    """A number in the shape of a card's is one only if its check sum is right."""
+    return (kind != "card") | (luhn(F.regexp_replace(entity, "[^0-9]", "")) == 0)
+
+
 def luhn(digits: Column) -> Column:
     """The check sum of a card number, mod 10."""
     n = F.length(digits)
@@ -114,26 +123,33 @@ def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
     card = F.concat(head, F.pmod(luhn(canon) - luhn(F.concat(head, F.lit("0"))), F.lit(10)).cast("string"))
     private = canon.rlike(r"^(?:10|127|192\.168|172\.(?:1[6-9]|2\d|3[01]))\.")
     octet = lambda n: F.split(canon, r"\.")[n]
-    ip = F.concat_ws(".", F.when(private, octet(0)).otherwise((pick(hexes, F.lit(0), 100) + 11).cast("string")), F.when(private & octet(0).isin("172", "192"), octet(1)).otherwise(pick(hexes, F.lit(1), 256).cast("string")), pick(hexes, F.lit(2), 256).cast("string"), (pick(hexes, F.lit(3), 254) + 1).cast("string"))
+    private = private & (attempt < 2 * WIDER)  # then from all of 10.*, which is private as well
+    ip = F.concat_ws(".", F.when(private, octet(0)).when(canon.rlike(r"^(?:10|127|192\.168|172\.(?:1[6-9]|2\d|3[01]))\."), "10").otherwise((pick(hexes, F.lit(0), 100) + 11).cast("string")), F.when(private & octet(0).isin("172", "192"), octet(1)).otherwise(pick(hexes, F.lit(1), 256).cast("string")), pick(hexes, F.lit(2), 256).cast("string"), (pick(hexes, F.lit(3), 254) + 1).cast("string"))
     end = F.length(F.regexp_extract(canon, r"((?:[@.]example)?\.[a-z0-9-]+)$", 1))
+    own = charwise(canon, hexes, none, end, no, no)
+    # only addresses below reserved names stay what they are; any other domain moves there
+    mail = F.when(canon.rlike(r"[@.]example\.(?:com|net|org)$|\.example$"), own).otherwise(F.concat(F.regexp_replace(own, r"\.[a-z0-9-]+$", ""), F.lit(".example")))
+    extra = F.transform(F.sequence(F.lit(1), F.lit(6)), lambda i: of("abcdefghijklmnopqrstuvwxyz", pick(hexes, i + 64, 26)))
+    mail = F.when(attempt < WIDER, mail).otherwise(F.concat(F.array_join(extra, ""), mail))
     return (
         F.when(kind == "card", card)
         .when(kind == "ip", ip)
-        .when(kind == "email", made(none, end))
+        .when(kind == "email", mail)
         .when(kind == "phone", made(F.greatest(none, F.length(canon) - 10), lead=F.lit(True)))
         .when(kind == "iban", made(F.lit(2)))
         .when(kind == "access_key", made(F.lit(4)))
-        .when(kind.startswith("name"), name(kind, hexes))
+        .when(kind.startswith("name"), name(kind, hexes, attempt))
         .otherwise(made(none, hexadecimal=(kind == "secret") & canon.rlike("^[0-9a-f]+$")))
     )
 
 
-def name(kind: Column, hexes: Column) -> Column:
-    """kind: name, script, gender. Four syllables, the gender's ending, a capital first."""
+def name(kind: Column, hexes: Column, attempt: Column) -> Column:
+    """kind: name, script, gender. Four syllables, more after many collisions, the gender's ending, a capital first."""
     out = F.lit("")
     for (script, gender), end in NAME_END.items():
         syllables = F.array(*[F.lit(x) for x in SYLLABLES[script]])
-        made = F.initcap(F.concat(*[F.get(syllables, pick(hexes, F.lit(n), 20)) for n in range(4)], F.lit(end)))
+        more = [F.when(attempt >= WIDER * n, F.get(syllables, pick(hexes, F.lit(n + 3), 20))).otherwise("") for n in range(1, 4)]
+        made = F.initcap(F.concat(*[F.get(syllables, pick(hexes, F.lit(n), 20)) for n in range(4)], *more, F.lit(end)))
         out = F.when(kind == f"name {script} {gender}", made).otherwise(out)
     return out
 
@@ -142,7 +158,7 @@ def parts_of(kind: Column, entity: Column) -> Column:
     """What of an entity is exchanged: array of (kind, canon). Of a person each name, by gender and script."""
     names = F.split(F.regexp_replace(entity, rf"^(?:{ALL_TITLES})\.? ", ""), "[ -]")
     gender = F.when(entity.rlike(rf"^(?:{'|'.join(TITLES['f'])})\.? "), "f").otherwise("m")
-    script = lambda x: F.when(x.rlike(r"^\p{IsCyrillic}"), "cyrillic").otherwise("latin")
+    script = lambda x: F.when(x.rlike(r"^\p{IsCyrillic}"), "cyrillic").when(x.rlike(r"^\p{IsGreek}"), "greek").when(x.rlike(r"^\p{IsArmenian}"), "armenian").otherwise("latin")
     each = F.transform(names, lambda x: F.struct(F.concat_ws(" ", F.lit("name"), script(x), gender).alias("kind"), F.initcap(x).alias("canon")))
     return F.when(kind == "person", each).otherwise(F.array(F.struct(kind.alias("kind"), canonical(kind, entity).alias("canon"))))
 
@@ -150,8 +166,9 @@ def parts_of(kind: Column, entity: Column) -> Column:
 def assign(entities: DataFrame, key: str) -> DataFrame:
     """kind, canon (distinct) -> and surrogate: no two alike, and none an entity."""
     now = cut(entities.select("kind", "canon").distinct().withColumn("attempt", F.lit(0)))
+    parts = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for _ in range(MOST_ROUNDS):
-        made = now.withColumn("surrogate", surrogate(key, F.col("kind"), F.col("canon"), F.col("attempt")))
+        made = now.repartition(parts, "kind", "canon").withColumn("surrogate", surrogate(key, F.col("kind"), F.col("canon"), F.col("attempt")))
         taken = entities.select(F.col("canon").alias("surrogate")).distinct().withColumn("taken", F.lit(True))
         order = Window.partitionBy("surrogate").orderBy(F.col("attempt").desc(), "kind", "canon")
         made = cut(made.withColumn("nth", F.row_number().over(order)).join(taken, "surrogate", "left"))
@@ -167,7 +184,7 @@ def shaped(kind: Column, entity: Column, found: Column) -> Column:
     only = F.element_at(found, 1)
     nth = lambda i: F.length(F.regexp_replace(F.substring(entity, F.lit(1), i), "[^0-9A-Za-z]", ""))
     walk = F.array_join(F.transform(F.sequence(F.lit(1), F.length(entity)), lambda i: F.when(F.substring(entity, i, F.lit(1)).rlike("[0-9A-Za-z]"), F.substring(only, nth(i), F.lit(1))).otherwise(F.substring(entity, i, F.lit(1)))), "")
-    cased = F.array_join(F.transform(F.sequence(F.lit(1), F.length(entity)), lambda i: F.when(F.substring(entity, i, F.lit(1)).rlike("[A-Z]"), F.upper(F.substring(only, i, F.lit(1)))).otherwise(F.substring(only, i, F.lit(1)))), "")
+    cased = F.array_join(F.transform(F.sequence(F.lit(1), F.length(only)), lambda i: F.when(F.substring(entity, i, F.lit(1)).rlike("[A-Z]"), F.upper(F.substring(only, i, F.lit(1)))).otherwise(F.substring(only, i, F.lit(1)))), "")
     title = F.regexp_extract(entity, rf"^((?:{ALL_TITLES})\.? )", 1)
     rest = F.regexp_replace(entity, rf"^(?:{ALL_TITLES})\.? ", "")
     names, gaps = F.split(rest, "[ -]"), F.concat(F.regexp_extract_all(rest, F.lit("[ -]"), F.lit(0)), F.array(F.lit("")))
@@ -175,29 +192,38 @@ def shaped(kind: Column, entity: Column, found: Column) -> Column:
     return F.when(kind.isin("phone", "card", "ssn", "iban"), walk).when(kind == "email", cased).when(kind == "person", F.concat(title, F.array_join(named, ""))).otherwise(only)
 
 
-def replace_entities(docs: DataFrame, key: str = "key") -> DataFrame:
+def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     """The documents' columns with text rewritten, and n_entities and kinds (sorted, distinct); such columns are replaced.
 
-    A null text stays null and has no entities; texts without entities stay as they are and never shuffle. Repeated
-    rows get equal texts. An empty table gives an empty result. A text is matched whole, however long it is.
+    key is secret: who knows it can tell which surrogate an entity gets. A name that stands after a title is replaced
+    wherever it stands in the same text, capital first; n_entities doesn't count such later mentions. Names in scripts
+    other than those of SYLLABLES get Latin surrogates. A null text stays null and has no entities; texts without
+    entities stay as they are and never shuffle. Repeated rows get equal texts. An empty table gives an empty result. A
+    text is matched whole, however long it is.
     """
     docs = docs.select(*[c for c in docs.columns if c not in ("n_entities", "kinds")])
     has = F.coalesce(F.col("text").rlike(HINT) & F.col("text").rlike(ANY), F.lit(False))
     plain = docs.where(~has).withColumns({"n_entities": F.lit(0), "kinds": F.array().cast("array<string>")})
     found = docs.where(has).withColumn("__matches", F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).withColumn("__text", F.xxhash64("text"))
-    hits = cut(found.select("__text", F.explode(F.array_distinct("__matches")).alias("entity")).distinct().withColumn("kind", kind_of(F.col("entity"))))
+    matched = found.select("__text", F.explode(F.array_distinct("__matches")).alias("entity")).distinct().withColumn("kind", kind_of(F.col("entity")))
+    hits = cut(matched.where(is_entity(F.col("kind"), F.col("entity"))))
     each = hits.select("kind", "entity").distinct().withColumn("parts", parts_of(F.col("kind"), F.col("entity")))
     exploded = cut(each.select("kind", "entity", F.posexplode("parts").alias("n", "part")))
     given = assign(exploded.select("part.kind", "part.canon"), key)
     joined = exploded.join(given.select(F.struct("kind", "canon").alias("part"), "surrogate"), "part")
-    of_entity = joined.groupBy("kind", "entity").agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "surrogate"))), lambda x: x["surrogate"]).alias("found"))
-    of_entity = of_entity.select("entity", shaped(F.col("kind"), F.col("entity"), F.col("found")).alias("surrogate"))
-    lists = hits.join(of_entity, "entity").groupBy("__text").agg(F.map_from_entries(F.collect_list(F.struct("entity", "surrogate"))).alias("__map"), F.array_sort(F.collect_set("kind")).alias("kinds"))
+    of_entity = joined.groupBy("kind", "entity").agg(F.sort_array(F.collect_list(F.struct("n", "surrogate", F.col("part.canon").alias("canon")))).alias("parts"))
+    names = F.when(F.col("kind") == "person", F.transform("parts", lambda x: F.struct(x["canon"].alias("name"), x["surrogate"].alias("to")))).otherwise(F.array().cast("array<struct<name:string,to:string>>"))
+    of_entity = of_entity.select("entity", shaped(F.col("kind"), F.col("entity"), F.transform("parts", lambda x: x["surrogate"])).alias("surrogate"), names.alias("names"))
+    lists = hits.join(of_entity, "entity").groupBy("__text").agg(F.map_from_entries(F.collect_list(F.struct("entity", "surrogate"))).alias("__map"), F.array_sort(F.collect_set("kind")).alias("__kinds"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("names")))).alias("__names"))
     rest = F.split("text", ANY, -1)
-    new = F.zip_with(F.slice(rest, F.lit(2), F.size(rest)), "__matches", lambda r, m: F.concat(F.element_at(F.col("__map"), m), r))
-    changed = found.join(lists, "__text").withColumns({"text": F.concat(F.element_at(rest, 1), F.array_join(new, "")), "n_entities": F.size("__matches")})
+    mentions = lambda r: F.aggregate("__names", r, lambda t, x: F.regexp_replace(t, F.concat(F.lit(r"(?<![\p{L}\p{N}_])"), x["name"], F.lit(r"(?![\p{L}\p{N}_])")), x["to"]))
+    rest = F.when(F.coalesce(F.size("__names"), F.lit(0)) > 0, F.transform(rest, mentions)).otherwise(rest)
+    new = F.zip_with(F.slice("__rest", F.lit(2), F.size("__rest")), "__matches", lambda r, m: F.concat(F.coalesce(F.element_at(F.col("__map"), m), m), r))
+    changed = found.join(lists, "__text", "left").withColumn("__rest", rest)
+    n = F.size(F.filter("__matches", lambda m: F.coalesce(F.map_contains_key("__map", m), F.lit(False))))
+    changed = changed.withColumns({"text": F.concat(F.element_at("__rest", 1), F.array_join(new, "")), "n_entities": n, "kinds": F.coalesce("__kinds", F.array().cast("array<string>"))})
     return plain.select(*docs.columns, "n_entities", "kinds").unionByName(changed.select(*docs.columns, "n_entities", "kinds"))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"), TEST_KEY)

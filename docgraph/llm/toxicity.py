@@ -118,8 +118,12 @@ class Sample:
 
     @classmethod
     def of(cls, hashes: list[np.ndarray]) -> Sample:
-        every, number = np.unique(np.concatenate([*hashes, np.empty(0, np.uint32)]), return_inverse=True)
-        return cls(every, number.astype(np.int32), np.repeat(np.arange(len(hashes), dtype=np.int32), [len(x) for x in hashes]), len(hashes))
+        joined = np.concatenate([*hashes, np.empty(0, np.uint32)])
+        every = np.unique(joined)
+        number = np.empty(len(joined), np.int32)
+        for k in range(0, len(joined), 1 << 20):  # an inverse from np.unique would take some 30 bytes a feature
+            number[k : k + (1 << 20)] = np.searchsorted(every, joined[k : k + (1 << 20)])
+        return cls(every, number, np.repeat(np.arange(len(hashes), dtype=np.int32), [len(x) for x in hashes]), len(hashes))
 
     def select(self, targets: list[np.ndarray], use: np.ndarray, columns: int) -> np.ndarray:
         """Column numbers by hash number, or -1: for each target, the features whose share among its rows stands out
@@ -129,12 +133,17 @@ class Sample:
         total, rows = np.bincount(number, None, len(self.every)), use.sum()
         chosen = np.zeros(len(self.every), bool)
         for y in targets:
-            ones = np.bincount(number, y[row], len(self.every))
+            ones = np.bincount(number[(y > 0)[row]], None, len(self.every))
             n1, n0 = max(1.0, y[use].sum()), max(1.0, (1 - y[use]).sum())
             share = (total + 1) / (rows + 2)
             z = (ones / n1 - (total - ones) / n0) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
             chosen[np.argsort(-np.abs(z), kind="stable")[:columns]] = True
-        return np.where(chosen, np.cumsum(chosen) - 1, -1)
+        return np.where(chosen, np.cumsum(chosen) - 1, -1).astype(np.int32)
+
+    def only(self, numbers: list[np.ndarray]) -> Sample:
+        """Without the features that none of numbers has chosen."""
+        keep = (np.max(numbers, axis=0) >= 0)[self.number]
+        return Sample(self.every, self.number[keep], self.row[keep], self.n)
 
     def columns(self, numbers: np.ndarray, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """indices and starts of the chosen features of the rows in use."""
@@ -159,6 +168,7 @@ def train(hashes: list[np.ndarray], languages: list[str], toxic: np.ndarray) ->
     fold, every = np.arange(n) % FOLDS, np.ones(n, bool)
     chosen = [sample.select(targets, fold != f, FEATURES // len(targets)) for f in range(FOLDS)]
     finally_ = sample.select(targets, every, FEATURES // len(targets))
+    sample = sample.only([*chosen, finally_])
     vocabulary = {int(h): int(c) for h, c in zip(sample.every, finally_, strict=True) if c >= 0}
     chain, before = Chain([f"toxic_{k}" for k in kinds] + ["toxic"], vocabulary), np.zeros((n, 0))
     for y in targets:
@@ -201,6 +211,7 @@ def train_on(docs: DataFrame, labels: DataFrame, most_rows: tuple[int, int] = MO
     once = rows.groupBy(F.sha2(F.coalesce("text", F.lit("")), 256).alias("key")).agg(F.max("toxic").alias("toxic"), F.min(F.coalesce("lang", F.lit(""))).alias("lang"), F.first("text").alias("text"))
     got = once.select("lang", "toxic", "text").mapInArrow(hash_texts, "lang string, toxic int, found binary").toArrow()
     rows = sorted(zip(got["toxic"].to_pylist(), got["lang"].to_pylist(), got["found"].to_pylist(), strict=True))
+    del got
     rows = [rows[k] for k in np.random.RandomState(7).permutation(len(rows))]
     return train([np.frombuffer(x, "<u4") for _, _, x in rows], [lang for _, lang, _ in rows], np.array([t for t, _, _ in rows]))
 
