@@ -118,7 +118,7 @@ def href_sweep_topk(spark: SparkSession, d: str) -> DataFrame:
 @query(rf"""
 WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS href FROM pages UNION ALL SELECT page_id, url FROM ({FORMS}) WHERE form IN (1, 4)),
 a AS (SELECT *, CASE WHEN starts_with(href, '/') THEN 'https://thther.example.org' || href ELSE href END AS u FROM l)
-SELECT CASE WHEN regexp_matches(u, '^https://thther.example.org/bin/en/') THEN 'internal'
+SELECT CASE WHEN regexp_matches(u, '^https://thther[.]example[.]org/(bin/(view/)?)?en([/?#]|$)') THEN 'internal'
             WHEN regexp_matches(u, '^https?://[^/]+/bin/(download|image)/') THEN 'attachment' ELSE 'external' END AS kind,
        count(*) AS links, count(DISTINCT href) AS hrefs FROM a GROUP BY 1
 """)

@@ -18,7 +18,7 @@ def parse_batch(pages: DataFrame, path: str, space_path: str = "") -> int:
     """Parses the pages (doc, html) whose content isn't in the table at path, and upserts them; returns how many."""
     spark = pages.sparkSession
     old = current(spark, path)
-    once = pages.groupBy("doc").agg(F.max("html").alias("html"))
+    once = pages.groupBy("doc").agg((F.max_by("html", "fetched_at") if "fetched_at" in pages.columns else F.max("html")).alias("html"))
     new = once if old is None else changed(once, old)
     keyed = new.withColumn("content_key", F.sha2(F.coalesce("html", F.lit("")), 256))
     parsed = parse_pages(keyed, space_path).select(*KEPT)
