@@ -34,19 +34,52 @@ def spanning(nodes: np.ndarray, near: Near) -> tuple[list[np.ndarray], list[np.n
     return left, right
 
 
+def joining(nodes: np.ndarray, own: np.ndarray, near: Near) -> tuple[np.ndarray, np.ndarray]:
+    """Links that, with the forests of the blocks by themselves, connect what near connects. own: the block of each node.
+
+    The blocks' own forests come from the groups of a block with itself, so a pair of blocks gives only the links that
+    join a tree of one to a tree of the other: the links of a hot bucket grow with its nodes and its pairs of blocks.
+    """
+    parts = [nodes[own == b] for b in np.unique(own)]
+    left, right = spanning(nodes, near)
+    left, right = (np.concatenate(x) if x else np.empty(0, nodes.dtype) for x in (left, right))
+    if len(parts) < 2 or not len(left):
+        return left, right
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while x in root:
+            x = root[x]
+        return x
+
+    for part in parts:
+        for a, b in zip(*spanning(part, near), strict=True):
+            for y in b.tolist():  # a tree's nodes are found from its first one on
+                root[y] = find(int(a[0]))
+    new = np.zeros(len(left), bool)
+    for k, (a, b) in enumerate(zip(left.tolist(), right.tolist(), strict=True)):
+        x, y = find(a), find(b)
+        if x != y:
+            root[y], new[k] = x, True
+    return left[new], right[new]
+
+
 def link_groups(batches: Iterator[pa.RecordBatch], near: Near) -> Iterator[pa.RecordBatch]:
-    """Batches of (key, i, j, node), sorted; a group may run over several batches."""
+    """Batches of (key, i, j, node, own), sorted; a group may run over several batches."""
 
-    def links(parts: list[np.ndarray]) -> tuple[list, list]:
-        nodes = np.unique(np.concatenate(parts))
-        return spanning(nodes, near) if len(nodes) > 1 else ([], [])
+    def links(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list, list]:
+        nodes, at = np.unique(np.concatenate([n for n, _ in parts]), return_index=True)
+        if len(nodes) < 2:
+            return [], []
+        left, right = joining(nodes, np.concatenate([o for _, o in parts])[at], near)
+        return [left], [right]
 
-    held: list[np.ndarray] = []
+    held: list[tuple[np.ndarray, np.ndarray]] = []
     last = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, i, j, node = (batch.column(k).to_numpy() for k in range(4))
+        key, i, j, node, own = (batch.column(k).to_numpy() for k in range(5))
         edges = np.flatnonzero((np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
         bounds = [0, *edges.tolist(), batch.num_rows]
         left, right = [], []
@@ -58,7 +91,7 @@ def link_groups(batches: Iterator[pa.RecordBatch], near: Near) -> Iterator[pa.Re
                 right += y
                 held = []
             last = this
-            held.append(node[a:b])
+            held.append((node[a:b], own[a:b]))
         if left:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left), pa.int64()), pa.array(np.concatenate(right), pa.int64())], ["a", "b"])
     if held:
@@ -80,7 +113,7 @@ def bucket_links(keys: DataFrame, near: Near, near_pair, block: int = BLOCK) ->
     more = keys.join(counts.where("n > 2").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "key")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = more.select("key", "node", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node")
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "own")
     dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return twos.unionByName(dealt.mapInArrow(lambda it: link_groups(it, near), "a long, b long"))
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ordered import numbered
 from .common import cut, table
-from .components import components, spanning
+from .components import components, joining
 from .lines import texts
 from .rows import Notes, folders_for, located, map_noted, noted
 
@@ -200,25 +200,27 @@ def fingerprints(docs: DataFrame, with_groups: bool = False) -> DataFrame:
 
 
 def payload_links(batches: Iterator[pa.RecordBatch], near_of) -> Iterator[pa.RecordBatch]:
-    """Batches of (key, i, j, node, payload), sorted -> a, b: a spanning forest of each group's near nodes.
+    """Batches of (key, i, j, node, payload, own), sorted -> a, b: of each group the links that joining gives.
 
     near_of(payloads) gives near(rest, x) on positions. A group may run over several batches.
     """
 
-    def links(held: list[tuple[np.ndarray, list[bytes]]]) -> pa.RecordBatch:
-        nodes, first = np.unique(np.concatenate([n for n, _ in held]), return_index=True)
-        payloads = [p for _, ps in held for p in ps]
-        left, right = spanning(np.arange(len(nodes)), near_of([payloads[k] for k in first])) if len(nodes) > 1 else ([], [])
-        ends = [nodes[np.concatenate(x)] if x else np.empty(0, np.int64) for x in (left, right)]
+    def links(held: list[tuple[np.ndarray, list[bytes], np.ndarray]]) -> pa.RecordBatch:
+        nodes, first = np.unique(np.concatenate([n for n, _, _ in held]), return_index=True)
+        payloads = [p for _, ps, _ in held for p in ps]
+        blocks = np.concatenate([o for _, _, o in held])[first]
+        ends = [np.empty(0, np.int64)] * 2
+        if len(nodes) > 1:
+            ends = [nodes[x] for x in joining(np.arange(len(nodes)), blocks, near_of([payloads[k] for k in first]))]
         return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ends], ["a", "b"])
 
-    held: list[tuple[np.ndarray, list[bytes]]] = []
+    held: list[tuple[np.ndarray, list[bytes], np.ndarray]] = []
     last = None
     for batch in batches:
         if not batch.num_rows:
             continue
         key, i, j, node = (batch.column(k).to_numpy() for k in range(4))
-        payload = batch.column(4).to_pylist()
+        payload, own = batch.column(4).to_pylist(), batch.column(5).to_numpy()
         edges = np.flatnonzero((np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
         bounds = [0, *edges.tolist(), batch.num_rows]
         for a, b in zip(bounds, bounds[1:], strict=False):
@@ -227,7 +229,7 @@ def payload_links(batches: Iterator[pa.RecordBatch], near_of) -> Iterator[pa.Rec
                 yield links(held)
                 held = []
             last = this
-            held.append((node[a:b], payload[a:b]))
+            held.append((node[a:b], payload[a:b], own[a:b]))
     if held:
         yield links(held)
 
@@ -255,10 +257,10 @@ def near_sets(payloads: list[bytes]):
 
 
 def dealt(rows: DataFrame) -> DataFrame:
-    """key, blocks, node, payload -> key, i, j, node, payload: groups of two blocks at most, as bucket_links deals them."""
+    """key, blocks, node, payload -> key, i, j, node, payload, own: groups of two blocks at most, as bucket_links deals them."""
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     out = rows.select("key", "node", "payload", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    out = out.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "payload")
+    out = out.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "payload", "own")
     return out.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
