@@ -34,8 +34,9 @@ def spanning(nodes: np.ndarray, near: Near) -> tuple[list[np.ndarray], list[np.n
     return left, right
 
 
-def joining(nodes: np.ndarray, own: np.ndarray, near: Near) -> tuple[np.ndarray, np.ndarray]:
-    """Links that, with the forests of the blocks by themselves, connect what near connects. own: the block of each node.
+def joining(nodes: np.ndarray, own: np.ndarray, near: Near, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Links that, with the forests of the blocks by themselves, connect what near connects. own: the block of each node;
+    known: a group of each node, where nodes of one group are connected by other links already.
 
     The blocks' own forests come from the groups of a block with itself, so a pair of blocks gives only the links that
     join a tree of one to a tree of the other: the links of a hot bucket grow with its nodes and its pairs of blocks.
@@ -43,7 +44,7 @@ def joining(nodes: np.ndarray, own: np.ndarray, near: Near) -> tuple[np.ndarray,
     parts = [nodes[own == b] for b in np.unique(own)]
     left, right = spanning(nodes, near)
     left, right = (np.concatenate(x) if x else np.empty(0, nodes.dtype) for x in (left, right))
-    if len(parts) < 2 or not len(left):
+    if not len(left) or (len(parts) < 2 and known is None):
         return left, right
     root: dict[int, int] = {}
 
@@ -52,10 +53,17 @@ def joining(nodes: np.ndarray, own: np.ndarray, near: Near) -> tuple[np.ndarray,
             x = root[x]
         return x
 
-    for part in parts:
+    if known is not None:
+        order = np.lexsort((nodes, known))
+        for a, b in zip(order, order[1:], strict=False):
+            if known[a] == known[b]:
+                root[find(int(nodes[b]))] = find(int(nodes[a]))
+    for part in parts if len(parts) > 1 else []:
         for a, b in zip(*spanning(part, near), strict=True):
-            for y in b.tolist():  # a tree's nodes are found from its first one on
-                root[y] = find(int(a[0]))
+            for y in b.tolist():
+                x, y = find(int(a[0])), find(y)
+                if x != y:
+                    root[y] = x
     new = np.zeros(len(left), bool)
     for k, (a, b) in enumerate(zip(left.tolist(), right.tolist(), strict=True)):
         x, y = find(a), find(b)
@@ -65,21 +73,21 @@ def joining(nodes: np.ndarray, own: np.ndarray, near: Near) -> tuple[np.ndarray,
 
 
 def link_groups(batches: Iterator[pa.RecordBatch], near: Near) -> Iterator[pa.RecordBatch]:
-    """Batches of (key, i, j, node, own), sorted; a group may run over several batches."""
+    """Batches of (key, i, j, node, own, known), sorted; a group may run over several batches."""
 
-    def links(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list, list]:
-        nodes, at = np.unique(np.concatenate([n for n, _ in parts]), return_index=True)
+    def links(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[list, list]:
+        nodes, at = np.unique(np.concatenate([n for n, _, _ in parts]), return_index=True)
         if len(nodes) < 2:
             return [], []
-        left, right = joining(nodes, np.concatenate([o for _, o in parts])[at], near)
+        left, right = joining(nodes, np.concatenate([o for _, o, _ in parts])[at], near, np.concatenate([x for _, _, x in parts])[at])
         return [left], [right]
 
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     last = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, i, j, node, own = (batch.column(k).to_numpy() for k in range(5))
+        key, i, j, node, own, known = (batch.column(k).to_numpy() for k in range(6))
         edges = np.flatnonzero((np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
         bounds = [0, *edges.tolist(), batch.num_rows]
         left, right = [], []
@@ -91,7 +99,7 @@ def link_groups(batches: Iterator[pa.RecordBatch], near: Near) -> Iterator[pa.Re
                 right += y
                 held = []
             last = this
-            held.append((node[a:b], own[a:b]))
+            held.append((node[a:b], own[a:b], known[a:b]))
         if left:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left), pa.int64()), pa.array(np.concatenate(right), pa.int64())], ["a", "b"])
     if held:
@@ -101,19 +109,24 @@ def link_groups(batches: Iterator[pa.RecordBatch], near: Near) -> Iterator[pa.Re
 
 
 def bucket_links(keys: DataFrame, near: Near, near_pair, block: int = BLOCK) -> DataFrame:
-    """key, node (distinct) -> links a, b that connect, within every bucket, what its near pairs connect.
+    """key, node (distinct), known -> links a, b that connect, within every bucket, what its near pairs connect.
+
+    known (the node itself where the column is missing): nodes of one such group are connected already, so buckets of
+    more than two give no links within it.
 
     near_pair(a, b) is the same test as near, on columns. Counts come from a group-by with partial sums; buckets of
     two are tested there. Only buckets of more are joined again and compared in groups of at most two blocks, so a
     hot bucket is spread over (its blocks)^2 / 2 groups and gives a forest per group instead of all its pairs.
     """
+    if "known" not in keys.columns:
+        keys = keys.withColumn("known", F.col("node"))
     counts = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b")).where("n > 1")
     counts = cut(counts)
     twos = counts.where("n = 2").select("a", "b").where(near_pair(F.col("a"), F.col("b")))
     more = keys.join(counts.where("n > 2").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "key")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = more.select("key", "node", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "own")
+    dealt = more.select("key", "node", "known", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "own", "known")
     dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return twos.unionByName(dealt.mapInArrow(lambda it: link_groups(it, near), "a long, b long"))
 

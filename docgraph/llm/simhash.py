@@ -167,6 +167,15 @@ def emit_keys(batches: Iterator[pa.RecordBatch], keys_of) -> Iterator[pa.RecordB
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part[rows])], ["key", "node"])
 
 
+def emit_known_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node (a fingerprint), known -> its wide keys, with both."""
+    for batch in batches:
+        nodes, known = (batch.column(k).to_numpy() for k in range(2))
+        for k in range(0, len(nodes), 4096):
+            keys, rows = wide_keys(nodes[k : k + 4096].view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes[k : k + 4096][rows]), pa.array(known[k : k + 4096][rows])], ["key", "node", "known"])
+
+
 def near(nodes: np.ndarray, node: np.int64, distance: int) -> np.ndarray:
     return np.bitwise_count((nodes ^ node).view(np.uint64)) <= distance
 
@@ -207,9 +216,15 @@ def same_print(printed: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def copy_candidates(printed: DataFrame, distance: int) -> DataFrame:
-    keys = printed.select(F.col("print").alias("node")).distinct().mapInArrow(lambda it: emit_keys(it, wide_keys), "key long, node long")
+    """What MinHash bands find, and what else fingerprints within distance find: they give no links between fingerprints
+    that the bands have connected, so a large group of copies has one link a node and not one for each bucket."""
+    bands = cut(minhash.band_candidates(printed))
+    groups = cut(components(bands))
+    pairs = printed.select("print", "node").distinct().join(groups, "node", "left")
+    prints = pairs.groupBy(F.col("print").alias("node")).agg(F.min(F.coalesce("root", "node")).alias("known"))
+    keys = prints.mapInArrow(emit_known_keys, "key long, node long, known long")
     links = bucket_links(keys, partial(near, distance=distance), lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= distance)
-    return same_print(printed, links).unionByName(minhash.band_candidates(printed))
+    return same_print(printed, links).unionByName(bands)
 
 
 def keep_one(docs: DataFrame, size: int = WIDE_SHINGLE, distance: int = WIDE_DISTANCE) -> DataFrame:
