@@ -22,6 +22,7 @@ class Options:
     most_rounds: int | None = None
     closure_rounds: int = 2
     lines_a_page: int = 64
+    site: list[str] = field(default_factory=list)  #: selectors of the portal's own frame, which isn't content
 
 
 def run(pages: DataFrame, options: Options, renders: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -41,7 +42,7 @@ def run(pages: DataFrame, options: Options, renders: DataFrame | None = None) ->
     walked = cut(walked)
     chosen, capped = prefix(walked, options.most_docs, [F.col("seq")]) if options.most_docs is not None else (walked, walked.limit(0))
     good = pages.where("status = 200").join(chosen.select("doc"), "doc", "left_semi")
-    parsed = cut(parse_pages(good.select("doc", slug(F.col("doc")).alias("slug"), "html"), space.path, slug="slug"))
+    parsed = cut(parse_pages(good.select("doc", slug(F.col("doc")).alias("slug"), "html"), space.path, slug="slug", site=tuple(options.site)))
     of = cut(links.page_links(parsed, nodes.select("doc"), nodes.select("doc", "parent"), space))
     metas = links.page_meta(parsed, of, space)
     failed = chosen.select("doc").join(good.select("doc"), "doc", "left_anti").join(pages.select("doc", "status"), "doc", "left")

@@ -1,7 +1,7 @@
 """The whole build over the small portal, and its parts on the cases that the portal lacks."""
 
 import pytest
-from portal import PAGES, S, SPACE, html, pages, rows
+from portal import S, SPACE, pages
 from pyspark.sql import functions as F
 
 from docgraph.operators import attempts, coverage, layout, links, ordered, traverse, tree
@@ -19,66 +19,67 @@ def by_doc(df, column):
 
 def test_tree(built):
     parents = by_doc(built["nodes"], "parent")
-    assert parents["Getting-started.Page-a"] == f"{S}.Getting-started"
-    assert parents["Getting-started.Page-b"] == f"{S}.Getting-started"  # no menu shows it; its name tells
-    assert parents["Getting-started.Page-b.Deep"] == f"{S}.Getting-started.Page-b"
+    assert parents["Soil.Compost"] == f"{S}.Soil"
+    assert parents["Soil.Mulch"] == f"{S}.Soil"  # no menu shows it; its name tells
+    assert parents["Soil.Mulch.Bark"] == f"{S}.Soil.Mulch"
     depth = by_doc(built["nodes"], "depth")
-    assert (depth["Getting-started.Page-b.Deep"], depth["Administering"], depth[S]) == (4, 2, 1)
+    assert (depth["Soil.Mulch.Bark"], depth["Plants"], depth[S]) == (4, 2, 1)
     seq = by_doc(built["walked"], "seq")
     assert seq[S] == 1
-    assert seq["Getting-started"] < seq["Getting-started.Page-a"] < seq["Getting-started.Page-a.Sub"] < seq["Administering"]
+    assert seq["Soil"] < seq["Soil.Compost"] < seq["Soil.Compost.Bins"] < seq["Plants"] < seq["Plants.Beans.Runner"] < seq["Plants.Peas"]
     assert sorted(seq.values()) == list(range(1, len(seq) + 1))
-    assert [r.doc for r in built["denied"].collect()] == [f"{S}._inclusionsLibrary.Stuff"]
-    assert "Getting-started.Missing" in parents  # a link names it
-    assert [r.doc for r in built["failures"].collect()] == [f"{S}.Getting-started.Missing"]
+    assert [r.doc for r in built["denied"].collect()] == [f"{S}.Plants.SeedClass"]
+    assert "Soil.Worms" in parents  # a link names it
+    assert [r.doc for r in built["failures"].collect()] == [f"{S}.Soil.Worms"]
 
 
 def test_links(built):
-    rows = built["links"].where(F.col("src_doc") == f"{S}.Getting-started.Page-a").collect()
+    rows = built["links"].where(F.col("src_doc") == f"{S}.Soil.Compost").collect()
     kinds = {}
     for r in rows:
         kinds.setdefault(r.kind, []).append(r)
-    assert {k: len(v) for k, v in kinds.items()} == {"internal": 7, "anchor": 3, "dead-anchor": 1, "attachment": 1, "external": 1, "denied": 1}
+    assert {k: len(v) for k, v in kinds.items()} == {"internal": 7, "anchor": 4, "dead-anchor": 1, "attachment": 1, "external": 1, "denied": 1}
     how = {r.href: (r.how, r.target_doc) for r in rows}
-    assert how["Sub"] == ("direct", f"{S}.Getting-started.Page-a.Sub")
-    assert any(r.login_followed and r.target_doc == f"{S}.Administering" for r in rows)
-    assert any((r.href_out or "").endswith("/Administering/Deep-thing/#part") for r in rows)
-    assert [(r.doc, r.name) for r in built["attachments"].collect()] == [(f"{S}.Getting-started.Page-a", "guide.pdf")]
+    assert how["Bins"] == ("direct", f"{S}.Soil.Compost.Bins")
+    assert any(r.login_followed and r.target_doc == f"{S}.Plants" for r in rows)
+    assert any((r.href_out or "").endswith("/Plants/Beans/#sow") for r in rows)
+    assert sorted((r.doc, r.name) for r in built["attachments"].collect()) == [(f"{S}.Plants.Beans", "plan.pdf"), (f"{S}.Soil.Compost", "plan.pdf")]
 
 
 def test_metas(built):
-    r = built["metas"].where(F.col("doc") == f"{S}.Getting-started.Page-a").first()
-    assert (r.title, r.links_internal, r.links_external, r.tables, r.images) == ("Page A", 7, 2, 1, 2)
+    r = built["metas"].where(F.col("doc") == f"{S}.Soil.Compost").first()
+    assert (r.title, r.links_internal, r.links_external, r.tables, r.images) == ("Compost", 7, 2, 2, 3)
     assert any(n.startswith("login-redirect-followed:") for n in r.notes)
-    assert r.filtered_refs == [f"{S}._inclusionsLibrary.Stuff"]
-    old = built["metas"].where(F.col("doc") == f"{S}.Getting-started.Old").first()
-    assert (old.is_redirect, old.redirect_to, old.notes) == (True, f"{S}.Getting-started.Page-a", ["redirect"])
+    assert r.filtered_refs == [f"{S}.Plants.SeedClass"]
+    pile = built["metas"].where(F.col("doc") == f"{S}.Soil.Pile").first()
+    assert (pile.is_redirect, pile.redirect_to, pile.notes) == (True, f"{S}.Soil.Compost", ["redirect"])
+    assert by_doc(built["redirects"], "target") == {"Soil.Heap": f"{S}.Soil.Compost", "Soil.Pile": f"{S}.Soil.Compost"}  # of two hops, and of one
 
 
 def test_layout(built):
     s = sorted(built["structure"].collect(), key=lambda r: r.n)
     docs = [r.doc for r in s]
-    assert f"{S}.Getting-started.Old" not in docs  # a redirect has no pages
+    assert not {f"{S}.Soil.Heap", f"{S}.Soil.Pile"} & set(docs)  # a redirect has no pages
     assert s[0].first_page == 3  # cover, one page of contents
     assert all(a.last_page + 1 == b.first_page for a, b in zip(s, s[1:], strict=False))
     stamped = built["stamps"].collect()
     assert len(stamped) == sum(r.pages for r in s)
     up = by_doc(built["outline"], "parent_doc")
-    assert up["Getting-started.Page-b.Deep"] == f"{S}.Getting-started.Page-b"
-    assert by_doc(built["crumbs"], "crumbs")["Getting-started.Page-a.Sub"] == ["Home", "Getting started", "Page A", "Sub page"]
+    assert up["Soil.Mulch.Bark"] == f"{S}.Soil.Mulch"
+    assert by_doc(built["crumbs"], "crumbs")["Soil.Compost.Bins"] == ["Home", "Soil", "Compost", "Compost bins"]
 
 
 def test_coverage(built):
     r = built["summary"].first()
-    assert (r.missing, r.redirect_pages, r.fetch_failures, r.coverage_percent) == (0, 1, 1, 100.0)
+    assert (r.missing, r.redirect_pages, r.fetch_failures, r.coverage_percent) == (0, 2, 1, 100.0)
     assert r.strict_coverage_percent < 100
     assert coverage.verdict(built["summary"]) == 2
 
 
 def test_scoped_and_capped(spark):
-    out = run(pages(spark), Options(SPACE, only=["Getting-started"], most_docs=3))
+    out = run(pages(spark), Options(SPACE, only=["Soil"], most_docs=3))
     docs = {r.doc for r in out["nodes"].collect()}
-    assert not any("Administering" in x for x in docs)
+    assert not any("Plants" in x for x in docs)
     capped = out["capped"].count()
     r = out["summary"].first()
     assert capped > 0
@@ -96,7 +97,7 @@ def test_reachable_on_cycles(spark):
 def test_sibling_recovery(spark):
     known = spark.createDataFrame([(f"{S}.G",), (f"{S}.G.A",), (f"{S}.G.B",)], "doc string")
     parents = spark.createDataFrame([(f"{S}.G.A", f"{S}.G")], "doc string, parent string")
-    urls = spark.createDataFrame([(1, f"{SPACE.base}/bin/Demo/Space/G/A/B"), (2, f"{SPACE.base}/bin/Demo/Space/G/A"), (3, f"{SPACE.base}/bin/Demo/Space/Z"), (4, "https://x.y/")], "k int, abs_url string")
+    urls = spark.createDataFrame([(1, f"{SPACE.base}/bin/Field/Garden/G/A/B"), (2, f"{SPACE.base}/bin/Field/Garden/G/A"), (3, f"{SPACE.base}/bin/Field/Garden/Z"), (4, "https://x.y/")], "k int, abs_url string")
     got = {r.k: (r.target_doc, r.how) for r in links.resolve(urls, known, parents, SPACE).collect()}
     assert got == {1: (f"{S}.G.B", "sibling-recovered"), 2: (f"{S}.G.A", "direct"), 3: (f"{S}.Z", "unverified"), 4: (None, None)}
 
@@ -121,7 +122,7 @@ def test_tree_survives_cycles_and_orphans(spark):
 
 
 def test_audit_classes(spark):
-    a = spark.createDataFrame([(1, 0, f"{SPACE.base}/bin/Demo/Space/A", None, True), (1, 1, f"{SPACE.base}/bin/Else/B", None, True), (2, 0, "https://x.y/", None, True), (2, 1, None, 5, False), (3, 0, None, None, True), (3, 1, None, None, False)], "pdf_page int, pos int, uri string, dest_page int, has_action boolean")
+    a = spark.createDataFrame([(1, 0, f"{SPACE.base}/bin/Field/Garden/A", None, True), (1, 1, f"{SPACE.base}/bin/Else/B", None, True), (2, 0, "https://x.y/", None, True), (2, 1, None, 5, False), (3, 0, None, None, True), (3, 1, None, None, False)], "pdf_page int, pos int, uri string, dest_page int, has_action boolean")
     counts, samples = links.link_audit(a, SPACE)
     assert {r.link_class: r.links for r in counts.collect()} == {"inspace_uri_left": 1, "other_space_uri": 1, "external_uri": 1, "internal_goto": 1, "annot_other_action": 1}
     assert sorted(r.pool for r in samples.collect()) == ["external", "external", "unresolved"]
@@ -174,4 +175,3 @@ def test_manifest_tells_files_of_one_name_apart(spark):
 
 def test_layout_pieces():
     assert layout.wrapped("a bb ccc dddd", 5) == ["a bb", "ccc", "dddd"]
-    assert html("") and rows() and len(PAGES) == 10
