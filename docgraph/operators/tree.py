@@ -42,18 +42,20 @@ def levels(nodes: DataFrame, most_depth: int = MOST_DEPTH) -> DataFrame:
     """nodes (doc, parent, rank) -> doc, parent, depth (root: 1), path (ranks from the root), ancestors (ids, outermost first).
 
     One join a level. Nodes below a cycle are never reached from a root; each such node stands as a root of its own
-    after the others, so every node is there once.
+    after the others, so every node is there once. A tree of more than most_depth levels is an error.
     """
     own = cut(nodes.select("doc", "parent", "rank"))
     top = roots(own)
     level = cut(top.select("doc", "parent", F.lit(1).alias("depth"), F.array("rank").alias("path"), F.array().cast("array<string>").alias("ancestors")))
     done, n = level, 1
-    while n < most_depth:
+    while True:
         n += 1
         up = level.select(F.col("doc").alias("parent"), F.col("path").alias("__path"), F.col("ancestors").alias("__up"))
         level = cut(own.join(up, "parent").select("doc", "parent", F.lit(n).alias("depth"), F.concat("__path", F.array("rank")).alias("path"), F.concat("__up", F.array("parent")).alias("ancestors")))
         if level.isEmpty():
             break
+        if n > most_depth:
+            raise ValueError(f"the tree has more than {most_depth} levels; allow more by most_depth")
         done = done.unionByName(level)  # of checkpointed parts
         if n % 16 == 0:
             done = cut(done)
