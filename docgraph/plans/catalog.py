@@ -7,7 +7,7 @@ addresses, redirects and flags are made from keys. Each query says what it stand
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ids
@@ -439,3 +439,212 @@ def merged_index(spark: SparkSession, d: str) -> DataFrame:
     return attempts.merged(rows.where("event_id % 2 = 1"), rows.where("event_id % 2 = 0"), "user_id").groupBy("user_id").agg(F.count("*").alias("n"))
 
 
+
+
+# ---- links, sources and reports over made pages; customers' keys number them
+
+
+def customer_keys(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "customer").select(F.col("c_custkey").cast("long").alias("k"))
+
+
+def named(before: str, key: str = "k", after: str = "") -> Column:
+    return F.concat(F.lit(before), F.col(key).cast("string"), F.lit(after))
+
+
+@query("""WITH c AS (SELECT c_custkey AS k, c_custkey + 1 AS m FROM customer),
+l AS (SELECT c.k, c.m, x.k IS NOT NULL AS there, pos FROM c LEFT JOIN c x ON x.k = c.m, (SELECT unnest(range(6)) AS pos))
+SELECT 'en.a.p' || k AS src_doc, pos,
+  CASE pos WHEN 0 THEN CASE WHEN k % 2 = 0 THEN 'anchor' ELSE 'dead-anchor' END WHEN 2 THEN 'attachment' WHEN 3 THEN 'external' WHEN 4 THEN 'denied' ELSE 'internal' END AS kind,
+  CASE WHEN pos = 4 OR (pos IN (1, 5) AND NOT there) THEN 'unverified' WHEN pos = 1 THEN 'direct' WHEN pos = 5 THEN 'sibling-recovered' END AS how,
+  CASE WHEN pos = 1 OR (pos = 5 AND there) THEN 'en.a.p' || m WHEN pos = 5 THEN 'en.a.p' || k || '.p' || m WHEN pos = 4 THEN 'en.Code.a' END AS target_doc,
+  CASE WHEN pos = 0 THEN CASE WHEN k % 2 = 0 THEN '#x' END WHEN pos = 1 OR (pos = 5 AND there) THEN 'https://thther.example.org/bin/en/a/p' || m || '/'
+       WHEN pos = 5 THEN 'https://thther.example.org/bin/en/a/p' || k || '/p' || m || '/' WHEN pos = 3 THEN 'https://else.example.com/z' WHEN pos = 4 THEN 'https://thther.example.org/bin/en/Code/a' END AS href_out
+FROM l""")
+def page_link_targets(spark: SparkSession, d: str) -> DataFrame:
+    """Six links of each page, resolved against the known pages: one is a level too deep and found as a sibling."""
+    k = customer_keys(spark, d).withColumn("m", F.col("k") + 1)
+    hrefs = F.array(F.lit("#x"), named("/bin/en/a/p", "m", "/"), named("/bin/download/en/x", "k", ".pdf"), F.lit("https://else.example.com/z"), F.lit("/bin/en/Code/a"), named("p", "m"))
+    made = F.transform(hrefs, lambda h, n: F.struct(n.cast("long").alias("pos"), h.alias("href"), F.lit("t").alias("text"), (F.col("k") % 2 == 0).alias("anchor_known")))
+    parsed = k.select(named("en.a.p").alias("doc"), made.alias("links"))
+    known = parsed.select("doc", F.lit("en.a").alias("parent"))
+    return links.page_links(parsed, known, known, SITE).select("src_doc", "pos", "kind", "how", "target_doc", "href_out")
+
+
+@query("""WITH c AS (SELECT c_custkey AS k, (c_custkey // 4) % 4 AS form FROM customer),
+t AS (SELECT k, CASE WHEN form <> 3 AND k % 5 <> 0 THEN k END AS t FROM c)
+SELECT t.k AS pdf_page, 'en.c' || t.t AS dest_doc, 2 * x.k AS dest_page FROM t LEFT JOIN c x ON x.k = CASE WHEN t.t % 7 = 1 THEN t.t + 1 ELSE t.t END AND x.k % 5 <> 0""")
+def annotation_gotos(spark: SparkSession, d: str) -> DataFrame:
+    """Link annotations of four forms, the documents they name, and the pages where these, or what they redirect to, begin."""
+    k, form = customer_keys(spark, d), F.expr("(k DIV 4) % 4")
+    uri = F.when(form == 0, named("https://thther.example.org/bin/en/c", "k", "/")).when(form == 1, named("https://thther.example.org/bin/view/en/c")).when(form == 2, named("https://thther.example.org/en/c", "k", "/WebHome?x#y")).otherwise(named("https://else.example.com/en/c"))
+    docs = k.where("k % 5 <> 0").select(named("en.c").alias("doc"), (F.col("k") * 2).alias("first_page"))
+    moved = k.where("k % 7 = 1").select(named("en.c").alias("doc"), F.concat(F.lit("en.c"), (F.col("k") + 1).cast("string")).alias("target"))
+    told = links.annotation_targets(k.select(F.col("k").alias("pdf_page"), uri.alias("uri")), docs.select("doc"), SITE)
+    return layout.goto_targets(told, docs, moved).select("pdf_page", "dest_doc", "dest_page")
+
+
+@query("""WITH e AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS p FROM lineitem), p1 AS (SELECT DISTINCT p FROM e WHERE s = 1)
+SELECT 'root.p' || p AS doc, 1 AS round, 'root' AS parent FROM p1 UNION ALL SELECT DISTINCT 'root.s' || s, 2, 'root' FROM e SEMI JOIN p1 ON p1.p = e.p WHERE s <> 1""")
+def fetch_closure(spark: SparkSession, d: str) -> DataFrame:
+    """What two rounds find beyond an inventory of supplier 1: its parts, then their suppliers. The two rounds are the feature."""
+    pairs = read(spark, d, "lineitem").select(named("root.s", "l_suppkey").alias("src_doc"), named("root.p", "l_partkey").alias("doc")).distinct()
+    both = pairs.unionByName(pairs.select(F.col("doc").alias("src_doc"), F.col("src_doc").alias("doc")))
+    return traverse.closure(both, spark.createDataFrame([("root.s1",)], "doc string"), ROOT)
+
+
+@query("""WITH f AS (SELECT 'root' AS parent, 'root.r' || r_regionkey AS doc, r_name AS title, TRUE AS closed, r_regionkey AS pos FROM region
+  UNION ALL SELECT 'root.r' || n_regionkey, 'root.n' || n_nationkey, n_name, TRUE, n_nationkey FROM nation
+  UNION ALL SELECT 'root.n' || c_nationkey, 'root.c' || c_custkey, c_name, c_custkey % 10 = 0, c_custkey FROM customer)
+SELECT doc, title, parent, closed, pos AS nav_order, 'tree' AS src, closed AND doc NOT IN (SELECT parent FROM f) AS failed FROM f""")
+def tree_expansion(spark: SparkSession, d: str) -> DataFrame:
+    """The inventory from tree fragments; closed customers have none and are failures."""
+    item = lambda t, up, up_key, own, key, title, closed: read(spark, d, t).select((F.lit("root") if up is None else named(up, up_key)).alias("parent"), named(own, key).alias("doc"), F.col(title).alias("title"), closed.alias("closed"), F.col(key).cast("long").alias("pos"))
+    fragments = (
+        item("region", None, "", "root.r", "r_regionkey", "r_name", F.lit(True))
+        .unionByName(item("nation", "root.r", "n_regionkey", "root.n", "n_nationkey", "n_name", F.lit(True)))
+        .unionByName(item("customer", "root.n", "c_nationkey", "root.c", "c_custkey", "c_name", F.col("c_custkey") % 10 == 0))
+    )
+    got = traverse.tree_inventory(ROOT, fragments)
+    return got["nodes"].join(got["failures"].withColumn("failed", F.lit(True)), "doc", "left").withColumn("failed", F.coalesce("failed", F.lit(False)))
+
+
+@query("SELECT n_nationkey AS k, CASE WHEN n_nationkey % 3 = 0 THEN 'full' WHEN n_nationkey % 2 = 0 THEN 'bare' END AS body FROM nation")
+def tree_answers(spark: SparkSession, d: str) -> DataFrame:
+    """The answer to each node's question for children: under the node's full name, else its bare one, else none."""
+    keys = read(spark, d, "nation").select(F.col("n_nationkey").alias("k"), named("root.n", "n_nationkey").alias("doc"))
+    full = keys.where("k % 3 = 0").select(F.concat("doc", F.lit(".WebHome")).alias("root"), F.lit("full").alias("body"))
+    got = traverse.children_of(keys.select("doc"), full.unionByName(keys.where("k % 2 = 0").select(F.col("doc").alias("root"), F.lit("bare").alias("body"))))
+    return keys.join(got, "doc").select("k", "body")
+
+
+@query("SELECT 'root.c' || c_custkey AS doc, CASE WHEN c_custkey % 2 = 0 THEN 'nav' ELSE 'tree' END AS src FROM customer")
+def added_inventory(spark: SparkSession, d: str) -> DataFrame:
+    """An inventory of the even keys, and what a second one of all keys adds."""
+    k = customer_keys(spark, d)
+    return traverse.added(k.where("k % 2 = 0").select(named("root.c").alias("doc"), F.lit("nav").alias("src")), k.select(named("root.c").alias("doc"), F.lit("tree").alias("src")))
+
+
+@query("""SELECT 'root' AS doc, NULL AS parent UNION ALL SELECT 'root.r' || r_regionkey, 'root' FROM region WHERE r_regionkey < 3
+UNION ALL SELECT 'root.n' || n_nationkey, CASE WHEN n_regionkey < 3 THEN 'root.r' || n_regionkey ELSE 'root' END FROM nation""")
+def attached_orphans(spark: SparkSession, d: str) -> DataFrame:
+    """A tree whose last regions are missing: their nations hang on the root, which is added."""
+    nodes = tree_nodes(spark, d).where("doc RLIKE '^root[.]r[0-2]$' OR doc LIKE 'root.n%'")
+    return tree.ensure_root(nodes, ROOT).select("doc", "parent")
+
+
+@query(f"WITH RECURSIVE {TREE} SELECT parent, string_agg(doc, ' ' ORDER BY rank) AS children FROM rk WHERE parent IS NOT NULL GROUP BY parent")
+def ordered_children(spark: SparkSession, d: str) -> DataFrame:
+    return tree.children(tree_nodes(spark, d), ROOT).select("parent", F.array_join("children", " ").alias("children"))
+
+
+@query("SELECT 'root.c' || c_custkey AS doc, c_custkey AS seq, c_custkey % 3 AS pages FROM customer WHERE c_custkey % 4 <> 0 AND c_custkey % 6 <> 1 AND c_custkey % 3 > 0 AND c_custkey % 5 <> 0")
+def laid_out_docs(spark: SparkSession, d: str) -> DataFrame:
+    """What enters the layout: rendered, with pages, not a redirect. Some have no render, some no record of their page."""
+    k, key = customer_keys(spark, d), F.col("k")
+    doc = named("root.c").alias("doc")
+    renders = k.where("k % 4 <> 0").select(doc, (key % 6 != 1).alias("ok"), (key % 3).alias("pages"))
+    metas = k.where("k % 2 = 0 OR k % 5 = 0").select(doc, (key % 5 == 0).alias("is_redirect"))
+    return layout.content_rows(k.select(doc, key.alias("seq")), renders, metas)
+
+
+@query("""SELECT count(*) AS docs, CAST(sum(c_custkey % 5 + 1) AS BIGINT) AS pages, CAST(sum(c_custkey % 3) FILTER (c_custkey % 2 = 1) AS BIGINT) AS images, CAST(sum(c_custkey % 4) FILTER (c_custkey % 2 = 1) AS BIGINT) AS "tables",
+  CAST(sum(c_custkey % 100) FILTER (c_custkey % 2 = 1) AS BIGINT) AS words, CAST(sum(c_custkey % 7) FILTER (c_custkey % 2 = 1) AS BIGINT) AS links_external FROM customer""")
+def cover_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Totals of a cover page; only odd documents have a record of their page."""
+    k, key = customer_keys(spark, d), F.col("k")
+    metas = k.where("k % 2 = 1").select("k", (key % 3).alias("images"), (key % 4).alias("tables"), (key % 100).alias("words"), (key % 7).alias("links_external")).withColumnRenamed("k", "doc")
+    return layout.cover_totals(k.select(key.alias("doc"), (key % 5 + 1).alias("pages")), metas)
+
+
+@query("""SELECT count(*) FILTER (value > 50) AS rendered_ok, count(*) FILTER (NOT coalesce(value > 50, FALSE)) AS failed, coalesce(CAST(sum(event_id % 7) FILTER (value > 50) AS BIGINT), 0) AS pages,
+  count(*) FILTER (event_id % 11 = 0) AS rendered_degraded FROM events""")
+def render_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Events as renders."""
+    k = F.col("event_id")
+    return coverage.render_summary(read(spark, d, "events").select((F.col("value") > 50).alias("ok"), (k % 7).alias("pages"), F.when(k % 11 == 0, "serial-retry").alias("degraded")))
+
+
+@query("""SELECT count(*) AS requests, count(*) FILTER (event_id % 6 IN (0, 5)) AS ok, count(*) FILTER (event_id % 6 IN (1, 2)) AS gone, count(*) FILTER (event_id % 6 = 3) AS failed, CAST(sum(event_id % 1000) AS BIGINT) AS bytes FROM events""")
+def http_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Events as answers of six kinds, one of which never came."""
+    k = F.col("event_id")
+    status = F.element_at(F.array(*[F.lit(s).cast("int") for s in (200, 404, 410, None, 503, 204)]), (k % 6 + 1).cast("int"))
+    return coverage.http_stats(read(spark, d, "events").select(status.alias("status"), (k % 1000).alias("bytes")))
+
+
+@query("""SELECT (SELECT count(*) FROM documents) AS pages, (SELECT CAST(coalesce(sum(length(text)), 0) AS BIGINT) FROM documents) AS text_chars,
+  (SELECT count(url) FROM pages WHERE page_id % 5 < 3) AS uri_links, (SELECT count(*) FROM pages WHERE page_id % 5 = 3) AS internal_links""")
+def document_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as the pages of a merged document, all of them measured."""
+    text = read(spark, d, "documents").select(F.col("doc_id").alias("pdf_page"), "text")
+    return coverage.document_stats(annotations(spark, d), text, first_pages=1 << 62)
+
+
+@query("""SELECT count(*) FILTER (c_custkey % 3 = 0) AS leaves, count(*) FILTER (c_custkey % 3 <> 0) AS branches, avg(c_custkey % 8 * 100) FILTER (c_custkey % 3 = 0 AND c_custkey % 8 > 0) AS mean_leaf_bytes,
+  avg(c_custkey % 8 * 100) FILTER (c_custkey % 3 = 0 AND c_custkey % 8 > 0) * 1000 AS estimated_bytes FROM customer""")
+def size_estimate(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as probed nodes: a third are leaves, some of no bytes."""
+    key = F.col("k")
+    return coverage.size_estimate(customer_keys(spark, d).select((key % 3).alias("n_children"), (key % 8 * 100).alias("bytes")), 1000)
+
+
+@query("""WITH u AS (SELECT DISTINCT 'u' || o_custkey AS url FROM orders), n AS (SELECT url, row_number() OVER (ORDER BY url) AS n FROM u)
+SELECT count(*) AS unresolved, string_agg(url, ' ' ORDER BY url) FILTER (n <= 400) AS links, string_agg(url, ' ' ORDER BY url) FILTER (n <= 80) AS targets FROM n""")
+def unresolved_links(spark: SparkSession, d: str) -> DataFrame:
+    """How many addresses are unresolved, over all, and the first of them: a report."""
+    metas = read(spark, d, "orders").select(F.array(named("u", "o_custkey")).alias("unresolved_links"))
+    return coverage.unresolved(metas).select("unresolved", F.array_join("links", " ").alias("links"), F.array_join("targets", " ").alias("targets"))
+
+
+@query("SELECT 'line' AS name, CAST(max(l_linenumber) AS BIGINT) AS most FROM lineitem UNION ALL SELECT 'rest', CAST(max(l_orderkey % 97) AS BIGINT) FROM lineitem")
+def profile_maxima(spark: SparkSession, d: str) -> DataFrame:
+    """Line items as profiles of two counters."""
+    rows = read(spark, d, "lineitem").select(F.create_map(F.lit("line"), F.col("l_linenumber").cast("long"), F.lit("rest"), (F.col("l_orderkey") % 97).cast("long")).alias("profile"))
+    return coverage.profile_maxima(rows)
+
+
+@query("""WITH a AS (SELECT user_id, event_id % 5 AS r, min(event_id) AS e FROM events GROUP BY 1, 2), o AS (SELECT *, e % 3 = 0 AND e % 4 > 0 AS ok FROM a),
+b AS (SELECT user_id, bool_or(ok) AS ok, arg_min(r, r) FILTER (ok) AS best, arg_min(e, r) FILTER (ok) AS e, arg_max(e, r) AS last FROM o GROUP BY user_id)
+SELECT user_id AS doc, ok, CASE WHEN ok THEN e % 4 END AS pages, CASE WHEN NOT ok THEN 'e' || last END AS error, FALSE AS cached,
+  CASE WHEN ok AND best > 0 THEN ['normal', 'serial-retry', 'other-engine', 'flattened-css', 'text-layout'][best + 1] END AS degraded FROM b""")
+def render_ladder(spark: SparkSession, d: str) -> DataFrame:
+    """A user's first events of each of five kinds as the rungs of a page's rendering."""
+    rungs = F.array(*[F.lit(r) for r in attempts.RUNGS])
+    kinds = read(spark, d, "events").groupBy(F.col("user_id").alias("doc"), (F.col("event_id") % 5).alias("r")).agg(F.min("event_id").alias("e"))
+    e = F.col("e")
+    return attempts.render_ladder(kinds.select("doc", F.get(rungs, F.col("r").cast("int")).alias("rung"), (e % 3 == 0).alias("ok"), (e % 4).alias("pages"), F.concat(F.lit("e"), e.cast("string")).alias("error")))
+
+
+@query("SELECT doc_id AS doc FROM documents WHERE doc_id % 3 <> 1")
+def changed_docs(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of which a third were worked on as they are and a third in another state: what is to be done again."""
+    docs = read(spark, d, "documents").select(F.col("doc_id").alias("doc"), F.col("text").alias("html"))
+    done = docs.where("doc % 3 > 0").select("doc", F.when(F.col("doc") % 3 == 1, F.sha2(F.coalesce("html", F.lit("")), 256)).otherwise("old").alias("content_key"))
+    return attempts.changed(docs, done).select("doc")
+
+
+@query("SELECT event_id AS doc FROM events WHERE event_id % 7 <> 0 AND event_id % 5 <> 0")
+def renderable_docs(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("event_id")
+    return attempts.renderable(read(spark, d, "events").select(k.alias("doc"), F.when(k % 5 == 0, True).alias("is_redirect"), F.when(k % 7 == 0, "http-500").alias("error"))).select("doc")
+
+
+@query(r"""WITH s AS (SELECT doc_id AS k, coalesce(source, '') AS s FROM documents), u AS (SELECT *, 'https://thther.example.org/bin/en/' || replace(s, '.', '/') || '/p-' || k || '/' AS u FROM s)
+SELECT k, replace(s, '.', '/') || '/p-' || k AS path, u AS url, 'p ' || k AS title, 'a ' || s || ' b' AS squeezed, regexp_replace(s, '[^\x{00}-\x{FF}]', '', 'g') || 'é' AS latin1, 'en/' || replace(s, '.', '/') AS space,
+  'https://thther.example.org/t/en?root=en.' || s || '&limit=500' AS tree_url, CASE WHEN k % 2 = 0 THEN 'k' || k ELSE u END AS source_url, sha1(u || '|b') AS cache_key, k % 2 = 1 AS looks_like_doc,
+  k % 3 = 0 AS is_image, k % 4 > 1 AS is_downloadable, 'P › en › ' || s AS crumbs FROM u""")
+def id_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Paths, addresses, titles, keys and tests of ids made from documents' sources and keys."""
+    k, key = F.col("k"), F.col("k").cast("string")
+    own = read(spark, d, "documents").select(F.col("doc_id").alias("k"), F.coalesce("source", F.lit("")).alias("s"))
+    own = own.withColumn("doc", F.concat(F.lit("en."), "s", F.lit(".p-"), key)).withColumn("u", ids.page_url(F.col("doc"), SITE))
+    image = F.concat(F.lit("https://x.example.com/y"), F.when(k % 3 == 0, ".PNG?z=1").when(k % 3 == 1, ".pdf").otherwise(""))
+    target = F.when(k % 4 == 0, " mailto:a").when(k % 4 == 1, "").otherwise(F.col("u"))
+    return own.select(
+        "k", ids.relative(F.col("doc"), SITE).alias("path"), F.col("u").alias("url"), ids.title_of_id(F.col("doc")).alias("title"),
+        ids.squeezed(F.concat(F.lit("\t a  "), "s", F.lit("\n\n b "))).alias("squeezed"), ids.latin1(F.concat("s", F.lit("é–ж"))).alias("latin1"), ids.space_of_url(F.col("u"), "x").alias("space"),
+        ids.filled(F.lit("{base}/t/{space}?root={root}&limit={limit}"), SITE, F.concat(F.lit("en."), "s")).alias("tree_url"), ids.source_url(F.when(k % 2 == 0, F.concat(F.lit("k"), key)), F.col("doc"), SITE).alias("source_url"),
+        ids.cache_key(F.col("u"), F.lit("b")).alias("cache_key"), ids.looks_like_doc(F.when(k % 2 == 0, F.concat(F.lit("/"), "doc")).otherwise(F.col("doc")), SITE).alias("looks_like_doc"),
+        ids.is_image(image).alias("is_image"), ids.is_downloadable(target).alias("is_downloadable"), ids.breadcrumb(F.array(F.lit("en"), F.col("s")), F.lit("P")).alias("crumbs"),
+    )
