@@ -69,12 +69,15 @@ def http_stats(responses: DataFrame) -> DataFrame:
 def attachment_manifest(attachments: DataFrame, stored: DataFrame) -> DataFrame:
     """attachments (doc, name, url) and stored (url, data) -> mirrored, bytes, sha256, missing_reason, local name.
 
-    Files of one name on two pages stay apart: a stored file is known by its address, and named by its hash.
+    Files of one name on two pages stay apart: a stored file is known by its address, and named by its hash. Of several
+    files of one address the one with the greatest hash counts. Files are hashed where they are read; only hashes and
+    sizes are shuffled.
     """
-    own = stored.groupBy("url").agg(F.max("data").alias("data"))
+    file = F.struct(content_key(F.col("data")).alias("sha256"), F.octet_length("data").cast("long").alias("bytes"))
+    own = stored.where("data IS NOT NULL").select("url", file.alias("__file")).groupBy("url").agg(F.max("__file").alias("__file"))
     joined = attachments.join(own, "url", "left")
-    there = F.col("data").isNotNull()
-    return joined.select("doc", "name", "url", there.alias("mirrored"), F.octet_length("data").cast("long").alias("bytes"), content_key(F.col("data")).alias("sha256"), F.when(~there, "not-mirrored").alias("missing_reason"), F.when(there, url_key(F.col("url"))).alias("local"))
+    there = F.col("__file").isNotNull()
+    return joined.select("doc", "name", "url", there.alias("mirrored"), F.col("__file.bytes").alias("bytes"), F.col("__file.sha256").alias("sha256"), F.when(~there, "not-mirrored").alias("missing_reason"), F.when(there, url_key(F.col("url"))).alias("local"))
 
 
 def manifest_totals(manifest: DataFrame) -> DataFrame:
