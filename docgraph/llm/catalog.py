@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, lines, media, minhash, mixing, pieces, quality, simhash, surrogates, toxicity
+from . import centroids, chat, codes, lines, media, minhash, mixing, pieces, quality, simhash, surrogates, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,9 +15,13 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_line_dedup": lines.op9_line_dedup,
     "op10_fingerprints": minhash.op10_fingerprints,
+    "op12_vector_codes": codes.op12_vector_codes,
+    "op13_centroids": centroids.op13_centroids,
 }
 SQL = {
     "op3_chat_formatting": chat.OP3_SQL,
     "op8_mixing": mixing.OP8_SQL,
     "op9_line_dedup": lines.OP9_SQL,
+    "op12_vector_codes": codes.OP12_SQL,
+    "op13_centroids": centroids.OP13_SQL,
 }
