@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import centroids, chat, codes, lines, media, minhash, mixing, pieces, quality, simhash, surrogates, toxicity
+from . import centroids, chat, codes, language, lines, media, minhash, mixing, pieces, quality, simhash, surrogates, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_line_dedup": lines.op9_line_dedup,
     "op10_fingerprints": minhash.op10_fingerprints,
+    "op11_language": language.op11_language,
     "op12_vector_codes": codes.op12_vector_codes,
     "op13_centroids": centroids.op13_centroids,
 }
