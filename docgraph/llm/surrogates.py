@@ -4,7 +4,9 @@ One expression finds the entities; the text's other parts stay as they are. An e
 number, lower-cased address, each name) and a secret key give its surrogate, so every mention of an entity, in any
 document and format, gets the same one (coreference). A surrogate has its entity's type and format: digits stay
 digits, letters keep case, punctuation and prefixes that tell the type stay, cards keep their check-sum remainder,
-addresses stay valid; names keep the gender that their title tells and their script.
+IBANs their remainder mod 97, addresses stay valid, phone numbers keep their country code (a number with and without
+it is one entity); names keep the gender that their title tells, if it tells one, and their script. What stands where a
+password or token does is an entity whatever its form, also if it looks like a card and fails the check sum.
 
 Collision checks preserve distinctness: the distinct entities are few against the text, and are compared with each
 other. Of entities with one surrogate, or whose surrogate is itself an entity, all but one are hashed anew, round by
@@ -18,20 +20,20 @@ from pyspark.sql import functions as F
 
 from .common import cut, table
 
-TITLES = {"m": ("Mr", "Herr", "Monsieur", "Señor", "г-н"), "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "г-жа")}
+TITLES = {"m": ("Mr", "Herr", "Monsieur", "Señor", "г-н"), "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "г-жа"), "n": ("Dr", "Prof", "Doctor", "Professor")}
 ALL_TITLES = "|".join(x for k in TITLES.values() for x in k)
 BYTE = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
-#: Kinds in the order in which they are tried.
+#: Kinds in the order in which they are tried. Secrets come first: no other kind may take a part of one.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+",
+    "secret": r"(?<=(?i:password|passwd|secret|token|api_key|apikey)\s{0,2}[=:]\s{0,2}[\"']?)[^\s\"',;=:][^\s\"',;]{5,}",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63})+",
     "ip": rf"(?<![\d.])(?:{BYTE}\.){{3}}{BYTE}(?!\.?\d)",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": r"(?<![\d+-])\d(?:[ -]?\d){12,18}(?![\d-])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}(?!\w)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\w)|(?<![\w.+-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "access_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "secret": r"(?<=(?i:password|passwd|secret|token|api_key|apikey)\s{0,2}[=:]\s{0,2}[\"']?)[^\s\"',;=:][^\s\"',;]{5,}",
     "person": rf"(?<!\w)(?:{ALL_TITLES})\.? \p{{Lu}}\p{{L}}+(?:[ -]\p{{Lu}}\p{{L}}+){{0,2}}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -43,14 +45,15 @@ SYLLABLES = {
     "armenian": ["բա", "գե", "դի", "զո", "թու", "կա", "լե", "մի", "նո", "շու", "պա", "ռե", "սի", "տո", "փու", "քա", "վե", "հի", "ջո", "ցու"],
     "cyrillic": ["ба", "ве", "ги", "до", "жу", "за", "ке", "ли", "мо", "ну", "па", "ре", "си", "то", "фу", "ха", "це", "чи", "шо", "лу"],
 }
-NAME_END = {("latin", "m"): "n", ("latin", "f"): "a", ("greek", "m"): "ς", ("greek", "f"): "α", ("armenian", "m"): "ն", ("armenian", "f"): "ա", ("cyrillic", "m"): "н", ("cyrillic", "f"): "а"}
+NAME_END = {("latin", "m"): "n", ("latin", "f"): "a", ("greek", "m"): "ς", ("greek", "f"): "α", ("armenian", "m"): "ն", ("armenian", "f"): "ա", ("latin", "n"): "r", ("greek", "n"): "ρ", ("armenian", "n"): "ր", ("cyrillic", "n"): "р", ("cyrillic", "m"): "н", ("cyrillic", "f"): "а"}
 MOST_ROUNDS = 50
 WIDER = 4  #: After so many rounds of collisions, and again after as many, an entity's surrogates get longer.
 TEST_KEY = "a key for tests, not for use"
 
 
 def kind_of(entity: Column) -> Column:
-    """Secrets are known by what stands before them, so they are what no other pattern matches whole."""
+    """Of what the whole expression found. Secrets are known by what stands before them, so they are what no other
+    pattern matches whole."""
     out = F.lit("secret")
     for kind, pattern in reversed(PATTERNS.items()):
         if kind != "secret":
@@ -60,7 +63,14 @@ def kind_of(entity: Column) -> Column:
 
 def canonical(kind: Column, entity: Column) -> Column:
     squeezed = F.regexp_replace(entity, "[^0-9A-Za-z]", "")
-    return F.when(kind.isin("phone", "card", "ssn", "iban"), squeezed).when(kind == "email", F.lower(entity)).otherwise(entity)
+    national = F.substring(squeezed, F.length(dial_code(entity)) + 1, F.length(squeezed))
+    return F.when(kind == "phone", national).when(kind.isin("card", "ssn", "iban"), squeezed).when(kind == "email", F.lower(entity)).otherwise(entity)
+
+
+def dial_code(entity: Column) -> Column:
+    """A phone number's country code: the digits up to the first sign; where there is no sign in time, 1, 7 or two digits."""
+    parted = F.regexp_extract(entity, r"^\+(\d{1,3})(?=[ .(-])", 1)
+    return F.when(parted != "", parted).otherwise(F.regexp_extract(entity, r"^\+([17]|\d\d)", 1))
 
 
 def stream(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
@@ -90,16 +100,40 @@ def charwise(canon: Column, hexes: Column, before: Column, after: Column, hexade
             .when(c.rlike("[0-9]") & lead & (i == before + 1), of(digit, pick(hexes, i, 8) + 2))
             .when(c.rlike("[0-9]"), of(digit, pick(hexes, i, 10)))
             .when(c.rlike("[a-z]"), of(low, pick(hexes, i, 26)))
-            .when(c.rlike("[A-Z]"), of(high, pick(hexes, i, 26)))
+            .when(c.rlike(r"\p{Lu}"), of(high, pick(hexes, i, 26)))
+            .when(c.rlike(r"\p{L}"), of(low, pick(hexes, i, 26)))
+            .when(c.rlike(r"\p{N}"), of(digit, pick(hexes, i, 10)))
             .otherwise(c)
         )
 
     return F.array_join(F.transform(F.sequence(F.lit(1), F.length(canon)), one), "")
 
 
-def is_entity(kind: Column, entity: Column) -> Column:
-    """A number in the shape of a card's is one only if its check sum is right."""
-    return (kind != "card") | (luhn(F.regexp_replace(entity, "[^0-9]", "")) == 0)
+def checked(kind: Column, entity: Column, guarded: Column) -> Column:
+    """A number in the shape of a card's is one only if its check sum is right; else it is a secret where it stands as
+    one (guarded), and nothing (null) elsewhere."""
+    wrong = (kind == "card") & (luhn(F.regexp_replace(entity, "[^0-9]", "")) != 0)
+    return F.when(~wrong, kind).when(guarded, "secret")
+
+
+def mod97(text: Column) -> Column:
+    """The remainder of an IBAN's characters; a letter counts as a number from 10."""
+
+    def add(total: Column, i: Column) -> Column:
+        c = F.substring(text, i, F.lit(1))
+        letter = F.ascii(F.upper(c)) - 55
+        return F.when(c.rlike("[0-9]"), total * 10 + F.ascii(c) - 48).otherwise(total * 100 + letter) % 97
+
+    return F.aggregate(F.sequence(F.lit(1), F.length(text)), F.lit(0), add)
+
+
+def iban(canon: Column, bban: Column) -> Column:
+    """Country, check digits and bban, with the remainder that canon has."""
+    country = F.substring(canon, F.lit(1), F.lit(2))
+    whole = lambda check, rest: F.concat(rest, country, check)
+    was = mod97(whole(F.substring(canon, F.lit(3), F.lit(2)), F.substring(canon, F.lit(5), F.length(canon))))
+    check = F.pmod(was - mod97(whole(F.lit("00"), bban)), F.lit(97))
+    return F.concat(country, F.lpad(F.when(check < 2, check + 97).otherwise(check).cast("string"), 2, "0"), bban)
 
 
 def luhn(digits: Column) -> Column:
@@ -125,18 +159,18 @@ def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
     octet = lambda n: F.split(canon, r"\.")[n]
     private = private & (attempt < 2 * WIDER)  # then from all of 10.*, which is private as well
     ip = F.concat_ws(".", F.when(private, octet(0)).when(canon.rlike(r"^(?:10|127|192\.168|172\.(?:1[6-9]|2\d|3[01]))\."), "10").otherwise((pick(hexes, F.lit(0), 100) + 11).cast("string")), F.when(private & octet(0).isin("172", "192"), octet(1)).otherwise(pick(hexes, F.lit(1), 256).cast("string")), pick(hexes, F.lit(2), 256).cast("string"), (pick(hexes, F.lit(3), 254) + 1).cast("string"))
-    end = F.length(F.regexp_extract(canon, r"((?:[@.]example)?\.[a-z0-9-]+)$", 1))
+    end = F.length(F.regexp_extract(canon, r"((?:[@.]example)?\.[^.@]+)$", 1))
     own = charwise(canon, hexes, none, end, no, no)
     # only addresses below reserved names stay what they are; any other domain moves there
-    mail = F.when(canon.rlike(r"[@.]example\.(?:com|net|org)$|\.example$"), own).otherwise(F.concat(F.regexp_replace(own, r"\.[a-z0-9-]+$", ""), F.lit(".example")))
+    mail = F.when(canon.rlike(r"[@.]example\.(?:com|net|org)$|\.example$"), own).otherwise(F.concat(F.regexp_replace(own, r"\.[^.@]+$", ""), F.lit(".example")))
     extra = F.transform(F.sequence(F.lit(1), F.lit(6)), lambda i: of("abcdefghijklmnopqrstuvwxyz", pick(hexes, i + 64, 26)))
     mail = F.when(attempt < WIDER, mail).otherwise(F.concat(F.array_join(extra, ""), mail))
     return (
         F.when(kind == "card", card)
         .when(kind == "ip", ip)
         .when(kind == "email", mail)
-        .when(kind == "phone", made(F.greatest(none, F.length(canon) - 10), lead=F.lit(True)))
-        .when(kind == "iban", made(F.lit(2)))
+        .when(kind == "phone", made(none, lead=F.lit(True)))
+        .when(kind == "iban", iban(canon, F.substring(made(F.lit(4)), F.lit(5), F.length(canon))))
         .when(kind == "access_key", made(F.lit(4)))
         .when(kind.startswith("name"), name(kind, hexes, attempt))
         .otherwise(made(none, hexadecimal=(kind == "secret") & canon.rlike("^[0-9a-f]+$")))
@@ -157,7 +191,7 @@ def name(kind: Column, hexes: Column, attempt: Column) -> Column:
 def parts_of(kind: Column, entity: Column) -> Column:
     """What of an entity is exchanged: array of (kind, canon). Of a person each name, by gender and script."""
     names = F.split(F.regexp_replace(entity, rf"^(?:{ALL_TITLES})\.? ", ""), "[ -]")
-    gender = F.when(entity.rlike(rf"^(?:{'|'.join(TITLES['f'])})\.? "), "f").otherwise("m")
+    gender = F.when(entity.rlike(rf"^(?:{'|'.join(TITLES['f'])})\.? "), "f").when(entity.rlike(rf"^(?:{'|'.join(TITLES['n'])})\.? "), "n").otherwise("m")
     script = lambda x: F.when(x.rlike(r"^\p{IsCyrillic}"), "cyrillic").when(x.rlike(r"^\p{IsGreek}"), "greek").when(x.rlike(r"^\p{IsArmenian}"), "armenian").otherwise("latin")
     each = F.transform(names, lambda x: F.struct(F.concat_ws(" ", F.lit("name"), script(x), gender).alias("kind"), F.initcap(x).alias("canon")))
     return F.when(kind == "person", each).otherwise(F.array(F.struct(kind.alias("kind"), canonical(kind, entity).alias("canon"))))
@@ -183,8 +217,9 @@ def shaped(kind: Column, entity: Column, found: Column) -> Column:
     """Surrogates in an entity's own format: its punctuation, and capitals where it has them."""
     only = F.element_at(found, 1)
     nth = lambda i: F.length(F.regexp_replace(F.substring(entity, F.lit(1), i), "[^0-9A-Za-z]", ""))
-    walk = F.array_join(F.transform(F.sequence(F.lit(1), F.length(entity)), lambda i: F.when(F.substring(entity, i, F.lit(1)).rlike("[0-9A-Za-z]"), F.substring(only, nth(i), F.lit(1))).otherwise(F.substring(entity, i, F.lit(1)))), "")
-    cased = F.array_join(F.transform(F.sequence(F.lit(1), F.length(only)), lambda i: F.when(F.substring(entity, i, F.lit(1)).rlike("[A-Z]"), F.upper(F.substring(only, i, F.lit(1)))).otherwise(F.substring(only, i, F.lit(1)))), "")
+    skip = F.when(kind == "phone", F.length(dial_code(entity))).otherwise(0)
+    walk = F.array_join(F.transform(F.sequence(F.lit(1), F.length(entity)), lambda i: F.when(F.substring(entity, i, F.lit(1)).rlike("[0-9A-Za-z]") & (nth(i) > skip), F.substring(only, nth(i) - skip, F.lit(1))).otherwise(F.substring(entity, i, F.lit(1)))), "")
+    cased = F.array_join(F.transform(F.sequence(F.lit(1), F.length(only)), lambda i: F.when(F.substring(entity, i, F.lit(1)).rlike(r"\p{Lu}"), F.upper(F.substring(only, i, F.lit(1)))).otherwise(F.substring(only, i, F.lit(1)))), "")
     title = F.regexp_extract(entity, rf"^((?:{ALL_TITLES})\.? )", 1)
     rest = F.regexp_replace(entity, rf"^(?:{ALL_TITLES})\.? ", "")
     names, gaps = F.split(rest, "[ -]"), F.concat(F.regexp_extract_all(rest, F.lit("[ -]"), F.lit(0)), F.array(F.lit("")))
@@ -204,17 +239,19 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     docs = docs.select(*[c for c in docs.columns if c not in ("n_entities", "kinds")])
     has = F.coalesce(F.col("text").rlike(HINT) & F.col("text").rlike(ANY), F.lit(False))
     plain = docs.where(~has).withColumns({"n_entities": F.lit(0), "kinds": F.array().cast("array<string>")})
-    found = docs.where(has).withColumn("__matches", F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).withColumn("__text", F.xxhash64("text"))
-    matched = found.select("__text", F.explode(F.array_distinct("__matches")).alias("entity")).distinct().withColumn("kind", kind_of(F.col("entity")))
-    hits = cut(matched.where(is_entity(F.col("kind"), F.col("entity"))))
+    found = docs.where(has).withColumn("__matches", F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).withColumn("__text", F.sha2("text", 256))
+    secrets = F.regexp_extract_all("text", F.lit(PATTERNS["secret"]), F.lit(0))
+    matched = found.select("__text", F.explode(F.array_distinct("__matches")).alias("entity"), secrets.alias("secrets"))
+    matched = matched.select("__text", "entity", F.array_contains("secrets", F.col("entity")).alias("guarded")).distinct()
+    hits = cut(matched.select("__text", "entity", checked(kind_of(F.col("entity")), F.col("entity"), F.col("guarded")).alias("kind")).where("kind IS NOT NULL"))
     each = hits.select("kind", "entity").distinct().withColumn("parts", parts_of(F.col("kind"), F.col("entity")))
     exploded = cut(each.select("kind", "entity", F.posexplode("parts").alias("n", "part")))
     given = assign(exploded.select("part.kind", "part.canon"), key)
     joined = exploded.join(given.select(F.struct("kind", "canon").alias("part"), "surrogate"), "part")
     of_entity = joined.groupBy("kind", "entity").agg(F.sort_array(F.collect_list(F.struct("n", "surrogate", F.col("part.canon").alias("canon")))).alias("parts"))
     names = F.when(F.col("kind") == "person", F.transform("parts", lambda x: F.struct(x["canon"].alias("name"), x["surrogate"].alias("to")))).otherwise(F.array().cast("array<struct<name:string,to:string>>"))
-    of_entity = of_entity.select("entity", shaped(F.col("kind"), F.col("entity"), F.transform("parts", lambda x: x["surrogate"])).alias("surrogate"), names.alias("names"))
-    lists = hits.join(of_entity, "entity").groupBy("__text").agg(F.map_from_entries(F.collect_list(F.struct("entity", "surrogate"))).alias("__map"), F.array_sort(F.collect_set("kind")).alias("__kinds"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("names")))).alias("__names"))
+    of_entity = of_entity.select("kind", "entity", shaped(F.col("kind"), F.col("entity"), F.transform("parts", lambda x: x["surrogate"])).alias("surrogate"), names.alias("names"))
+    lists = hits.join(of_entity, ["kind", "entity"]).groupBy("__text").agg(F.map_from_entries(F.collect_list(F.struct("entity", "surrogate"))).alias("__map"), F.array_sort(F.collect_set("kind")).alias("__kinds"), F.sort_array(F.array_distinct(F.flatten(F.collect_list("names")))).alias("__names"))
     rest = F.split("text", ANY, -1)
     mentions = lambda r: F.aggregate("__names", r, lambda t, x: F.regexp_replace(t, F.concat(F.lit(r"(?<![\p{L}\p{N}_])"), x["name"], F.lit(r"(?![\p{L}\p{N}_])")), x["to"]))
     rest = F.when(F.coalesce(F.size("__names"), F.lit(0)) > 0, F.transform(rest, mentions)).otherwise(rest)
