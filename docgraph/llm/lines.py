@@ -17,6 +17,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,9 @@ from .common import cut, table
 from .rows import by_group, folders_for, located, noted
 
 SPACE = b" \t\n\x0b\x0c\r"
-FILTER_BITS = 27  # 16 MB a filter, at every size of corpus
+#: A filter has 16 bits for each line, between these powers of two. At the upper (128 MB a filter, two in a building
+#: task) it fills with the corpus, and sends more suspects to the exact count.
+FILTER_BITS = (20, 30)
 PROBES = 3
 SLICE_BITS = 21
 MERGERS = 16
@@ -96,7 +99,14 @@ def merge_filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([zlib.compress(twice.tobytes(), 1)], pa.binary())], ["slice", "twice"])
 
 
-def twice_filter(docs: DataFrame, bits: int = FILTER_BITS, least: int = 1) -> np.ndarray:
+def filter_bits(docs: DataFrame) -> int:
+    """The power of two for a filter over these documents' lines."""
+    feeds = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
+    n = docs.agg(F.sum(F.coalesce(feeds, F.lit(0)) + 1)).first()[0] or 0
+    return min(max((16 * n).bit_length(), FILTER_BITS[0]), FILTER_BITS[1])
+
+
+def twice_filter(docs: DataFrame, bits: int, least: int = 1) -> np.ndarray:
     """Bits of the keys in two documents or more, false positives among them. Its size is fixed by bits."""
     parts = docs.select("text").mapInArrow(lambda it: build_filters(it, bits, least), "slice long, once binary, twice binary")
     merged = parts.repartition(MERGERS, "slice").mapInArrow(merge_filters, "slice long, twice binary")
@@ -116,9 +126,9 @@ def suspected(lines: list[bytes], words: np.ndarray, bits: int, least: int) -> l
     return [x for x, h in zip(own, hit, strict=True) if h]
 
 
-def repeated_keys(docs: DataFrame, min_docs: int = 10, bits: int = FILTER_BITS, least: int = 1) -> DataFrame:
-    """key (digest), first_doc, first_line of the keys found in at least min_docs documents. Rows are documents."""
-    words = docs.sparkSession.sparkContext.broadcast(twice_filter(docs, bits, least))
+def repeated_keys(docs: DataFrame, words: Broadcast, min_docs: int, bits: int, least: int = 1) -> DataFrame:
+    """key (digest), first_doc, first_line of the keys found in at least min_docs documents. Rows are documents; words:
+    twice_filter's, as a broadcast."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,7 +159,7 @@ def keep_lines(text: bytes, doc: int | None, repeated: dict[bytes, tuple[int, in
     return len(lines), kept
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 10, keep: str = "none", bits: int = FILTER_BITS, least: int = 1, most_broadcast: int = MOST_BROADCAST, counted: bool = True) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = 10, keep: str = "none", bits: int | None = None, least: int = 1, most_broadcast: int = MOST_BROADCAST, counted: bool = True) -> DataFrame:
     """The documents' columns with text deduplicated, and n_lines (before), n_dropped; columns so named are replaced.
     Without counted just the documents' columns, whatever their names.
 
@@ -161,7 +171,9 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, keep: str = "none", bits: i
     """
     spark = docs.sparkSession
     keep_first = keep == "first"
-    found = cut(repeated_keys(docs, min_docs, bits, least))
+    bits = bits or filter_bits(docs)
+    words = spark.sparkContext.broadcast(twice_filter(docs, bits, least))
+    found = cut(repeated_keys(docs, words, min_docs, bits, least))
     n = found.count()
     out = docs.select(*[F.col(f"`{c}`") for c in docs.columns if not counted or c not in ("n_lines", "n_dropped")])
     schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema]
@@ -185,13 +197,13 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, keep: str = "none", bits: i
 
         return out.mapInArrow(drop, wanted)
 
-    # too many for every executor to hold: each group of rows gets the repeated keys among its own lines
+    # too many for every executor to hold: each group of rows gets the repeated keys among its own suspected lines
     rows = located(out)
 
     def own_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for g, part in by_group(batch, 0):
-                own = {digest(x) for text in texts(part) for x in text.split(b"\n") if long_enough(x, least)}
+                own = {key for text in texts(part) for _, key in suspected(text.split(b"\n"), words.value, bits, least)}
                 yield pa.RecordBatch.from_arrays([pa.array([g] * len(own), pa.int64()), pa.array(list(own), pa.binary())], ["__g", "key"])
 
     mine = rows.select("__g", "text").mapInArrow(own_keys, "__g long, key binary").join(found, "key").distinct()

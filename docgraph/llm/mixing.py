@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, cut, table
-from .rows import located
+from .rows import apart, located
 
 #: Ids of one block differ in their low bits only.
 BLOCK_BITS = 16
@@ -90,6 +90,7 @@ def ranked_copies(docs: DataFrame, seed: str, weights: tuple[float, ...], share:
     return ranked.select(*more, "doc_id", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
 
 
+@apart
 def mixed(docs: DataFrame, seed: str = "mix", weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
     """The documents' columns, each row as often as the mix takes it. Rows are told apart by their address in the files
     (docs that isn't a plain scan is written out first), so repeated rows are taken each for itself."""

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 import pyarrow.dataset as dataset
@@ -23,10 +24,23 @@ from .common import scratch
 #: Rows of a file that share a group; a folder for every two groups, up to so many folders.
 GROUP_BITS = 13
 MOST_FOLDERS = 100_000
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Over a file scan these keep each row at most once.
 PLAIN = re.compile(r"^[\s:+\-!']*(Project|Filter|SubqueryAlias|Relation|LogicalRelation|View)\b")
 
 
+def apart(run: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For functions of documents that give back the documents' columns: columns beyond those that every documents table
+    has are numbered while it runs, so that no name of theirs can clash with one of its own."""
+
+    @wraps(run)
+    def safe(docs: DataFrame, *args, **named) -> DataFrame:
+        names = {c: f"__column_{n}" for n, c in enumerate(docs.columns) if c not in COLUMNS}
+        return run(docs.withColumnsRenamed(names), *args, **named).withColumnsRenamed({v: k for k, v in names.items()})
+
+    return safe
+
+
 def located(docs: DataFrame) -> DataFrame:
     """The columns of docs, and g and r (named __g and __r). What isn't a plain scan of files is written out first."""
     plan = docs._jdf.queryExecution().analyzed().toString().strip().split("\n")

@@ -34,7 +34,7 @@ from . import minhash
 from .common import cut, table
 from .components import bucket_links, components
 from .lines import texts
-from .rows import kept, located, noted
+from .rows import apart, kept, located, noted
 
 SHINGLE = 4
 SEED = 42
@@ -227,6 +227,7 @@ def copy_candidates(printed: DataFrame, distance: int) -> DataFrame:
     return same_print(printed, links).unionByName(bands)
 
 
+@apart
 def keep_one(docs: DataFrame, size: int = WIDE_SHINGLE, distance: int = WIDE_DISTANCE) -> DataFrame:
     """The documents' columns, for one document of each group of near copies: the first by doc_id, null ids last, then
     by its place in the files.

@@ -23,8 +23,7 @@ from pyspark.sql import functions as F
 from .common import table
 
 MOST_ROWS = (8000, 4000)  # clean, toxic
-MOST_LANGUAGES = 8
-FEATURES = 1200
+FEATURES, LEAST_FEATURES = 1200, 50  #: In all, and for each category at least.
 FOLDS = 4
 ROUNDS = 100
 PENALTY = 2e-5
@@ -161,13 +160,13 @@ def train(hashes: list[np.ndarray], languages: list[str], toxic: np.ndarray) ->
     if not len(toxic):
         return Chain(["toxic"], {}, [Linear(np.zeros(0), np.zeros(0), 0.0)], 1.1)
     toxic = toxic.astype(float)
-    counts = {x: languages.count(x) for x in set(languages)}
-    kinds = sorted(sorted(counts, key=lambda x: (-counts[x], x))[:MOST_LANGUAGES])
+    kinds = sorted(set(languages))
     targets = [toxic * np.array([x == k for x in languages]) for k in kinds] + [toxic]
     sample, n = Sample.of(hashes), len(toxic)
     fold, every = np.arange(n) % FOLDS, np.ones(n, bool)
-    chosen = [sample.select(targets, fold != f, FEATURES // len(targets)) for f in range(FOLDS)]
-    finally_ = sample.select(targets, every, FEATURES // len(targets))
+    most = max(LEAST_FEATURES, FEATURES // len(targets))
+    chosen = [sample.select(targets, fold != f, most) for f in range(FOLDS)]
+    finally_ = sample.select(targets, every, most)
     sample = sample.only([*chosen, finally_])
     vocabulary = {int(h): int(c) for h, c in zip(sample.every, finally_, strict=True) if c >= 0}
     chain, before = Chain([f"toxic_{k}" for k in kinds] + ["toxic"], vocabulary), np.zeros((n, 0))
