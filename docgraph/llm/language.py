@@ -45,7 +45,7 @@ def sampled(docs: DataFrame, most_rows: int = MOST_ROWS, most_bytes: int = MOST_
     rows = own.groupBy("lang").count()
     # a language of many rows is first thinned by its texts' hashes to some four times what is wanted
     share = rows.select("lang", F.least(F.lit(1.0), F.lit(4.0 * most_rows) / F.col("count")).alias("share"))
-    thin = own.drop("text").join(share, "lang").where(F.pmod("h", F.lit(1 << 20)) < F.col("share") * (1 << 20)).groupBy("lang", "h").agg(F.min("n").alias("n"))
+    thin = own.drop("text").join(F.broadcast(share), "lang").where(F.pmod("h", F.lit(1 << 20)) < F.col("share") * (1 << 20)).groupBy("lang", "h").agg(F.min("n").alias("n"))
     order = Window.partitionBy("lang").orderBy("h")
     ranked = thin.withColumn("at", F.row_number().over(order)).withColumn("sum", F.sum("n").over(order))
     chosen = ranked.where((F.col("at") <= most_rows) & (F.col("sum") <= most_bytes)).select("lang", "h")
@@ -111,6 +111,10 @@ class Trie:
             for k in range(order, 0, -1):
                 heads[k], chain[k - 1] = suffix[heads[k + 1]], suffix[chain[k]]
             self.full = self.lengths(chain, heads).astype(np.int32)
+        if self.table is not None:  # full-depth nodes are known by their code lengths alone from here
+            del self.keys
+        for name in ("order_in", "enter", "leave", "steps", "after", "match", "own"):
+            setattr(self, name, getattr(self, name)[:inner].copy())
 
     def weigh(self, n: np.ndarray, depth: np.ndarray, parent: np.ndarray, suffix: np.ndarray) -> None:
         """Of each node and language, what its code lengths are made of; a node that a language doesn't know takes its
@@ -230,11 +234,12 @@ class Trie:
 
 def train(docs: DataFrame, order: int = ORDER, most_rows: int = MOST_ROWS, most_bytes: int = MOST_BYTES) -> Trie:
     """The driver holds the grams of most_bytes of text for each language."""
-    rows = counted(sampled(docs, most_rows, most_bytes), order).collect()
-    langs = sorted({r.lang for r in rows})
+    rows = counted(sampled(docs, most_rows, most_bytes), order).toArrow()
+    langs = sorted(rows.column("lang").unique().to_pylist())
     place, counts = {x: k for k, x in enumerate(langs)}, {}
-    for r in rows:
-        counts.setdefault(bytes(r.gram), [0] * len(langs))[place[r.lang]] = r.n
+    for batch in rows.to_batches(max_chunksize=10_000):
+        for lang, gram, n in zip(*[batch.column(c).to_pylist() for c in ("lang", "gram", "n")], strict=True):
+            counts.setdefault(gram, [0] * len(langs))[place[lang]] = n
     return Trie(langs, counts, order)
 
 
