@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import ids
 from ..functions.html import parse_pages
 from ..functions.ids import Space
-from ..operators import attempts, coverage, layout, links, ordered, traverse, tree
+from ..operators import attempts, coverage, frontier, layout, links, ordered, traverse, tree
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -309,6 +309,18 @@ def prefix_reparent(spark: SparkSession, d: str) -> DataFrame:
 # ---- graph
 
 
+def part_links(spark: SparkSession, d: str) -> DataFrame:
+    """Links between suppliers and parts, both ways: a cyclic graph."""
+    pairs = read(spark, d, "lineitem").select(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("src"), F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("dst")).distinct()
+    return pairs.unionByName(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+
+
+def bounded_runs(spark: SparkSession, d: str) -> tuple[frontier.Queue, frontier.Queue]:
+    links = part_links(spark, d)
+    first = frontier.advance(frontier.begin(spark.createDataFrame([("s1",)], "node string")), links, nodes=1)
+    return first, frontier.advance(first, links, rounds=2)
+
+
 def redirects(spark: SparkSession, d: str) -> DataFrame:
     """Orders redirect to the order whose key is a third of theirs, if theirs is a multiple of three; a cycle of two is added."""
     own = read(spark, d, "orders").where("o_orderkey % 3 = 0 AND o_orderkey > 0").select(F.col("o_orderkey").cast("string").alias("doc"), F.expr("CAST(o_orderkey DIV 3 AS STRING)").alias("target"))
@@ -332,9 +344,17 @@ def redirect_one_hop(spark: SparkSession, d: str) -> DataFrame:
 r AS (SELECT 's1' AS node UNION SELECT e.dst FROM r JOIN e ON e.src = r.node) SELECT node FROM r""")
 def frontier_reachability(spark: SparkSession, d: str) -> DataFrame:
     """What links between suppliers and parts lead to, from supplier 1; the graph is cyclic."""
-    pairs = read(spark, d, "lineitem").select(F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("src"), F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("dst")).distinct()
-    both = pairs.unionByName(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    return traverse.reachable(spark.createDataFrame([("s1",)], "node string"), both).select("node")
+    return traverse.reachable(spark.createDataFrame([("s1",)], "node string"), part_links(spark, d)).select("node")
+
+
+@query("""WITH RECURSIVE e AS (SELECT 's' || l_suppkey AS src, 'p' || l_partkey AS dst FROM lineitem UNION SELECT 'p' || l_partkey, 's' || l_suppkey FROM lineitem),
+r AS (SELECT 's1' AS node, 0 AS round UNION SELECT e.dst, round + 1 FROM r JOIN e ON e.src = r.node WHERE round < 3), n AS (SELECT node, min(round) AS round FROM r GROUP BY node)
+SELECT node, round, node = 's1' AS first_run, round < 3 AS visited FROM n""")
+def bounded_frontier(spark: SparkSession, d: str) -> DataFrame:
+    """The walk of frontier_reachability stopped twice: a run of one node, a second of two rounds more; what waits stays in the queue."""
+    first, both = bounded_runs(spark, d)
+    known = both.known.join(first.reached().select("node", F.lit(True).alias("first_run")), "node", "left")
+    return known.select("node", "round", F.coalesce("first_run", F.lit(False)).alias("first_run"), (F.col("seq") <= both.visited).alias("visited"))
 
 
 @query("""WITH f AS (SELECT event_id, user_id, event_type, props FROM events)
