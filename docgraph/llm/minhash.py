@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ordered import numbered
@@ -302,28 +302,84 @@ def band_candidates(printed: DataFrame) -> DataFrame:
     return dealt(rows).mapInArrow(lambda it: payload_links(it, near_sketches), "a long, b long")
 
 
-def verified_roots(rows: DataFrame, printed: DataFrame, candidates: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """node, root for each node: nodes are linked where the Jaccard similarity of their sets is LEAST or more.
+def blocks_of(nodes: Column, shingles: Column) -> Column:
+    """How many blocks so many sets of so many shingles take."""
+    return F.greatest(F.ceil(nodes / BLOCK_SETS), F.ceil(shingles / BLOCK_SHINGLES), F.lit(1)).cast("int")
 
-    rows: located. Candidates a, b only say which nodes are compared: all pairs within each of their components, since
-    links can't lead out of one. The row that stands for a node is found by its address, its set moves once, more
-    often only where its component is of more than one block.
-    """
-    groups = cut(components(candidates))
-    of = printed.groupBy("node").agg(F.min(F.struct("__g", "__r")).alias("at"), F.min("shingles").alias("shingles")).join(groups, "node")
-    blocks = of.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    chosen = noted(of.join(blocks, "root").select("at.__g", "at.__r", "root", "blocks", "node"), folders_for(rows.count()), "chosen")
+
+def own_block(blocks: Column) -> Column:
+    return F.pmod(F.xxhash64("node"), blocks).cast("int")
+
+
+PLACED = "node", "__g", "__r", "shingles", "root"
+
+
+def verified_links(rows: DataFrame, places: DataFrame, size: int) -> DataFrame:
+    """places (node, __g, __r, key, i, j: several rows for a node that is in several groups) -> a, b: within each group
+    what joins the nodes whose sets have a Jaccard similarity of LEAST or more. A set is read where its row stands."""
+    lists = places.groupBy("__g", "__r", "node").agg(F.sort_array(F.collect_list(F.struct("key", "i", "j"))).alias("into"))
+    chosen = noted(lists, folders_for(rows.count()), "chosen")
 
     def emit(part: pa.RecordBatch, own: dict[int, tuple]) -> Iterator[pa.RecordBatch]:
         mask = [r in own for r in part.column(1).to_pylist()]
         if any(mask):
             part = part.filter(pa.array(mask))
-            sets = [np.unique(shingle_hashes(x, size)).tobytes() for x in texts(part)]
-            keys, counts, nodes = zip(*[own[r] for r in part.column(1).to_pylist()], strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(counts, pa.int32()), pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["key", "blocks", "node", "payload"])
+            for r, text in zip(part.column(1).to_pylist(), texts(part), strict=True):
+                node, into = own[r]
+                payload = np.unique(shingle_hashes(text, size)).tobytes()
+                columns = [[x[c] for x in into] for c in ("key", "i", "j")]
+                kinds = (pa.int64(), pa.int32(), pa.int32())
+                repeated = [pa.array([node] * len(into), pa.int64()), pa.array([payload] * len(into), pa.binary()), pa.array([0] * len(into), pa.int32())]
+                yield pa.RecordBatch.from_arrays([*[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], *repeated], ["key", "i", "j", "node", "payload", "own"])
 
-    sets = map_noted(rows.select("__g", "__r", "text"), [chosen], emit, "key long, blocks int, node long, payload binary")
-    links = dealt(sets).mapInArrow(lambda it: payload_links(it, near_sets), "a long, b long")
+    sets = map_noted(rows.select("__g", "__r", "text"), [chosen], emit, "key long, i int, j int, node long, payload binary, own int")
+    dealt_out = sets.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return cut(dealt_out.mapInArrow(lambda it: payload_links(it, near_sets), "a long, b long"))
+
+
+def with_trees(members: DataFrame, links: DataFrame) -> DataFrame:
+    """members, and the tree of each: the least node that links lead to, or the node itself."""
+    trees = components(links).select("node", F.col("root").alias("tree"))
+    return members.join(trees, "node", "left").withColumn("tree", F.coalesce("tree", "node"))
+
+
+def verified_roots(rows: DataFrame, printed: DataFrame, candidates: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """node, root for each node: nodes are linked where the Jaccard similarity of their sets is LEAST or more.
+
+    rows: located. Candidates a, b only say which nodes are compared: all pairs within each of their components, since
+    links can't lead out of one. A component of one block is one group. A larger one is compared in three steps, so
+    that its sets aren't sent to all its blocks: within each block; two sets of each tree that this gives; and then
+    only what is outside the component's largest tree against all of it, and among itself. Nodes of one tree are
+    linked already, so no pair is left out.
+    """
+    groups = cut(components(candidates))
+    of = printed.groupBy("node").agg(F.min(F.struct("__g", "__r")).alias("at"), F.min("shingles").alias("shingles")).join(groups, "node")
+    members = cut(of.select("node", "at.__g", "at.__r", "shingles", "root"))
+    blocks = members.groupBy("root").agg(blocks_of(F.count("*"), F.sum("shingles")).alias("blocks"))
+    placed = cut(members.join(blocks, "root"))
+    at = lambda df, key, i, j: df.select("node", "__g", "__r", key.alias("key"), i.cast("int").alias("i"), j.cast("int").alias("j"))
+    own, no = own_block(F.col("blocks")), F.lit(-1)
+    links = verified_links(rows, at(placed, F.col("root"), own, own), size)
+    hot = placed.where("blocks > 1").select(*PLACED)
+    if not hot.isEmpty():
+        trees = cut(with_trees(hot, links))
+        mark = F.struct(F.xxhash64(F.lit(7), "node"), *PLACED)
+        ends = trees.groupBy("root", "tree").agg(F.array_distinct(F.array(F.min(mark), F.max(mark))).alias("x")).select(F.explode("x").alias("x")).select("x.*")
+        among = ends.groupBy("root").agg(blocks_of(F.count("*"), F.sum("shingles")).alias("blocks"))
+        links = links.unionByName(verified_links(rows, at(ends.join(among, "root"), F.col("root"), own, own), size))
+        trees = cut(with_trees(hot, links))
+        sizes = trees.groupBy("root", "tree").agg(F.count("*").alias("n"), F.sum("shingles").alias("s"))
+        largest = sizes.groupBy("root").agg(F.max(F.struct("n", "tree", "s")).alias("most"), F.sum("n").alias("n"), F.sum("s").alias("s")).where("n > most.n")
+        split = largest.select("root", F.col("most.tree").alias("most"), blocks_of(F.col("most.n"), F.col("most.s")).alias("inner"), blocks_of(F.col("n") - F.col("most.n"), F.col("s") - F.col("most.s")).alias("outer"))
+        rest = cut(trees.join(split, "root"))
+        every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+        within = rest.where("tree = most").withColumn("i", own_block(F.col("inner"))).withColumn("j", every(F.col("outer")))
+        beside = rest.where("tree <> most").withColumn("j", own_block(F.col("outer")))
+        against = beside.withColumn("i", every(F.col("inner")))
+        pairs = beside.where("outer > 1").withColumn("other", every(F.col("outer")))
+        pairs = at(pairs, F.col("root"), no - F.least("j", "other") - 1, F.greatest("j", "other"))
+        both = within.select(*PLACED, "i", "j").unionByName(against.select(*PLACED, "i", "j"))
+        links = links.unionByName(verified_links(rows, at(both, F.col("root"), F.col("i"), F.col("j")).unionByName(pairs), size))
     return printed.select("node").distinct().join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
