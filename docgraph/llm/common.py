@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut, scratch, shared_dir
 
-__all__ = ["UPPER", "WORD", "cut", "scratch", "shared_dir", "table", "text_or_empty"]
+__all__ = ["UPPER", "WORD", "cut", "scratch", "shared_dir", "table", "text_or_empty", "tidy"]
 
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,5 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tidy(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove the shuffle files of tables that have been cut: it waits for the driver's collector,
+    which a loop of small jobs hardly ever calls, while its files pile up."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))

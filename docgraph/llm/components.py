@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, tidy
 
 #: A bucket of more nodes is dealt over blocks of about so many; each pair of blocks is one group.
 BLOCK = 4096
@@ -152,6 +152,8 @@ def components(links: DataFrame, most_rounds: int = 100) -> DataFrame:
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
         edges = cut(small.distinct())
+        del both, least, large, down, small
+        tidy(links.sparkSession)
         now = checksum(edges)
         if now == before:
             break

@@ -339,7 +339,8 @@ def verified_links(rows: DataFrame, places: DataFrame, size: int) -> DataFrame:
 
 def with_trees(members: DataFrame, links: DataFrame) -> DataFrame:
     """members, and the tree of each: the least node that links lead to, or the node itself."""
-    trees = components(links).select("node", F.col("root").alias("tree"))
+    own = links.join(members.select(F.col("node").alias("a")), "a", "left_semi")
+    trees = components(own).select("node", F.col("root").alias("tree"))
     return members.join(trees, "node", "left").withColumn("tree", F.coalesce("tree", "node"))
 
 
