@@ -18,7 +18,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut, scratch
+from ..session import scratch, stored
 from .ordered import numbered
 
 NODE = "node string, round int, seq long"
@@ -72,7 +72,7 @@ class Queue:
 def begin(seeds: DataFrame) -> Queue:
     """seeds (node) in the order of their names; null and repeated ones count for nothing."""
     nodes = seeds.select("node").where("node IS NOT NULL").distinct()
-    known = cut(numbered(nodes, [F.col("node")]).select("node", F.lit(0).alias("round"), "seq"))
+    known = stored(numbered(nodes, [F.col("node")]).select("node", F.lit(0).alias("round"), "seq"))
     return Queue(known, 0, known.count())
 
 
@@ -109,15 +109,15 @@ def advance(queue: Queue, edges: DataFrame, rounds: int | None = None, nodes: in
     try:
         links.append(own.groupBy("src", "dst").agg(F.min("ord").alias("ord")))
         known.append(queue.known)
-        turn = cut(queue.waiting())
+        turn = stored(queue.waiting())
         lowest = turn.groupBy("round").agg(F.max("seq").alias("seq")).orderBy("round").first()
         end = lowest.seq if lowest else queue.total  # where the round that is under way ends; what stands behind it is the next one's
         while not queue.done and not stop(gone, queue.visited):
             last = end if nodes is None else min(end, nodes)
-            new = cut(queued(found_by(turn.where(F.col("seq") <= last), links.table()), known.table(), queue.total))
+            new = stored(queued(found_by(turn.where(F.col("seq") <= last), links.table()), known.table(), queue.total))
             if fresh := new.count():
                 known.append(new)
-            turn = new if last == queue.total else cut(turn.where(F.col("seq") > last).unionByName(new))
+            turn = new if last == queue.total else stored(turn.where(F.col("seq") > last).unionByName(new))
             queue = replace(queue, visited=last, total=queue.total + fresh)
             if last == end:
                 end, gone = queue.total, gone + 1

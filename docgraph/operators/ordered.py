@@ -31,6 +31,22 @@ def numbered(df: DataFrame, order: list[Column], value: Column | None = None, pa
     return joined.select(*[c for c in df.columns if c not in ("seq", "before")], (F.col("__k") + F.col("__n0")).alias("seq"), (F.col("__w") + F.col("__s0")).alias("before"))
 
 
+def filled(df: DataFrame, order: list[Column], values: dict[str, Column], partitions: int | None = None) -> DataFrame:
+    """The columns of df and, for each of values, its greatest over this row and all before it by order; null before the
+    first that isn't null."""
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.withColumns({f"__{name}": value for name, value in values.items()})
+    placed = cut(placed.repartitionByRange(partitions, *order).withColumn("__p", F.spark_partition_id()))
+    most = placed.groupBy("__p").agg(*[F.max(f"__{name}").alias(f"__m_{name}") for name in values])
+    ahead = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    starts = most.select("__p", *[F.max(f"__m_{name}").over(ahead).alias(f"__b_{name}") for name in values])
+    own = Window.partitionBy("__p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    within = placed.withColumns({f"__{name}": F.max(f"__{name}").over(own) for name in values})
+    joined = within.join(F.broadcast(starts), "__p")  # as many rows as partitions
+    columns = [c for c in df.columns if c not in values]
+    return joined.select(*columns, *[F.greatest(f"__{name}", f"__b_{name}").alias(name) for name in values])
+
+
 def prefix(df: DataFrame, n: int, order: list[Column]) -> tuple[DataFrame, DataFrame]:
     """The first n rows by order, and the others."""
     all_ = numbered(df.withColumn("__row", F.struct(*df.columns)), order).select("__row.*", F.col("seq").alias("__seq"))

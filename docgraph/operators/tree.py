@@ -1,19 +1,19 @@
 """The document tree: parents, order of siblings, depth, preorder, breadcrumbs, subtrees.
 
-Children are derived from parents, so there are no stale edges. Trees are shallow and wide: the loops run once per
-level, over that level's rows only.
+Children are derived from parents, so there are no stale edges. Depths, subtrees and sections are read off the
+intervals of the Euler tour (tour.py).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import Space, section_kept, wanted_sections
-from ..session import cut
-from .ordered import numbered
+from ..session import cut, stored
+from .ordered import filled, numbered
+from .tour import tour
 
-MOST_DEPTH = 200
 LAST = 10**9
 
 
@@ -32,71 +32,65 @@ def roots(nodes: DataFrame) -> DataFrame:
     return nodes.join(nodes.select(F.col("doc").alias("parent")).distinct(), "parent", "left_anti").select(*nodes.columns)
 
 
-def sibling_ranks(nodes: DataFrame, order: list[Column] | None = None) -> DataFrame:
-    """With rank (from 1) among the children of a parent: by menu order, those without last, then title, then id."""
-    order = order or [F.coalesce("nav_order", F.lit(LAST)), F.lower("title"), F.col("doc")]
-    return nodes.withColumn("rank", F.row_number().over(Window.partitionBy("parent").orderBy(*order)))
+def sibling_order() -> list[Column]:
+    """By menu order, those without last, then title."""
+    return [F.coalesce("nav_order", F.lit(LAST)), F.lower("title")]
 
 
-def levels(nodes: DataFrame, most_depth: int = MOST_DEPTH) -> DataFrame:
-    """nodes (doc, parent, rank) -> doc, parent, depth (root: 1), path (ranks from the root), ancestors (ids, outermost first).
+def sibling_ranks(nodes: DataFrame, order: list[Column] | None = None) -> DataFrame:
+    """With rank (from 1) among the children of a parent, ties by id. Ranks come from one global order, so a parent of
+    very many children is spread over tasks."""
+    placed = cut(numbered(nodes.withColumn("__row", F.struct(*nodes.columns)), [F.col("parent"), *(order or sibling_order()), F.col("doc")]).select("__row", "seq"))
+    first = placed.groupBy(F.col("__row.parent").alias("__of")).agg(F.min("seq").alias("__first"))
+    ranked = placed.join(first, F.col("__row.parent").eqNullSafe(F.col("__of")))
+    return ranked.select("__row.*", (F.col("seq") - F.col("__first") + 1).cast("int").alias("rank"))
 
-    One join a level. Nodes below a cycle are never reached from a root; each such node stands as a root of its own
-    after the others, so every node is there once. A tree of more than most_depth levels is an error.
-    """
-    own = cut(nodes.select("doc", "parent", "rank"))
-    top = roots(own)
-    level = cut(top.select("doc", "parent", F.lit(1).alias("depth"), F.array("rank").alias("path"), F.array().cast("array<string>").alias("ancestors")))
-    done, n = level, 1
-    while True:
-        n += 1
-        up = level.select(F.col("doc").alias("parent"), F.col("path").alias("__path"), F.col("ancestors").alias("__up"))
-        level = cut(own.join(up, "parent").select("doc", "parent", F.lit(n).alias("depth"), F.concat("__path", F.array("rank")).alias("path"), F.concat("__up", F.array("parent")).alias("ancestors")))
-        if level.isEmpty():
-            break
-        if n > most_depth:
-            raise ValueError(f"the tree has more than {most_depth} levels; allow more by most_depth")
-        done = done.unionByName(level)  # of checkpointed parts
-        if n % 16 == 0:
-            done = cut(done)
-    left = own.join(done.select("doc"), "doc", "left_anti")
-    loose = left.select("doc", "parent", F.lit(1).alias("depth"), F.array(F.lit(LAST), F.col("rank")).alias("path"), F.array().cast("array<string>").alias("ancestors"))
-    return done.unionByName(loose)
-
-
-def preorder(nodes: DataFrame, order: list[Column] | None = None, most_depth: int = MOST_DEPTH) -> DataFrame:
-    """levels, with seq: the node's place in a depth-first walk, from 1."""
-    placed = levels(sibling_ranks(nodes, order), most_depth)
-    return numbered(placed, [F.col("path"), F.col("doc")]).drop("before")
+
+def preorder(nodes: DataFrame, order: list[Column] | None = None) -> DataFrame:
+    """tour's rows: doc, parent, depth, seq and last, by sibling_order unless another order is given."""
+    return tour(nodes, order or sibling_order())
 
 
 def breadcrumbs(walked: DataFrame, titles: DataFrame, most: int = 4) -> DataFrame:
-    """doc, crumbs: the titles of the nearest nodes, outermost first, the node itself last."""
-    chain = F.concat("ancestors", F.array("doc"))
-    near = F.slice(chain, F.greatest(F.lit(1), F.size(chain) - most + 1), F.lit(most))
-    rows = walked.select("doc", F.posexplode(near).alias("at", "up"))
-    named = rows.join(titles.select(F.col("doc").alias("up"), "title"), "up", "left")
-    return named.groupBy("doc").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", F.coalesce("title", "up").alias("title")))), lambda x: x["title"]).alias("crumbs"))
+    """doc, crumbs: the titles of the nearest nodes, outermost first, the node itself last. A step up is a join."""
+    named = cut(walked.select("doc", "parent", "depth").join(titles.select("doc", "title"), "doc", "left").select("doc", F.when(F.col("depth") > 1, F.col("parent")).alias("up"), F.coalesce("title", "doc").alias("title")))
+    rows = named.select("doc", "up", F.array("title").alias("crumbs"))
+    above = named.select(F.col("doc").alias("__doc"), F.col("up").alias("__up"), F.col("title").alias("__title"))
+    for _ in range(most - 1):
+        joined = rows.join(above, F.col("up") == F.col("__doc"), "left")
+        rows = joined.select("doc", F.col("__up").alias("up"), F.when(F.col("__doc").isNull(), F.col("crumbs")).otherwise(F.concat(F.array("__title"), "crumbs")).alias("crumbs"))
+    return rows.select("doc", "crumbs")
 
 
 def sections(walked: DataFrame) -> DataFrame:
-    """doc, root (the outermost ancestor or the node itself) and section (the one below it, where there is one)."""
-    chain = F.concat("ancestors", F.array("doc"))
-    return walked.select("doc", F.get(chain, F.lit(0)).alias("root"), F.coalesce(F.get(chain, F.lit(1)), F.get(chain, F.lit(0))).alias("section"))
+    """doc, root (the outermost ancestor or the node itself) and section (the one below it, where there is one): in the
+    walk, the last node of depth 1, and of depth 2 or less, up to the node."""
+    at = lambda depth: F.when(F.col("depth") <= depth, F.struct("seq", "doc"))
+    rows = filled(walked.select("doc", "depth", "seq"), [F.col("seq")], {"root": at(1), "section": at(2)})
+    return rows.select("doc", F.col("root.doc").alias("root"), F.col("section.doc").alias("section"))
 
 
 def nearest_included(walked: DataFrame, included: DataFrame) -> DataFrame:
-    """doc, anchor: for included documents, the nearest ancestor that is included too, or null."""
-    own = walked.join(included.select("doc"), "doc", "left_semi")
-    rows = own.select("doc", F.posexplode("ancestors").alias("at", "up")).join(included.select(F.col("doc").alias("up")), "up", "left_semi")
-    best = rows.groupBy("doc").agg(F.max_by("up", "at").alias("anchor"))
-    return own.select("doc").join(best, "doc", "left")
+    """doc, anchor: for included documents, the nearest ancestor that is included too, or null. Nodes that aren't pass
+    on where they point to, by pointer doubling: as many rounds as the logarithm of the longest way up."""
+    marks = included.select("doc").distinct().withColumn("__in", F.lit(True))
+    own = stored(walked.select("doc", F.when(F.col("depth") > 1, F.col("parent")).alias("up")).join(marks, "doc", "left").withColumn("__in", F.coalesce("__in", F.lit(False))))
+    state = own
+    while True:
+        # over: the pointer has met an included node, or the end
+        ahead = state.select(F.col("doc").alias("__doc"), F.col("up").alias("__up"), F.col("__in").alias("__there"))
+        met = stored(state.join(ahead, F.col("up") == F.col("__doc"), "left"))
+        if met.where("NOT __there").isEmpty():
+            return met.where("__in").select("doc", F.col("up").alias("anchor"))
+        state = met.select("doc", F.when(F.col("__there"), F.col("up")).otherwise(F.col("__up")).alias("up"), "__in")
 
 
 def descendants(walked: DataFrame, tops: DataFrame) -> DataFrame:
-    """doc: the tops and all below them."""
-    rows = walked.select("doc", F.explode(F.concat("ancestors", F.array("doc"))).alias("up"))
-    return rows.join(tops.select(F.col("doc").alias("up")), "up", "left_semi").select("doc").distinct()
+    """doc: the tops and all below them. A node is below a top if the farthest end of the tops before it isn't before it."""
+    marks = tops.select("doc").distinct().withColumn("__top", F.lit(True))
+    rows = walked.select("doc", "seq", "last").join(marks, "doc", "left")
+    reach = filled(rows, [F.col("seq")], {"__end": F.when(F.col("__top"), F.col("last"))})
+    return reach.where(F.col("__end") >= F.col("seq")).select("doc")
 
 
 def reparent_by_name(nodes: DataFrame, space: Space) -> DataFrame:
@@ -116,9 +110,9 @@ def prune_sections(nodes: DataFrame, walked: DataFrame, only: list[str] | None)
     wanted = wanted_sections(only)
     if not wanted:
         return nodes
-    placed = nodes.join(walked.select("doc", F.col("depth").alias("__depth"), F.size("ancestors").alias("__up")), "doc")
-    tops = placed.where((F.col("__depth") <= 2) & (F.col("__up") > 0) & section_kept(F.col("title"), wanted)).select("doc")
-    keep = descendants(walked, tops).unionByName(walked.where(F.size("ancestors") == 0).select("doc")).distinct()
+    placed = nodes.join(walked.select("doc", F.col("depth").alias("__depth")), "doc")
+    tops = placed.where((F.col("__depth") == 2) & section_kept(F.col("title"), wanted)).select("doc")
+    keep = descendants(walked, tops).unionByName(walked.where("depth = 1").select("doc")).distinct()
     kept = nodes.join(keep, "doc", "left_semi")
     there = keep.select(F.col("doc").alias("__there"))
     return kept.join(there, F.col("parent") == F.col("__there"), "left").withColumn("parent", F.col("__there")).drop("__there").select(*nodes.columns)

@@ -228,7 +228,7 @@ def structure(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH RECURSIVE {TREE} SELECT depth, count(*) AS pages FROM w GROUP BY depth")
 def tree_depth_histogram(spark: SparkSession, d: str) -> DataFrame:
-    return tree.levels(tree.sibling_ranks(tree_nodes(spark, d))).groupBy("depth").agg(F.count("*").alias("pages"))
+    return walked(spark, d).groupBy("depth").agg(F.count("*").alias("pages"))
 
 
 @query(f"WITH RECURSIVE {TREE} SELECT doc, depth, seq FROM p")

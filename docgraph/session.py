@@ -36,9 +36,29 @@ def shared_dir(spark: SparkSession) -> str:
     return named or context._jsc.sc().getCheckpointDir().get()
 
 
+def run_dir(spark: SparkSession) -> str:
+    """This application's own folder below the shared one."""
+    return f"{shared_dir(spark).rstrip('/')}/docgraph-{spark.sparkContext.applicationId}"
+
+
 def scratch(spark: SparkSession, kind: str) -> str:
-    """A new folder's path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    """A new folder's path below this application's."""
+    return f"{run_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+def sweep(spark: SparkSession) -> None:
+    """Removes this application's folder. Results that were written elsewhere stay; DataFrames that aren't yet computed
+    may still read from the folder, so this is for the end of a run."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder. For loops: unlike a checkpoint's, its size is known to the planner, while
+    estimates of joined checkpoints multiply round by round."""
+    path = scratch(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -121,13 +121,6 @@ def test_tree_survives_cycles_and_orphans(spark):
     assert {r.doc: r.depth for r in walked.collect()}["o"] == 2
 
 
-def test_deep_tree(spark):
-    chain = spark.createDataFrame([(f"n{k}", f"n{k - 1}" if k else None, 1) for k in range(5)], "doc string, parent string, rank int")
-    assert {r.doc: r.depth for r in tree.levels(chain, 5).collect()} == {f"n{k}": k + 1 for k in range(5)}
-    with pytest.raises(ValueError, match="more than 4 levels"):
-        tree.levels(chain, 4)
-
-
 def test_audit_classes(spark):
     a = spark.createDataFrame([(1, 0, f"{SPACE.base}/bin/Field/Garden/A", None, True), (1, 1, f"{SPACE.base}/bin/Else/B", None, True), (2, 0, "https://x.y/", None, True), (2, 1, None, 5, False), (3, 0, None, None, True), (3, 1, None, None, False)], "pdf_page int, pos int, uri string, dest_page int, has_action boolean")
     counts, samples = links.link_audit(a, SPACE)
