@@ -7,7 +7,7 @@ style text. It isn't the repair of a browser.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterable, Iterator
 from functools import lru_cache
 from html import escape
 from html.parser import HTMLParser
@@ -71,6 +71,14 @@ class Element:
             yield node
             node = node.parent
 
+    def remove_all(self, found: Collection[Element]) -> None:
+        """Takes elements out from below this one, each parent's list being gone through once."""
+        gone = {id(x) for x in found}
+        for parent in {id(x.parent): x.parent for x in found if x.parent is not None}.values():
+            parent.children = [x for x in parent.children if id(x) not in gone]
+        for x in found:
+            x.parent = None
+
     def remove(self) -> None:
         if self.parent is not None:
             self.parent.children = [x for x in self.parent.children if x is not self]
@@ -205,3 +213,28 @@ def matcher(selector: str) -> Callable[[Element], bool]:
         return any(fits(a, chain[:-1]) for a in above)
 
     return lambda x: any(fits(x, c) for c in chains)
+
+
+class Rules:
+    """Selectors with what belongs to them, kept by the id, class, tag or attribute that their last step names, so that
+    an element meets only those that may fit it."""
+
+    def __init__(self, rules: Iterable[tuple[str, object]]):
+        self.of: dict[tuple[str, str], list[tuple[int, Callable[[Element], bool], object]]] = {}
+        for n, (selector, own) in enumerate(rules):
+            for one in selector.split(","):
+                last = re.findall(r"[^\s>]+", one)[-1]
+                names = [(name, attr) for name, attr, _, _ in PART.findall(last)]
+                keys = [("id", x[1:]) for x, _ in names if x[:1] == "#"] + [("class", x[1:]) for x, _ in names if x[:1] == "."]
+                keys += [("attr", a) for _, a in names if a] + [("tag", x) for x, _ in names if x and x[0] not in "#.*"]
+                self.of.setdefault(keys[0] if keys else ("any", ""), []).append((n, matcher(one), own))
+        self.any = self.of.get(("any", ""), [])
+
+    def fitting(self, x: Element) -> list:
+        """What belongs to the selectors that fit, each once, in their order."""
+        of, found = self.of, list(self.any)
+        for kind, names in (("tag", (x.name,)), ("id", (x.attrs.get("id", ""),)), ("class", x.classes), ("attr", x.attrs)):
+            for name in names:
+                if own := of.get((kind, name)):
+                    found += own
+        return [own for _, own in sorted({n: own for n, fits, own in found if fits(x)}.items())] if found else []

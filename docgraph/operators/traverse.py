@@ -63,7 +63,7 @@ def told_by(pages: DataFrame, space: Space, only: list[str] | None = None) -> Da
     """pages (doc, status, html) -> what each good page says of documents, its menu before its other addresses: page_doc,
     doc, parent, title, nav_order, src, pass, ord, denied, inside (of the wanted sections)."""
     good = pages.where("status = 200")
-    parsed = parse_pages(good.select("doc", "html"), space.path).select("doc", "menu")
+    parsed = parse_pages(good.select("doc", "html"), space.path, fields=("menu",))
     root = F.lit(space.dotted)
     nav = menu_edges(parsed, space).where("doc <> page_doc")
     nav = nav.select("page_doc", "doc", F.coalesce(F.when(~is_denied(F.col("parent")), F.col("parent")), root).alias("parent"), "title", F.col("ord").alias("nav_order"), F.lit("nav").alias("src"), F.lit(0).alias("pass"), "ord")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ids
-from ..functions.html import parse_pages
+from ..functions.html import flattened, parse_pages
 from ..functions.ids import Space
 from ..operators import attempts, coverage, frontier, layout, links, ordered, traverse, tree
 
@@ -39,21 +39,42 @@ def read(spark: SparkSession, d: str, name: str) -> DataFrame:
 # ---- pages
 
 
-@query()
+#: What patterns find in these plain pages: of the body, without scripts, comments and the heading, the text between tags.
+PLAIN = r"""p AS (SELECT page_id, url, html, regexp_replace(html, '(?s)<script.*?</script>|<!--.*?-->', '', 'g') AS h FROM pages),
+b AS (SELECT *, regexp_replace(regexp_replace(regexp_extract(h, '(?s)<body>(.*)', 1), '(?s)<h1>.*?</h1>', ' ', 'g'), '<[^>]*>', ' ', 'g') AS body,
+  regexp_replace(regexp_extract(h, '(?s)<h1>(.*?)</h1>', 1), '<[^>]*>', ' ', 'g') AS head FROM p),
+d AS (SELECT * REPLACE (replace(replace(replace(replace(replace(replace(body, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS body,
+  replace(replace(replace(replace(head, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS head) FROM b),
+m AS (SELECT page_id, url, trim(regexp_replace(head, '\s+', ' ', 'g')) AS page_title, trim(regexp_replace(body, '\s+', ' ', 'g')) AS text, h,
+  len(regexp_extract_all(h, '<li><a href=')) AS menu_items, len(regexp_extract_all(h, '<a href=')) AS links FROM d)"""
+
+
+@query(rf"""WITH {PLAIN} SELECT regexp_extract(url, '^https?://([^/]+)', 1) AS host, count(*) AS pages, CAST(sum(CASE WHEN text = '' THEN 0 ELSE len(string_split(text, ' ')) END) AS BIGINT) AS words,
+  CAST(sum(links) AS BIGINT) AS links, CAST(sum(menu_items) AS BIGINT) AS menu_items, max(length(page_title)) AS longest_title, 0 AS errors FROM m GROUP BY 1""")
 def page_summary(spark: SparkSession, d: str) -> DataFrame:
     """Parsed pages by host: pages, words, links, menu items, longest title. The flagship query."""
-    parsed = parse_pages(read(spark, d, "pages").select("url", "html"), "/").select("url", "page_title", "text", "links", "menu", "parse_error")
+    parsed = parse_pages(read(spark, d, "pages").select("url", "html"), "/", fields=("page_title", "text", "links", "menu", "parse_error"))
     host = F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host")
     words = F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", " ")))
     return parsed.groupBy(host).agg(F.count("*").alias("pages"), F.sum(words).alias("words"), F.sum(F.size("links")).alias("links"), F.sum(F.size("menu")).alias("menu_items"), F.max(F.length("page_title")).alias("longest_title"), F.count("parse_error").alias("errors"))
 
 
-@query()
+@query(rf"""WITH {PLAIN} SELECT page_id, page_title, CASE WHEN text = '' THEN 0 ELSE len(string_split(text, ' ')) END AS words, length(text) AS text_chars, 0 AS images, 0 AS "tables",
+  len(regexp_extract_all(h, '<(li|p|div)[ >]')) AS blocks, menu_items, len(regexp_extract_all(h, '<[a-zA-Z]')) + 1 AS elements, CASE WHEN length(text) < 40 THEN 'suspiciously-short-content' ELSE '' END AS notes FROM m""")
 def page_metrics(spark: SparkSession, d: str) -> DataFrame:
     """Title, words, characters, images, tables and block counts of each page, from its element tree."""
-    parsed = parse_pages(read(spark, d, "pages").select("page_id", "html"), "/")
+    fields = ("page_title", "text", "images", "tables", "blocks", "menu", "profile", "notes")
+    parsed = parse_pages(read(spark, d, "pages").select("page_id", "html"), "/", fields=fields)
     words = F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", " ")))
-    return parsed.select("page_id", "page_title", words.alias("words"), F.length("text").alias("text_chars"), F.size("images").alias("images"), "tables", F.size("blocks").alias("blocks"), F.size("menu").alias("menu_items"), F.try_element_at("profile", F.lit("elements")).alias("elements"), "notes")
+    return parsed.select("page_id", "page_title", words.alias("words"), F.length("text").alias("text_chars"), F.size("images").alias("images"), "tables", F.size("blocks").alias("blocks"), F.size("menu").alias("menu_items"), F.try_element_at("profile", F.lit("elements")).alias("elements"), F.array_join("notes", ",").alias("notes"))
+
+
+@query(r"""SELECT page_id, len(regexp_extract_all(html, '<style>')) AS style_elements, len(regexp_extract_all(html, '<[^>]* style="')) AS style_attrs, len(regexp_extract_all(html, '<[^>]* class="')) AS class_attrs,
+  contains(regexp_replace(html, '(?s)<style>.*?</style>', '', 'g'), '<style') AS styles_left FROM pages""")
+def flattened_pages(spark: SparkSession, d: str) -> DataFrame:
+    """The pages as the ladder's rung without styles lays them out: what went, and that no style is left."""
+    got = flattened(read(spark, d, "pages").select("page_id", "html"))
+    return got.select("page_id", "style_elements", "style_attrs", "class_attrs", F.contains("html_flat", F.lit("<style")).alias("styles_left"))
 
 
 @query(r"""
@@ -62,7 +83,7 @@ SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_extract
 """)
 def page_titles(spark: SparkSession, d: str) -> DataFrame:
     """The element tree's title and number of links, against what a pattern finds in these plain pages."""
-    parsed = parse_pages(read(spark, d, "pages").select("page_id", "html"), "/")
+    parsed = parse_pages(read(spark, d, "pages").select("page_id", "html"), "/", fields=("page_title", "links"))
     return parsed.select("page_id", F.col("page_title").alias("title"), F.size("links").cast("long").alias("n_links"))
 
 
