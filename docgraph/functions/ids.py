@@ -1,4 +1,4 @@
-"""Document ids and URLs as Column expressions: no Python runs on the executors but for `absolute`, which is RFC 3986.
+"""Document ids and URLs as Column expressions: no Python runs on the executors.
 
 A space is a tree of documents below one path of a site. A document's id is its path with dots, so the mapping from
 URL to id is lossy: `a/b` and `a.b` are one id.
@@ -8,12 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from urllib.parse import unquote, urljoin
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # Fixed values of the wiki's URL and id formats.
 NON_PAGE_ACTIONS = (
@@ -197,17 +194,40 @@ def cache_key(url: Column, body: Column | None = None) -> Column:
     return F.sha1(F.concat(url, F.lit("|"), F.coalesce(body, F.lit("")) if body is not None else F.lit("")))
 
 
-@F.pandas_udf(StringType())
-def absolute(base: pd.Series, href: pd.Series) -> pd.Series:
-    """A percent-decoded href against its page's address, by RFC 3986. What can't be joined stays as it is."""
-
-    def join(b: str | None, h: str | None) -> str:
-        try:
-            return urljoin(b or "", unquote(h or ""))
-        except ValueError:
-            return h or ""
-
-    return pd.Series([join(b, h) for b, h in zip(base, href, strict=True)])
+#: RFC 3986, appendix B: scheme, authority, path, query, fragment.
+URI = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+
+
+def without_dots(path: Column) -> Column:
+    """The path without its segments `.` and `..`: a fold over the segments, with those that stay as a stack."""
+    rooted = path.startswith("/")
+
+    def step(stack: Column, segment: Column) -> Column:
+        least = F.when(rooted, 1).otherwise(0)  # the empty segment before the first slash stays
+        up = F.slice(stack, F.lit(1), F.greatest(F.size(stack) - 1, least))
+        return F.when(segment == ".", stack).when(segment == "..", up).otherwise(F.concat(stack, F.array(segment)))
+
+    kept = F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), step)
+    open_end = F.when(path.rlike(r"(^|/)\.\.?$"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.array_join(F.concat(kept, open_end), "/")
+
+
+def absolute(base: Column, href: Column) -> Column:
+    """A percent-decoded href against its page's address, by RFC 3986, 5.2. An href with a scheme or an authority of its
+    own keeps its path as it is; null is empty."""
+    ref, base = percent_decoded(F.coalesce(href, F.lit(""))), F.coalesce(base, F.lit(""))
+    of = lambda u, n: F.regexp_extract(u, URI, n)
+    query = F.when(ref.rlike(r"^[^#]*\?"), F.concat(F.lit("?"), of(ref, 4))).otherwise("")
+    fragment = F.when(ref.contains("#") & (of(ref, 5) != ""), F.concat(F.lit("#"), of(ref, 5))).otherwise("")
+    scheme = F.when(of(base, 1) != "", F.concat(of(base, 1), F.lit(":"))).otherwise("")
+    has_authority = base.rlike(r"^([A-Za-z][A-Za-z0-9+.-]*:)?//")
+    authority = F.when(has_authority, F.concat(F.lit("//"), of(base, 2))).otherwise("")
+    path, above = of(ref, 3), of(base, 3)
+    beside = F.when(has_authority & (above == ""), F.concat(F.lit("/"), path)).otherwise(F.concat(F.regexp_extract(above, r"(?s)^(.*/)", 1), path))
+    own_query = F.when(ref.rlike(r"^[^#]*\?"), query).when(base.rlike(r"^[^#]*\?"), F.concat(F.lit("?"), of(base, 4))).otherwise("")
+    joined = F.when(path == "", F.concat(above, own_query)).when(path.startswith("/"), F.concat(without_dots(path), query)).otherwise(F.concat(without_dots(beside), query))
+    whole = ref.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:")
+    return F.when(whole, ref).when(ref.startswith("//"), F.concat(scheme, ref)).otherwise(F.concat(scheme, authority, joined, fragment))
 
 
 def is_denied(doc: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.ids import content_key, match_text, url_key
@@ -62,8 +62,19 @@ def render_summary(renders: DataFrame) -> DataFrame:
     return renders.agg(F.count_if("ok").alias("rendered_ok"), F.count_if(~F.coalesce("ok", F.lit(False))).alias("failed"), F.coalesce(F.sum(F.when(F.col("ok"), F.col("pages"))), F.lit(0)).alias("pages"), F.count_if(F.col("degraded").isNotNull()).alias("rendered_degraded"))
 
 
+def http_counters() -> list[Column]:
+    status = F.col("status")
+    return [F.count(F.lit(1)).alias("requests"), F.count_if(status.between(200, 299)).alias("ok"), F.count_if(status.isin(404, 410)).alias("gone"), F.count_if(status.isNull()).alias("failed"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")]
+
+
 def http_stats(responses: DataFrame) -> DataFrame:
-    return responses.agg(F.count("*").alias("requests"), F.count_if(F.col("status").between(200, 299)).alias("ok"), F.count_if(F.col("status").isin(404, 410)).alias("gone"), F.count_if(F.col("status").isNull()).alias("failed"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
+    return responses.agg(*http_counters())
+
+
+def http_observed(responses: DataFrame) -> tuple[DataFrame, Observation]:
+    """The responses, and http_stats' figures from the first action over them, without a pass of their own."""
+    seen = Observation()
+    return responses.observe(seen, *http_counters()), seen
 
 
 def attachment_manifest(attachments: DataFrame, stored: DataFrame) -> DataFrame:
@@ -99,6 +110,14 @@ def document_stats(annotations: DataFrame, page_text: DataFrame, first_pages: in
     return text.join(F.broadcast(links))  # one row each
 
 
+def document_parts(annotations: DataFrame, outline: DataFrame, images: DataFrame, hosts: list[str]) -> DataFrame:
+    """One row: bookmarks, images and distinct ones (by hash), and links to the site's own hosts among the uris."""
+    host = F.lower(F.regexp_extract("uri", r"^https?://([^/:?#]+)", 1))
+    links = annotations.agg(F.count_if(F.coalesce(host.isin(*hosts), F.lit(False))).alias("own_site_links"))
+    pictures = images.agg(F.count("*").alias("images"), F.countDistinct("sha256").alias("distinct_images"))
+    return outline.agg(F.count("*").alias("bookmarks")).join(F.broadcast(pictures)).join(F.broadcast(links))  # one row each
+
+
 def size_estimate(children: DataFrame, total: int) -> DataFrame:
     """children (doc, n_children, bytes) -> leaves, branches, mean bytes of a leaf that has any, times the total."""
     leaf = F.col("n_children") == 0

@@ -151,8 +151,8 @@ def link_audit(annotations: DataFrame, space: Space, samples: int = SAMPLES) ->
     told = annotations.withColumn("link_class", annotation_class(space, F.col("uri"), F.col("dest_page"), F.col("has_action"))).where("link_class IS NOT NULL")
     counts = told.groupBy("link_class").agg(F.count("*").alias("links"))
     pool = F.when(F.col("link_class") == "inspace_uri_left", "unresolved").when(F.col("link_class").isin("other_space_uri", "external_uri"), "external")
-    # sorted samples of a pool, kept as a bounded state: at most so many rows for each page go on
-    pooled = told.withColumn("pool", pool).where("pool IS NOT NULL")
-    early = pooled.withColumn("__n", F.row_number().over(Window.partitionBy("pool", "pdf_page").orderBy("pos"))).where(F.col("__n") <= samples)
-    first = early.withColumn("__n", F.row_number().over(Window.partitionBy("pool").orderBy("pdf_page", "pos"))).where(F.col("__n") <= samples)
+    pooled = told.withColumn("pool", pool)
+    # least-k: each task keeps its first few rows of a pool, and those are merged
+    of_pool = [pooled.where(F.col("pool") == name).orderBy("pdf_page", "pos").limit(samples) for name in ("unresolved", "external")]
+    first = of_pool[0].unionByName(of_pool[1])
     return counts, first.select("pool", "pdf_page", F.substring("uri", 1, 220).alias("uri"))

@@ -62,5 +62,5 @@ def spaced(df: DataFrame, step: int, most: int, order: list[Column]) -> DataFram
 def sampled(df: DataFrame, step: int, extra: int, key: str, seed: int = 0) -> DataFrame:
     """Every step-th row by key, and `extra` more, picked by a seeded hash of the key."""
     regular = spaced(df, step, 1 << 62, [F.col(key)])
-    more = df.orderBy(F.xxhash64(F.lit(seed), key), key).limit(extra)
+    more = df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(extra)
     return regular.unionByName(more).dropDuplicates([key])

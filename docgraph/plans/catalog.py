@@ -14,6 +14,8 @@ from ..functions import ids
 from ..functions.html import flattened, parse_pages
 from ..functions.ids import Space
 from ..operators import attempts, coverage, frontier, layout, links, ordered, traverse, tree
+from ..session import scratch
+from ..sources import mirror, versioned
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -481,6 +483,42 @@ def merged_index(spark: SparkSession, d: str) -> DataFrame:
 
 
 
+@query("""SELECT user_id, count(*) AS n FROM (SELECT user_id FROM events e WHERE event_id % 2 = 0 UNION ALL SELECT user_id FROM events o WHERE event_id % 2 = 1
+  AND user_id NOT IN (SELECT user_id FROM events WHERE event_id % 2 = 0)) GROUP BY user_id""")
+def bucketed_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """merged_index by a table that is rewritten bucket by bucket: odd events are its first version, even ones the second."""
+    rows, path = read(spark, d, "events").select("user_id", "event_id", "event_type"), scratch(spark, "index")
+    versioned.upsert(rows.where("event_id % 2 = 1"), path, "user_id", 16)
+    versioned.upsert(rows.where("event_id % 2 = 0"), path, "user_id")
+    return versioned.current(spark, path).groupBy("user_id").agg(F.count("*").alias("n"))
+
+
+def stored_texts(spark: SparkSession, d: str) -> tuple[DataFrame, str]:
+    """Documents as files of at most 3,000 bytes; a fifth could not be had."""
+    k, path = F.col("doc_id"), scratch(spark, "mirror")
+    files = read(spark, d, "documents").select(k.cast("string").alias("url"), F.when(k % 5 != 0, F.col("text").cast("binary")).alias("data"))
+    return mirror.store(files, path, F.lit(3000)), path
+
+
+FILES = """f AS (SELECT CAST(doc_id AS VARCHAR) AS url, CASE WHEN doc_id % 5 <> 0 THEN text END AS data FROM documents), m AS (SELECT url, CASE WHEN strlen(data) <= 3000 THEN sha256(data) END AS sha256, strlen(data) AS bytes,
+  coalesce(strlen(data) <= 3000, FALSE) AS stored, CASE WHEN data IS NULL THEN 'not-fetched' WHEN strlen(data) > 3000 THEN 'over 3000 bytes' END AS missing_reason FROM f)"""
+
+
+@query(f"WITH {FILES} SELECT *, CASE WHEN stored THEN 'ok' ELSE 'not-stored' END AS status FROM m")
+def mirror_check(spark: SparkSession, d: str) -> DataFrame:
+    """A mirror's manifest, and what reading the stored files again says of them."""
+    manifest, path = stored_texts(spark, d)
+    return mirror.checked(manifest, path)
+
+
+@query(f"WITH {FILES} SELECT count(DISTINCT sha256) AS files, CAST(sum(bytes) AS BIGINT) AS bytes FROM (SELECT DISTINCT sha256, bytes FROM m WHERE stored)")
+def mirror_size(spark: SparkSession, d: str) -> DataFrame:
+    """Files and bytes of the mirror's folder: each content is there once."""
+    _, path = stored_texts(spark, d)
+    return mirror.size_of(spark, f"{path}/files")
+
+
+
 
 # ---- links, sources and reports over made pages; customers' keys number them
 
@@ -630,6 +668,20 @@ def size_estimate(spark: SparkSession, d: str) -> DataFrame:
     return coverage.size_estimate(customer_keys(spark, d).select((key % 3).alias("n_children"), (key % 8 * 100).alias("bytes")), 1000)
 
 
+@query("""SELECT (SELECT count(*) FROM nation) AS bookmarks, (SELECT count(*) FROM documents) AS images, (SELECT count(DISTINCT coalesce(text, '')) FROM documents) AS distinct_images,
+  (SELECT count(*) FROM pages WHERE page_id % 5 < 3 AND regexp_extract(lower(url), '^https?://([^/:?#]+)', 1) IN ('thther.example.org', 'm.ththth.example.net')) AS own_site_links""")
+def document_parts(spark: SparkSession, d: str) -> DataFrame:
+    """The other figures of a merged document: nations as bookmarks, documents' texts as images."""
+    images = read(spark, d, "documents").select(F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"))
+    return coverage.document_parts(annotations(spark, d), read(spark, d, "nation"), images, ["thther.example.org", "m.ththth.example.net"])
+
+
+@query("""WITH n AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS n, row_number() OVER (ORDER BY md5('7:' || doc_id), doc_id) AS h FROM documents) SELECT doc_id FROM n WHERE (n - 1) % 40 = 0 OR h <= 12""")
+def seeded_sample(spark: SparkSession, d: str) -> DataFrame:
+    """Every fortieth document, and twelve more by a seeded hash: the sample is the feature."""
+    return ordered.sampled(read(spark, d, "documents").select("doc_id"), 40, 12, "doc_id", 7)
+
+
 @query("""WITH u AS (SELECT DISTINCT 'u' || o_custkey AS url FROM orders), n AS (SELECT url, row_number() OVER (ORDER BY url) AS n FROM u)
 SELECT count(*) AS unresolved, string_agg(url, ' ' ORDER BY url) FILTER (n <= 400) AS links, string_agg(url, ' ' ORDER BY url) FILTER (n <= 80) AS targets FROM n""")
 def unresolved_links(spark: SparkSession, d: str) -> DataFrame:

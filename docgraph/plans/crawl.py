@@ -72,6 +72,13 @@ class Crawl:
         """doc, url, status, html of what was visited; status is null where there was no answer."""
         return self.of_rounds("visited", "doc string, url string, status int, html string")
 
+    def http(self) -> dict[str, int]:
+        """coverage.http_stats' figures over all rounds, as they were counted while the pages were fetched."""
+        rounds = range(1, self.state.round + 1)
+        rows = self.spark.read.text([f"{self.path}/rounds/{n:06d}/http.json" for n in rounds], wholetext=True).collect() if rounds else []  # a row for each round
+        counts = [json.loads(r[0]) for r in rows]
+        return {name: sum(c[name] for c in counts) for name in ("requests", "ok", "gone", "failed", "bytes")}
+
     def told(self) -> DataFrame:
         return self.of_rounds("told", TOLD)
 

@@ -13,6 +13,7 @@ addresses is one task, since its pace is one; `most` in plans.crawl bounds a rou
 from __future__ import annotations
 
 import heapq
+import json
 import time
 import uuid
 from collections.abc import Callable, Iterator
@@ -28,8 +29,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..operators.coverage import http_observed
 from ..schemas import RAW_PAGE
 from .pages import AGAIN, FINAL, LONGEST_WAIT, Response, http_get
+from .sinks import write_text
 
 KINDS = pa.schema([("url", pa.string()), ("status", pa.int32()), ("content_type", pa.string()), ("body", pa.string()), ("bytes", pa.int64()), ("fetched_at", pa.timestamp("us", tz="UTC")), ("truncated", pa.bool_())])
 FLUSH, FLUSH_SECONDS = 16, 5.0
@@ -192,8 +195,9 @@ def ask(urls: DataFrame, path: str, parts: int = 8, last: DataFrame | None = Non
         dealt = own.withColumn("part", F.pmod(F.xxhash64("host"), F.lit(parts)).cast("int"))
         dealt.repartition(parts, "part").write.mode("overwrite").partitionBy("part").parquet(f"{path}/frontier")
     if not written(spark, f"{path}/pages"):
-        fetched = spark.read.format("polite_pages").options(path=uri(path), **options).load()
+        fetched, seen = http_observed(spark.read.format("polite_pages").options(path=uri(path), **options).load())
         fetched.write.mode("overwrite").parquet(f"{path}/pages")
+        write_text(spark, f"{path}/http.json", json.dumps(seen.get))
     return spark.read.schema(RAW_PAGE).parquet(f"{path}/pages")
 
 

@@ -1,4 +1,4 @@
-"""Sinks: tables as Parquet, upserts by key, and the coverage report.
+"""Sinks: tables as Parquet and the coverage report. Upserts are in versioned.py, files in mirror.py.
 
 Reports are built from one-row summaries and lists that the report itself limits.
 """
@@ -11,7 +11,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.attempts import merged
 from .pages import cacheable
 
 LISTED = {"missing": 500, "thin": 400, "denied": 400, "failed": 200}
@@ -31,33 +30,6 @@ def load(spark: SparkSession, path: str, *names: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{path.rstrip('/')}/{name}") for name in names}
 
 
-def upsert_parquet(new: DataFrame, path: str, key: str = "doc") -> str:
-    """Writes old rows with other keys and the new rows as the next version of the table below path; returns its folder.
-
-    Versions are never overwritten: a job that fails half-way leaves the table as it was.
-    """
-    spark = new.sparkSession
-    old = current(spark, path)
-    folder = f"{path.rstrip('/')}/version={version(spark, path) + 1:08d}"
-    (new if old is None else merged(old, new, key)).write.parquet(folder)
-    return folder
-
-
-def version(spark: SparkSession, path: str) -> int:
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(where):
-        return 0
-    done = [f.getPath() for f in files.listStatus(where) if f.getPath().getName().startswith("version=")]
-    return max((int(p.getName().split("=")[1]) for p in done if files.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))), default=0)
-
-
-def current(spark: SparkSession, path: str) -> DataFrame | None:
-    n = version(spark, path)
-    return spark.read.parquet(f"{path.rstrip('/')}/version={n:08d}") if n else None
-
-
 def report(summary: DataFrame, links: DataFrame, lists: dict[str, DataFrame]) -> dict:
     """The coverage report: the summary row, links by class, and the first ids of each list."""
     row = summary.first().asDict()

@@ -10,7 +10,7 @@ from portal import PAGES, SPACE, html
 from pyspark.sql import functions as F
 
 from docgraph.functions.ids import Space
-from docgraph.operators import traverse
+from docgraph.operators import coverage, traverse
 from docgraph.plans import crawl as plan
 from docgraph.plans.crawl import crawl, expand_tree, probe
 from docgraph.sources import polite
@@ -88,6 +88,7 @@ def test_a_crawl_equals_the_inventory_of_all_pages_and_asks_once(spark, site, tm
     assert done.queue().done
     assert max(site.paths().values()) == 1
     assert_equal_inventories(done.inventory(site.space), traverse.inventory(local(site, spark), site.space))
+    assert done.http() == coverage.http_stats(done.of_rounds("pages", polite.RAW_PAGE)).first().asDict()
     again = crawl(spark, site.space, str(tmp_path), **FAST)
     assert again.state == done.state
     assert max(site.paths().values()) == 1

@@ -59,3 +59,23 @@ def test_scopes_differ(spark):
         ids.section_kept(F.lit("More getting started"), want).alias("c"), ids.section_kept(F.lit("getting"), want).alias("d"), ids.in_scope(F.lit("Demo.Space.Z"), SPACE, []).alias("e"),
     ).first()
     assert tuple(row) == (True, True, True, False, True)
+
+
+#: RFC 3986, 5.4.1 and 5.4.2, against http://a/b/c/d;p?q
+NORMAL = {
+    "g:h": "g:h", "g": "http://a/b/c/g", "./g": "http://a/b/c/g", "g/": "http://a/b/c/g/", "/g": "http://a/g", "//g": "http://g", "?y": "http://a/b/c/d;p?y", "g?y": "http://a/b/c/g?y",
+    "#s": "http://a/b/c/d;p?q#s", "g#s": "http://a/b/c/g#s", "g?y#s": "http://a/b/c/g?y#s", ";x": "http://a/b/c/;x", "g;x": "http://a/b/c/g;x", "g;x?y#s": "http://a/b/c/g;x?y#s",
+    "": "http://a/b/c/d;p?q", ".": "http://a/b/c/", "./": "http://a/b/c/", "..": "http://a/b/", "../": "http://a/b/", "../g": "http://a/b/g", "../..": "http://a/", "../../": "http://a/", "../../g": "http://a/g",
+    "../../../g": "http://a/g", "../../../../g": "http://a/g", "/./g": "http://a/g", "/../g": "http://a/g", "g.": "http://a/b/c/g.", ".g": "http://a/b/c/.g", "g..": "http://a/b/c/g..", "..g": "http://a/b/c/..g",
+    "./../g": "http://a/b/g", "./g/.": "http://a/b/c/g/", "g/./h": "http://a/b/c/g/h", "g/../h": "http://a/b/c/h", "g;x=1/./y": "http://a/b/c/g;x=1/y", "g;x=1/../y": "http://a/b/c/y",
+    "g?y/./x": "http://a/b/c/g?y/./x", "g?y/../x": "http://a/b/c/g?y/../x", "g#s/./x": "http://a/b/c/g#s/./x", "g#s/../x": "http://a/b/c/g#s/../x", "http:g": "http:g",
+}
+
+
+def test_references_of_the_standard(spark):
+    rows = spark.createDataFrame(list(NORMAL.items()), "h string, w string")
+    got = rows.select("h", "w", ids.absolute(F.lit("http://a/b/c/d;p?q"), F.col("h")).alias("g"))
+    assert {r.h: r.g for r in got.collect()} == NORMAL
+    assert "Python" not in got._jdf.queryExecution().toString()
+    odd = spark.createDataFrame([("http://a", "g", "http://a/g"), ("", "x/../y", "y"), (None, None, ""), ("http://a/b", None, "http://a/b")], "b string, h string, w string")
+    assert all(r.g == r.w for r in odd.select("w", ids.absolute(F.col("b"), F.col("h")).alias("g")).collect())

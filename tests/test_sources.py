@@ -8,8 +8,8 @@ from portal import SPACE, html
 
 from docgraph.operators import coverage
 from docgraph.sources import pages as source
-from docgraph.sources import sinks
-from docgraph.streaming.ingest import ingest, parse_batch
+from docgraph.sources import sinks, versioned
+from docgraph.streaming.ingest import arrived, ingest, parse_batch
 
 
 def test_retries():
@@ -71,12 +71,8 @@ def test_cache(spark, tmp_path):
     assert [r.template for r in source.tree_templates(page).collect()] == ["{base}/bin/get/X/DocumentTree?a=b&limit={limit}&root=document%3Axwiki%3A{root}"]
 
 
-def test_upsert_and_reports(spark, tmp_path):
+def test_reports(spark, tmp_path):
     path = str(tmp_path / "t")
-    assert sinks.current(spark, path) is None
-    sinks.upsert_parquet(spark.createDataFrame([("a", 1), ("b", 1)], "doc string, v int"), path)
-    sinks.upsert_parquet(spark.createDataFrame([("b", 2), ("c", 2)], "doc string, v int"), path)
-    assert {r.doc: r.v for r in sinks.current(spark, path).collect()} == {"a": 1, "b": 2, "c": 2}
     summary = spark.createDataFrame([(3, 2)], "docs_built int, missing int")
     data = sinks.report(summary, spark.createDataFrame([("external_uri", 4)], "link_class string, links long"), {"missing": spark.createDataFrame([("z",), ("y",)], "doc string")})
     sinks.write_report(spark, data, str(tmp_path / "out"))
@@ -93,7 +89,7 @@ def test_second_run_parses_nothing(spark, tmp_path):
     assert parse_batch(rows, path, SPACE.path) == 0
     changed = spark.createDataFrame([("a", html("")), ("b", "<h1>new</h1>")], "doc string, html string")
     assert parse_batch(changed, path, SPACE.path) == 1
-    assert {r.doc: r.page_title for r in sinks.current(spark, path).collect()} == {"a": "Garden book", "b": "new"}
+    assert {r.doc: r.page_title for r in versioned.current(spark, path).collect()} == {"a": "Garden book", "b": "new"}
 
 
 def test_stream(spark, tmp_path):
@@ -101,7 +97,9 @@ def test_stream(spark, tmp_path):
     row = lambda u, b: json.dumps({"url": u, "status": 200, "body": b}) + "\n"
     (tmp_path / "in/1.json").write_text(row("u1", "<h1>A</h1>") + row("u2", "<h1>B</h1>"))
     args = (spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "cp"))
-    ingest(*args).awaitTermination()
+    first = ingest(*args)
+    first.awaitTermination()
+    assert arrived(first) == {"pages": 2, "bytes": 20}
     (tmp_path / "in/2.json").write_text(row("u2", "<h1>B2</h1>"))
     ingest(*args).awaitTermination()
-    assert {r.doc: r.page_title for r in sinks.current(spark, str(tmp_path / "t")).collect()} == {"u1": "A", "u2": "B2"}
+    assert {r.doc: r.page_title for r in versioned.current(spark, str(tmp_path / "t")).collect()} == {"u1": "A", "u2": "B2"}
