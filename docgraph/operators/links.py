@@ -5,11 +5,11 @@ Known documents, parents and aliases are joined, never collected; Spark broadcas
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import Space, absolute, is_attachment, is_denied, page_url, percent_decoded, squeezed, title_of_id, unwrap_login, url_to_doc
-from ..session import cut
+from ..session import stored
 
 SAMPLES = 12
 
@@ -99,22 +99,23 @@ def page_meta(parsed: DataFrame, links: DataFrame, space: Space) -> DataFrame:
 def fold_redirects(redirects: DataFrame, most_hops: int | None = None) -> DataFrame:
     """redirects (doc, target) -> doc, target, hops: where a chain of redirects ends.
 
-    Targets double their reach each round, so rounds are the logarithm of the longest chain. A redirect into a cycle
-    has target null. most_hops=1 keeps only what one hop resolves: a target that is itself a redirect gives null.
+    Targets double their reach each round, so rounds are the logarithm of the longest chain, and only chains that
+    haven't ended take part. A redirect into a cycle has target null. most_hops=1 keeps only what one hop resolves: a
+    target that is itself a redirect gives null.
     """
-    own = cut(redirects.where("doc IS NOT NULL").groupBy("doc").agg(F.min("target").alias("target")).withColumn("hops", F.lit(1)))
-    if most_hops == 1:
-        again = own.select(F.col("doc").alias("__doc"))
-        return own.join(again, F.col("target") == F.col("__doc"), "left").select("doc", F.when(F.col("__doc").isNull(), F.col("target")).alias("target"), "hops")
-    total, reach = own.count(), 1
-    while True:
-        ahead = own.select(F.col("doc").alias("__doc"), F.col("target").alias("__target"), F.col("hops").alias("__hops"))
-        open_ = own.join(ahead, F.col("target") == F.col("__doc"), "left")
-        if reach > total or open_.where("__doc IS NOT NULL").isEmpty():
+    own = redirects.where("doc IS NOT NULL").groupBy("doc").agg(F.min("target").alias("target")).withColumn("hops", F.lit(1))
+    again = own.select(F.col("doc").alias("__doc"))
+    rows = stored(own.join(again, F.col("target") == F.col("__doc"), "left").select("doc", "target", "hops", F.col("__doc").isNotNull().alias("open")))
+    ended, left = rows.where("NOT open"), rows.where("open")
+    while most_hops != 1 and not left.isEmpty():
+        ahead = ended.unionByName(left).select(F.col("doc").alias("__doc"), F.col("target").alias("__target"), F.col("hops").alias("__hops"), F.col("open").alias("__open"))
+        moved = left.join(ahead, F.col("target") == F.col("__doc"))
+        moved = stored(moved.select("doc", F.col("__target").alias("target"), (F.col("hops") + F.col("__hops")).alias("hops"), F.col("__open").alias("open")))
+        left = moved.where("open")
+        if moved.where("NOT open").isEmpty():  # the last open redirect of a chain points to its end, so these are cycles
             break
-        own = cut(open_.select("doc", F.when(F.col("__doc").isNotNull(), F.col("__target")).otherwise(F.col("target")).alias("target"), (F.col("hops") + F.coalesce("__hops", F.lit(0))).alias("hops")))
-        reach *= 2
-    return open_.select("doc", F.when(F.col("__doc").isNull(), F.col("target")).alias("target"), "hops")
+        ended = ended.unionByName(moved.where("NOT open"))
+    return ended.select("doc", "target", "hops").unionByName(left.select("doc", F.lit(None).cast("string").alias("target"), "hops"))
 
 
 def aliases(docs: DataFrame, space: Space) -> DataFrame:
