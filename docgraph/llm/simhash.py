@@ -158,6 +158,18 @@ def print_texts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Rec
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "node"])
 
 
+#: Keys that one task makes, about. A planner that sees the few bytes of the fingerprints would take a few tasks.
+KEYS_A_TASK = 1 << 20
+WIDE_KEYS, NARROW_KEYS = 6 * 24, 64  #: Of a fingerprint, about.
+
+
+def spread(prints: DataFrame, keys: int) -> DataFrame:
+    """prints (node and others), in so many tasks that none makes more than KEYS_A_TASK of so many keys each."""
+    prints = cut(prints)
+    least = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return prints.repartition(max(least, -(-prints.count() * keys // KEYS_A_TASK)), "node")
+
+
 def emit_keys(batches: Iterator[pa.RecordBatch], keys_of) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         nodes = batch.column(0).to_numpy()
@@ -185,7 +197,7 @@ def linked_rows(docs: DataFrame, size: int, distance: int, keys_of) -> tuple[Dat
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     printed = cut(rows.mapInArrow(lambda it: print_texts(it, size), "doc_id long, node long"))
     nodes = printed.select("node").distinct()
-    keys = nodes.mapInArrow(lambda it: emit_keys(it, keys_of), "key long, node long")
+    keys = spread(nodes, NARROW_KEYS).mapInArrow(lambda it: emit_keys(it, keys_of), "key long, node long")
     links = bucket_links(keys, partial(near, distance=distance), lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= distance)
     return printed, nodes.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
@@ -222,7 +234,7 @@ def copy_candidates(printed: DataFrame, distance: int) -> DataFrame:
     groups = cut(components(bands))
     pairs = printed.select("print", "node").distinct().join(groups, "node", "left")
     prints = pairs.groupBy(F.col("print").alias("node")).agg(F.min(F.coalesce("root", "node")).alias("known"))
-    keys = prints.mapInArrow(emit_known_keys, "key long, node long, known long")
+    keys = spread(prints, WIDE_KEYS).mapInArrow(emit_known_keys, "key long, node long, known long")
     links = bucket_links(keys, partial(near, distance=distance), lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= distance)
     return same_print(printed, links).unionByName(bands)
 
