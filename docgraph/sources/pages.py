@@ -99,7 +99,8 @@ class PageSource(DataSource):
 
 
 def fetched(spark: SparkSession, urls: list[str], **options: str) -> DataFrame:
-    """The raw pages of a frontier's addresses. A list that is too long for one job is fetched in parts."""
+    """The raw pages of a short list of addresses. A frontier that is a table, or one that keeps to a pace for each host, is
+    polite.ask's."""
     spark.dataSource.register(PageSource)
     return spark.read.format("pages").options(urls="\n".join(urls), **options).load()
 
