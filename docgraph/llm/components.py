@@ -117,13 +117,16 @@ def bucket_links(keys: DataFrame, near: Near, near_pair, block: int = BLOCK) ->
     near_pair(a, b) is the same test as near, on columns. Counts come from a group-by with partial sums; buckets of
     two are tested there. Only buckets of more are joined again and compared in groups of at most two blocks, so a
     hot bucket is spread over (its blocks)^2 / 2 groups and gives a forest per group instead of all its pairs.
+
+    Keys are many for each node that they are made from, which the planner can't know: by its estimate it would
+    broadcast all of them through the driver, so their join is told to merge.
     """
     if "known" not in keys.columns:
         keys = keys.withColumn("known", F.col("node"))
     counts = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b")).where("n > 1")
     counts = cut(counts)
     twos = counts.where("n = 2").select("a", "b").where(near_pair(F.col("a"), F.col("b")))
-    more = keys.join(counts.where("n > 2").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "key")
+    more = keys.hint("merge").join(counts.where("n > 2").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "key")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = more.select("key", "node", "known", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "own", "known")
