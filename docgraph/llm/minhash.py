@@ -295,7 +295,7 @@ def band_candidates(printed: DataFrame) -> DataFrame:
     parts = int(printed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = banded.select("node", "low", "high").mapInArrow(emit_bands, "key long, node long").repartition(parts, "key")  # one exchange, for both uses
     several = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("key")
-    met = cut(keys.join(several, "key").distinct())
+    met = cut(keys.hint("merge").join(several, "key").distinct())  # as in bucket_links, keys are more than the planner thinks
     blocks = met.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
     sketches = banded.select("node", F.col("low").alias("payload")).join(met.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
     rows = met.join(blocks, "key").join(sketches, "node")
