@@ -56,6 +56,8 @@ HASHED_WORDS = 60_000
 #: So many of the most frequent words of a sample of about SAMPLE_DOCS documents are encoded first and held by every
 #: task; the other words, all of them, go to the dictionaries of groups.
 FREQUENT, SAMPLE_DOCS = 200_000, 10_000
+#: Rows of a batch to the tasks that cut words: with Spark's 10,000 each holds tens of MB of text, in the JVM and in Python.
+BATCH_ROWS = 1000
 
 
 @dataclass
@@ -387,7 +389,7 @@ def rare_words(batches: Iterator[pa.RecordBatch], cutter: Cutter, known: dict[st
 
     def dealt(g: int, words: set[str]) -> Iterator[pa.RecordBatch]:
         of: dict[int, list[str]] = {}
-        for w in sorted(words.difference(known)):
+        for w in sorted([w for w in words if w not in known]):
             if len(w) <= LIMIT:
                 of.setdefault(zlib.crc32(w.encode()) % parts, []).append(w)
         numbers = list(of)
@@ -407,6 +409,8 @@ def rare_words(batches: Iterator[pa.RecordBatch], cutter: Cutter, known: dict[st
                 if text:
                     held.update(cutter.words(text))
     yield from dealt(last, held)
+    held.clear()  # the worker lives on
+    pa.default_memory_pool().release_unused()
 
 
 def count_words(batches: Iterator[pa.RecordBatch], cutter: Cutter) -> Iterator[pa.RecordBatch]:
@@ -485,7 +489,7 @@ def encode(docs: DataFrame, model: Model, with_decoded: bool = False) -> DataFra
     words_path, path = scratch(spark, "pieces-words"), scratch(spark, "pieces-ids")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_PARTS, n // PART_DOCS))
     folders = folders_for(n)
-    with settings(spark, objectHashAggregate__sortBased__fallbackThreshold=HASHED_WORDS, requireAllClusterKeysForCoPartition=False):
+    with settings(spark, objectHashAggregate__sortBased__fallbackThreshold=HASHED_WORDS, requireAllClusterKeysForCoPartition=False, execution__arrow__maxRecordsPerBatch=BATCH_ROWS):
         frequent = spark.sparkContext.broadcast(Known(frequent_words(docs, n, model, cutter)))
         schema = "bucket int, g long, part int, words string"
         rare = own.select("text", "g").mapInArrow(lambda it: rare_words(it, cutter, frequent.value, parts, folders), schema)

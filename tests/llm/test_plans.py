@@ -5,7 +5,7 @@ from functools import partial
 import numpy as np
 import pytest
 
-from docgraph.llm import components, minhash, simhash
+from docgraph.llm import components, minhash, pieces, simhash
 
 
 def physical(df) -> str:
@@ -40,3 +40,25 @@ def test_keys_of_bands_are_not_broadcast(spark, joins):
     printed, _ = minhash.print_docs(rows, 5, lambda _: 0)
     minhash.band_candidates(printed)
     assert joins and not any("BroadcastHashJoin" in x for x in joins)
+
+
+def test_words_are_cut_in_small_batches(spark, monkeypatch):
+    """No task that cuts words is sent more than BATCH_ROWS texts at once, and the session's setting is as before."""
+    sizes = spark.sparkContext.accumulator(0)
+    big = 20 * pieces.BATCH_ROWS
+
+    def counted(batches, *args, own=pieces.rare_words):
+        def seen():
+            for batch in batches:
+                sizes.add(batch.num_rows > pieces.BATCH_ROWS)
+                yield batch
+
+        return own(seen(), *args)
+
+    monkeypatch.setattr(pieces, "rare_words", counted)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.range(big).selectExpr("id AS doc_id", "concat('a word ', id % 7) AS text").coalesce(1)
+    got = pieces.encode(docs, pieces.load(), with_decoded=True)
+    assert got.where("same").count() == big
+    assert sizes.value == 0 and spark.conf.get(name) == before
