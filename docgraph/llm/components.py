@@ -9,10 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, tidy
+from .common import cut, lean, tidy
 
 #: A bucket of more nodes is dealt over blocks of about so many; each pair of blocks is one group.
 BLOCK = 4096
+#: Links, of 16 bytes, that a task contracts at once: 4 MB, what Spark puts into one partition.
+CHUNK = 1 << 18
 
 Near = Callable[[np.ndarray, np.int64], np.ndarray]
 
@@ -72,6 +74,7 @@ def joining(nodes: np.ndarray, own: np.ndarray, near: Near, known: np.ndarray |
     return left[new], right[new]
 
 
+@lean
 def link_groups(batches: Iterator[pa.RecordBatch], near: Near) -> Iterator[pa.RecordBatch]:
     """Batches of (key, i, j, node, own, known), sorted; a group may run over several batches."""
 
@@ -139,13 +142,62 @@ def checksum(edges: DataFrame) -> tuple:
     return r.n, r.s
 
 
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links -> a link to the least node of its component for each other node."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    left, right = ends[: len(a)], ends[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        x, y = root[left], root[right]
+        if (x == y).all():
+            break
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while ((up := root[root]) != root).any():
+            root = up
+    own = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[own], nodes[root[own]]
+
+
+@lean
+def contract(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBatch]:
+    """a, b -> links a, b that connect what they connect, as stars; of at most chunk links at once."""
+    held, n = [], 0
+
+    def made() -> pa.RecordBatch:
+        ends = stars(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in ends], ["a", "b"])
+
+    for batch in batches:
+        for k in range(0, batch.num_rows, chunk):
+            part = batch.slice(k, chunk)
+            if held and n + part.num_rows > chunk:
+                yield made()
+                held, n = [], 0
+            held.append(tuple(part.column(c).to_numpy() for c in range(2)))
+            n += part.num_rows
+    if held:
+        yield made()
+
+
 def components(links: DataFrame, most_rounds: int = 100) -> DataFrame:
     """links a, b -> node, root: each linked node and the smallest node reachable from it.
 
-    Alternates large-star and small-star steps until the edges stay as they are. Minima come from group-bys with
-    partial sums and go back by joins on the node, which Spark splits where a node is hot.
+    Links are contracted in chunks of CHUNK first, in the tasks that hold them. What fits one chunk is final then.
+    Otherwise large-star and small-star steps alternate until the edges stay as they are. Minima come from group-bys
+    with partial sums and go back by joins on the node, which Spark splits where a node is hot.
     """
     edges = cut(links.select("a", "b").where("a <> b").distinct())
+    n, chunk = edges.count(), CHUNK
+    edges = cut(edges.coalesce(max(1, -(-n // chunk))).mapInArrow(lambda it: contract(it, chunk), "a long, b long"))
+    if n > chunk:
+        edges = joined(edges, most_rounds)
+    tidy(links.sparkSession)
+    nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return nodes.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).groupBy("node").agg(F.min("root").alias("root"))
+
+
+def joined(edges: DataFrame, most_rounds: int) -> DataFrame:
+    """edges a, b -> a link to the least node of its component for each other node."""
     before = checksum(edges)
     for _ in range(most_rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -156,12 +208,11 @@ def components(links: DataFrame, most_rounds: int = 100) -> DataFrame:
         small = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
         edges = cut(small.distinct())
         del both, least, large, down, small
-        tidy(links.sparkSession)
+        tidy(edges.sparkSession)
         now = checksum(edges)
         if now == before:
             break
         before = now
     else:
         raise RuntimeError(f"components aren't final after {most_rounds} rounds")
-    nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return nodes.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).groupBy("node").agg(F.min("root").alias("root"))
+    return edges

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ordered import numbered
-from .common import cut, table
+from .common import BATCH_ROWS, cut, lean, settings, table
 from .components import components, joining
 from .lines import texts
 from .rows import Notes, folders_for, located, map_noted, noted
@@ -114,6 +114,7 @@ def whole(low: bytes, high: bytes) -> np.ndarray:
 PRINTED = "doc_id long, __g long, __r long, n_chars long, node long, shingles long, lead boolean, print long, low binary, high binary"
 
 
+@lean
 def print_rows(batches: Iterator[pa.RecordBatch], size: int, print_of) -> Iterator[pa.RecordBatch]:
     """doc_id, __g, __r, text -> PRINTED. node: the hash of the shingle set; lead: the first row of its node in this task."""
     names, seen = [x.split()[0] for x in PRINTED.split(", ")], set()
@@ -141,7 +142,8 @@ def print_docs(rows: DataFrame, size: int, print_of) -> tuple[DataFrame, Notes]:
     """The fingerprints of located rows, as a table and as notes."""
     folders = folders_for(rows.count())
     own = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "__g", "__r", "text")
-    notes = noted(own.mapInArrow(lambda it: print_rows(it, size, print_of), PRINTED), folders, "fingerprints", dealt=True)
+    with settings(rows.sparkSession, execution__arrow__maxRecordsPerBatch=BATCH_ROWS):
+        notes = noted(own.mapInArrow(lambda it: print_rows(it, size, print_of), PRINTED), folders, "fingerprints", dealt=True)
     return rows.sparkSession.read.schema(PRINTED).parquet(notes.path), Notes(notes.path, ["low", "high"], folders)
 
 
@@ -199,6 +201,7 @@ def fingerprints(docs: DataFrame, with_groups: bool = False) -> DataFrame:
     return map_noted(rows.select("doc_id", "__g", "__r", "text"), [prints, heads], edit_and_compare, FINGERPRINTS)
 
 
+@lean
 def payload_links(batches: Iterator[pa.RecordBatch], near_of) -> Iterator[pa.RecordBatch]:
     """Batches of (key, i, j, node, payload, own), sorted -> a, b: of each group the links that joining gives.
 
@@ -334,7 +337,8 @@ def verified_links(rows: DataFrame, places: DataFrame, size: int) -> DataFrame:
 
     sets = map_noted(rows.select("__g", "__r", "text"), [chosen], emit, "key long, i int, j int, node long, payload binary, own int")
     dealt_out = sets.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return cut(dealt_out.mapInArrow(lambda it: payload_links(it, near_sets), "a long, b long"))
+    with settings(rows.sparkSession, execution__arrow__maxRecordsPerBatch=BATCH_ROWS):
+        return cut(dealt_out.mapInArrow(lambda it: payload_links(it, near_sets), "a long, b long"))
 
 
 def with_trees(members: DataFrame, links: DataFrame) -> DataFrame:
