@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, lean, table
 from .rows import by_group, folders_for, located, noted
 
 SPACE = b" \t\n\x0b\x0c\r"
@@ -66,6 +66,7 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [x or b"" for x in column.cast(kind).to_pylist()]
 
 
+@lean
 def build_filters(batches: Iterator[pa.RecordBatch], bits: int, least: int) -> Iterator[pa.RecordBatch]:
     once, twice = np.zeros(1 << (bits - 6), np.uint64), np.zeros(1 << (bits - 6), np.uint64)
     for batch in batches:
@@ -130,6 +131,7 @@ def repeated_keys(docs: DataFrame, words: Broadcast, min_docs: int, bits: int, l
     """key (digest), first_doc, first_line of the keys found in at least min_docs documents. Rows are documents; words:
     twice_filter's, as a broadcast."""
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[bytes, list] = {}
@@ -190,6 +192,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, keep: str = "none", bits: i
     if n <= most_broadcast:
         held = spark.sparkContext.broadcast({bytes(r.key): (r.first_doc, r.first_line) for r in found.collect()})
 
+        @lean
         def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 pairs = zip(batch.column(ids).to_pylist(), texts(batch), strict=True)
@@ -200,6 +203,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, keep: str = "none", bits: i
     # too many for every executor to hold: each group of rows gets the repeated keys among its own suspected lines
     rows = located(out)
 
+    @lean
     def own_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for g, part in by_group(batch, 0):
@@ -209,6 +213,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, keep: str = "none", bits: i
     mine = rows.select("__g", "text").mapInArrow(own_keys, "__g long, key binary").join(found, "key").distinct()
     notes = noted(mine.withColumn("__r", F.lit(0).cast("long")), folders_for(rows.count()), "line-keys")
 
+    @lean
     def drop_own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, {}
         for batch in batches:

@@ -23,7 +23,6 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass, field
 from heapq import heapify, heappop, heappush
 from os.path import commonprefix
@@ -36,7 +35,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, scratch, table
+from .common import BATCH_ROWS, cut, scratch, settings, table
 from .rows import folders_for, located
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -56,8 +55,6 @@ HASHED_WORDS = 60_000
 #: So many of the most frequent words of a sample of about SAMPLE_DOCS documents are encoded first and held by every
 #: task; the other words, all of them, go to the dictionaries of groups.
 FREQUENT, SAMPLE_DOCS = 200_000, 10_000
-#: Rows of a batch to the tasks that cut words: with Spark's 10,000 each holds tens of MB of text, in the JVM and in Python.
-BATCH_ROWS = 1000
 
 
 @dataclass
@@ -463,20 +460,6 @@ class Known(dict):
         return self.rare[word] if len(word) <= LIMIT else self.model.encode_long(word)
 
 
-@contextmanager
-def settings(spark: SparkSession, **wanted: object) -> Iterator[None]:
-    """Spark settings for the time of a block."""
-    names = {k: f"spark.sql.{k.replace('__', '.')}" for k in wanted}
-    before = {k: spark.conf.get(name) for k, name in names.items()}
-    try:
-        for k, name in names.items():
-            spark.conf.set(name, str(wanted[k]).lower())
-        yield
-    finally:
-        for k, name in names.items():
-            spark.conf.set(name, before[k])
-
-
 def encode(docs: DataFrame, model: Model, with_decoded: bool = False) -> DataFrame:
     """doc_id, text, ids for every row of docs (doc_id, text; other columns are ignored). with_decoded: decoded instead
     of text, what decode gives for ids, and same, whether it is the text, without another pass.

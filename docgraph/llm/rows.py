@@ -19,7 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import lean, scratch
 
 #: Rows of a file that share a group; a folder for every two groups, up to so many folders.
 GROUP_BITS = 13
@@ -104,6 +104,7 @@ def map_noted(rows: DataFrame, notes: list[Notes], run: Callable[..., Iterator[p
     """mapInArrow over located rows: run(part, *dictionaries) for each run of rows of one group, with that group's notes."""
     at = rows.columns.index("__g")
 
+    @lean
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, []
         for batch in batches:
@@ -118,11 +119,18 @@ def map_noted(rows: DataFrame, notes: list[Notes], run: Callable[..., Iterator[p
 
 
 def kept(rows: DataFrame, winners: Notes, docs: DataFrame) -> DataFrame:
-    """The columns of docs, for the located rows that winners names."""
-    at, columns = rows.columns.index("__r"), docs.columns
-
-    def run(part: pa.RecordBatch, own: dict[int, tuple]) -> Iterator[pa.RecordBatch]:
-        mask = pa.array([r in own for r in part.column(at).to_pylist()], pa.bool_())
-        yield part.select(columns).filter(mask)
+    """The columns of docs, for the located rows that winners names. Python is sent addresses only."""
+
+    @lean
+    def named(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        last, own = None, {}
+        for columns in batches:
+            batch, mask = pa.RecordBatch.from_arrays(list(columns), ["__g", "__r"]), []
+            for g, part in by_group(batch, 0):
+                if g != last:
+                    own, last = winners.of(g), g
+                mask += [r in own for r in part.column(1).to_pylist()]
+            yield pa.array(mask, pa.bool_())
 
-    return map_noted(rows, [winners], run, docs.schema)
+    chosen = F.arrow_udf(named, "boolean")
+    return rows.where(chosen("__g", "__r")).select(*[F.col(f"`{c}`") for c in docs.columns])

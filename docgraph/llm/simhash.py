@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import minhash
-from .common import cut, table
+from .common import cut, lean, table
 from .components import bucket_links, components
 from .lines import texts
 from .rows import apart, kept, located, noted
@@ -170,6 +170,7 @@ def spread(prints: DataFrame, keys: int) -> DataFrame:
     return prints.repartition(max(least, -(-prints.count() * keys // KEYS_A_TASK)), "node")
 
 
+@lean
 def emit_keys(batches: Iterator[pa.RecordBatch], keys_of) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         nodes = batch.column(0).to_numpy()
@@ -179,6 +180,7 @@ def emit_keys(batches: Iterator[pa.RecordBatch], keys_of) -> Iterator[pa.RecordB
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part[rows])], ["key", "node"])
 
 
+@lean
 def emit_known_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """node (a fingerprint), known -> its wide keys, with both."""
     for batch in batches:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import lean, table
 
 MOST_ROWS = (8000, 4000)  # clean, toxic
 FEATURES, LEAST_FEATURES = 1200, 50  #: In all, and for each category at least.
@@ -259,6 +259,7 @@ def drop_flagged(docs: DataFrame, chain: Chain) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(chain)
     at = docs.columns.index("text")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, chain = {}, held.value
         for batch in batches:
