@@ -35,7 +35,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BATCH_ROWS, cut, scratch, settings, table
+from .common import BATCH_ROWS, cut, lean, scratch, settings, table
 from .rows import folders_for, located
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -376,6 +376,7 @@ def grouped(docs: DataFrame) -> DataFrame:
     return located(docs.select("doc_id", "text")).select("doc_id", "text", F.col("__g").alias("g"))
 
 
+@lean
 def rare_words(batches: Iterator[pa.RecordBatch], cutter: Cutter, known: dict[str, bytes], parts: int, folders: int) -> Iterator[pa.RecordBatch]:
     """bucket, g, part, words: the words of each group that aren't known, dealt over parts by their hash, sorted and
     joined by spaces, which no word has.
@@ -410,6 +411,7 @@ def rare_words(batches: Iterator[pa.RecordBatch], cutter: Cutter, known: dict[st
     pa.default_memory_pool().release_unused()
 
 
+@lean
 def count_words(batches: Iterator[pa.RecordBatch], cutter: Cutter) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts: Counter = Counter()
@@ -486,6 +488,7 @@ def encode(docs: DataFrame, model: Model, with_decoded: bool = False) -> DataFra
         placed = found.select("g", "part", sizes.alias("sizes"), ids.alias("ids"), F.pmod("g", F.lit(folders)).cast("int").alias("bucket"))
         placed.repartition(min(folders, parts), "bucket").sortWithinPartitions("bucket", "g").write.partitionBy("bucket").option("compression", "zstd").parquet(path)
 
+    @lean
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (files, words_at), (_, ids_at) = fs.FileSystem.from_uri(words_path), fs.FileSystem.from_uri(path)
         known, last, spell = frequent.value, None, decoder(model) if with_decoded else None
