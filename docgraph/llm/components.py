@@ -111,11 +111,12 @@ def link_groups(batches: Iterator[pa.RecordBatch], near: Near) -> Iterator[pa.Re
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left), pa.int64()), pa.array(np.concatenate(right), pa.int64())], ["a", "b"])
 
 
-def bucket_links(keys: DataFrame, near: Near, near_pair, block: int = BLOCK) -> DataFrame:
-    """key, node (distinct), known -> links a, b that connect, within every bucket, what its near pairs connect.
+def bucket_links(keys: DataFrame, near: Near, near_pair, block: int = BLOCK, repeats: bool = False) -> DataFrame:
+    """key, node, known -> links a, b that connect, within every bucket, what its near pairs connect. repeats: a node may
+    have a key several times; otherwise rows are distinct.
 
-    known (the node itself where the column is missing): nodes of one such group are connected already, so buckets of
-    more than two give no links within it.
+    known (the node itself where the column is missing; one for all rows of a node): nodes of one such group are
+    connected already, so a bucket of one group isn't compared, and others of more than two give no links within it.
 
     near_pair(a, b) is the same test as near, on columns. Counts come from a group-by with partial sums; buckets of
     two are tested there. Only buckets of more are joined again and compared in groups of at most two blocks, so a
@@ -126,10 +127,12 @@ def bucket_links(keys: DataFrame, near: Near, near_pair, block: int = BLOCK) ->
     """
     if "known" not in keys.columns:
         keys = keys.withColumn("known", F.col("node"))
-    counts = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b")).where("n > 1")
-    counts = cut(counts)
+    counts = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b"), F.min("known").alias("least"), F.max("known").alias("most"))
+    counts = cut(counts.where("least <> most").drop("least", "most"))
     twos = counts.where("n = 2").select("a", "b").where(near_pair(F.col("a"), F.col("b")))
     more = keys.hint("merge").join(counts.where("n > 2").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "key")
+    if repeats:
+        more = more.dropDuplicates(["key", "node"])
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     dealt = more.select("key", "node", "known", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "own", "known")

@@ -14,7 +14,9 @@ Fingerprints that differ in at most 4 bits are linked. Candidates share a key:
 A candidate pair is linked only after its distance is verified.
 
 Copies with edits differ in more bits. `wide_keys` serve a larger distance with good, not full, recall: for each of
-COMBOS fixed selections of bits, EXACT bits as they are with each member of K of 23 others. `keep_one` takes what they
+COMBOS fixed selections of bits, EXACT bits as they are with each member of K of 23 others, and a MinHash minimum that no
+band has. The bits alone have some 20 to tell texts apart by, so that of a million texts each would meet others in most
+of its buckets; a minimum adds 16, and near copies share it as often as they are alike. `keep_one` takes what the keys
 find and what MinHash bands find as candidates, and decides by the exact Jaccard similarity.
 """
 
@@ -132,12 +134,16 @@ def fuzzy_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(rows)
 
 
-COMBOS, EXACT = 24, 10
+COMBOS, EXACT = 24, 8
+SPARE = minhash.BANDS * minhash.ROWS  #: The first minimum that no band has.
 WIDE_SHINGLE, WIDE_DISTANCE = 5, 10  # about where the Jaccard similarity of five-word shingles is 0.8
 
 
-def wide_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """As fuzzy_keys, for WIDE_DISTANCE."""
+def wide_keys(prints: np.ndarray, minima: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """As fuzzy_keys, for WIDE_DISTANCE. minima: COMBOS of each fingerprint's text, of 16 bits; each combination's keys
+    have one of them."""
+    if minima is None:
+        minima = np.zeros((len(prints), COMBOS), np.int64)
     bits = np.unpackbits(prints.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int64)
     order = np.random.RandomState(11)
     keys, rows, number = [], [], np.arange(len(prints))
@@ -147,7 +153,7 @@ def wide_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         same = bits[:, chosen[LENGTH:]] @ (1 << np.arange(EXACT))
         mask = np.ones(found.shape, bool)
         mask[:, 1:] = found[:, 1:] != found[:, :1]
-        keys.append(((np.int64(k) << 28) | (same[:, None] << 12) | found)[mask])
+        keys.append(((np.int64(k) << 40) | (minima[:, k, None] << 24) | (same[:, None] << 12) | found)[mask])
         rows.append(np.broadcast_to(number[:, None], found.shape)[mask])
     return np.concatenate(keys), np.concatenate(rows)
 
@@ -182,11 +188,12 @@ def emit_keys(batches: Iterator[pa.RecordBatch], keys_of) -> Iterator[pa.RecordB
 
 @lean
 def emit_known_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """node (a fingerprint), known -> its wide keys, with both."""
+    """print, known, low, high (bytes of COMBOS minima) -> the wide keys, with the print as node, and known."""
     for batch in batches:
         nodes, known = (batch.column(k).to_numpy() for k in range(2))
         for k in range(0, len(nodes), 4096):
-            keys, rows = wide_keys(nodes[k : k + 4096].view(np.uint64))
+            low, high = (np.frombuffer(b"".join(batch.column(c).slice(k, 4096).to_pylist()), np.uint8).reshape(-1, COMBOS).astype(np.int64) for c in (2, 3))
+            keys, rows = wide_keys(nodes[k : k + 4096].view(np.uint64), low | high << 8)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes[k : k + 4096][rows]), pa.array(known[k : k + 4096][rows])], ["key", "node", "known"])
 
 
@@ -229,15 +236,23 @@ def same_print(printed: DataFrame, links: DataFrame) -> DataFrame:
     return same.unionByName(both.select(F.col("x").alias("a"), F.col("y").alias("b")))
 
 
+def wide_links(printed: DataFrame, groups: DataFrame, distance: int) -> DataFrame:
+    """Links between fingerprints within distance whose texts share a wide key. groups (node, root): nodes of a root are
+    connected already. A fingerprint of several shingle sets has the keys of each of them."""
+    spare = [F.expr(f"substring({x}, {SPARE + 1}, {COMBOS})").alias(x) for x in ("low", "high")]
+    sets = printed.select("node", "print", *spare).dropDuplicates(["node", "print"])
+    placed = cut(sets.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    known = placed.groupBy("print").agg(F.min("root").alias("known"))
+    own = placed.drop("root").join(known, "print").select("node", "print", "known", "low", "high")
+    keys = spread(own, WIDE_KEYS).drop("node").mapInArrow(emit_known_keys, "key long, node long, known long")
+    return bucket_links(keys, partial(near, distance=distance), lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= distance, repeats=True)
+
+
 def copy_candidates(printed: DataFrame, distance: int) -> DataFrame:
     """What MinHash bands find, and what else fingerprints within distance find: they give no links between fingerprints
     that the bands have connected, so a large group of copies has one link a node and not one for each bucket."""
     bands = cut(minhash.band_candidates(printed))
-    groups = cut(components(bands))
-    pairs = printed.select("print", "node").distinct().join(groups, "node", "left")
-    prints = pairs.groupBy(F.col("print").alias("node")).agg(F.min(F.coalesce("root", "node")).alias("known"))
-    keys = spread(prints, WIDE_KEYS).mapInArrow(emit_known_keys, "key long, node long, known long")
-    links = bucket_links(keys, partial(near, distance=distance), lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= distance)
+    links = wide_links(printed, cut(components(bands)), distance)
     return same_print(printed, links).unionByName(bands)
 
 
